@@ -1,0 +1,220 @@
+"""The reporting run: rows of all sheets to fact, pivots and quality reports.
+
+One plan covers every date, workbook and sheet at once. All results are lazy
+DataFrames; the fact is staged once because every report reads it.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Mapping, Sequence
+from dataclasses import dataclass, field
+
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from supplyview.operators import dimension as D
+from supplyview.operators import facts as P
+from supplyview.operators import pivot as V
+from supplyview.operators import quality as Q
+from supplyview.operators import routing as R
+from supplyview.operators import tables as G
+from supplyview.operators import usage as U
+from supplyview.operators.blocks import BLOCK_ROWS
+from supplyview.operators.fallback import advanced_split, basic_split
+from supplyview.operators.segments import split_markers
+from supplyview.schemas import ACKNOWLEDGED, ALIASES, SHEET_KEYS, TABLE_COLUMNS, USAGE_STATUS
+from supplyview.session import stage
+from supplyview.sources.files import read_dimension, read_usage
+from supplyview.sources.workbook import scan_workbooks, sheet_rows, unreadable
+
+LAYOUTS = ("combined", "split", "sheets", "sheets_advanced")
+
+
+@dataclass(frozen=True)
+class Options:
+    """What a run does differently from the default.
+
+    ``layout``: one delivery workbook (combined), imports plus local workbooks
+    (split), or the older sheet-only rules (sheets, sheets_advanced).
+    ``usage_mode``: usage already monthly, or annual with fuzzy ingredient names.
+    """
+
+    layout: str = "combined"
+    usage_mode: str = "monthly"
+    legacy_units: bool = False
+    legacy_zero_total: bool = False
+    mapping: Mapping[str, Sequence[str]] = field(default_factory=lambda: dict(TABLE_COLUMNS))
+    aliases: Mapping[str, Sequence[str]] = field(default_factory=dict)
+    block_rows: int = BLOCK_ROWS
+
+
+@dataclass(frozen=True)
+class Tables:
+    """Projected rows of every table, the sheets left out, and new header aliases."""
+
+    projected: DataFrame
+    rejects: DataFrame
+    aliases: DataFrame
+
+
+@dataclass(frozen=True)
+class Results:
+    fact: DataFrame
+    rejects: DataFrame
+    aliases: DataFrame
+    new_products: DataFrame
+    blank_category_products: DataFrame
+    dimension: DataFrame
+    sums: DataFrame
+    pivot: DataFrame
+    enhanced_pivot: DataFrame
+    status_counts: DataFrame
+    category_counts: DataFrame
+    na_products: DataFrame
+
+
+def _is_inventory() -> Column:
+    return F.lower("workbook").contains("inventory")
+
+
+def _routed_deliveries(rows: DataFrame, options: Options) -> DataFrame:
+    """Delivery rows with ``table`` and ``start_row``; stacked sheets split in two."""
+    sheet = F.col("sheet")
+    combined = options.layout == "combined"
+    route = R.route_combined(sheet) if combined else R.route_named(sheet)
+    routed = rows.withColumn("table", route).filter(~F.col("table").isin(R.SUMMARY, R.OTHER))
+    plain = routed.filter(F.col("table") != R.STACKED).withColumn(
+        "start_row", F.lit(0).cast("bigint")
+    )
+    stacked = routed.filter(F.col("table") == R.STACKED)
+    split = {
+        "combined": split_markers,
+        "sheets": basic_split,
+        "sheets_advanced": advanced_split,
+    }[options.layout]
+    parts = split(stacked.drop("table"), SHEET_KEYS, options.block_rows)
+    return plain.unionByName(parts)
+
+
+def tables(rows: DataFrame, options: Options = Options()) -> Tables:
+    """Every table of every sheet, projected to product and quantity text."""
+    if options.layout not in LAYOUTS:
+        raise ValueError(f"layout must be one of {LAYOUTS}")
+    no_aliases = rows.sparkSession.createDataFrame([], ALIASES)
+    args = (SHEET_KEYS, options.mapping)
+    if options.layout == "split":
+        routed = rows.filter(~_is_inventory()).withColumn(
+            "table", R.route_split(F.col("workbook"), F.col("sheet"))
+        )
+        delivered, rejected, found = G.split_tables(
+            routed.filter(F.col("table").isNotNull()),
+            *args,
+            aliases=options.aliases,
+            block_rows=options.block_rows,
+        )
+    else:
+        lenient = options.layout != "combined"
+        deliveries = rows if lenient else rows.filter(~_is_inventory())
+        delivered, rejected = G.delivery_table(
+            # Staged: the header search and the projection both read the split rows.
+            stage(_routed_deliveries(deliveries, options), "tables"),
+            *args,
+            lenient=lenient,
+            block_rows=options.block_rows,
+        )
+        found = no_aliases
+        if lenient:
+            return Tables(delivered, rejected, found)
+    stocked, missing = G.inventory_table(
+        rows.filter(_is_inventory()), SHEET_KEYS, options.block_rows
+    )
+    return Tables(
+        delivered.unionByName(stocked, allowMissingColumns=True),
+        rejected.unionByName(missing),
+        found,
+    )
+
+
+def combine(
+    projected: DataFrame, dim: DataFrame, usage: DataFrame | None, options: Options = Options()
+) -> DataFrame:
+    """The fact: quantities in tons with status and category, usage rows included."""
+    measured = P.quantity_fact(projected, options.legacy_units).select(
+        "ingest_date", "product", "quantity", "status"
+    )
+    parts = [P.category_lookup(measured, dim)]
+    if usage is not None:
+        parts.append(U.usage_fact(usage, dim))
+    return P.combine(parts)
+
+
+def reports(
+    fact: DataFrame,
+    dim: DataFrame,
+    usage: DataFrame | None = None,
+    options: Options = Options(),
+    rejects: DataFrame | None = None,
+    aliases: DataFrame | None = None,
+) -> Results:
+    """Pivots per date and the quality reports of a fact."""
+    by_date = ["ingest_date"]
+    sums = V.category_status_sums(fact, by_date)
+    per_category = None
+    extended = dim
+    if options.usage_mode == "annual_fuzzy" and usage is not None:
+        mapping = U.ingredient_map_fuzzy(usage, dim, by_date)
+        extended = D.append_products(dim, U.new_ingredients(mapping, dim), ACKNOWLEDGED)
+        labelled = fact.filter(~P.is_acknowledged(F.col("category"))).withColumn(
+            "category", V.category_label(F.col("category"))
+        )
+        per_category = U.usage_by_category_fuzzy(labelled, usage, mapping, keys=by_date)
+    added = D.new_products(fact, extended)
+    statuses = V.statuses_of(sums)
+    with_usage = sorted({*statuses, USAGE_STATUS})
+    return Results(
+        fact=fact,
+        rejects=rejects,
+        aliases=aliases,
+        new_products=added,
+        blank_category_products=D.blank_category_products(
+            fact.filter(F.col("status") != USAGE_STATUS), dim
+        ),
+        dimension=D.append_products(extended, added),
+        sums=sums,
+        pivot=V.pivot_with_totals(sums, statuses, by_date),
+        enhanced_pivot=V.enhanced_pivot(
+            sums,
+            per_category,
+            with_usage,
+            options.legacy_zero_total,
+            keys=by_date,
+        ),
+        status_counts=Q.status_counts(fact),
+        category_counts=Q.category_counts(fact),
+        na_products=Q.na_products(fact),
+    )
+
+
+def run(
+    spark: SparkSession,
+    root: str,
+    dimension_path: str,
+    dates: Sequence[str] | None = None,
+    usage_file: str | None = "global_usage.csv",
+    options: Options = Options(),
+) -> Results:
+    """Read the date folders below ``root`` and report on them.
+
+    ``dates`` (``yyyymmdd``) limits the run to those folders; other folders are
+    not even listed.
+    """
+    folder = f"{root}/{{{','.join(dates)}}}" if dates else f"{root}/*"
+    scanned = stage(scan_workbooks(spark, folder), "rows")
+    found = tables(sheet_rows(scanned), options)
+    dim = read_dimension(spark, dimension_path)
+    usage = read_usage(spark, f"{folder}/{usage_file}") if usage_file else None
+    fact = stage(combine(found.projected, dim, usage, options), "fact")
+    rejected = found.rejects.unionByName(
+        unreadable(scanned).withColumn("table", F.lit(None).cast("string"))
+    )
+    return reports(fact, dim, usage, options, rejected, found.aliases)
