@@ -621,6 +621,7 @@ FROM plan, (SELECT unnest([1, 2, 3, 4, 5, 6]) AS month)"""
 
 
 def _shown(value: str, decimals: int) -> str:
+    value = f"round({value}, 6)"
     return f"CASE WHEN {value} = 0 THEN '-' ELSE format('{{:,.{decimals}f}}', {value}) END"
 
 

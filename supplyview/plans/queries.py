@@ -329,8 +329,8 @@ def projection_risk(spark, sf):
 
 @query
 def pivot_display(spark, sf):
-    """X11."""
-    return V.pivot_display(V.enhanced_pivot(category_sums(spark, sf)))
+    """X11 on the report's figures, which carry six decimals."""
+    return V.pivot_display(enhanced_pivot(spark, sf))
 
 
 # --- the category dimension --------------------------------------------------
