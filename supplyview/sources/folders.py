@@ -37,7 +37,7 @@ def ingest_date_of(path: Column, default: Column | None = None) -> Column:
 
 
 def list_files(spark: SparkSession, root: str) -> DataFrame:
-    """(folder, file) below ``root``; contents are not read."""
+    """(folder, file) below ``root``; contents are not read, empty files not listed."""
     files = (
         spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(root)
     )
