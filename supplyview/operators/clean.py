@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from supplyview.functions import plain_number_text, strip
+from supplyview.functions import is_blank, plain_number_text
 from supplyview.operators.segments import is_blank_row
 from supplyview.schemas import SHEET_KEYS
 
@@ -17,9 +17,7 @@ def drop_blank_rows(rows: DataFrame, whitespace_too: bool = False) -> DataFrame:
     """Keep rows with a non-null cell; G22 (``whitespace_too``): with visible text."""
     if not whitespace_too:
         return rows.filter(~is_blank_row(F.col("cells")))
-    return rows.filter(
-        F.exists("cells", lambda c: F.coalesce(strip(c) != "", F.lit(False)))
-    )
+    return rows.filter(~is_blank(F.array_join("cells", "")))
 
 
 def used_columns(rows: DataFrame, keys: Sequence[str] = SHEET_KEYS) -> DataFrame:

@@ -1,8 +1,8 @@
 """Finding and using header rows.
 
-Every rule returns one row per sheet: ``(keys, header_row, header_cells)``. The
-candidate rows are cut down by a filter before anything is shuffled, and the
-winner is a partial aggregate, never a window over the sheet.
+A rule is a rank for rows, null for rows that cannot be the header; the best rank
+of a sheet wins. Candidates are cut down by a filter before anything is shuffled,
+and the winner is a partial aggregate, never a window over the sheet.
 """
 
 from __future__ import annotations
@@ -27,6 +27,9 @@ REQUIRED_SCAN_ROWS = 25
 PRIORITY_EXACT_SCAN_ROWS = 150
 PRIORITY_TEXT_SCAN_ROWS = 200
 
+# Worse than any rank a header rule gives.
+LABEL_RANK = 1_000_000
+
 # Anchor texts per status.
 ANCHORS = {"SAILING": "CONTRACT", "LANDED": "BILL OF LADING", "PULLOUT": "BILL OF LADING"}
 
@@ -38,99 +41,74 @@ def count_cells(cells: Column, rule: Callable[[Column], Column]) -> Column:
     return F.size(F.filter(cells, rule)).cast("bigint")
 
 
+def row_text(cells: Column) -> Column:
+    """All cells as one upper-case text. A word without line breaks is in some cell
+    exactly when it is in here, and no cell-by-cell function has to run."""
+    return F.upper(F.array_join(cells, "\n"))
+
+
 def has_cell(cells: Column, text: str) -> Column:
     """True when a stripped cell equals ``text`` exactly."""
     return F.exists(cells, lambda c: F.coalesce(strip(c) == text, F.lit(False)))
 
 
-def _first(candidates: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """The earliest candidate row of every sheet."""
-    return candidates.groupBy(*keys).agg(
-        F.min("row_idx").alias("header_row"),
-        F.min_by("cells", "row_idx").alias("header_cells"),
+def pick_header(rows: DataFrame, rank: Column, keys: Sequence[str] = SHEET_KEYS) -> DataFrame:
+    """The row with the lowest ``rank`` of every sheet, the earliest one on ties.
+
+    Rows with a null rank are no candidates. They are filtered out before the
+    shuffle, so only the few candidates of a sheet are compared.
+    """
+    candidates = rows.select(*keys, "row_idx", "cells", rank.cast("bigint").alias("rank")).filter(
+        F.col("rank").isNotNull()
+    )
+    best = candidates.groupBy(*keys).agg(
+        F.min_by(F.struct("row_idx", "cells", "rank"), F.struct("rank", "row_idx")).alias("_best")
+    )
+    return best.select(
+        *keys,
+        F.col("_best.row_idx").alias("header_row"),
+        F.col("_best.cells").alias("header_cells"),
+        F.col("_best.rank").alias("rank"),
     )
 
 
-def header_by_score(
-    rows: DataFrame,
-    keys: Sequence[str] = SHEET_KEYS,
+def score_rank(
     rule: Callable[[Column], Column] = is_header_text_strict,
     scan_rows: int = SCORE_SCAN_ROWS,
     min_score: int = 2,
     start: Column | None = None,
-) -> DataFrame:
-    """The row with most header-like cells among the first ``scan_rows``.
+) -> Column:
+    """Minus the number of header-like cells, within the first ``scan_rows``.
 
-    The earliest row wins a tie; a sheet whose best row scores below
-    ``min_score`` gives no header. Adds the winning ``score``. ``start`` is the
-    first row of a table that does not begin at row 0.
+    ``start`` is the first row of a table that does not begin at row 0.
     """
     offset = F.col("row_idx") - (F.lit(0) if start is None else start)
-    scored = (
-        rows.filter(offset.between(0, scan_rows - 1))
-        .withColumn("_offset", offset)
-        .select(
-            *keys,
-            "row_idx",
-            "cells",
-            "_offset",
-            count_cells(F.col("cells"), rule).alias("score"),
-        )
-        .filter(F.col("score") >= min_score)
-        .withColumn("_rank", F.col("score") * scan_rows - F.col("_offset"))
-    )
-    return scored.groupBy(*keys).agg(
-        F.max_by("row_idx", "_rank").alias("header_row"),
-        F.max_by("cells", "_rank").alias("header_cells"),
-        F.max("score").alias("score"),
-    )
-
-
-def header_strict(rows: DataFrame, keys: Sequence[str] = SHEET_KEYS) -> DataFrame:
-    """G1."""
-    return header_by_score(rows, keys, is_header_text_strict)
-
-
-def header_lenient(rows: DataFrame, keys: Sequence[str] = SHEET_KEYS) -> DataFrame:
-    """Also needs the sheet to have at least two rows."""
-    long_enough = rows.filter(F.col("row_idx") == 1).select(*keys)
-    return header_by_score(rows, keys, is_header_text_lenient).join(
-        long_enough, list(keys), "left_semi"
+    score = count_cells(F.col("cells"), rule)
+    return F.when(
+        (F.col("row_idx") >= 0) & offset.between(0, scan_rows - 1) & (score >= min_score), -score
     )
 
 
-def header_required(
-    rows: DataFrame,
-    keys: Sequence[str] = SHEET_KEYS,
-    labels: Sequence[str] = INVENTORY_COLUMNS,
-    scan_rows: int = REQUIRED_SCAN_ROWS,
-) -> DataFrame:
-    """The first of the first ``scan_rows`` rows holding every label exactly."""
-    candidates = rows.filter(F.col("row_idx").between(0, scan_rows - 1))
+def required_rank(
+    labels: Sequence[str] = INVENTORY_COLUMNS, scan_rows: int = REQUIRED_SCAN_ROWS
+) -> Column:
+    """Rows holding every label exactly, within the first ``scan_rows``."""
+    holds = F.col("row_idx").between(0, scan_rows - 1)
     for label in labels:
-        candidates = candidates.filter(has_cell(F.col("cells"), label))
-    return _first(candidates, keys)
+        holds = holds & has_cell(F.col("cells"), label)
+    return F.when(holds, 0)
 
 
-def header_anchor(rows: DataFrame, anchor: str, keys: Sequence[str] = SHEET_KEYS) -> DataFrame:
-    """The first row with a cell containing ``anchor``, ignoring case; no row limit."""
-    hits = rows.filter(
-        (F.col("row_idx") >= 0)
-        & F.exists("cells", lambda c: F.coalesce(F.upper(c).contains(anchor), F.lit(False)))
-    )
-    return _first(hits, keys)
+def anchor_rank(anchor: str) -> Column:
+    """Rows with a cell containing ``anchor``, ignoring case; no row limit."""
+    return F.when((F.col("row_idx") >= 0) & row_text(F.col("cells")).contains(anchor), 0)
 
 
-def header_priority(
-    rows: DataFrame,
-    keys: Sequence[str] = SHEET_KEYS,
-    product: str = LOCAL_PRODUCT,
-    quantity: str = LOCAL_QUANTITY,
-) -> DataFrame:
-    """First row naming the product column; else first with both labels; else
-    first with two text cells. Adds the ``step`` (1, 2 or 3) that decided."""
+def priority_rank(product: str = LOCAL_PRODUCT, quantity: str = LOCAL_QUANTITY) -> Column:
+    """1 names the product column, 2 has both labels, 3 has two text cells."""
     cells, row_idx = F.col("cells"), F.col("row_idx")
-    names_product = F.exists(
+    # The cheap test on the whole row comes first and rules out nearly all rows.
+    names_product = row_text(cells).contains(product.upper()) & F.exists(
         cells, lambda c: F.coalesce(F.upper(strip(c)) == product.upper(), F.lit(False))
     )
     both = (
@@ -139,35 +117,51 @@ def header_priority(
     texty = (row_idx < PRIORITY_TEXT_SCAN_ROWS) & (
         count_cells(cells, is_header_text_lenient) >= 2
     )
-    step = F.when(names_product, 1).when(both, 2).when(texty, 3)
-    candidates = (
-        rows.filter(row_idx >= 0)
-        .select(*keys, "row_idx", "cells", step.cast("bigint").alias("step"))
-        .filter(F.col("step").isNotNull())
-    )
-    per_step = candidates.groupBy(*keys, "step").agg(
-        F.min("row_idx").alias("header_row"),
-        F.min_by("cells", "row_idx").alias("header_cells"),
-    )
-    return per_step.groupBy(*keys).agg(
-        F.min_by("header_row", "step").alias("header_row"),
-        F.min_by("header_cells", "step").alias("header_cells"),
-        F.min("step").alias("step"),
+    return F.when(
+        row_idx >= 0, F.when(names_product, 1).when(both, 2).when(texty, 3)
     )
 
 
-def or_label_row(headers: DataFrame, rows: DataFrame, keys: Sequence[str] = SHEET_KEYS) -> DataFrame:
-    """Sheets without a header keep their label row (row -1) as header."""
-    labels = rows.filter(F.col("row_idx") == -1).select(
-        *keys, F.col("row_idx").alias("header_row"), F.col("cells").alias("header_cells")
-    )
-    both = headers.select(*keys, "header_row", "header_cells").unionByName(labels)
-    return both.groupBy(*keys).agg(
-        F.max("header_row").alias("header_row"),
-        F.max_by("header_cells", "header_row").alias("header_cells"),
+def or_label_row(rank: Column) -> Column:
+    """Without any other candidate the label row (row -1) is the header."""
+    return F.coalesce(rank, F.when(F.col("row_idx") == -1, LABEL_RANK))
+
+
+def header_strict(rows: DataFrame, keys: Sequence[str] = SHEET_KEYS) -> DataFrame:
+    """G1, with the winning ``score``."""
+    near = rows.filter(F.col("row_idx") < SCORE_SCAN_ROWS)
+    found = pick_header(near, score_rank(is_header_text_strict), keys)
+    return found.withColumn("score", -F.col("rank")).drop("rank")
+
+
+def header_lenient(rows: DataFrame, keys: Sequence[str] = SHEET_KEYS) -> DataFrame:
+    """G2, for sheets of at least two rows, with the winning ``score``."""
+    near = rows.filter(F.col("row_idx") < SCORE_SCAN_ROWS)
+    found = pick_header(near, score_rank(is_header_text_lenient), keys)
+    long_enough = near.filter(F.col("row_idx") == 1).select(*keys)
+    return (
+        found.join(long_enough, list(keys), "left_semi")
+        .withColumn("score", -F.col("rank"))
+        .drop("rank")
     )
 
 
+def header_required(rows: DataFrame, keys: Sequence[str] = SHEET_KEYS) -> DataFrame:
+    """G3."""
+    near = rows.filter(F.col("row_idx") < REQUIRED_SCAN_ROWS)
+    return pick_header(near, required_rank(), keys).drop("rank")
+
+
+def header_anchor(rows: DataFrame, anchor: str, keys: Sequence[str] = SHEET_KEYS) -> DataFrame:
+    """G4."""
+    return pick_header(rows, anchor_rank(anchor), keys).drop("rank")
+
+
+def header_priority(rows: DataFrame, keys: Sequence[str] = SHEET_KEYS) -> DataFrame:
+    """G5, with the ``step`` (1, 2 or 3) that decided."""
+    return pick_header(rows, priority_rank(), keys).withColumnRenamed("rank", "step")
+
+
 def header_names(cells: Column, base: int = 0, raw: bool = False) -> Column:
     """Stripped names, ``Column_{i}`` for blanks; later duplicates get ``_2``, ``_3``.
 

@@ -70,12 +70,17 @@ def statuses_of(sums: DataFrame) -> list[str]:
 def status_pivot(
     sums: DataFrame, statuses: Sequence[str] = ALL_STATUSES, keys: Sequence[str] = ()
 ) -> DataFrame:
-    """A1: one column per status, 0 where a category has none of it."""
-    return (
-        sums.groupBy(*keys, "category")
-        .pivot("status", list(statuses))
-        .agg(F.sum("quantity"))
-        .na.fill(0.0, list(statuses))
+    """A1: one column per status, 0 where a category has none of it.
+
+    With the statuses known, one aggregate of conditional sums is one shuffle; a
+    ``pivot`` would take two.
+    """
+
+    def total(status: str) -> Column:
+        return F.sum(F.when(F.col("status") == status, F.col("quantity")))
+
+    return sums.groupBy(*keys, "category").agg(
+        *[F.coalesce(total(s), F.lit(0.0)).alias(s) for s in statuses]
     )
 
 

@@ -7,7 +7,6 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from supplyview.functions import strip
 from supplyview.schemas import INVENTORY_COLUMNS, SHEET_KEYS, TABLE_COLUMNS
 
 STACKED = "STACKED"
@@ -34,7 +33,7 @@ OTHER = "OTHER"
 
 def normalize_name(name: Column) -> Column:
     """Upper case with every run of non-letters as one blank."""
-    return strip(F.regexp_replace(F.upper(name), "[^A-Z]+", " "))
+    return F.trim(F.regexp_replace(F.upper(name), "[^A-Z]+", " "))
 
 
 def normalize_text(name: str) -> str:
@@ -50,11 +49,9 @@ def _lookup(entries: Mapping[str, str], key: Column) -> Column:
 
 def route_combined(sheet: Column) -> Column:
     """G26, one delivery workbook: summary, stacked, or a table named like the sheet."""
-    name = normalize_name(sheet)
-    return (
-        F.when(name == SUMMARY, SUMMARY)
-        .when(name.contains("LANDED") & name.contains("PULL"), STACKED)
-        .otherwise(name)
+    name = F.upper(sheet)
+    return F.when(name.contains("LANDED") & name.contains("PULL"), STACKED).otherwise(
+        normalize_name(sheet)
     )
 
 

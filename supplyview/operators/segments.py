@@ -13,14 +13,14 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from supplyview.functions import lenient_double, strip
+from supplyview.functions import lenient_double
 from supplyview.operators.blocks import (
     BLOCK_ROWS,
     attach_facts,
     with_neighbours,
     with_running,
 )
-from supplyview.operators.headers import last_rows, valid_header_cells
+from supplyview.operators.headers import last_rows, row_text, valid_header_cells
 from supplyview.schemas import SHEET_KEYS
 
 LANDED, PULLOUT = "LANDED", "PULLOUT"
@@ -28,8 +28,8 @@ RANGE = ("landed_start", "landed_end", "pullout_start", "pullout_end")
 
 
 def is_blank_row(cells: Column) -> Column:
-    """True when every cell is null."""
-    return ~F.exists(cells, lambda c: c.isNotNull())
+    """True when every cell is null (``array_max`` skips nulls and is compiled code)."""
+    return F.array_max(cells).isNull()
 
 
 def trim_row(cells: Column) -> Column:
@@ -43,17 +43,22 @@ def _body(rows: DataFrame) -> DataFrame:
 
 
 def marker_kind(cells: Column) -> Column:
-    """``LANDED`` or ``PULLOUT`` by the first marker cell of a row, else null."""
+    """``LANDED`` or ``PULLOUT`` by the first marker cell of a row, else null.
+
+    Cell by cell only where the row mentions a marker word at all.
+    """
+    text = row_text(cells)
+    mentioned = text.contains("LANDED") | text.contains("PULL")
 
     def kind(cell: Column, i: Column) -> Column:
-        text = F.upper(strip(cell))
-        titled = text.contains("HEADER") | text.contains("TABLE") | (i == 0)
-        return F.when(text.contains("LANDED") & titled, LANDED).when(
-            text.contains("PULL") & titled, PULLOUT
+        titled = (i == 0) | cell.contains("HEADER") | cell.contains("TABLE")
+        return F.when(cell.contains("LANDED") & titled, LANDED).when(
+            cell.contains("PULL") & titled, PULLOUT
         )
 
-    kinds = F.array_compact(F.transform(cells, kind))
-    return F.get(kinds, F.lit(0))
+    uppercase = F.transform(cells, lambda c: F.upper(c))
+    kinds = F.array_compact(F.transform(uppercase, kind))
+    return F.when(mentioned, F.get(kinds, F.lit(0)))
 
 
 def marker_starts(
@@ -161,7 +166,7 @@ def first_column_ranges(
         keys=keys,
         block_rows=block_rows,
     )
-    text = F.coalesce(F.upper(strip(F.get("cells", F.lit(0)))), F.lit(""))
+    text = F.coalesce(F.upper(F.get("cells", F.lit(0))), F.lit(""))
     hits = (
         marked.select(*keys, "row_idx", text.alias("_text"), "_next_valid")
         .filter(F.col("_next_valid"))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from supplyview.functions import is_header_text_lenient, is_header_text_strict
@@ -14,32 +14,46 @@ from supplyview.operators.clean import drop_blank_rows
 from supplyview.operators.facts import nonempty_product, project_cells
 from supplyview.operators.fill import ffill_summary
 from supplyview.operators.routing import locate_columns, rejects, usable
-from supplyview.schemas import SHEET_KEYS, TABLE_COLUMNS
+from supplyview.schemas import INVENTORY_STATUS, SHEET_KEYS, TABLE_COLUMNS
+
+LOCAL = "UNSERVED LOCAL"
 
 
 def locate(
-    found: DataFrame,
     rows: DataFrame,
+    rank: Column,
     keys: Sequence[str],
     mapping: Mapping[str, Sequence[str]],
     base: int = 0,
-    raw: bool = False,
     aliases: Mapping[str, Sequence[str]] | None = None,
 ) -> DataFrame:
-    """Header rows plus the sheet's table name to column positions.
+    """Header rows by ``rank``, their names, and where the mapped columns stand
+    (G6, G17, P1).
 
-    ``keys`` end with ``table``: one header per sheet and table. A table whose
-    sheet has no header at all is kept, with a reason.
+    ``keys`` end with ``table``: one header per sheet and table. A table without
+    any header is kept, with a reason. ``aliases`` turns the fuzzy names on, for
+    unserved local only.
     """
-    tables = rows.groupBy(*keys).agg(F.max("row_idx").alias("last_row"))
-    named = tables.join(found, list(keys), "left").withColumn(
-        "header",
-        F.coalesce(
-            H.header_names(F.col("header_cells"), base, raw), F.array().cast("array<string>")
-        ),
+    found = H.pick_header(rows, rank, keys)
+    named = (
+        H.last_rows(rows, keys)
+        .join(found, list(keys), "left")
+        .withColumn(
+            "header",
+            F.coalesce(
+                H.header_names(F.col("header_cells"), base), F.array().cast("array<string>")
+            ),
+        )
     )
     if aliases is not None:
-        named = H.rename_headers(named, aliases=aliases)
+        is_local = F.col("table") == LOCAL
+        renamed = H.rename_headers(named.withColumn("_names", F.col("header")), aliases=aliases)
+        named = renamed.withColumns(
+            {
+                "header": F.when(is_local, F.col("header")).otherwise(F.col("_names")),
+                "captured": F.when(is_local, F.col("captured")),
+            }
+        ).drop("_names")
     return locate_columns(named, mapping)
 
 
@@ -76,8 +90,8 @@ def delivery_table(
     keys = [*keys, "table"]
     rule = is_header_text_lenient if lenient else is_header_text_strict
     start = F.col("start_row") if "start_row" in rows.columns else None
-    found = H.or_label_row(H.header_by_score(rows, keys, rule, start=start), rows, keys)
-    located = locate(found, rows, keys, mapping, base=1 if lenient else 0)
+    rank = H.or_label_row(H.score_rank(rule, start=start))
+    located = locate(rows, rank, keys, mapping, base=1 if lenient else 0)
     return (
         project_tables(rows, located, keys, fill_merged, block_rows),
         rejects(located, keys[:-1]),
@@ -88,9 +102,9 @@ def inventory_table(
     rows: DataFrame, keys: Sequence[str] = SHEET_KEYS, block_rows: int = BLOCK_ROWS
 ) -> tuple[DataFrame, DataFrame]:
     """Inventory rows, projected; sheets without the header are rejected."""
-    rows = rows.withColumn("table", F.lit("INVENTORY"))
+    rows = rows.withColumn("table", F.lit(INVENTORY_STATUS))
     keys = [*keys, "table"]
-    located = locate(H.header_required(rows, keys), rows, keys, TABLE_COLUMNS)
+    located = locate(rows, H.required_rank(), keys, TABLE_COLUMNS)
     projected = project_tables(rows, located, keys, True, block_rows)
     return projected, rejects(located, keys[:-1])
 
@@ -109,24 +123,15 @@ def split_tables(
     names; its product column is forward filled (G15).
     """
     keys = [*keys, "table"]
-
-    def of(*tables: str) -> DataFrame:
-        return rows.filter(F.col("table").isin(*tables))
-
-    sailing = H.header_anchor(of("SAILING"), H.ANCHORS["SAILING"], keys)
-    lading = H.header_anchor(of("LANDED", "PULLOUT"), H.ANCHORS["LANDED"], keys)
-    anchored = H.or_label_row(
-        sailing.unionByName(lading), of("SAILING", "LANDED", "PULLOUT", "UNSERVED IMPORTED"), keys
+    table = F.col("table")
+    rank = H.or_label_row(
+        F.when(table == "SAILING", H.anchor_rank(H.ANCHORS["SAILING"]))
+        .when(table.isin("LANDED", "PULLOUT"), H.anchor_rank(H.ANCHORS["LANDED"]))
+        .when(table == LOCAL, H.priority_rank())
     )
-    plain = of("SAILING", "LANDED", "PULLOUT", "UNSERVED IMPORTED")
-    plain_located = locate(anchored, plain, keys, mapping)
-
-    local = of("UNSERVED LOCAL")
-    by_priority = H.header_priority(local, keys).select(*keys, "header_row", "header_cells")
-    local_located = locate(
-        H.or_label_row(by_priority, local, keys), local, keys, mapping, aliases=aliases or {}
-    )
-    local_rows = project_tables(local, local_located, keys, False, block_rows)
+    located = locate(rows, rank, keys, mapping, aliases=aliases or {})
+    found = project_tables(rows, located, keys, False, block_rows)
+    local_rows = found.filter(table == LOCAL)
     # Without a supplier column no row is a summary row.
     marked = local_rows.withColumn(
         "_supplier", F.when(F.col("has_supplier"), F.col("supplier")).otherwise("-")
@@ -135,9 +140,5 @@ def split_tables(
         marked, "product", "_supplier", keys, block_rows=block_rows
     ).drop("_supplier")
 
-    projected = nonempty_product(
-        project_tables(plain, plain_located, keys, False, block_rows).unionByName(filled)
-    )
-    rejected = rejects(plain_located, keys[:-1]).unionByName(rejects(local_located, keys[:-1]))
-    found = H.captured_aliases(local_located, "UNSERVED_LOCAL")
-    return projected, rejected, found
+    projected = nonempty_product(found.filter(table != LOCAL).unionByName(filled))
+    return projected, rejects(located, keys[:-1]), H.captured_aliases(located, "UNSERVED_LOCAL")

@@ -9,7 +9,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from supplyview.operators import dimension as D
@@ -22,7 +22,14 @@ from supplyview.operators import usage as U
 from supplyview.operators.blocks import BLOCK_ROWS
 from supplyview.operators.fallback import advanced_split, basic_split
 from supplyview.operators.segments import split_markers
-from supplyview.schemas import ACKNOWLEDGED, ALIASES, SHEET_KEYS, TABLE_COLUMNS, USAGE_STATUS
+from supplyview.schemas import (
+    ACKNOWLEDGED,
+    ALIASES,
+    INVENTORY_STATUS,
+    SHEET_KEYS,
+    TABLE_COLUMNS,
+    USAGE_STATUS,
+)
 from supplyview.session import stage
 from supplyview.sources.files import read_dimension, read_usage
 from supplyview.sources.workbook import scan_workbooks, sheet_rows, unreadable
@@ -73,60 +80,70 @@ class Results:
     na_products: DataFrame
 
 
-def _is_inventory() -> Column:
-    return F.lower("workbook").contains("inventory")
+def route(rows: DataFrame, options: Options = Options()) -> DataFrame:
+    """Add ``table``, null for rows no table takes.
+
+    Done before staging, so the name rules run once per row and later scans
+    filter on a plain column.
+    """
+    if options.layout not in LAYOUTS:
+        raise ValueError(f"layout must be one of {LAYOUTS}")
+    sheet, workbook = F.col("sheet"), F.col("workbook")
+    if options.layout.startswith("sheets"):
+        return rows.withColumn("table", R.route_named(sheet))
+    delivery = (
+        R.route_split(workbook, sheet)
+        if options.layout == "split"
+        else R.route_combined(sheet)
+    )
+    is_inventory = F.lower(workbook).contains("inventory")
+    return rows.withColumn("table", F.when(is_inventory, INVENTORY_STATUS).otherwise(delivery))
 
 
-def _routed_deliveries(rows: DataFrame, options: Options) -> DataFrame:
-    """Delivery rows with ``table`` and ``start_row``; stacked sheets split in two."""
-    sheet = F.col("sheet")
-    combined = options.layout == "combined"
-    route = R.route_combined(sheet) if combined else R.route_named(sheet)
-    routed = rows.withColumn("table", route).filter(~F.col("table").isin(R.SUMMARY, R.OTHER))
-    plain = routed.filter(F.col("table") != R.STACKED).withColumn(
+def _unstacked(routed: DataFrame, options: Options) -> DataFrame:
+    """Delivery rows with the ``start_row`` of their table; stacked sheets split in two."""
+    left_out = (INVENTORY_STATUS, R.SUMMARY, R.OTHER, R.STACKED)
+    plain = routed.filter(~F.col("table").isin(*left_out)).withColumn(
         "start_row", F.lit(0).cast("bigint")
     )
-    stacked = routed.filter(F.col("table") == R.STACKED)
+    stacked = routed.filter(F.col("table") == R.STACKED).drop("table")
     split = {
         "combined": split_markers,
         "sheets": basic_split,
         "sheets_advanced": advanced_split,
     }[options.layout]
-    parts = split(stacked.drop("table"), SHEET_KEYS, options.block_rows)
-    return plain.unionByName(parts)
+    return plain.unionByName(split(stacked, SHEET_KEYS, options.block_rows))
 
 
 def tables(rows: DataFrame, options: Options = Options()) -> Tables:
-    """Every table of every sheet, projected to product and quantity text."""
-    if options.layout not in LAYOUTS:
-        raise ValueError(f"layout must be one of {LAYOUTS}")
-    no_aliases = rows.sparkSession.createDataFrame([], ALIASES)
-    args = (SHEET_KEYS, options.mapping)
+    """Every table of every sheet, projected to product and quantity text.
+
+    ``rows`` are read several times, so they should be staged; they are routed
+    here unless they already are.
+    """
+    routed = rows if "table" in rows.columns else route(rows, options)
     if options.layout == "split":
-        routed = rows.filter(~_is_inventory()).withColumn(
-            "table", R.route_split(F.col("workbook"), F.col("sheet"))
-        )
         delivered, rejected, found = G.split_tables(
-            routed.filter(F.col("table").isNotNull()),
-            *args,
-            aliases=options.aliases,
-            block_rows=options.block_rows,
+            routed.filter(F.col("table") != INVENTORY_STATUS),
+            SHEET_KEYS,
+            options.mapping,
+            options.aliases,
+            options.block_rows,
         )
     else:
-        lenient = options.layout != "combined"
-        deliveries = rows if lenient else rows.filter(~_is_inventory())
         delivered, rejected = G.delivery_table(
             # Staged: the header search and the projection both read the split rows.
-            stage(_routed_deliveries(deliveries, options), "tables"),
-            *args,
-            lenient=lenient,
+            stage(_unstacked(routed, options), "tables"),
+            SHEET_KEYS,
+            options.mapping,
+            lenient=options.layout != "combined",
             block_rows=options.block_rows,
         )
-        found = no_aliases
-        if lenient:
-            return Tables(delivered, rejected, found)
+        found = rows.sparkSession.createDataFrame([], ALIASES)
+    if options.layout.startswith("sheets"):
+        return Tables(delivered, rejected, found)
     stocked, missing = G.inventory_table(
-        rows.filter(_is_inventory()), SHEET_KEYS, options.block_rows
+        routed.filter(F.col("table") == INVENTORY_STATUS), SHEET_KEYS, options.block_rows
     )
     return Tables(
         delivered.unionByName(stocked, allowMissingColumns=True),
@@ -209,12 +226,10 @@ def run(
     not even listed.
     """
     folder = f"{root}/{{{','.join(dates)}}}" if dates else f"{root}/*"
-    scanned = stage(scan_workbooks(spark, folder), "rows")
+    scanned = stage(route(scan_workbooks(spark, folder), options), "rows")
     found = tables(sheet_rows(scanned), options)
     dim = read_dimension(spark, dimension_path)
     usage = read_usage(spark, f"{folder}/{usage_file}") if usage_file else None
     fact = stage(combine(found.projected, dim, usage, options), "fact")
-    rejected = found.rejects.unionByName(
-        unreadable(scanned).withColumn("table", F.lit(None).cast("string"))
-    )
+    rejected = found.rejects.unionByName(unreadable(scanned))
     return reports(fact, dim, usage, options, rejected, found.aliases)

@@ -80,16 +80,14 @@ def category_lookup(spark, sf):
 
 def _located(rows: DataFrame) -> DataFrame:
     keys = [*KEYS, "table"]
-    starts = F.col("start_row") if "start_row" in rows.columns else None
-    return G.locate(
-        H.header_by_score(rows, keys, start=starts), rows, keys, TABLE_COLUMNS
-    )
+    start = F.col("start_row") if "start_row" in rows.columns else None
+    return G.locate(rows, H.score_rank(start=start), keys, TABLE_COLUMNS)
 
 
 def _routed(spark, sf) -> DataFrame:
     """Delivery rows with their table; stacked sheets split. Staged like in a run."""
-    rows = stage(W.delivery_grid(spark, sf), "rows")
-    routed = rows.withColumn("table", R.route_combined(F.col("sheet")))
+    rows = W.delivery_grid(spark, sf).withColumn("table", R.route_combined(F.col("sheet")))
+    routed = stage(rows, "rows")
     plain = routed.filter(~F.col("table").isin(R.STACKED, R.SUMMARY)).withColumn(
         "start_row", F.lit(0).cast("bigint")
     )
@@ -748,10 +746,10 @@ def inventory_table(spark, sf):
 
 
 def _split(spark, sf):
-    rows = stage(W.split_grid(spark, sf), "rows").withColumn(
+    rows = W.split_grid(spark, sf).withColumn(
         "table", R.route_split(F.col("workbook"), F.col("sheet"))
     )
-    return G.split_tables(rows.filter(F.col("table").isNotNull()), KEYS)
+    return G.split_tables(stage(rows, "rows").filter(F.col("table").isNotNull()), KEYS)
 
 
 @query

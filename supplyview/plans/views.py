@@ -39,8 +39,20 @@ LINE_TABLES = {
 }
 
 
+# The tables' columns; given, no job has to look them up.
+SCHEMAS = {
+    "part": "p_partkey bigint, p_name string, p_brand string, p_type string, p_size int,"
+    " p_retailprice double",
+    "lineitem": "l_orderkey bigint, l_partkey bigint, l_quantity double, l_extendedprice double,"
+    " l_returnflag string, l_linestatus string",
+    "orders": "o_orderkey bigint, o_custkey bigint, o_totalprice double,"
+    " o_orderdate timestamp_ntz, o_orderpriority string",
+    "events": "event_id bigint, user_id bigint, event_type string, value double, props string",
+}
+
+
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{table}.parquet")
+    return spark.read.schema(SCHEMAS[table]).parquet(f"{sf_dir}/{table}.parquet")
 
 
 def category_rule(name: Column) -> Column:
@@ -103,20 +115,40 @@ def delivery_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def delivery_sums(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Quantity and rows per (product, table): summed by part before the join, so
-    the join sees one row per part and table whatever a part's share of the lines."""
+    """Quantity and rows per (product, table).
+
+    Lines are summed by part before the join, with one column pair per table: a
+    part is one row whatever its share of the lines, and the rows are already
+    hashed by the join key.
+    """
+    names = list(LINE_TABLES.values())
+    lines = read(spark, sf_dir, "lineitem").select(
+        F.col("l_partkey").alias("p_partkey"), "l_quantity", line_table().alias("table")
+    )
+    here = [F.col("table") == name for name in names]
     by_part = (
-        read(spark, sf_dir, "lineitem")
-        .select("l_partkey", "l_quantity", line_table().alias("table"))
-        .filter(F.col("table").isNotNull())
-        .groupBy(F.col("l_partkey").alias("p_partkey"), "table")
-        .agg(F.sum("l_quantity").alias("quantity"), F.count(F.lit(1)).alias("n_rows"))
+        lines.filter(F.col("table").isNotNull())
+        .groupBy("p_partkey")
+        .agg(
+            *[F.sum(F.when(h, F.col("l_quantity"))).alias(f"_q{i}") for i, h in enumerate(here)],
+            *[F.count_if(h).alias(f"_n{i}") for i, h in enumerate(here)],
+        )
     )
-    return (
+    columns = [f"_{kind}{i}" for kind in "qn" for i in range(len(names))]
+    by_product = (
         by_part.join(_part_names(spark, sf_dir), "p_partkey")
-        .groupBy("product", "table")
-        .agg(F.sum("quantity").alias("quantity"), F.sum("n_rows").alias("n_rows"))
+        .groupBy("product")
+        .agg(*[F.sum(c).alias(c) for c in columns])
     )
+    entries = [
+        F.struct(
+            F.lit(name).alias("table"),
+            F.col(f"_q{i}").alias("quantity"),
+            F.col(f"_n{i}").alias("n_rows"),
+        )
+        for i, name in enumerate(names)
+    ]
+    return by_product.select("product", F.inline(F.array(*entries))).filter("n_rows > 0")
 
 
 def inventory_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -237,18 +269,12 @@ ORDER_SHEETS = (
 
 
 def _order_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Orders with the product named like their customer's part number."""
-    orders = read(spark, sf_dir, "orders").select(
+    """Orders as sheet rows; the product is named after the customer's number."""
+    return read(spark, sf_dir, "orders").select(
         "o_orderkey",
-        F.col("o_custkey").alias("p_partkey"),
+        F.concat(F.lit("material "), (F.col("o_custkey") % 500).cast("string")).alias("product"),
         F.col("o_totalprice").cast("string").alias("price"),
         "o_orderpriority",
-    )
-    return lookup_join(orders, _part_names(spark, sf_dir), ["p_partkey"]).select(
-        "o_orderkey",
-        "product",
-        "price",
-        "o_orderpriority",
         F.floor(F.col("o_orderkey") / ORDER_SHEET_ROWS).alias("sheet_no"),
         (F.col("o_orderkey") % ORDER_SHEET_ROWS).alias("pos"),
     )
@@ -269,21 +295,20 @@ def delivery_grid(spark: SparkSession, sf_dir: str) -> DataFrame:
     stacked sheet) also brings the title or marker row and the header row.
     """
     pos, half = F.col("pos"), ORDER_SHEET_ROWS // 2
-    kind = F.element_at(F.lit(list(ORDER_SHEETS)), (F.col("sheet_no") % 6 + 1).cast("int"))
-    stacked = kind == ORDER_SHEETS[0]
-    product, quantity = (F.lit(None).cast("string"), F.lit(None).cast("string"))
-    for table in ("SAILING", "UNSERVED_IMPORTED", "UNSERVED_LOCAL"):
-        named = kind == table.replace("_", " ")
-        product = F.when(named, TABLE_COLUMNS[table][0]).otherwise(product)
-        quantity = F.when(named, TABLE_COLUMNS[table][1]).otherwise(quantity)
-    product = F.coalesce(product, F.lit("PRODUCT"))
-    quantity = F.coalesce(
-        quantity, F.when(stacked, TABLE_COLUMNS["LANDED"][1]), F.lit("AMOUNT")
+    turn = F.col("sheet_no") % len(ORDER_SHEETS)
+    kind = F.element_at(F.lit(list(ORDER_SHEETS)), (turn + 1).cast("int"))
+    stacked, local = turn == 0, turn == 3
+    product = F.when(local, TABLE_COLUMNS["UNSERVED_LOCAL"][0]).otherwise("PRODUCT")
+    quantity = (
+        F.when(turn <= 1, TABLE_COLUMNS["LANDED"][1])
+        .when(turn == 2, TABLE_COLUMNS["UNSERVED_IMPORTED"][1])
+        .when(local, TABLE_COLUMNS["UNSERVED_LOCAL"][1])
+        .otherwise("AMOUNT")
     )
     header = _texts(product, quantity, "SUPPLIER", None)
     # Summary rows have no supplier; unserved local names a product once per group.
     supplier = F.when(F.col("o_orderkey") % 7 != 0, F.col("o_orderpriority"))
-    shown = F.when((kind != "UNSERVED LOCAL") | (F.col("o_orderkey") % 4 == 0), F.col("product"))
+    shown = F.when(~local | (F.col("o_orderkey") % 4 == 0), F.col("product"))
     price = F.when(F.col("o_orderkey") % 11 == 0, F.lit("n.a.")).otherwise(F.col("price"))
     data = _texts(shown, price, supplier, None)
     in_second = stacked & (pos >= half)

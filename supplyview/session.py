@@ -20,6 +20,8 @@ def local_session(cores: str | int = "*", app: str = "supplyview", **conf: str)
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.shuffle.partitions", "8")
         .config("spark.driver.memory", "12g")
+        # Call sites in error messages cost a few round trips per column expression.
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
     )
     for key, value in conf.items():
         builder = builder.config(key.replace("__", "."), value)

@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from supplyview.functions import na_normalize
+from supplyview.functions.text import NA_STRINGS
 from supplyview.schemas import MERGED_CELL
 from supplyview.sources.folders import ingest_date_of
 
@@ -147,7 +147,10 @@ def _value(cell, strings: list[str], dates: set[int]) -> str | None:
 
 
 def _sheet_rows(book, part, strings, dates) -> Iterator[tuple[int, list, list]]:
-    """(row index, cells, merged cells) of every row, gaps filled with blank rows."""
+    """(row index, cells, merged cells) of every row, gaps filled with blank rows.
+
+    NA texts become null here, and a row ends with its last value.
+    """
     waiting = _merged_ranges(book, part)
     open_ranges: list[tuple[int, int, int, int, str | None]] = []
     expected = -1
@@ -156,16 +159,19 @@ def _sheet_rows(book, part, strings, dates) -> Iterator[tuple[int, list, list]]:
             if _local(element.tag) != "row":
                 continue
             cells: dict[int, str | None] = {}
+            anchors: dict[int, str | None] = {}
             for n, cell in enumerate(element):
                 at = _position(cell.get("r"))[1] if cell.get("r") else n
-                cells[at] = _value(cell, strings, dates)
+                value = _value(cell, strings, dates)
+                anchors[at] = value
+                cells[at] = None if value in NA_STRINGS else value
             row = int(element.get("r")) - 2 if element.get("r") else expected
             element.clear()
             for idx in range(expected, row + 1):
-                here = cells if idx == row else {}
+                here, first = (cells, anchors) if idx == row else ({}, {})
                 while waiting and waiting[0][0] <= idx:
                     top, left, bottom, right = waiting.pop(0)
-                    open_ranges.append((top, left, bottom, right, here.get(left)))
+                    open_ranges.append((top, left, bottom, right, first.get(left)))
                 open_ranges = [r for r in open_ranges if r[2] >= idx]
                 width = max((c for c, v in here.items() if v is not None), default=-1) + 1
                 yield idx, [here.get(c) for c in range(width)], [
@@ -215,7 +221,7 @@ def scan_files(files: DataFrame) -> DataFrame:
         F.regexp_extract("path", r"([^/]+)$", 1).alias("workbook"),
         "sheet",
         "row_idx",
-        F.transform("cells", na_normalize).alias("cells"),
+        "cells",
         "merged",
         "error",
         "path",
@@ -241,7 +247,11 @@ def sheet_rows(scanned: DataFrame) -> DataFrame:
 def unreadable(scanned: DataFrame) -> DataFrame:
     """Workbooks and sheets that could not be read."""
     return scanned.filter(F.col("error").isNotNull()).select(
-        "ingest_date", "workbook", "sheet", F.col("error").alias("reason")
+        "ingest_date",
+        "workbook",
+        "sheet",
+        F.lit(None).cast("string").alias("table"),
+        F.col("error").alias("reason"),
     )
 
 

@@ -89,7 +89,7 @@ def test_priority_steps(spark):
 
 def test_label_row_is_the_fallback_header(spark):
     rows = grid(spark, {"s": [["PRODUCT", "TOTAL"], ["1", "2"], ["3", "4"]]}, first=-1)
-    found = H.or_label_row(H.header_strict(rows, KEYS), rows, KEYS)
+    found = H.pick_header(rows, H.or_label_row(H.score_rank()), KEYS)
     assert header_rows(found) == {"s": -1}
     promoted = H.promote_header(rows, found, KEYS).orderBy("row_idx").collect()
     assert [(r["row_idx"], r["cells"]) for r in promoted] == [(0, ["1", "2"]), (1, ["3", "4"])]
