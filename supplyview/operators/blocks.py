@@ -3,7 +3,7 @@
 A window partitioned by sheet puts a whole sheet into one task. Here every sheet
 is cut into blocks of ``block_rows`` consecutive ``row_idx`` values; windows run
 inside ``(sheet, block)`` and only one summary row per block crosses block
-borders. A small sheet is a single block, so it costs what a plain window costs.
+borders. A smaller sheet is a single block, so it costs what a plain window costs.
 
 All functions need ``row_idx`` to be dense inside a sheet (blank rows included),
 which the sources guarantee.
@@ -18,7 +18,8 @@ from pyspark.sql import functions as F
 
 from supplyview.schemas import SHEET_KEYS
 
-BLOCK_ROWS = 65_536
+# As many rows as one spreadsheet can hold: only larger grids have a second block.
+BLOCK_ROWS = 1_048_576
 BLOCK = "_block"
 
 
@@ -53,15 +54,18 @@ def attach_facts(
 
 def with_neighbours(
     rows: DataFrame,
-    previous: Mapping[str, Column] | None = None,
-    following: Mapping[str, Column] | None = None,
+    previous: Mapping[str, str] | None = None,
+    following: Mapping[str, str] | None = None,
     keys: Sequence[str] = SHEET_KEYS,
     block_rows: int = BLOCK_ROWS,
+    keep_block: bool = False,
 ) -> DataFrame:
-    """Add values of the previous / following row as new columns.
+    """Add columns of the previous / following row under new names (new -> column).
 
     Rows at a block border are also sent to the neighbouring block, so a single
-    shuffle by (sheet, block) is enough.
+    shuffle by (sheet, block) is enough. All columns of ``rows`` are shuffled:
+    pass only those needed. ``keep_block`` leaves the block number in place, which
+    spares ``with_running`` its own shuffle.
     """
     previous, following = dict(previous or {}), dict(following or {})
     own = block_of(F.col("row_idx"), block_rows)
@@ -72,17 +76,14 @@ def with_neighbours(
         visible.append(F.when(inner_edge & (offset == block_rows - 1), own + 1))
     if following:
         visible.append(F.when(inner_edge & (offset == 0) & (own > 0), own - 1))
-    shown = rows.withColumn("_own", own).withColumn(
-        BLOCK, F.explode(F.array_compact(F.array(*visible)))
-    )
+    shown = rows.withColumn(BLOCK, F.explode(F.array(*visible))).filter(F.col(BLOCK).isNotNull())
     w = Window.partitionBy(*keys, BLOCK).orderBy("row_idx")
-    added = {name: F.lag(value).over(w) for name, value in previous.items()}
-    added.update({name: F.lead(value).over(w) for name, value in following.items()})
-    return (
-        shown.select("*", *[c.alias(n) for n, c in added.items()])
-        .filter(F.col("_own") == F.col(BLOCK))
-        .drop("_own", BLOCK)
-    )
+    both = shown.select(
+        "*",
+        *[F.lag(c).over(w).alias(name) for name, c in previous.items()],
+        *[F.lead(c).over(w).alias(name) for name, c in following.items()],
+    ).filter(block_of(F.col("row_idx"), block_rows) == F.col(BLOCK))
+    return both if keep_block else both.drop(BLOCK)
 
 
 def with_running(
@@ -91,25 +92,56 @@ def with_running(
     total: Mapping[str, Column] | None = None,
     keys: Sequence[str] = SHEET_KEYS,
     block_rows: int = BLOCK_ROWS,
+    source: DataFrame | None = None,
 ) -> DataFrame:
     """Add running columns over all rows of the sheet up to and including this one.
 
     ``last``: last non-null value so far (forward fill). ``total``: running sum.
+    ``source``: the sheets' rows before any windows, to find the large sheets by a
+    plain filter; ``rows`` itself by default.
     """
     last, total = dict(last or {}), dict(total or {})
+    if BLOCK not in rows.columns:
+        rows = rows.withColumn(BLOCK, block_of(F.col("row_idx"), block_rows))
     w = (
         Window.partitionBy(*keys, BLOCK)
         .orderBy("row_idx")
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
-    local = rows.withColumn(BLOCK, block_of(F.col("row_idx"), block_rows)).select(
+    local = rows.select(
         "*",
         *[F.last(c, ignorenulls=True).over(w).alias(n) for n, c in last.items()],
         *[F.sum(c).over(w).alias(n) for n, c in total.items()],
     )
-    # One row per block: what the block hands on to the blocks after it.
+    in_second = (rows if source is None else source).filter(F.col("row_idx") == block_rows)
+    carried = _carried(rows, in_second.select(*keys), last, total, keys)
+    joined = local.join(carried, [*keys, BLOCK], "left")
+    kept = [c for c in local.columns if c not in (BLOCK, *last, *total)]
+    return joined.select(
+        *kept,
+        *[F.coalesce(F.col(n), F.col(f"_carry_{n}")).alias(n) for n in last],
+        *[
+            (F.col(n) + F.coalesce(F.col(f"_carry_{n}"), F.lit(0))).alias(n)
+            for n in total
+        ],
+    )
+
+
+def _carried(
+    rows: DataFrame,
+    large: DataFrame,
+    last: Mapping[str, Column],
+    total: Mapping[str, Column],
+    keys: Sequence[str],
+) -> DataFrame:
+    """What every later block takes over from the blocks before it, one row per block.
+
+    Only ``large`` sheets, those with a row ``block_rows``, take part. They number
+    fewer than all rows over ``block_rows`` (a million), which bounds the broadcast;
+    without any, Spark drops this whole branch at run time.
+    """
     handed_on = (
-        rows.withColumn(BLOCK, block_of(F.col("row_idx"), block_rows))
+        rows.join(F.broadcast(large), list(keys), "left_semi")
         .groupBy(*keys, BLOCK)
         .agg(
             *[
@@ -122,19 +154,9 @@ def with_running(
     before = (
         Window.partitionBy(*keys).orderBy(BLOCK).rowsBetween(Window.unboundedPreceding, -1)
     )
-    carried = handed_on.select(
+    return handed_on.select(
         *keys,
         BLOCK,
         *[F.last(n, ignorenulls=True).over(before).alias(f"_carry_{n}") for n in last],
         *[F.sum(n).over(before).alias(f"_carry_{n}") for n in total],
     ).filter(F.col(BLOCK) > 0)
-    joined = local.join(carried, [*keys, BLOCK], "left")
-    kept = [c for c in local.columns if c not in (BLOCK, *last, *total)]
-    return joined.select(
-        *kept,
-        *[F.coalesce(F.col(n), F.col(f"_carry_{n}")).alias(n) for n in last],
-        *[
-            (F.col(n) + F.coalesce(F.col(f"_carry_{n}"), F.lit(0))).alias(n)
-            for n in total
-        ],
-    )

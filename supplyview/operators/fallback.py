@@ -12,6 +12,7 @@ from supplyview.operators import segments as S
 from supplyview.operators.blocks import BLOCK_ROWS, attach_facts
 from supplyview.operators.headers import last_rows
 from supplyview.schemas import SHEET_KEYS
+from supplyview.session import stage
 
 
 def first_two(
@@ -71,8 +72,9 @@ def advanced_ranges(
 ) -> DataFrame:
     """Markers (G9), else table boundaries (G11), else null patterns (G12), else the
     midpoint (G13). The first two tables found are LANDED and PULLOUT."""
-    bounded = S.table_boundaries(rows, keys, False, block_rows)
-    patterned = S.null_pattern_segments(rows, keys, block_rows)
+    # Staged: each list of ranges is read twice to find a sheet's first two.
+    bounded = stage(S.table_boundaries(rows, keys, False, block_rows), "boundaries")
+    patterned = stage(S.null_pattern_segments(rows, keys, block_rows), "patterns")
     return by_priority(
         [
             S.first_column_ranges(rows, keys, block_rows),

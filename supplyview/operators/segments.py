@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from supplyview.functions import lenient_double
 from supplyview.operators.blocks import (
+    BLOCK,
     BLOCK_ROWS,
     attach_facts,
     with_neighbours,
@@ -160,23 +161,20 @@ def first_column_ranges(
 ) -> DataFrame:
     """G9 as ranges: tables start below the first marker of their kind that stands in
     the first column above valid headers (G7), in either order."""
-    marked = with_neighbours(
-        _body(rows),
-        following={"_next_valid": valid_header_cells(F.col("cells"))},
-        keys=keys,
-        block_rows=block_rows,
-    )
-    text = F.coalesce(F.upper(F.get("cells", F.lit(0))), F.lit(""))
-    hits = (
-        marked.select(*keys, "row_idx", text.alias("_text"), "_next_valid")
-        .filter(F.col("_next_valid"))
-        .filter(F.col("_text").contains("LANDED") | F.col("_text").contains("FOR PULL-OUT"))
+    text = F.upper(F.get("cells", F.lit(0)))
+    narrow = _body(rows).select(
+        *keys,
+        "row_idx",
+        F.coalesce(text.contains("LANDED"), F.lit(False)).alias("_landed"),
+        F.coalesce(text.contains("FOR PULL-OUT"), F.lit(False)).alias("_pullout"),
+        valid_header_cells(F.col("cells")).alias("_valid"),
     )
+    hits = with_neighbours(
+        narrow, following={"_next_valid": "_valid"}, keys=keys, block_rows=block_rows
+    ).filter(F.col("_next_valid") & (F.col("_landed") | F.col("_pullout")))
     starts = hits.groupBy(*keys).agg(
-        (F.min(F.when(F.col("_text").contains("LANDED"), F.col("row_idx"))) + 1).alias("landed"),
-        (F.min(F.when(F.col("_text").contains("FOR PULL-OUT"), F.col("row_idx"))) + 1).alias(
-            "pullout"
-        ),
+        (F.min(F.when(F.col("_landed"), F.col("row_idx"))) + 1).alias("landed"),
+        (F.min(F.when(F.col("_pullout"), F.col("row_idx"))) + 1).alias("pullout"),
     )
     facts = starts.join(last_rows(_body(rows), keys), list(keys))
     landed, pullout, last = F.col("landed"), F.col("pullout"), F.col("last_row")
@@ -224,13 +222,12 @@ def table_boundaries(
     runs of other rows. ``legacy`` keeps the older rule, where in a run of
     separators every second one is inert and opens the next table.
     """
-    body = _body(rows).select(
-        *keys, "row_idx", trim_row(F.col("cells")).alias("cells")
-    )
+    body = _body(rows).select(*keys, "row_idx", trim_row(F.col("cells")).alias("cells"))
     flagged = with_neighbours(
-        body, following={"_next": F.col("cells")}, keys=keys, block_rows=block_rows
+        body, following={"_next": "cells"}, keys=keys, block_rows=block_rows, keep_block=True
     ).select(
         *keys,
+        BLOCK,
         "row_idx",
         (
             (F.size("cells") == 0)
@@ -243,6 +240,7 @@ def table_boundaries(
             last={"_before": F.when(~F.col("_sep"), F.col("row_idx"))},
             keys=keys,
             block_rows=block_rows,
+            source=rows,
         )
         offset = F.col("row_idx") - F.coalesce(F.col("_before") + 1, F.lit(0))
         odd = F.pmod(offset, F.lit(2)) == 1
@@ -257,24 +255,26 @@ def table_boundaries(
         total={"_segment": F.col("_sep").cast("bigint")},
         keys=keys,
         block_rows=block_rows,
+        source=rows,
     )
+    # Every row also counts for the whole sheet (segment -1): a sheet of separators
+    # only is one table, and one aggregate finds out both.
+    row_idx = F.when(~F.col("_sep"), F.col("row_idx"))
     found = (
-        numbered.groupBy(*keys, "_segment")
+        numbered.withColumn("_segment", F.explode(F.array("_segment", F.lit(-1).cast("bigint"))))
+        .groupBy(*keys, "_segment")
         .agg(
-            F.min(F.when(~F.col("_sep"), F.col("row_idx"))).alias("start_row"),
-            F.max(F.when(~F.col("_sep"), F.col("row_idx"))).alias("end_row"),
+            F.min(row_idx).alias("start_row"),
+            F.max(row_idx).alias("end_row"),
+            F.max("row_idx").alias("_last"),
         )
-        .filter(F.col("start_row").isNotNull())
-        .select(*keys, "start_row", "end_row")
     )
-    # A sheet of separators only is one table.
-    whole = (
-        flagged.groupBy(*keys)
-        .agg(F.every("_sep").alias("_all"), F.max("row_idx").alias("end_row"))
-        .filter("_all")
-        .select(*keys, F.lit(0).cast("bigint").alias("start_row"), "end_row")
+    whole = F.col("_segment") == -1
+    return found.filter(whole == F.col("start_row").isNull()).select(
+        *keys,
+        F.coalesce("start_row", F.lit(0).cast("bigint")).alias("start_row"),
+        F.when(whole, F.col("_last")).otherwise(F.col("end_row")).alias("end_row"),
     )
-    return found.unionByName(whole)
 
 
 def null_pattern_segments(
@@ -295,25 +295,35 @@ def null_pattern_segments(
         ).alias("_pattern"),
     )
     flagged = with_neighbours(
-        body, previous={"_previous": F.col("_pattern")}, keys=keys, block_rows=block_rows
-    ).withColumn(
-        "_change", F.coalesce(F.col("_pattern") != F.col("_previous"), F.lit(False)).cast("bigint")
+        body, previous={"_previous": "_pattern"}, keys=keys, block_rows=block_rows, keep_block=True
+    ).select(
+        *keys,
+        BLOCK,
+        "row_idx",
+        (F.col("_pattern") == "").alias("_blank"),
+        F.coalesce(F.col("_pattern") != F.col("_previous"), F.lit(False)).alias("_change"),
     )
     numbered = with_running(
-        flagged, total={"_segment": F.col("_change")}, keys=keys, block_rows=block_rows
+        flagged,
+        total={"_segment": F.col("_change").cast("bigint")},
+        keys=keys,
+        block_rows=block_rows,
+        source=rows,
     )
-    runs = numbered.groupBy(*keys, "_segment").agg(
-        F.min("row_idx").alias("start_row"),
-        F.max("row_idx").alias("end_row"),
-        F.min("_pattern").alias("_pattern"),
+    # The first changed row also tells segment 0 that it is not the whole sheet.
+    tells = F.when(F.col("_change") & (F.col("_segment") == 1), F.lit(0).cast("bigint"))
+    told = numbered.withColumn("_to", F.explode(F.array("_segment", tells))).filter(
+        F.col("_to").isNotNull()
     )
-    changing = (
-        flagged.groupBy(*keys).agg(F.max("_change").alias("_any")).filter("_any = 1").select(*keys)
+    own = F.col("_to") == F.col("_segment")
+    runs = told.groupBy(*keys, "_to").agg(
+        F.min(F.when(own, F.col("row_idx"))).alias("start_row"),
+        F.max(F.when(own, F.col("row_idx"))).alias("end_row"),
+        F.every(~own | F.col("_blank")).alias("_blank"),
+        F.max(~own).alias("_followed"),
     )
-    return (
-        runs.filter(F.col("_pattern") != "")
-        .join(changing, list(keys), "left_semi")
-        .select(*keys, "start_row", "end_row")
+    return runs.filter(~F.col("_blank") & ((F.col("_to") > 0) | F.col("_followed"))).select(
+        *keys, "start_row", "end_row"
     )
 
 

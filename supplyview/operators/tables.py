@@ -15,6 +15,7 @@ from supplyview.operators.facts import nonempty_product, project_cells
 from supplyview.operators.fill import ffill_summary
 from supplyview.operators.routing import locate_columns, rejects, usable
 from supplyview.schemas import INVENTORY_STATUS, SHEET_KEYS, TABLE_COLUMNS
+from supplyview.session import stage
 
 LOCAL = "UNSERVED LOCAL"
 
@@ -54,7 +55,8 @@ def locate(
                 "captured": F.when(is_local, F.col("captured")),
             }
         ).drop("_names")
-    return locate_columns(named, mapping)
+    # Staged (one row per sheet): projection, rejects and aliases all read it.
+    return stage(locate_columns(named, mapping), "located")
 
 
 def project_tables(

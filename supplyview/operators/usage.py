@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from supplyview.functions import is_blank, lenient_double, strip
 from supplyview.operators.facts import KILOS_PER_TON
+from supplyview.operators.joins import lookup_join
 from supplyview.schemas import USAGE_AMOUNT, USAGE_NAME, USAGE_STATUS, USAGE_STOCK
 
 MONTHS_PER_YEAR = 12.0
@@ -49,11 +50,10 @@ def usage_fact(usage: DataFrame, dim: DataFrame) -> DataFrame:
     """P16 + J4 + X3: usage rows of the fact.
 
     An ingredient unknown to the dimension is its own category; a known one with
-    a blank category stays blank. The dimension is joined without a hint, since a
-    usage file is small next to the deliveries.
+    a blank category stays blank.
     """
     named = usage.filter(F.col("ingredient_amount").isNotNull())
-    joined = named.join(_known(dim, "ingredient_name"), "ingredient_name", "left")
+    joined = lookup_join(named, _known(dim, "ingredient_name"), ["ingredient_name"])
     return joined.select(
         *[c for c in usage.columns if c == "ingest_date"],
         F.col("ingredient_name").alias("product"),
@@ -146,9 +146,12 @@ def ingredient_map_fuzzy(
     wanted = names.select("_name").distinct()
     # The ingredient contains the product.
     inner = _parts(wanted, "_name", _lengths(products, "_text")).distinct()
-    found_inside = inner.join(
-        products.select(F.col("_text").alias("_part"), "product", "product_pos"), "_part"
-    ).select("_name", "product", "product_pos")
+    by_text = products.select(F.col("_text").alias("_part"), "product", "product_pos")
+    found_inside = (
+        lookup_join(inner, by_text, ["_part"])
+        .filter(F.col("product").isNotNull())
+        .select("_name", "product", "product_pos")
+    )
     # The product contains the ingredient.
     outer = (
         _parts(products, "_text", _lengths(wanted, "_name"))

@@ -25,6 +25,7 @@ from supplyview.schemas import MERGED_CELL
 from supplyview.sources.folders import ingest_date_of
 
 BATCH_ROWS = 4096
+CHUNK_ROWS = 65_536
 
 SCAN = T.StructType([
     T.StructField("path", T.StringType()),
@@ -281,12 +282,14 @@ def rows_of(cells: DataFrame, dims: DataFrame, keys=("ingest_date", "workbook",
     filled = cells.groupBy(*keys, "row_idx").agg(
         F.map_from_entries(F.collect_list(F.struct("col_idx", "value"))).alias("_by_col")
     )
-    every_row = dims.select(
-        *keys,
-        "n_cols",
-        F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("n_rows").cast("bigint") - 1)).alias(
-            "row_idx"
-        ),
+    # Row numbers come in chunks that are spread first, so no task lists a whole sheet.
+    zero, last = F.lit(0).cast("bigint"), F.col("n_rows").cast("bigint") - 1
+    chunks = dims.filter(F.col("n_rows") > 0).select(
+        *keys, "n_cols", "n_rows", F.explode(F.sequence(zero, last, F.lit(CHUNK_ROWS))).alias("_at")
+    )
+    here = F.sequence(F.col("_at"), F.least(F.col("_at") + CHUNK_ROWS - 1, last))
+    every_row = chunks.repartition(*keys, "_at").select(
+        *keys, "n_cols", F.explode(here).alias("row_idx")
     )
     return every_row.join(filled, [*keys, "row_idx"], "left").select(
         *keys,

@@ -229,7 +229,7 @@ def test_running_and_neighbour_columns(spark, block_rows):
         block_rows=block_rows,
     )
     both = with_neighbours(
-        running, {"before": F.col("c")}, {"after": F.col("c")}, KEYS, block_rows
+        running, {"before": "c"}, {"after": "c"}, KEYS, block_rows
     )
     got = {(r["sheet"], r["row_idx"]): (r["last"], r["n"], r["before"], r["after"]) for r in both.collect()}
     want = {}
