@@ -4,6 +4,15 @@
 be used one by one on any DataFrame of sheet rows or facts.
 """
 
-from supplyview.plans.pipeline import Options, Results, combine, reports, run, tables
+from supplyview.plans.pipeline import (
+    Options,
+    Results,
+    combine,
+    reports,
+    route,
+    run,
+    tables,
+    whole_tables,
+)
 
-__all__ = ["Options", "Results", "combine", "reports", "run", "tables"]
+__all__ = ["Options", "Results", "combine", "reports", "route", "run", "tables", "whole_tables"]

@@ -19,30 +19,51 @@ KILOS_PER_TON = 1000.0
 
 # Columns of projected rows that the fact replaces or drops.
 PROJECTED = (
-    "product", "quantity_text", "supplier", "has_supplier", "table", "start_row",
-    "cells", "merged",
+    "product", "quantity_text", "supplier", "has_supplier", "product_pos", "header_row",
+    "n_columns", "table", "start_row", "cells", "merged",
 )
 
+# Spreadsheet rows searched for the header before merged cells are filled.
+LOCAL_HEADER_ROWS = 10
+INVENTORY_HEADER_ROWS = 25
 
-def project_cells(attached: DataFrame, fill_merged: bool = False) -> DataFrame:
+POSITIONS = ("product_pos", "quantity_pos", "supplier_pos", "n_columns", "header_row")
+
+
+def project_cells(attached: DataFrame) -> DataFrame:
     """P1 + P2: pick product, quantity and supplier cells by position.
 
     ``attached`` holds rows with their sheet's ``product_pos``, ``quantity_pos``,
     ``supplier_pos`` and ``table``.
     """
     cells = F.col("cells")
-    product = (
-        merged_fill(cells, F.col("merged"), F.col("product_pos"))
-        if fill_merged
-        else F.get(cells, F.col("product_pos"))
-    )
     return attached.select(
-        *[c for c in attached.columns if not c.endswith("_pos")],
-        product.alias("product"),
+        *[c for c in attached.columns if c not in POSITIONS],
+        F.get(cells, F.col("product_pos")).alias("product"),
         F.get(cells, F.col("quantity_pos")).alias("quantity_text"),
         F.get(cells, F.col("supplier_pos")).alias("supplier"),
         F.col("supplier_pos").isNotNull().alias("has_supplier"),
+        "product_pos",
+        "header_row",
+        "n_columns",
+    )
+
+
+def fill_merged_products(projected: DataFrame, where: Column, header_rows: int) -> DataFrame:
+    """G14 on the rows ``where`` holds: the product of a merged cell is its range's
+    top-left value. Rows without a supplier are summary rows and lose theirs.
+
+    Only for products in the first column under a header among the first
+    ``header_rows`` spreadsheet rows.
+    """
+    where = (
+        where & (F.col("product_pos") == 0) & (F.col("header_row") <= header_rows - 2)
+    )
+    is_summary = F.col("has_supplier") & F.coalesce(F.col("supplier") == "", F.lit(True))
+    filled = F.when(is_summary, F.lit("")).otherwise(
+        merged_fill(F.col("cells"), F.col("merged"), F.col("product_pos"))
     )
+    return projected.withColumn("product", F.when(where, filled).otherwise(F.col("product")))
 
 
 def nonempty_product(df: DataFrame, column: str = "product") -> DataFrame:

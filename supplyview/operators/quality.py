@@ -7,8 +7,9 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from supplyview.functions import is_blank, strip
+from supplyview.functions import is_blank, lenient_double, strip
 from supplyview.operators.facts import is_acknowledged
+from supplyview.operators.headers import named_values
 from supplyview.schemas import DELIVERY_STATUSES, SHEET_KEYS, USAGE_STATUS
 
 # Fixed value: rows below the header that the substring search looks at.
@@ -111,6 +112,37 @@ def table_profile(tables: Mapping[str, DataFrame]) -> DataFrame:
     return result
 
 
+def grid_profile(promoted: DataFrame, keys: Sequence[str] = SHEET_KEYS) -> DataFrame:
+    """A11 for tables whose columns are data: one row per sheet, table and column.
+
+    A column is a double when every value is a number, else a string; columns
+    without any value are dropped like in the saved tables (G20).
+    """
+    by = [*keys, "table"]
+    columns = (
+        named_values(promoted, by)
+        .groupBy(*by, "column")
+        .agg(
+            F.count(F.lit(1)).alias("_values"),
+            F.every(lenient_double(F.col("value")).isNotNull()).alias("_numbers"),
+        )
+    )
+    rows = promoted.groupBy(*by).agg(F.count(F.lit(1)).alias("n_rows"))
+    counted = columns.groupBy(*by).agg(F.count(F.lit(1)).alias("n_columns"))
+    # Both sides hold one row per table or column, not per data row.
+    return (
+        columns.join(rows.join(counted, by), by)
+        .select(
+            *by,
+            "n_rows",
+            "n_columns",
+            "column",
+            F.when(F.col("_numbers"), "double").otherwise("string").alias("dtype"),
+            (F.col("n_rows") - F.col("_values")).alias("null_count"),
+        )
+    )
+
+
 def pivot_shape(sums: DataFrame) -> DataFrame:
     """Numbers of categories and of statuses (usage not counted)."""
     return sums.agg(

@@ -11,7 +11,13 @@ from supplyview.functions import is_header_text_lenient, is_header_text_strict
 from supplyview.operators import headers as H
 from supplyview.operators.blocks import BLOCK_ROWS, attach_facts
 from supplyview.operators.clean import drop_blank_rows
-from supplyview.operators.facts import nonempty_product, project_cells
+from supplyview.operators.facts import (
+    INVENTORY_HEADER_ROWS,
+    LOCAL_HEADER_ROWS,
+    fill_merged_products,
+    nonempty_product,
+    project_cells,
+)
 from supplyview.operators.fill import ffill_summary
 from supplyview.operators.routing import locate_columns, rejects, usable
 from supplyview.schemas import INVENTORY_STATUS, SHEET_KEYS, TABLE_COLUMNS
@@ -19,6 +25,9 @@ from supplyview.session import stage
 
 LOCAL = "UNSERVED LOCAL"
 
+# Fixed value: the older rules look for summary rows in tables at least this wide.
+LEGACY_LOCAL_COLUMNS = 8
+
 
 def locate(
     rows: DataFrame,
@@ -60,20 +69,35 @@ def locate(
 
 
 def project_tables(
-    rows: DataFrame,
-    located: DataFrame,
-    keys: Sequence[str],
-    fill_merged: bool = False,
-    block_rows: int = BLOCK_ROWS,
+    rows: DataFrame, located: DataFrame, keys: Sequence[str], block_rows: int = BLOCK_ROWS
 ) -> DataFrame:
     """Data rows of the usable tables, projected; blank rows are gone."""
     facts = usable(located).select(
-        *keys, "header_row", "last_row", "product_pos", "quantity_pos", "supplier_pos"
+        *keys,
+        "header_row",
+        "last_row",
+        "product_pos",
+        "quantity_pos",
+        "supplier_pos",
+        F.size("header").alias("n_columns"),
     )
     attached = attach_facts(rows, facts, keys, block_rows).filter(
         F.col("row_idx") > F.col("header_row")
     )
-    return project_cells(drop_blank_rows(attached).drop("header_row"), fill_merged)
+    return project_cells(drop_blank_rows(attached))
+
+
+def fill_products(
+    projected: DataFrame,
+    keys: Sequence[str],
+    summary_rows: Column,
+    block_rows: int = BLOCK_ROWS,
+) -> DataFrame:
+    """Forward fill the product, then empty it on the summary rows."""
+    marked = projected.withColumn("_supplier", F.when(~summary_rows, F.lit("-")))
+    return ffill_summary(
+        marked, "product", "_supplier", keys, null_only=True, block_rows=block_rows
+    ).drop("_supplier")
 
 
 def delivery_table(
@@ -81,33 +105,47 @@ def delivery_table(
     keys: Sequence[str] = SHEET_KEYS,
     mapping: Mapping[str, Sequence[str]] = TABLE_COLUMNS,
     lenient: bool = False,
-    fill_merged: bool = True,
     block_rows: int = BLOCK_ROWS,
 ) -> tuple[DataFrame, DataFrame]:
     """G28 (strict rule) and G30/G31 (``lenient``, names counted from 1).
 
     ``rows`` carry a ``table`` and may carry its ``start_row``. Returns (projected
-    rows, rejects).
+    rows, rejects). Unserved local takes its product from merged cells; the older
+    rules forward fill every product instead, but never a quantity.
     """
     keys = [*keys, "table"]
     rule = is_header_text_lenient if lenient else is_header_text_strict
     start = F.col("start_row") if "start_row" in rows.columns else None
     rank = H.or_label_row(H.score_rank(rule, start=start))
     located = locate(rows, rank, keys, mapping, base=1 if lenient else 0)
-    return (
-        project_tables(rows, located, keys, fill_merged, block_rows),
-        rejects(located, keys[:-1]),
-    )
+    found = project_tables(rows, located, keys, block_rows)
+    if lenient:
+        wide_local = (F.col("table") == LOCAL) & (F.col("n_columns") >= LEGACY_LOCAL_COLUMNS)
+        summary = wide_local & F.col("has_supplier") & F.col("supplier").isNull()
+        filled = fill_products(found, keys, summary, block_rows)
+    else:
+        filled = fill_merged_products(found, F.col("table") == LOCAL, LOCAL_HEADER_ROWS)
+    return filled, rejects(located, keys[:-1])
 
 
 def inventory_table(
-    rows: DataFrame, keys: Sequence[str] = SHEET_KEYS, block_rows: int = BLOCK_ROWS
+    rows: DataFrame,
+    keys: Sequence[str] = SHEET_KEYS,
+    fill_merged: bool = False,
+    block_rows: int = BLOCK_ROWS,
 ) -> tuple[DataFrame, DataFrame]:
-    """Inventory rows, projected; sheets without the header are rejected."""
+    """Inventory rows, projected; sheets without the header are rejected.
+
+    ``fill_merged`` takes product names from merged cells (G14).
+    """
     rows = rows.withColumn("table", F.lit(INVENTORY_STATUS))
     keys = [*keys, "table"]
     located = locate(rows, H.required_rank(), keys, TABLE_COLUMNS)
-    projected = project_tables(rows, located, keys, True, block_rows)
+    projected = project_tables(rows, located, keys, block_rows)
+    if fill_merged:
+        projected = fill_merged_products(
+            projected.withColumn("has_supplier", F.lit(False)), F.lit(True), INVENTORY_HEADER_ROWS
+        )
     return projected, rejects(located, keys[:-1])
 
 
@@ -132,15 +170,47 @@ def split_tables(
         .when(table == LOCAL, H.priority_rank())
     )
     located = locate(rows, rank, keys, mapping, aliases=aliases or {})
-    found = project_tables(rows, located, keys, False, block_rows)
-    local_rows = found.filter(table == LOCAL)
+    found = project_tables(rows, located, keys, block_rows)
     # Without a supplier column no row is a summary row.
-    marked = local_rows.withColumn(
-        "_supplier", F.when(F.col("has_supplier"), F.col("supplier")).otherwise("-")
-    )
-    filled = ffill_summary(
-        marked, "product", "_supplier", keys, block_rows=block_rows
-    ).drop("_supplier")
-
+    summary = F.col("has_supplier") & F.coalesce(F.col("supplier") == "", F.lit(True))
+    filled = fill_products(found.filter(table == LOCAL), keys, summary, block_rows)
     projected = nonempty_product(found.filter(table != LOCAL).unionByName(filled))
     return projected, rejects(located, keys[:-1]), H.captured_aliases(located, "UNSERVED_LOCAL")
+
+
+def promoted_tables(
+    rows: DataFrame,
+    rank: Column,
+    keys: Sequence[str] = SHEET_KEYS,
+    base: int = 0,
+    block_rows: int = BLOCK_ROWS,
+) -> DataFrame:
+    """Every table with all its columns: ``(keys, table, row_idx, header, cells)``.
+
+    For saving and profiling whole tables, the unmapped and summary sheets too.
+    Blank rows are dropped (G19); an unnamed sheet gets numbered column names.
+    """
+    keys = [*keys, "table"]
+    width = F.max(F.size("cells")).alias("_width")
+    facts = (
+        rows.groupBy(*keys)
+        .agg(F.max("row_idx").alias("last_row"), width)
+        .join(H.pick_header(rows, rank, keys), list(keys), "left")
+    )
+    # A header row may be shorter than the widest row.
+    padded = F.when(
+        F.col("_width") > 0,
+        F.transform(
+            F.sequence(F.lit(0), F.col("_width") - 1), lambda i: F.get(F.col("header_cells"), i)
+        ),
+    ).otherwise(F.array().cast("array<string>"))
+    facts = facts.select(
+        *keys,
+        "last_row",
+        F.coalesce("header_row", F.lit(-2)).alias("header_row"),
+        H.header_names(padded, base).alias("header"),
+    )
+    attached = attach_facts(rows, facts, keys, block_rows)
+    return drop_blank_rows(attached.filter(F.col("row_idx") > F.col("header_row"))).select(
+        *keys, "row_idx", "header", "cells"
+    )

@@ -448,7 +448,10 @@ reasoned AS (
             END AS reason
   FROM located),
 delivered AS (
-  SELECT r.workbook, r.sheet, r."table", r.row_idx, cells[product_pos + 1] AS product,
+  SELECT r.workbook, r.sheet, r."table", r.row_idx,
+         -- Summary rows of unserved local have no supplier and lose their product.
+         CASE WHEN r."table" = 'UNSERVED LOCAL' AND coalesce(cells[3], '') = '' THEN ''
+              ELSE cells[product_pos + 1] END AS product,
          cells[quantity_pos + 1] AS quantity_text
   FROM routed r JOIN reasoned x USING (workbook, sheet, "table")
   WHERE x.reason IS NULL AND r.row_idx > x.header_row AND NOT {BLANK})"""
@@ -720,6 +723,26 @@ ORACLE_SQL["table_profile"] = with_(USAGE, GRID) + " UNION ALL ".join([
         "note": ("string", "cells[5]"),
     }),
 ])
+ORACLE_SQL["grid_profile"] = with_(
+    DELIVERIES,
+    f"""body AS (
+      SELECT r.workbook, r.sheet, r."table", r.row_idx, cells, {NAMES} AS names
+      FROM routed r JOIN best b USING (workbook, sheet, "table")
+      WHERE r.row_idx > b.header_row AND NOT {BLANK})""",
+    """named AS (
+      SELECT * FROM (
+        SELECT workbook, sheet, "table", unnest(names) AS "column", unnest(cells) AS v FROM body)
+      WHERE v IS NOT NULL)""",
+    """counts AS (
+      SELECT workbook, sheet, "table", "column", count(*) AS n,
+             bool_and(TRY_CAST(trim(v) AS DOUBLE) IS NOT NULL) AS numbers
+      FROM named GROUP BY ALL)""",
+    'sizes AS (SELECT workbook, sheet, "table", count(*) AS n_rows FROM body GROUP BY ALL)',
+) + """
+SELECT workbook, sheet, "table", n_rows,
+       count(*) OVER (PARTITION BY workbook, sheet, "table") AS n_columns, "column",
+       CASE WHEN numbers THEN 'double' ELSE 'string' END AS dtype, n_rows - n AS null_count
+FROM counts JOIN sizes USING (workbook, sheet, "table")"""
 ORACLE_SQL["product_search"] = with_(INVENTORY) + """
 SELECT workbook, sheet, row_idx, trim(cells[1]) AS product, cells[2] AS supplier,
        CAST(NULL AS VARCHAR) AS quantity, CAST(NULL AS BIGINT) AS merged_from_row

@@ -12,8 +12,10 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from supplyview.functions import is_header_text_lenient, is_header_text_strict
 from supplyview.operators import dimension as D
 from supplyview.operators import facts as P
+from supplyview.operators import headers as H
 from supplyview.operators import pivot as V
 from supplyview.operators import quality as Q
 from supplyview.operators import routing as R
@@ -44,12 +46,14 @@ class Options:
     ``layout``: one delivery workbook (combined), imports plus local workbooks
     (split), or the older sheet-only rules (sheets, sheets_advanced).
     ``usage_mode``: usage already monthly, or annual with fuzzy ingredient names.
+    ``fill_inventory``: take inventory product names from merged cells.
     """
 
     layout: str = "combined"
     usage_mode: str = "monthly"
     legacy_units: bool = False
     legacy_zero_total: bool = False
+    fill_inventory: bool = False
     mapping: Mapping[str, Sequence[str]] = field(default_factory=lambda: dict(TABLE_COLUMNS))
     aliases: Mapping[str, Sequence[str]] = field(default_factory=dict)
     block_rows: int = BLOCK_ROWS
@@ -143,7 +147,10 @@ def tables(rows: DataFrame, options: Options = Options()) -> Tables:
     if options.layout.startswith("sheets"):
         return Tables(delivered, rejected, found)
     stocked, missing = G.inventory_table(
-        routed.filter(F.col("table") == INVENTORY_STATUS), SHEET_KEYS, options.block_rows
+        routed.filter(F.col("table") == INVENTORY_STATUS),
+        SHEET_KEYS,
+        options.fill_inventory,
+        options.block_rows,
     )
     return Tables(
         delivered.unionByName(stocked, allowMissingColumns=True),
@@ -152,6 +159,40 @@ def tables(rows: DataFrame, options: Options = Options()) -> Tables:
     )
 
 
+def whole_tables(rows: DataFrame, options: Options = Options()) -> DataFrame:
+    """Every table with all its columns, for saving (K1) and profiling.
+
+    Summary sheets are included and sheets of no known table are only cleaned.
+    """
+    routed = rows if "table" in rows.columns else route(rows, options)
+    lenient = options.layout.startswith("sheets")
+    table = F.col("table")
+    if options.layout == "split":
+        split = routed.filter(table.isNotNull()).withColumn(
+            "start_row", F.lit(0).cast("bigint")
+        )
+    else:
+        aside = routed.filter(table.isin(INVENTORY_STATUS, R.SUMMARY, R.OTHER)).withColumn(
+            "start_row", F.lit(0).cast("bigint")
+        )
+        split = stage(_unstacked(routed, options).unionByName(aside), "tables")
+    scored = H.score_rank(
+        is_header_text_lenient if lenient else is_header_text_strict, start=F.col("start_row")
+    )
+    by_table = F.when(table == INVENTORY_STATUS, H.required_rank())
+    if options.layout == "split":
+        by_table = (
+            by_table.when(table == "SAILING", H.anchor_rank(H.ANCHORS["SAILING"]))
+            .when(table.isin("LANDED", "PULLOUT"), H.anchor_rank(H.ANCHORS["LANDED"]))
+            .when(table == G.LOCAL, H.priority_rank())
+        )
+    else:
+        by_table = by_table.when(table != R.OTHER, scored)
+    return G.promoted_tables(
+        split, H.or_label_row(by_table), SHEET_KEYS, 1 if lenient else 0, options.block_rows
+    )
+
+
 def combine(
     projected: DataFrame, dim: DataFrame, usage: DataFrame | None, options: Options = Options()
 ) -> DataFrame:

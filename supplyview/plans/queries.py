@@ -448,6 +448,14 @@ def table_profile(spark, sf):
     )
 
 
+@query
+def grid_profile(spark, sf):
+    """A11 on whole delivery tables whose columns are found in the data."""
+    routed = _routed(spark, sf)
+    rank = H.score_rank(start=F.col("start_row"))
+    return Q.grid_profile(G.promoted_tables(routed, rank, KEYS), KEYS)
+
+
 def _inventory_promoted(spark, sf) -> DataFrame:
     rows = W.inventory_grid(spark, sf)
     return H.promote_header(rows, H.header_required(rows, KEYS), KEYS)

@@ -1,6 +1,7 @@
 """Writers (K1-K6)."""
 
 from supplyview.sinks.tables import (
+    write_all_tables,
     write_aliases,
     write_combined_csv,
     write_dimension,
@@ -10,6 +11,7 @@ from supplyview.sinks.tables import (
 )
 
 __all__ = [
+    "write_all_tables",
     "write_aliases",
     "write_combined_csv",
     "write_dimension",

@@ -80,6 +80,20 @@ def write_table_csv(
     writer.csv(path)
 
 
+def write_all_tables(
+    promoted: DataFrame, root: str, keys: Sequence[str] = SHEET_KEYS
+) -> list[str]:
+    """K1: a folder of CSV files per table; returns the table names.
+
+    Tables are named by sheet names, so there are few of them.
+    """
+    names = [r["table"] for r in promoted.select("table").distinct().orderBy("table").collect()]
+    for name in names:
+        one = promoted.filter(F.col("table") == name).drop("table")
+        write_table_csv(one, f"{root.rstrip('/')}/{name}", keys)
+    return names
+
+
 def write_dimension(dim: DataFrame, root: str, version: str) -> str:
     """K4: categorised entries A-Z, then the open ones, under a new version folder.
 

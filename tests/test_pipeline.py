@@ -7,10 +7,11 @@ import pytest
 import xlsx
 from pyspark.sql import functions as F
 
-from supplyview import Options, run, tables
+from supplyview import Options, run, tables, whole_tables
 from supplyview import sinks as K
 from supplyview.operators import headers as H
 from supplyview.operators import pivot as V
+from supplyview.operators import quality as Q
 from supplyview.sources.workbook import scan_workbooks, sheet_rows
 from supplyview.streaming import report_new_dates
 
@@ -50,11 +51,12 @@ def combined(tmp_path_factory):
                 ],
                 "UNSERVED LOCAL": [
                     ["RAW MATERIALS", "SUPPLIER", LOCAL_QTY], ["Soya", "S1", 3000.0], [None, "S2", 1000.0], [None, None, 4000.0],
+                    ["Corn", "S1", None], [None, None, 9000.0],
                 ],
                 "UNSERVED IMPORTED": [["y", None], ["PRODUCT", "AMOUNT"], ["Soya", 1.0]],
                 "CHARTS": [["z", None], ["ONE", "TWO"], ["a", "b"]],
             },
-            {"UNSERVED LOCAL": ["A2:A3"]},
+            {"UNSERVED LOCAL": ["A2:A3", "A5:A6"]},
         )
         xlsx.write(root / "input" / day / "inventory.xlsx", {"Sheet1": INVENTORY})
         write_usage(root / "input" / day)
@@ -86,9 +88,11 @@ def test_combined_fact(combined_results):
         ("UNSERVED LOCAL", "Soya", 1.0, "meal"),
         ("UNSERVED LOCAL", "Soya", 3.0, "meal"),
     ]
-    # Unparsable quantities keep their row.
+    # Unparsable quantities keep their row; summary rows (no supplier) are gone.
     bad = combined_results.fact.filter("quantity is null").collect()
-    assert {(r["status"], r["product"]) for r in bad} == {("LANDED", "Soya"), ("INVENTORY", "Corn")}
+    assert {(r["status"], r["product"]) for r in bad} == {
+        ("LANDED", "Soya"), ("INVENTORY", "Corn"), ("UNSERVED LOCAL", "Corn"),
+    }
 
 
 def test_combined_rejects(combined_results):
@@ -142,6 +146,30 @@ def test_legacy_units(spark, combined):
     assert fact.filter("status = 'UNSERVED LOCAL'").agg(F.sum("quantity")).first()[0] == 4_000_000.0
 
 
+def test_whole_tables_keep_every_column(spark, combined, tmp_path):
+    rows = sheet_rows(scan_workbooks(spark, str(combined / "input" / "20250811")))
+    whole = whole_tables(rows).cache()
+    names = K.write_all_tables(whole, str(tmp_path / "csv"))
+    assert names == ["CHARTS", "INVENTORY", "LANDED", "PULLOUT", "SAILING", "SUMMARY", "UNSERVED IMPORTED", "UNSERVED LOCAL"]
+    landed = spark.read.option("header", True).csv(str(tmp_path / "csv" / "LANDED"))
+    assert {"PRODUCT", QTY, "NOTE"} <= set(landed.columns) and landed.count() == 2
+    profile = {(r["table"], r["column"]): r for r in Q.grid_profile(whole).collect()}
+    assert profile["INVENTORY", "BIN"]["n_columns"] == 3
+    assert profile["SAILING", QTY]["dtype"] == "double" and profile["SAILING", "PRODUCT"]["dtype"] == "string"
+    assert profile["UNSERVED LOCAL", "SUPPLIER"]["null_count"] == 2
+
+
+@pytest.mark.parametrize("layout", ["split", "sheets"])
+def test_whole_tables_of_the_other_layouts(spark, split, combined, layout):
+    folder = (split if layout == "split" else combined) / "input" / "20250811"
+    rows = sheet_rows(scan_workbooks(spark, str(folder)))
+    got = {r["table"] for r in whole_tables(rows, Options(layout=layout)).select("table").distinct().collect()}
+    if layout == "split":
+        assert got == {"SAILING", "LANDED", "PULLOUT", "UNSERVED IMPORTED", "UNSERVED LOCAL", "INVENTORY"}
+    else:
+        assert {"SUMMARY", "SAILING", "LANDED", "OTHER"} <= got
+
+
 def test_layout_is_checked(spark, combined):
     rows = sheet_rows(scan_workbooks(spark, str(combined / "input" / "20250811")))
     with pytest.raises(ValueError):
@@ -227,13 +255,15 @@ def test_sheet_layouts(spark, tmp_path, layout, pulled):
             "LANDED.PULL-OUT": [
                 ["a", "b"], ["PRODUCT", QTY], ["Corn", 2.0], [None, None], ["PRODUCT", QTY], ["Rye", 3.0],
             ],
-            "UNSERVED LOCAL": [["a", "b"], ["RAW MATERIALS", LOCAL_QTY], ["Soya", 5.0]],
+            "UNSERVED LOCAL": [["a", "b"], ["RAW MATERIALS", LOCAL_QTY], ["Soya", 5.0], [None, 6.0]],
             "EXTRA": [["a", "b"], ["PRODUCT", QTY], ["Soya", 1.0]],
         },
     )
     rows = sheet_rows(scan_workbooks(spark, str(tmp_path)))
     projected = tables(rows, Options(layout=layout)).projected
     got = {(r["table"], r["product"]) for r in projected.collect()}
+    # The older rules fill a missing product from above, never a quantity.
+    assert projected.filter("table = 'UNSERVED LOCAL' and product = 'Soya'").count() == 2
     assert got == {("SAILING", "Soya"), ("LANDED", "Corn"), ("PULLOUT", "Rye"), ("UNSERVED LOCAL", "Soya")}
     assert {p for t, p in got if t == "PULLOUT"} == pulled
 

@@ -148,3 +148,12 @@ def test_folder_status_and_spine(spark, tmp_path):
     assert [r[0].isoformat() for r in spine.orderBy("ingest_date").collect()] == [
         "2025-12-30", "2025-12-31", "2026-01-01",
     ]
+
+
+def test_rows_are_listed_in_chunks(spark, monkeypatch):
+    monkeypatch.setattr(B, "CHUNK_ROWS", 3)
+    cells = spark.createDataFrame([("s", 6, 0, "x")], "sheet string, row_idx bigint, col_idx int, value string")
+    dims = spark.createDataFrame([("s", 8, 2), ("t", 3, 1)], "sheet string, n_rows int, n_cols int")
+    rows = B.rows_of(cells, dims, ["sheet"]).orderBy("sheet", "row_idx").collect()
+    assert [(r["sheet"], r["row_idx"]) for r in rows] == [("s", i) for i in range(8)] + [("t", i) for i in range(3)]
+    assert rows[6]["cells"] == ["x", None] and rows[10]["cells"] == [None]
