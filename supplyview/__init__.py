@@ -1,10 +1,10 @@
 """Supply-chain reporting on Spark DataFrames.
 
-``plans.pipeline.run`` goes from date folders to the reports; the operators can
+``plans.runs.run`` goes from date folders to the reports; the operators can
 be used one by one on any DataFrame of sheet rows or facts.
 """
 
-from supplyview.plans.pipeline import (
+from supplyview.plans.runs import (
     Options,
     Results,
     combine,

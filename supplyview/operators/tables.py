@@ -36,24 +36,24 @@ def locate(
     mapping: Mapping[str, Sequence[str]],
     base: int = 0,
     aliases: Mapping[str, Sequence[str]] | None = None,
+    raw_tables: Sequence[str] = (),
 ) -> DataFrame:
     """Header rows by ``rank``, their names, and where the mapped columns stand
     (G6, G17, P1).
 
     ``keys`` end with ``table``: one header per sheet and table. A table without
     any header is kept, with a reason. ``aliases`` turns the fuzzy names on, for
-    unserved local only.
+    unserved local only. Label rows and ``raw_tables`` keep their names unstripped.
     """
     found = H.pick_header(rows, rank, keys)
+    is_raw = (F.col("header_row") == -1) | F.col("table").isin(*raw_tables)
+    names = F.when(is_raw, H.header_names(F.col("header_cells"), base, raw=True)).otherwise(
+        H.header_names(F.col("header_cells"), base)
+    )
     named = (
         H.last_rows(rows, keys)
         .join(found, list(keys), "left")
-        .withColumn(
-            "header",
-            F.coalesce(
-                H.header_names(F.col("header_cells"), base), F.array().cast("array<string>")
-            ),
-        )
+        .withColumn("header", F.coalesce(names, F.array().cast("array<string>")))
     )
     if aliases is not None:
         is_local = F.col("table") == LOCAL
@@ -169,7 +169,9 @@ def split_tables(
         .when(table.isin("LANDED", "PULLOUT"), H.anchor_rank(H.ANCHORS["LANDED"]))
         .when(table == LOCAL, H.priority_rank())
     )
-    located = locate(rows, rank, keys, mapping, aliases=aliases or {})
+    located = locate(
+        rows, rank, keys, mapping, aliases=aliases or {}, raw_tables=("LANDED", "PULLOUT")
+    )
     found = project_tables(rows, located, keys, block_rows)
     # Without a supplier column no row is a summary row.
     summary = F.col("has_supplier") & F.coalesce(F.col("supplier") == "", F.lit(True))

@@ -269,8 +269,9 @@ def run(
     folder = f"{root}/{{{','.join(dates)}}}" if dates else f"{root}/*"
     scanned = stage(route(scan_workbooks(spark, folder), options), "rows")
     found = tables(sheet_rows(scanned), options)
-    dim = read_dimension(spark, dimension_path)
-    usage = read_usage(spark, f"{folder}/{usage_file}") if usage_file else None
+    # Staged too: file positions are fixed once, and the files are parsed once.
+    dim = stage(read_dimension(spark, dimension_path), "dimension")
+    usage = stage(read_usage(spark, f"{folder}/{usage_file}"), "usage") if usage_file else None
     fact = stage(combine(found.projected, dim, usage, options), "fact")
     rejected = found.rejects.unionByName(unreadable(scanned))
     return reports(fact, dim, usage, options, rejected, found.aliases)

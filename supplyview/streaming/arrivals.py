@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from supplyview.plans.pipeline import Options, run
+from supplyview.plans.runs import Options, run
 from supplyview.sinks import write_combined_csv, write_fact
 from supplyview.sources.folders import REQUIRED_FILES, date_text, list_files, partition_status
 

@@ -337,3 +337,47 @@ def test_new_folders_are_reported_once(spark, combined, tmp_path):
     arrive("20250812", "inventory.xlsx")
     second = go()
     assert set(second) == {11, 12} and second[11] == first[11]
+
+
+# --- merged cells and raw names ----------------------------------------------
+
+
+def merged_rows(spark, tmp_path, name, sheet, header, top=0):
+    rows = [["t", None, None]] * top + [header, ["Soya", "S1", 1.0], [None, "S2", 2.0], [None, None, 3.0]]
+    first = top + 2
+    xlsx.write(tmp_path / "20250811" / name, {sheet: rows}, {sheet: [f"A{first}:A{first + 2}"]})
+    return sheet_rows(scan_workbooks(spark, str(tmp_path)))
+
+
+def products(found):
+    return [r["product"] for r in found.projected.orderBy("row_idx").collect()]
+
+
+def test_merged_products_of_unserved_local(spark, tmp_path):
+    header = ["RAW MATERIALS", "SUPPLIER", LOCAL_QTY]
+    assert products(tables(merged_rows(spark, tmp_path / "a", "d.xlsx", "UNSERVED LOCAL", header))) == ["Soya", "Soya", ""]
+    # Only under a header among the first ten spreadsheet rows.
+    low = merged_rows(spark, tmp_path / "b", "d.xlsx", "UNSERVED LOCAL", header, top=10)
+    assert products(tables(low)) == ["Soya", None, None]
+    # Other tables keep their gaps.
+    other = merged_rows(spark, tmp_path / "c", "d.xlsx", "SAILING", ["PRODUCT", "SUPPLIER", QTY])
+    assert products(tables(other)) == ["Soya", None, None]
+
+
+def test_merged_products_of_the_inventory_on_request(spark, tmp_path):
+    rows = merged_rows(spark, tmp_path, "inventory.xlsx", "S", ["ITEM DESCRIPTION", "x", "QTY IN KGS"], top=1)
+    assert products(tables(rows)) == ["Soya", None, None]
+    assert products(tables(rows, Options(fill_inventory=True))) == ["Soya", "Soya", "Soya"]
+
+
+def test_landed_names_are_taken_as_they_are(spark, tmp_path):
+    xlsx.write(
+        tmp_path / "20250811" / "imports.xlsx",
+        {
+            "Landed": [["t", None, None], ["u", None, None], ["Bill of Lading", " PRODUCT ", QTY], ["b", "Corn", 2.0]],
+            "Sailling": [["t", None, None], ["u", None, None], ["Contract", " PRODUCT ", QTY], ["b", "Corn", 2.0]],
+        },
+    )
+    found = tables(sheet_rows(scan_workbooks(spark, str(tmp_path))), Options(layout="split"))
+    assert [(r["table"], r["product"]) for r in found.projected.collect()] == [("SAILING", "Corn")]
+    assert [r["reason"] for r in found.rejects.collect()] == ["missing columns: PRODUCT"]
