@@ -79,21 +79,32 @@ def group_chunks(
         .select(*keys, *rest, "_own", other.alias("_other"))
     )
     first = F.col("_own") <= F.col("_other")
+    member = F.struct((~first).cast("int").alias("side"), *[F.col(c) for c in rest])
+    dealt = met.select(
+        *keys,
+        F.least("_own", "_other").alias("part_i"),
+        F.greatest("_own", "_other").alias("part_j"),
+        member.alias("_member"),
+    )
+    # Dealt anew by chunk, or the chunks of a large group would stay in one task.
     return (
-        met.groupBy(
-            *keys,
-            F.least("_own", "_other").alias("part_i"),
-            F.greatest("_own", "_other").alias("part_j"),
-        )
-        .agg(
-            F.collect_list(
-                F.struct((~first).cast("int").alias("side"), *[F.col(c) for c in rest])
-            ).alias("members")
-        )
+        dealt.repartition(*keys, "part_i", "part_j")
+        .groupBy(*keys, "part_i", "part_j")
+        .agg(F.collect_list("_member").alias("members"))
         .filter(F.size("members") > 1)
     )
 
 
+def valid_vectors(rows: DataFrame, key: str, vector: str) -> DataFrame:
+    """Rows with an id and a vector without null or non-finite components, not all zero."""
+    v = F.col(vector)
+    finite = F.forall(
+        v, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < F.lit(float("inf")))
+    )
+    nonzero = F.exists(v, lambda x: x != 0)
+    return rows.filter(F.col(key).isNotNull() & v.isNotNull() & finite & nonzero)
+
+
 def _signature(edges: DataFrame) -> tuple[int, int]:
     row = edges.agg(
         F.count(F.lit(1)).alias("n"),

@@ -5,20 +5,35 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from supplyview.llm import arrow_tokens, packing
-from supplyview.llm.common import held_out, table
+from supplyview.llm import ann, arrow_tokens, embedding_dedup, packing, simhash
+from supplyview.llm.common import table
+
+
+def op1_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_dedup.near_duplicates(table(spark, sf_dir, "embeddings"))
 
 
 def op4_harmonic_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return packing.pack(table(spark, sf_dir, "documents")).select(
-        "doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"
-    )
+    return packing.pack(table(spark, sf_dir, "documents"))
+
+
+def op6_one_bit_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ann.search(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
 
 
 def op9_arrow_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     return arrow_tokens.round_trip(spark, table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op4_harmonic_packing, op9_arrow_tokens)}
+def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
+QUERIES = {
+    f.__name__: f
+    for f in (
+        op1_embedding_dedup, op4_harmonic_packing, op6_one_bit_search, op9_arrow_tokens, op10_simhash,
+    )
+}
 
 ORACLE_SQL: dict[str, str] = {}
