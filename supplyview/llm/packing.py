@@ -70,11 +70,12 @@ def pieces(
         worker = TaskContext.get().partitionId()
         numbers: Counter[int] = Counter()
         for batch in batches:
-            keys, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
-            for a, b in slices(texts):
+            keys, texts = batch.column(0).to_pylist(), batch.column(1)
+            for at, n_rows in slices(texts):
                 rows, payload = [], []
-                for key, ids in zip(keys[a:b], encoder(path).encode(texts[a:b])):
-                    ids += end
+                found = encoder(path).encode(texts.slice(at, n_rows))
+                for key, ids in zip(keys[at : at + n_rows], found):
+                    ids = ids.tobytes() + end
                     n = len(ids) // 4
                     start = 0
                     for size in [capacity] * (n // capacity) + rests[n % capacity]:
