@@ -1,11 +1,11 @@
 """Token ids in Arrow files of fixed-size lists: equal-length sequences and masks.
 
-A shard is one Arrow file (the random-access format, uncompressed) with columns
-``ids`` fixed_size_list<uint32>[n] and ``mask`` fixed_size_list<uint8>[n], so row i
-sits at a fixed place in its batch and is read without copying. The ids of a
-shard's documents follow each other without gaps; the last sequence is padded.
-Mask values: 0 padding, 1 token, 2 last token of a document. Next to it lies a
-file with (doc_id, start, n_tokens) for each document, start counted in the shard.
+A shard is one Arrow file (the random-access format, uncompressed). Its columns are
+fixed_size_list[n] of ``ids`` (uint16 if the vocabulary fits, else uint32), of ``mask`` (bool:
+a token, not padding) and of ``last`` (bool: ends a document), so row i sits at a
+fixed place in its batch and is read without copying. The ids of a shard's documents
+follow each other without gaps; the last sequence is padded. Next to it lies a file
+with (doc_id, start, n_tokens) for each document, start counted in the shard.
 
 Shards follow each other in ascending doc_id order, nulls first, ties by text.
 Null and empty texts are documents of the end id alone. An empty table gives no
@@ -26,11 +26,10 @@ from pyspark.sql import functions as F
 
 from supplyview.session import shared_folder, stage
 from supplyview.llm.common import parts, text_bytes
-from supplyview.llm.tokens import default_tokenizer, encoder, slices
+from supplyview.llm.tokens import default_tokenizer, encoder, narrowest, slices
 
 SHARD_TEXT_BYTES = 24_000_000
 BATCH_SEQUENCES = 256
-PAD, TOKEN, LAST = 0, 1, 2
 
 SHARDS = "shard int, ids_path string, docs_path string, n_docs long, n_tokens long"
 DOCS = pa.schema([("doc_id", pa.int64()), ("start", pa.int64()), ("n_tokens", pa.int64())])
@@ -44,51 +43,56 @@ def file_system(uri: str):
     return fs.FileSystem.from_uri(uri) if ":/" in uri else (fs.LocalFileSystem(), uri)
 
 
-def sequence_schema(length: int) -> pa.Schema:
-    return pa.schema([
-        ("ids", pa.list_(pa.uint32(), length)), ("mask", pa.list_(pa.uint8(), length)),
-    ])
+def sequence_schema(length: int, kind: np.dtype) -> pa.Schema:
+    kinds = [("ids", pa.from_numpy_dtype(kind)), ("mask", pa.bool_()), ("last", pa.bool_())]
+    return pa.schema([(name, pa.list_(x, length)) for name, x in kinds])
 
 
 class _ShardWriter:
     """Writes ids as they come; keeps less than a batch in memory."""
 
-    def __init__(self, files, path: str, length: int):
-        self.length, self.schema = length, sequence_schema(length)
+    def __init__(self, files, path: str, length: int, kind: np.dtype):
+        self.length, self.kind = length, kind
+        self.schema = sequence_schema(length, kind)
         self.out = files.open_output_stream(path)
         self.writer = pa.ipc.new_file(self.out, self.schema)
-        self.ids: list[bytes] = []
-        self.mask: list[bytes] = []
-        self.held = self.total = 0
-
-    def add(self, ids: bytes) -> int:
-        n = len(ids) // 4
-        self.ids.append(ids)
-        self.mask.append(bytes([TOKEN]) * (n - 1) + bytes([LAST]))
-        self.held += n
-        self.total += n
+        self.ids: list[np.ndarray] = []
+        self.sizes: list[int] = []
+        self.held = self.total = self.rest = 0
+
+    def add(self, ids: np.ndarray) -> int:
+        self.ids.append(ids.astype(self.kind))
+        self.sizes.append(len(ids))
+        self.held += len(ids)
+        self.total += len(ids)
         if self.held >= BATCH_SEQUENCES * self.length:
             self._flush(False)
-        return n
+        return len(ids)
 
     def _flush(self, last: bool) -> None:
-        ids = np.frombuffer(b"".join(self.ids), "<u4")
-        mask = np.frombuffer(b"".join(self.mask), "u1")
+        ids = np.concatenate(self.ids) if self.ids else np.zeros(0, self.kind)
+        # ``rest`` ids were held over from before the documents in ``sizes``.
+        ends = np.zeros(len(ids), bool)
+        stops = self.rest + np.cumsum(self.sizes, dtype=np.int64) - 1
+        ends[stops] = True
+        if self.rest:
+            ends[: self.rest] = self.rest_ends
+        mask = np.ones(len(ids), bool)
+        batch = BATCH_SEQUENCES * self.length
+        stop = len(ids) // batch * batch
         if last:
             short = -len(ids) % self.length
-            ids, mask = np.pad(ids, (0, short)), np.pad(mask, (0, short))
-        full = len(ids) // self.length * self.length
-        batch = BATCH_SEQUENCES * self.length
-        stop = full if last else full // batch * batch
+            ids, mask, ends = (np.pad(x, (0, short)) for x in (ids, mask, ends))
+            stop = len(ids)
         for at in range(0, stop, batch):
-            end = min(at + batch, stop)
             columns = [
-                pa.FixedSizeListArray.from_arrays(pa.array(x[at:end]), self.length)
-                for x in (ids, mask)
+                pa.FixedSizeListArray.from_arrays(pa.array(x[at : min(at + batch, stop)]), self.length)
+                for x in (ids, mask, ends)
             ]
             self.writer.write_batch(pa.record_batch(columns, schema=self.schema))
-        self.ids, self.mask = [ids[stop:].tobytes()], [mask[stop:].tobytes()]
-        self.held = len(ids) - stop
+        self.ids, self.sizes = [ids[stop:].copy()], []
+        self.held = self.rest = len(ids) - stop
+        self.rest_ends = ends[stop:].copy()
 
     def close(self) -> None:
         self._flush(True)
@@ -111,7 +115,6 @@ def write(
     """
     path = tokenizer or default_tokenizer()
     n = parts(text_bytes(docs), shard_bytes)
-    end = np.array([end_id], "<u4").tobytes()
 
     def shard(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         context = TaskContext.get()
@@ -121,21 +124,25 @@ def write(
         names = [f"{root}/ids-{number:06d}.arrow", f"{root}/docs-{number:06d}.arrow"]
         n_docs = 0
         for batch in batches:
-            doc_ids, texts = batch.column(0), batch.column(1).to_pylist()
-            if texts and writer is None:
+            doc_ids, texts = batch.column(0), batch.column(1)
+            if len(texts) and writer is None:
                 files.create_dir(root, recursive=True)
-                writer = _ShardWriter(files, f"{names[0]}.{attempt}", length)
+                kind = narrowest(max(encoder(path).vocabulary(), end_id + 1))
+                writer = _ShardWriter(files, f"{names[0]}.{attempt}", length, kind)
                 stream = files.open_output_stream(f"{names[1]}.{attempt}")
                 index = pa.ipc.new_file(stream, DOCS)
-            for a, b in slices(texts):
+            for at, n_rows in slices(texts):
                 before = writer.total
-                sizes = [writer.add(x + end) for x in encoder(path).encode(texts[a:b])]
+                sizes = [
+                    writer.add(np.append(x, np.uint32(end_id)))
+                    for x in encoder(path).encode(texts.slice(at, n_rows))
+                ]
                 starts = before + np.cumsum([0, *sizes[:-1]])
                 index.write_batch(pa.record_batch(
-                    [doc_ids.slice(a, b - a), pa.array(starts, pa.int64()), pa.array(sizes, pa.int64())],
+                    [doc_ids.slice(at, n_rows), pa.array(starts, pa.int64()), pa.array(sizes, pa.int64())],
                     schema=DOCS,
                 ))
-                n_docs += b - a
+                n_docs += n_rows
         if writer is not None:
             writer.close()
             index.close()
@@ -172,16 +179,17 @@ def open_shard(path: str) -> pa.ipc.RecordBatchFileReader:
 
 
 def sequence(reader: pa.ipc.RecordBatchFileReader, i: int) -> tuple[np.ndarray, np.ndarray]:
-    """Ids and mask of sequence ``i`` of a shard, without a copy for mapped files."""
+    """Ids and mask of sequence ``i`` of a shard; ids of a mapped file are not copied."""
     batch = reader.get_batch(i // BATCH_SEQUENCES)
     row = i % BATCH_SEQUENCES
-    return tuple(c[row].values.to_numpy(zero_copy_only=True) for c in batch.columns)
+    ids = batch.column(0)[row].values.to_numpy(zero_copy_only=True)
+    return ids, batch.column(1)[row].values.to_numpy(zero_copy_only=False)
 
 
 def read(shards: DataFrame) -> DataFrame:
     """The documents of written shards: doc_id, start over all shards, n_tokens, ids_crc32.
 
-    Ids come from the sequences, ends of documents from the mask; the file of
+    Ids come from the sequences, ends of documents from ``last``; the file of
     documents gives their doc_id in that order.
     """
     def documents(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -194,12 +202,14 @@ def read(shards: DataFrame) -> DataFrame:
                 at, crc, size = row["start"], 0, 0
                 for b in range(reader.num_record_batches):
                     got = reader.get_batch(b)
-                    ids = got.column(0).flatten().to_numpy(zero_copy_only=True)
-                    mask = got.column(1).flatten().to_numpy(zero_copy_only=True)
-                    used = int(np.count_nonzero(mask != PAD))
+                    ids = got.column(0).flatten().to_numpy(zero_copy_only=True).astype("<u4", copy=False)
+                    mask, last = (
+                        got.column(c).flatten().to_numpy(zero_copy_only=False) for c in (1, 2)
+                    )
+                    used = int(np.count_nonzero(mask))
                     view = memoryview(ids).cast("B")
                     out, begin = [], 0
-                    for stop in (np.flatnonzero(mask == LAST) + 1).tolist():
+                    for stop in (np.flatnonzero(last) + 1).tolist():
                         crc = zlib.crc32(view[4 * begin : 4 * stop], crc)
                         size += stop - begin
                         out.append((next(keys), at, size, crc, row["shard"]))
