@@ -1,19 +1,78 @@
-"""Documents through the pipeline's stages, each written and read again."""
+"""Documents through five stages, each written and read again: language, quality, near
+duplicates, mixing, packing.
+
+Each stage takes the documents its predecessor kept, with all their columns, whatever
+their names, and works on all of them. The first four return the same columns; rows are
+never changed. An empty table passes through all stages.
+
+* ``language`` drops documents without a language: null texts, texts without letters, and texts
+  of which no language has half the letters.
+* ``quality`` drops documents scored below 0.3 by the labelled documents' votes; without
+  labels nothing is dropped.
+* ``near_duplicates`` keeps the document with the smallest doc_id of each group linked by SimHash
+  (three words, three bits). Rows with the same doc_id are one document, of which one
+  row stays. Rows without a doc_id belong to no group and stay.
+* ``mix`` writes the documents in the order of the mix, by their sources' tempered shares.
+* ``pack`` returns the pieces of sequences of 1024 tokens.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from supplyview.llm import packing
-from supplyview.llm.common import table
+from supplyview.llm import langid, mixing, packing, quality, simhash
+from supplyview.llm.common import free_name, held_out, importable, table
+from supplyview.llm.queries import GOOD_QUALITY
 from supplyview.session import stage
 
+LEAST_SHARE = 0.5
+
+
+def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    importable(spark)
+    names = tuple(free_name(docs, n) for n in ("lang_pred", "lang_score", "spans"))
+    labelled = langid.language_of(docs, ~held_out(F.col("doc_id")), docs.columns, names=names)
+    good = (F.col(names[0]) != langid.UND) & (F.col(names[1]) >= LEAST_SHARE)
+    return labelled.filter(good).select(*docs.columns)
+
+
+def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    importable(spark)
+    name = free_name(docs, "quality_score")
+    labels = table(spark, sf_dir, "labels")
+    model = quality.fit(docs, labels, "quality", ~held_out(F.col("doc_id")))
+    return quality.score(docs, model, docs.columns, name).filter(F.col(name) >= GOOD_QUALITY).select(*docs.columns)
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    importable(spark)
+    named = docs.filter(F.col("doc_id").isNotNull())
+    first = (
+        simhash.near_duplicates(named, shingle=3, radius=3)
+        .filter("doc_id = component_id").select("doc_id").distinct()
+    )
+    kept = named.join(first, "doc_id", "left_semi").dropDuplicates(["doc_id"])
+    return kept.unionByName(docs.filter(F.col("doc_id").isNull())).select(*docs.columns)
+
+
+def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    importable(spark)
+    names = (free_name(docs, "slot"), free_name(docs, "position"))
+    return mixing.in_order(mixing.mix(docs, names=names), names)
+
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    importable(spark)
     return packing.pack(docs)
 
 
-STAGES = [("pack", pack)]
+STAGES = [
+    ("language", language), ("quality", good_quality), ("near_duplicates", near_duplicates),
+    ("mix", mix), ("pack", pack),
+]
+
+# Viterbi, singular vectors, XXH64 fingerprints and token ids have no SQL.
 ORACLE_SQL = None
 
 

@@ -9,7 +9,6 @@ from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from supplyview.session import stage
 
@@ -154,5 +153,14 @@ def components(edges: DataFrame, name: str, most_rounds: int = 60) -> DataFrame:
     return edges.select(F.col("a").alias("node"), F.col("b").alias("component")).union(roots)
 
 
-def empty(spark: SparkSession, schema: str | T.StructType) -> DataFrame:
-    return spark.createDataFrame([], schema)
+def free_name(df: DataFrame, name: str) -> str:
+    """``name``, with underscores in front until no column of ``df`` is called so."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name = f"_{name}"
+    return name
+
+
+def schema_of(df: DataFrame) -> str:
+    """The columns of ``df`` as a schema string."""
+    return ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema)

@@ -23,6 +23,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from supplyview.llm.common import free_name, schema_of
+
 BUCKETS = 1 << 16
 SWITCH = 12.0
 SCRIPT_SHARE = 0.01
@@ -188,21 +190,25 @@ def learn(rows: DataFrame) -> Model | None:
     return Model(languages, all_counts[:, :BUCKETS], all_counts[:, BUCKETS:])
 
 
-def identify(docs: DataFrame, model: Model | None, keep: list[str], switch: float = SWITCH, spans: bool = False) -> DataFrame:
+def identify(
+    docs: DataFrame, model: Model | None, keep: list[str], switch: float = SWITCH,
+    spans: bool = False, names: tuple[str, str, str] = ("lang_pred", "score", "spans"),
+) -> DataFrame:
     """``keep`` columns with lang_pred and score, and spans (start, end, lang) in characters."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
-    kept = docs.select(*[F.col(c) for c in keep], F.col("text").cast("string").alias("_text"))
-    kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in kept.select(*keep).schema)
-    schema = f"{kinds}, lang_pred string, score double"
+    kept = docs.select(*keep)
+    text = "text" if "text" in keep else free_name(kept, "_text")
+    read = kept if "text" in keep else docs.select(*keep, F.col("text").alias(text))
+    added = list(names[: 3 if spans else 2])
+    kinds = ["string", "double", "array<struct<start:int,end:int,lang:string>>"]
+    schema = ", ".join([schema_of(kept), *(f"`{n}` {k}" for n, k in zip(added, kinds))])
     span = pa.struct([("start", pa.int32()), ("end", pa.int32()), ("lang", pa.string())])
-    if spans:
-        schema += ", spans array<struct<start:int,end:int,lang:string>>"
 
     def labelled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = shared.value
         for batch in batches:
             predicted, scores, found = [], [], []
-            for some in _steps(batch.column("_text").to_pylist()):
+            for some in _steps(batch.column(text).to_pylist()):
                 for p, s, f in _labels(model, some, switch, spans):
                     predicted.append(p)
                     scores.append(s)
@@ -211,9 +217,9 @@ def identify(docs: DataFrame, model: Model | None, keep: list[str], switch: floa
             columns += [pa.array(predicted, pa.string()), pa.array(scores, pa.float64())]
             if spans:
                 columns.append(pa.array(found, pa.list_(span)))
-            yield pa.RecordBatch.from_arrays(columns, [*keep, "lang_pred", "score"] + ["spans"] * spans)
+            yield pa.RecordBatch.from_arrays(columns, [*keep, *added])
 
-    return kept.mapInArrow(labelled, schema)
+    return read.mapInArrow(labelled, schema)
 
 
 def _labels(model: Model | None, texts: list[str | None], switch: float, spans: bool):

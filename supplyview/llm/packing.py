@@ -30,6 +30,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from supplyview.session import stage
+from supplyview.llm.common import schema_of
 from supplyview.llm.tokens import default_tokenizer, encoder, slices
 
 PIECE = (
@@ -148,10 +149,9 @@ def pack(docs: DataFrame, capacity: int = 1024, **options) -> DataFrame:
     )
     # Less than one bin of each class: one group, bounded by the capacity.
     open_pieces = numbered.filter(~whole).select(*rest, "worker", "_full")
-    types = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in open_pieces.schema)
     left = (
         open_pieces.groupBy("_full")
-        .applyInPandas(_best_fit(capacity), types + ", sequence_id long, offset long")
+        .applyInPandas(_best_fit(capacity), schema_of(open_pieces) + ", sequence_id long, offset long")
         .select(*rest, "sequence_id", "offset")
     )
     return full.unionByName(left)

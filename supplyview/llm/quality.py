@@ -25,6 +25,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from supplyview.llm.common import free_name, schema_of
+
 SAMPLE = 4000
 SHAPES, GRAMS, REPEATS = 1024, 1024, 4
 FEATURES = SHAPES + GRAMS + REPEATS
@@ -151,23 +153,24 @@ def fit(docs: DataFrame, labels: DataFrame, label: str, train: Column, sample: i
     return Model(matrix, rows["label"].to_numpy(dtype=float))
 
 
-def score(docs: DataFrame, model: Model, keep: list[str]) -> DataFrame:
+def score(docs: DataFrame, model: Model, keep: list[str], name: str = "score") -> DataFrame:
     """``keep`` columns and the score of every text."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
-    kept = docs.select(*keep, F.col("text").cast("string").alias("_text"))
-    kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in kept.select(*keep).schema)
+    kept = docs.select(*keep)
+    text = "text" if "text" in keep else free_name(kept, "_text")
+    read = kept if "text" in keep else docs.select(*keep, F.col("text").alias(text))
 
     def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = shared.value
         for batch in batches:
-            texts = batch.column("_text").to_pylist()
+            texts = batch.column(text).to_pylist()
             out = [
                 model.score(np.array([raw_counts(x) for x in texts[i : i + BLOCK_ROWS]]))
                 for i in range(0, len(texts), BLOCK_ROWS)
             ]
             columns = [batch.column(c) for c in range(len(keep))]
             yield pa.RecordBatch.from_arrays(
-                [*columns, pa.array(np.concatenate(out) if out else [], pa.float64())], [*keep, "score"]
+                [*columns, pa.array(np.concatenate(out) if out else [], pa.float64())], [*keep, name]
             )
 
-    return kept.mapInArrow(scored, f"{kinds}, score double")
+    return read.mapInArrow(scored, f"{schema_of(kept)}, `{name}` double")
