@@ -22,6 +22,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -49,12 +50,18 @@ def shape(rows: int, threshold: float, recall: float = 0.97, bucket: int = 64) -
     return k, math.ceil(math.log(1 - recall) / math.log(1 - found))
 
 
-def keys_of(unit: np.ndarray, k: int, tables: int, seed: int = 7) -> np.ndarray:
-    """(n, tables) keys of unit vectors; the projections follow from the seed."""
-    random = np.random.default_rng([seed, unit.shape[1]])
-    a = random.standard_normal((unit.shape[1], tables * k))
-    b = random.uniform(0, WIDTH, tables * k)
-    mixer = random.integers(1, 1 << 62, tables * k, dtype=np.int64) | 1
+@lru_cache(maxsize=8)
+def projections(length: int, hashes: int, seed: int = 7) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Directions, shifts and mixers; they follow from the seed."""
+    random = np.random.default_rng([seed, length])
+    a = random.standard_normal((length, hashes))
+    b = random.uniform(0, WIDTH, hashes)
+    return a, b, random.integers(1, 1 << 62, hashes, dtype=np.int64) | 1
+
+
+def keys_of(unit: np.ndarray, k: int, tables: int) -> np.ndarray:
+    """(n, tables) keys of unit vectors."""
+    a, b, mixer = projections(unit.shape[1], tables * k)
     hashes = np.floor((unit @ a + b) / WIDTH).astype(np.int64)
     with np.errstate(over="ignore"):
         mixed = (hashes * mixer).reshape(-1, tables, k).sum(axis=2)
@@ -100,15 +107,18 @@ def _compared(threshold: float, k: int, tables: int):
                     side = members.field("side").to_numpy()
                     close &= side[:, None] != side[None, :]
                 i, j = np.nonzero(close)
+                if not len(i):
+                    continue
+                some = np.unique(np.concatenate([i, j]))
+                unit, node, size = unit[some], node[some], size[some]
+                i, j = np.searchsorted(some, i), np.searchsorted(some, j)
                 keys = keys_of(unit, k, tables)[:, :tab]
                 new = ~(keys[i] == keys[j]).any(axis=1)
                 a, b = i[new], j[new]
                 links = np.bincount(a, size[b], len(node)) + np.bincount(b, size[a], len(node))
                 root = smallest_reachable(node, i, j)
-                some = np.flatnonzero((links > 0) | (root != node))
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(node[some]), pa.array(links[some].astype(np.int64)), pa.array(root[some])],
-                    ["node", "links", "root"],
+                    [pa.array(node), pa.array(links.astype(np.int64)), pa.array(root)], ["node", "links", "root"]
                 )
 
     return compared
