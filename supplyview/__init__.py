@@ -1,13 +1,15 @@
 """Supply-chain reporting on Spark DataFrames.
 
-``plans.runs.run`` goes from date folders to the reports; the operators can
-be used one by one on any DataFrame of sheet rows or facts.
+``plans.runs.report`` goes from date folders to written reports, ``run`` to lazy
+results; the operators can be used one by one on any DataFrame of sheet rows or facts.
 """
 
 from supplyview.plans.runs import (
     Options,
     Results,
     combine,
+    finished_tables,
+    report,
     reports,
     route,
     run,
@@ -15,4 +17,7 @@ from supplyview.plans.runs import (
     whole_tables,
 )
 
-__all__ = ["Options", "Results", "combine", "reports", "route", "run", "tables", "whole_tables"]
+__all__ = [
+    "Options", "Results", "combine", "finished_tables", "report", "reports", "route", "run",
+    "tables", "whole_tables",
+]

@@ -38,10 +38,12 @@ from supplyview.session import stage
 from supplyview.llm.common import fold, parts, text_bytes
 
 DEPTH = 6
-BLOCK_BYTES = 24_000_000
+BLOCK_BYTES = 16_000_000
 BUCKET_BYTES = 4_000_000
-STEP_BYTES = 4_000_000
+STEP_BYTES = 500_000
 STEP_ROWS = 255
+# Distinct grams that may wait for the next merge within a block.
+WAITING = 1_500_000
 FAN = 64
 
 REQUEST = "block int, bucket int, grams binary, counts binary, words binary, word_counts binary"
@@ -72,13 +74,22 @@ def expand_sorted(data: bytes) -> np.ndarray:
     return np.cumsum(expand(data, "<u8"), dtype=np.uint64)
 
 
+def one_text(data: bytes) -> pa.Array:
+    """An array of one string, taken as it is."""
+    ends = np.array([0, len(data)], np.int32)
+    return pa.StringArray.from_buffers(1, pa.py_buffer(ends), pa.py_buffer(data))
+
+
 def squeeze_words(words: pa.Array) -> bytes:
     """Words hold no white space; the end is the empty word."""
-    return zstandard.compress(b"\n".join(words.cast(pa.binary()).to_pylist()), 1)
+    joined = pc.binary_join(pa.ListArray.from_arrays(pa.array([0, len(words)], pa.int32()), words), "\n")
+    return zstandard.compress(joined[0].as_buffer().to_pybytes(), 1)
 
 
-def expand_words(data: bytes, n: int) -> list[bytes]:
-    return zstandard.decompress(data).split(b"\n") if n else []
+def expand_words(data: bytes, n: int) -> pa.Array:
+    if not n:
+        return pa.array([], pa.string())
+    return pc.split_pattern(one_text(zstandard.decompress(data)), "\n").flatten()
 
 
 # Texts to words and grams.
@@ -158,10 +169,18 @@ def gram_bucket(keys: np.ndarray, buckets: int) -> np.ndarray:
 
 
 def word_bucket(words: pa.Array, buckets: int) -> np.ndarray:
-    """Bucket by the first and last bytes and the length, mixed."""
-    import zlib
-
-    return np.fromiter((zlib.crc32(w) % buckets for w in words.cast(pa.binary()).to_pylist()), np.int32, len(words))
+    """Bucket by the length and the first and last eight bytes."""
+    words = pa.concat_arrays([words]) if words.offset else words
+    ends = np.frombuffer(words.buffers()[1], np.int32)[: len(words) + 1].astype(np.int64)
+    size = np.diff(ends)
+    data = bytes(8) + (words.buffers()[2] or pa.py_buffer(b"")).to_pybytes() + bytes(8)
+    window = np.ndarray((len(data) - 7,), "<u8", data, strides=(1,))
+    unused = (8 * (8 - np.minimum(size, 8))).astype(np.uint64)
+    # A shift by all 64 bits is none, so empty words are set apart.
+    first = np.where(size > 0, window[ends[:-1] + 8] << unused, 0)
+    last = np.where(size > 0, window[ends[1:]] >> unused, 0)
+    mixed = (first * np.uint64(0x9E3779B97F4A7C15)) ^ (last * np.uint64(0xC2B2AE3D27D4EB4F)) ^ size.astype(np.uint64)
+    return ((mixed ^ (mixed >> np.uint64(31))) * np.uint64(0xBF58476D1CE4E5B9) >> np.uint64(33)).astype(np.int64) % buckets
 
 
 def _requests(buckets: int):
@@ -170,33 +189,30 @@ def _requests(buckets: int):
     def requests(key: tuple, rows: pa.Table) -> pa.Table:
         keys, counts = np.zeros(0, np.uint64), np.zeros(0, np.int64)
         waiting: list[tuple[np.ndarray, np.ndarray]] = []
-        words, word_counts = [], []
-        texts = one_array(rows.column("text"))
-        trains = rows.column("train").to_numpy()
+        texts, trains = one_array(rows.column("text")), rows.column("train").to_numpy()
+        listed = tokens(texts)
+        flat = listed.flatten().dictionary_encode()
+        # Sums in double precision are exact up to 2^53.
+        all_words, totals = flat.dictionary, np.bincount(
+            flat.indices.to_numpy(), np.repeat(trains, pc.list_value_length(listed).to_numpy()), len(flat.dictionary)
+        ).astype(np.int64)
+        del flat
         for at, n in steps(texts):
-            listed = tokens(texts.slice(at, n))
-            train = trains[at : at + n]
-            flat = listed.flatten().dictionary_encode()
-            per_word = np.repeat(train, pc.list_value_length(listed).to_numpy())
-            words.append(flat.dictionary)
-            word_counts.append(np.bincount(
-                flat.indices.to_numpy(), weights=per_word, minlength=len(flat.dictionary)
-            ).astype(np.int64))
-            lines = streams(listed)
+            lines = streams(listed.slice(at, n))
             for learn in (True, False):
-                some = [x for x, t in zip(lines, train.tolist()) if t == learn]
+                some = [x for x, t in zip(lines, trains[at : at + n].tolist()) if t == learn]
                 if some:
                     k, c = counted(grams(some)[0])
                     waiting.append((k, c if learn else np.zeros(len(c), np.int64)))
-            if sum(len(k) for k, _ in waiting) > 6_000_000:
+            if sum(len(k) for k, _ in waiting) > WAITING:
                 keys, counts = _merged([(keys, counts), *waiting])
                 waiting = []
         keys, counts = _merged([(keys, counts), *waiting])
-        order = np.argsort(gram_bucket(keys, buckets), kind="stable")
-        own = gram_bucket(keys, buckets)[order]
+        own = gram_bucket(keys, buckets)
+        order = np.argsort(own, kind="stable")
+        own = own[order]
         keys, counts = keys[order], counts[order]
         edges = np.searchsorted(own, np.arange(buckets + 1))
-        all_words, totals = _merged_words(words, word_counts)
         wb = word_bucket(all_words, buckets)
         word_order = np.argsort(wb, kind="stable")
         word_edges = np.searchsorted(wb[word_order], np.arange(buckets + 1))
@@ -220,11 +236,11 @@ def _merged(lists: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.
 
 def _merged_words(words: list[pa.Array], counts: list[np.ndarray]) -> tuple[pa.Array, np.ndarray]:
     if not words:
-        return pa.array([], pa.large_binary()), np.zeros(0, np.int64)
-    joined = pa.concat_arrays([w.cast(pa.large_binary()) for w in words]).dictionary_encode()
-    sums = np.zeros(len(joined.dictionary), np.int64)
-    np.add.at(sums, joined.indices.to_numpy(), np.concatenate(counts))
-    return joined.dictionary, sums
+        return pa.array([], pa.string()), np.zeros(0, np.int64)
+    joined = pa.concat_arrays(words).dictionary_encode()
+    # Sums in double precision are exact up to 2^53.
+    sums = np.bincount(joined.indices.to_numpy(), np.concatenate(counts), len(joined.dictionary))
+    return joined.dictionary, sums.astype(np.int64)
 
 
 def _rows(rows: list[tuple], names: list[str]) -> pa.Table:
@@ -240,7 +256,7 @@ def _merge(key: tuple, rows: pa.Table) -> pa.Table:
     words, totals = [], []
     for r in got:
         totals.append(expand(r["word_counts"], "<i8"))
-        words.append(pa.array(expand_words(r["words"], len(totals[-1])), pa.large_binary()))
+        words.append(expand_words(r["words"], len(totals[-1])))
     word, total = _merged_words(words, totals)
     row = (
         key[1].as_py(), key[0].as_py(), squeeze_sorted(keys), squeeze(counts), squeeze_words(word), squeeze(total),
@@ -265,10 +281,25 @@ def log_gamma(x: np.ndarray) -> np.ndarray:
     return shift + (y - 0.5) * np.log(y) - y + 0.5 * np.log(2 * np.pi) + series
 
 
+SMALL = 4096
+_HALF, _WHOLE = (log_gamma(np.arange(SMALL) + x) for x in (0.5, 1.0))
+
+
+def _log_gamma_of(count: np.ndarray, table: np.ndarray, shift: float) -> np.ndarray:
+    """log Gamma(count + shift): most counts are small and looked up."""
+    out = table[np.minimum(count, SMALL - 1).astype(np.int64)]
+    large = np.flatnonzero(count >= SMALL)
+    out[large] = log_gamma(count[large] + shift)
+    return out
+
+
 def log_pe(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     """log of the Krichevsky-Trofimov probability of a zeros and b ones."""
     a, b = np.asarray(a, float), np.asarray(b, float)
-    return log_gamma(a + 0.5) + log_gamma(b + 0.5) - log_gamma(a + b + 1) - np.log(np.pi)
+    shape = a.shape
+    a, b = a.ravel(), b.ravel()
+    out = _log_gamma_of(a, _HALF, 0.5) + _log_gamma_of(b, _HALF, 0.5) - _log_gamma_of(a + b, _WHOLE, 1.0)
+    return (out - np.log(np.pi)).reshape(shape)
 
 
 def own_weight(log_beta: np.ndarray) -> np.ndarray:
@@ -283,42 +314,51 @@ def deep_tree(keys: np.ndarray, counts: np.ndarray, least: int = 2):
     by node): zeros, ones, and the sum of log Pw over the longer contexts.
     """
     keys = keys.astype(np.int64)
-    context, byte = keys >> 8, keys & 255
-    levels = []
+    # By depth from the longest: (context, byte) numbers, their counts, and each one's place in the next.
+    levels: list[list] = []
     for d in range(DEPTH, least - 1, -1):
-        u, inverse = np.unique(context >> (8 * (DEPTH - d)) << 8 | byte, return_inverse=True)
-        levels.append((u, inverse, np.bincount(inverse, weights=counts, minlength=len(u))))
+        if not levels:
+            levels.append([keys, np.asarray(counts, float), None])
+            continue
+        longer = levels[-1][0]
+        u, place = np.unique(longer >> 16 << 8 | longer & 255, return_inverse=True)
+        levels[-1][2] = place
+        levels.append([u, np.bincount(place, weights=levels[-1][1], minlength=len(u)), None])
     mixed = np.zeros((len(keys), 8))
     top = []
-    for j in range(8):
-        below = None
-        estimate = None
-        for u, inverse, c in levels:
+    for j in range(8 if len(keys) else 0):
+        below, found = None, []
+        for u, c, _ in levels:
             # A node is a context and the j bits of the byte that are known.
             node_of = u >> (8 - j)
-            first = np.concatenate([[True], node_of[1:] != node_of[:-1]]) if len(u) else np.zeros(0, bool)
+            first = np.concatenate([[True], node_of[1:] != node_of[:-1]])
             starts = np.flatnonzero(first)
             nodes, number = node_of[starts], np.cumsum(first) - 1
             bit = u >> (7 - j) & 1
-            total = np.add.reduceat(c, starts) if len(u) else c
-            ones = np.add.reduceat(c * bit, starts) if len(u) else c
+            total, ones = np.add.reduceat(c, starts), np.add.reduceat(c * bit, starts)
             zeros = total - ones
             own = log_pe(zeros, ones)
             kt = (np.where(bit == 1, ones[number], zeros[number]) + 0.5) / (total[number] + 1)
             if below is None:
-                weighted, estimate = own, kt[inverse]
+                weighted, weight = own, None
             else:
                 shorter = below[0] >> (j + 8) << j | below[0] & ((1 << j) - 1)
                 product = np.bincount(np.searchsorted(nodes, shorter), weights=below[1], minlength=len(nodes))
-                weight = own_weight(own - product)[number][inverse]
-                estimate = weight * kt[inverse] + (1 - weight) * estimate
+                weight = own_weight(own - product)[number]
                 weighted = np.logaddexp(own, product) - np.log(2)
+            found.append((kt, weight))
             below = nodes, weighted, zeros, ones
-        if len(keys):
-            mixed[:, j] = estimate
-            shorter = below[0] >> (j + 8) << 8 | 1 << j | below[0] & ((1 << j) - 1)
-            at, inverse = np.unique(shorter, return_inverse=True)
-            top.append((at, *(np.bincount(inverse, weights=x) for x in (below[2], below[3], below[1]))))
+        # From the shortest context on: estimate = given + rest * the longer context's estimate.
+        given, rest = np.zeros(len(levels[-1][0])), np.ones(len(levels[-1][0]))
+        for n in range(len(levels) - 1, 0, -1):
+            kt, weight = found[n]
+            given, rest = given + rest * weight * kt, rest * (1 - weight)
+            place = levels[n - 1][2]
+            given, rest = given[place], rest[place]
+        mixed[:, j] = given + rest * found[0][0]
+        shorter = below[0] >> (j + 8) << 8 | 1 << j | below[0] & ((1 << j) - 1)
+        at, inverse = np.unique(shorter, return_inverse=True)
+        top.append((at, *(np.bincount(inverse, weights=x) for x in (below[2], below[3], below[1]))))
     parts_ = [np.concatenate([t[i] for t in top]) if top else np.zeros(0) for i in range(4)]
     return mixed, parts_
 
@@ -386,11 +426,11 @@ def _answers(top):
         keys = expand_sorted(tree["grams"])
         log2p = top.value.log2p(keys, expand(tree["deep"], "<f4").reshape(-1, 8)).astype("<f4")
         totals = expand(tree["word_counts"], "<i8")
-        words = pa.array(expand_words(tree["words"], len(totals)), pa.large_binary())
+        words = expand_words(tree["words"], len(totals))
         out = []
         for r in asked.to_pylist():
             n = len(expand(r["word_counts"], "<i8"))
-            own = pa.array(expand_words(r["words"], n), pa.large_binary())
+            own = expand_words(r["words"], n)
             at = pc.index_in(own, value_set=words).to_numpy(zero_copy_only=False) if n else np.zeros(0, int)
             out.append((
                 r["block"], r["grams"], squeeze(log2p[np.searchsorted(keys, expand_sorted(r["grams"]))]),
@@ -412,36 +452,37 @@ def _scored(n_train: int, n_words: int):
     def scored(docs: pa.Table, answers: pa.Table) -> pa.Table:
         if not docs.num_rows:
             return pa.table([pa.array([], k) for k in kinds], names=names)
-        keys, logs, words, totals = [], [], [], []
+        keys, logs = [], []
+        count_of: dict[str, int] = {}
         for r in answers.to_pylist():
             keys.append(expand_sorted(r["grams"]))
             logs.append(expand(r["log2p"], "<f4"))
-            totals.append(expand(r["word_counts"], "<i8"))
-            words.append(pa.array(expand_words(r["words"], len(totals[-1])), pa.large_binary()))
+            totals = expand(r["word_counts"], "<i8")
+            count_of.update(zip(expand_words(r["words"], len(totals)).to_pylist(), totals.tolist()))
         key, log = np.concatenate(keys), np.concatenate(logs)
+        del keys, logs
         order = np.argsort(key)
         key, log = key[order], log[order]
-        word, total = pa.concat_arrays(words), np.concatenate(totals)
-        del keys, logs, words, totals, order
+        del order
         texts = one_array(docs.column("text"))
-        parts_ = []
+        listed = tokens(texts)
+        flat = listed.flatten().dictionary_encode()
+        c = np.fromiter(map(count_of.__getitem__, flat.dictionary.to_pylist()), np.int64, len(flat.dictionary))
+        starts, at_word = listed.offsets.to_numpy()[:-1], flat.indices.to_numpy()
+        base = np.add.reduceat((np.log10(c + 0.5) - whole)[at_word], starts)
+        n_known = np.add.reduceat((c > 0).astype(np.int64)[at_word], starts)
+        del count_of, flat, at_word
+        bits, sizes = [], []
         for at, n in steps(texts):
-            listed = tokens(texts.slice(at, n))
-            flat = listed.flatten().cast(pa.large_binary()).dictionary_encode()
-            c = total[pc.index_in(flat.dictionary, value_set=word).to_numpy(zero_copy_only=False).astype(np.int64)]
-            c = c[flat.indices.to_numpy()]
-            starts = listed.offsets.to_numpy()[:-1]
-            base = np.add.reduceat(np.log10(c + 0.5) - whole, starts)
-            known = np.add.reduceat((c > 0).astype(np.int64), starts)
-            number, sizes = grams(streams(listed))
+            number, size = grams(streams(listed.slice(at, n)))
             # Distinct (gram, text) with their number: the text is the last byte.
-            pair, times = counted(number << np.uint64(8) | np.repeat(np.arange(n, dtype=np.uint64), sizes))
-            gain = log[np.searchsorted(key, pair >> np.uint64(8))] * times
-            bits = np.bincount((pair & np.uint64(255)).astype(np.int64), weights=gain, minlength=n)
-            parts_.append((
-                pc.list_value_length(listed).to_numpy(), known, base, bits * np.log10(2), -bits / sizes,
-            ))
-        columns = [np.concatenate([p[i] for p in parts_]) for i in range(5)]
+            pair, times = counted(number << np.uint64(8) | np.repeat(np.arange(n, dtype=np.uint64), size))
+            gram, texts_of = counted(pair >> np.uint64(8))
+            gain = np.repeat(log[np.searchsorted(key, gram)], texts_of) * times
+            bits.append(np.bincount((pair & np.uint64(255)).astype(np.int64), gain, n))
+            sizes.append(size)
+        bits, sizes = np.concatenate(bits), np.concatenate(sizes)
+        columns = [pc.list_value_length(listed).to_numpy(), n_known, base, bits * np.log10(2), -bits / sizes]
         return pa.table(
             [docs.column("doc_id").cast(pa.int64()), *(pa.array(c, k) for c, k in zip(columns, kinds[1:]))], names=names
         )

@@ -113,8 +113,9 @@ def with_running(
         *[F.last(c, ignorenulls=True).over(w).alias(n) for n, c in last.items()],
         *[F.sum(c).over(w).alias(n) for n, c in total.items()],
     )
-    in_second = (rows if source is None else source).filter(F.col("row_idx") == block_rows)
-    carried = _carried(rows, in_second.select(*keys), last, total, keys)
+    carried = _carried(
+        rows, _large_blocks(rows if source is None else source, keys, block_rows), last, total, keys
+    )
     joined = local.join(carried, [*keys, BLOCK], "left")
     kept = [c for c in local.columns if c not in (BLOCK, *last, *total)]
     return joined.select(
@@ -127,6 +128,16 @@ def with_running(
     )
 
 
+def _large_blocks(rows: DataFrame, keys: Sequence[str], block_rows: int) -> DataFrame:
+    """(keys, block) of all sheets with more than one block, one row each."""
+    row_idx = F.col("row_idx")
+    later = rows.filter((row_idx >= block_rows) & (F.pmod(row_idx, F.lit(block_rows)) == 0))
+    own, zero = block_of(row_idx, block_rows), F.lit(0).cast("bigint")
+    # The second block also tells of the first.
+    both = F.when(row_idx == block_rows, F.array(zero, own)).otherwise(F.array(own))
+    return later.select(*keys, F.explode(both).alias(BLOCK))
+
+
 def _carried(
     rows: DataFrame,
     large: DataFrame,
@@ -136,12 +147,12 @@ def _carried(
 ) -> DataFrame:
     """What every later block takes over from the blocks before it, one row per block.
 
-    Only ``large`` sheets, those with a row ``block_rows``, take part. They number
-    fewer than all rows over ``block_rows`` (a million), which bounds the broadcast;
-    without any, Spark drops this whole branch at run time.
+    Only the blocks of ``large`` sheets take part. Both sides are keyed by (sheet,
+    block) like the windows, so no task holds a sheet; without large sheets Spark
+    drops this whole branch at run time.
     """
     handed_on = (
-        rows.join(F.broadcast(large), list(keys), "left_semi")
+        rows.join(large, [*keys, BLOCK], "left_semi")
         .groupBy(*keys, BLOCK)
         .agg(
             *[

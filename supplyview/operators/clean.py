@@ -32,7 +32,8 @@ def used_columns(rows: DataFrame, keys: Sequence[str] = SHEET_KEYS) -> DataFrame
 
 
 def drop_blank_columns(df: DataFrame) -> DataFrame:
-    """G20 on a wide table: one counting pass, then a plain projection."""
+    """G20 on a wide table: a counting job first, then a plain projection. Which columns
+    there are depends on the data."""
     counts = df.agg(*[F.count(F.col(f"`{c}`")).alias(c) for c in df.columns]).first()
     return df.select(*[F.col(f"`{c}`") for c in df.columns if counts[c] > 0])
 
@@ -40,7 +41,8 @@ def drop_blank_columns(df: DataFrame) -> DataFrame:
 def whole_number_format(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     """Whole double columns become bigint, others text without a final ``.0``.
 
-    One aggregate decides for all columns; nulls stay null.
+    One aggregate, run right away, decides for all columns, so the types depend on the
+    data; nulls stay null. ``plain_number_text`` is the same value by value.
     """
     doubles = [
         f.name
@@ -69,11 +71,6 @@ def whole_number_format(df: DataFrame, columns: Sequence[str] | None = None) ->
     return df.select(*[shown(c) for c in df.columns])
 
 
-def whole_value_text(number: Column) -> Column:
-    """G23, value by value: whole numbers as integers, others unchanged, as text."""
-    return plain_number_text(number)
-
-
 def is_inventory_column(name: Column) -> Column:
     """Header names holding ``DESCRIPTION`` or ``QTY``."""
     return F.coalesce(name.contains("DESCRIPTION") | name.contains("QTY"), F.lit(False))

@@ -23,10 +23,6 @@ PROJECTED = (
     "n_columns", "table", "start_row", "cells", "merged",
 )
 
-# Spreadsheet rows searched for the header before merged cells are filled.
-LOCAL_HEADER_ROWS = 10
-INVENTORY_HEADER_ROWS = 25
-
 POSITIONS = ("product_pos", "quantity_pos", "supplier_pos", "n_columns", "header_row")
 
 
@@ -49,16 +45,13 @@ def project_cells(attached: DataFrame) -> DataFrame:
     )
 
 
-def fill_merged_products(projected: DataFrame, where: Column, header_rows: int) -> DataFrame:
+def fill_merged_products(projected: DataFrame, where: Column) -> DataFrame:
     """G14 on the rows ``where`` holds: the product of a merged cell is its range's
     top-left value. Rows without a supplier are summary rows and lose theirs.
 
-    Only for products in the first column under a header among the first
-    ``header_rows`` spreadsheet rows.
+    Only for products in the first column, wherever the header stands.
     """
-    where = (
-        where & (F.col("product_pos") == 0) & (F.col("header_row") <= header_rows - 2)
-    )
+    where = where & (F.col("product_pos") == 0)
     is_summary = F.col("has_supplier") & F.coalesce(F.col("supplier") == "", F.lit(True))
     filled = F.when(is_summary, F.lit("")).otherwise(
         merged_fill(F.col("cells"), F.col("merged"), F.col("product_pos"))

@@ -1,4 +1,8 @@
-"""Splitting stacked sheets by the first rule that works (G9, then G10 or G11-G13)."""
+"""Splitting stacked sheets by the first rule that works (G9, then G10 or G11-G13).
+
+Each rule sees the sheets that the rules before it left. A sheet has two tables,
+LANDED and PULLOUT; what a rule finds beyond the second is reported, not dropped.
+"""
 
 from __future__ import annotations
 
@@ -11,6 +15,7 @@ from pyspark.sql import functions as F
 from supplyview.operators import segments as S
 from supplyview.operators.blocks import BLOCK_ROWS, attach_facts
 from supplyview.operators.headers import last_rows
+from supplyview.operators.routing import STACKED
 from supplyview.schemas import SHEET_KEYS
 from supplyview.session import stage
 
@@ -49,52 +54,108 @@ def first_two(
     )
 
 
-def by_priority(candidates: Sequence[DataFrame], keys: Sequence[str] = SHEET_KEYS) -> DataFrame:
-    """For every sheet the ranges of the first rule that found any (small tables)."""
-    ranked = [c.withColumn("_rule", F.lit(n)) for n, c in enumerate(candidates)]
-    every = reduce(DataFrame.unionByName, ranked)
-    names = ["last_row", *S.RANGE]
-    best = every.groupBy(*keys).agg(F.min_by(F.struct(*names), "_rule").alias("_best"))
-    return best.select(*keys, *[F.col(f"_best.{n}").alias(n) for n in names])
+def beyond_two(
+    found: DataFrame,
+    ranges: DataFrame,
+    keys: Sequence[str] = SHEET_KEYS,
+    block_rows: int = BLOCK_ROWS,
+) -> DataFrame:
+    """``(keys, start_row, end_row)`` of the third and later ranges of the split sheets."""
+    at = found.withColumn("row_idx", F.col("start_row"))
+    facts = ranges.select(*keys, "pullout_start", "last_row")
+    return (
+        attach_facts(at, facts, keys, block_rows)
+        .filter(F.col("start_row") > F.col("pullout_start"))
+        .select(*keys, "start_row", "end_row")
+    )
 
 
-def basic_ranges(
-    rows: DataFrame, keys: Sequence[str] = SHEET_KEYS, block_rows: int = BLOCK_ROWS
+def without(
+    rows: DataFrame,
+    ranges: DataFrame,
+    keys: Sequence[str] = SHEET_KEYS,
+    block_rows: int = BLOCK_ROWS,
 ) -> DataFrame:
-    """Markers in the first column (G9), else the first blank row."""
-    return by_priority(
-        [S.first_column_ranges(rows, keys, block_rows), S.blank_row_ranges(rows, keys)], keys
-    )
+    """Rows of the sheets that have no ranges yet."""
+    split = ranges.select(*keys, "last_row", F.lit(True).alias("_split"))
+    left = attach_facts(rows, split, keys, block_rows, "left").filter(F.col("_split").isNull())
+    return left.select(*rows.columns)
 
 
-def advanced_ranges(
+def basic_rules(
     rows: DataFrame, keys: Sequence[str] = SHEET_KEYS, block_rows: int = BLOCK_ROWS
-) -> DataFrame:
-    """Markers (G9), else table boundaries (G11), else null patterns (G12), else the
-    midpoint (G13). The first two tables found are LANDED and PULLOUT."""
-    # Staged: each list of ranges is read twice to find a sheet's first two.
-    bounded = stage(S.table_boundaries(rows, keys, False, block_rows), "boundaries")
-    patterned = stage(S.null_pattern_segments(rows, keys, block_rows), "patterns")
-    return by_priority(
-        [
-            S.first_column_ranges(rows, keys, block_rows),
-            first_two(bounded, rows, keys, block_rows),
-            first_two(patterned, rows, keys, block_rows, one_is_enough=True),
-            S.midpoint_ranges(rows, keys),
-        ],
-        keys,
+) -> tuple[DataFrame, DataFrame | None]:
+    """Ranges by markers in the first column (G9), else by the first blank row."""
+    marked = stage(S.first_column_ranges(rows, keys, block_rows), "marked")
+    rest = without(rows, marked, keys, block_rows)
+    return marked.unionByName(S.blank_row_ranges(rest, keys)), None
+
+
+def advanced_rules(
+    rows: DataFrame, keys: Sequence[str] = SHEET_KEYS, block_rows: int = BLOCK_ROWS
+) -> tuple[DataFrame, DataFrame]:
+    """Ranges by markers (G9), else table boundaries (G11), else null patterns (G12), else
+    the midpoint (G13), and the tables beyond the second.
+
+    Each rule's few ranges are staged, because the next rule and the cut read them;
+    the shuffling rules run on the sheets that are left only.
+    """
+    marked = stage(S.first_column_ranges(rows, keys, block_rows), "marked")
+    rest = without(rows, marked, keys, block_rows)
+    bounded = stage(S.table_boundaries(rest, keys, False, block_rows), "boundaries")
+    by_bounds = stage(first_two(bounded, rest, keys, block_rows), "bounded")
+    rest = without(rest, by_bounds, keys, block_rows)
+    patterned = stage(S.null_pattern_segments(rest, keys, block_rows), "patterns")
+    by_pattern = stage(first_two(patterned, rest, keys, block_rows, one_is_enough=True), "patterned")
+    rest = without(rest, by_pattern, keys, block_rows)
+    further = beyond_two(bounded, by_bounds, keys, block_rows).unionByName(
+        beyond_two(patterned, by_pattern, keys, block_rows)
     )
+    chosen = reduce(
+        DataFrame.unionByName, [marked, by_bounds, by_pattern, S.midpoint_ranges(rest, keys)]
+    )
+    return chosen, further
+
+
+def marker_rules(
+    rows: DataFrame, keys: Sequence[str] = SHEET_KEYS, block_rows: int = BLOCK_ROWS
+) -> tuple[DataFrame, DataFrame | None]:
+    """Ranges by marker cells in any column (G8) alone."""
+    return S.marker_ranges(rows, keys, block_rows), None
 
 
 def advanced_split(
     rows: DataFrame, keys: Sequence[str] = SHEET_KEYS, block_rows: int = BLOCK_ROWS
 ) -> DataFrame:
     """Rows of both tables by the advanced rules."""
-    return S.cut_tables(rows, advanced_ranges(rows, keys, block_rows), keys, block_rows)
+    return S.cut_tables(rows, advanced_rules(rows, keys, block_rows)[0], keys, block_rows)
 
 
 def basic_split(
     rows: DataFrame, keys: Sequence[str] = SHEET_KEYS, block_rows: int = BLOCK_ROWS
 ) -> DataFrame:
     """Rows of both tables by the basic rules."""
-    return S.cut_tables(rows, basic_ranges(rows, keys, block_rows), keys, block_rows)
+    return S.cut_tables(rows, basic_rules(rows, keys, block_rows)[0], keys, block_rows)
+
+
+def split_rejects(
+    rows: DataFrame,
+    ranges: DataFrame,
+    further: DataFrame | None,
+    keys: Sequence[str] = SHEET_KEYS,
+) -> DataFrame:
+    """``(keys, table, reason)`` of stacked sheets that no rule splits, and of the
+    tables beyond the second."""
+    unsplit = rows.select(*keys).distinct().join(ranges.select(*keys), list(keys), "left_anti")
+    out = unsplit.select(*keys, F.lit(STACKED).alias("table"), F.lit("no rule splits the sheet").alias("reason"))
+    if further is None:
+        return out
+    beyond = further.select(
+        *keys,
+        F.lit(STACKED).alias("table"),
+        F.concat(
+            F.lit("table beyond the second: rows "), F.col("start_row").cast("string"),
+            F.lit(" to "), F.col("end_row").cast("string"),
+        ).alias("reason"),
+    )
+    return out.unionByName(beyond)

@@ -6,9 +6,14 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from supplyview.operators.blocks import BLOCK_ROWS, with_running
-from supplyview.schemas import SHEET_KEYS
+from supplyview.schemas import MERGED_CELL, SHEET_KEYS
+
+
+def nothing_merged() -> Column:
+    return F.array().cast(T.ArrayType(MERGED_CELL))
 
 
 def merged_fill(cells: Column, merged: Column, position: Column) -> Column:

@@ -163,7 +163,8 @@ def header_priority(rows: DataFrame, keys: Sequence[str] = SHEET_KEYS) -> DataFr
 
 
 def header_names(cells: Column, base: int = 0, raw: bool = False) -> Column:
-    """Stripped names, ``Column_{i}`` for blanks; later duplicates get ``_2``, ``_3``.
+    """Stripped names, ``Column_{i}`` for blanks; later duplicates get ``_2``, ``_3``
+    and so on; a numbered name that is taken already gets a further number.
 
     ``raw`` keeps the cell text unstripped (landed and pull-out split sheets).
     """
@@ -179,7 +180,24 @@ def header_names(cells: Column, base: int = 0, raw: bool = False) -> Column:
         seen = F.size(F.filter(F.slice(named, 1, i + 1), lambda other: other == name))
         return F.when(seen > 1, F.concat(name, F.lit("_"), seen.cast("string"))).otherwise(name)
 
-    return F.transform(named, numbered)
+    plain = F.transform(named, numbered)
+
+    def free(done: Column, name: Column) -> Column:
+        """The name, or with a number that no finished or plain name has."""
+        tries = F.transform(
+            F.sequence(F.lit(2), F.size(plain) + 1),
+            lambda n: F.concat(name, F.lit("_"), n.cast("string")),
+        )
+        left = F.array_except(F.array_except(tries, done), plain)
+        return F.when(F.array_contains(done, name), F.get(left, F.lit(0))).otherwise(name)
+
+    # Only a name like QTY_2 beside two QTY makes a clash.
+    unique = F.aggregate(
+        plain,
+        F.array().cast("array<string>"),
+        lambda done, name: F.concat(done, F.array(free(done, name))),
+    )
+    return F.when(F.size(F.array_distinct(plain)) == F.size(plain), plain).otherwise(unique)
 
 
 def last_rows(rows: DataFrame, keys: Sequence[str] = SHEET_KEYS) -> DataFrame:

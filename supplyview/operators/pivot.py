@@ -9,7 +9,7 @@ from operator import add
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from supplyview.functions import format_quantity, is_blank, strip
+from supplyview.functions import format_quantity, is_blank
 from supplyview.operators.facts import is_acknowledged, usage_rows
 from supplyview.schemas import (
     ALL_STATUSES,
@@ -44,22 +44,14 @@ def category_status_sums(fact: DataFrame, keys: Sequence[str] = ()) -> DataFrame
     )
 
 
-def product_status_sums(fact: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
-    """Sum and row count per (stripped product, status), before any category lookup."""
-    return fact.groupBy(*keys, strip(F.col("product")).alias("product"), "status").agg(
-        F.sum("quantity").alias("quantity"), F.count(F.lit(1)).alias("n_rows")
-    )
-
+def product_sums(fact: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
+    """The fact by product, status and category: its quantity and number of rows.
 
-def categorized_sums(fact: DataFrame, dim: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
-    """Uncategorised fact to (category, status) sums.
-
-    The fact is pre-aggregated by product, so the join with the dimension sees one
-    row per product and status; a product owning most rows is one row there.
+    A product owning most rows is a few rows here; the reports read this table.
     """
-    products = product_status_sums(fact, keys)
-    joined = products.join(dim.select("product", "category"), "product", "left")
-    return category_status_sums(joined, keys)
+    return fact.groupBy(*keys, "product", "status", "category").agg(
+        F.sum("quantity").alias("quantity"), F.count(F.lit(1)).alias("n_rows")
+    )
 
 
 def statuses_of(sums: DataFrame) -> list[str]:

@@ -8,19 +8,26 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from supplyview.functions import is_blank, lenient_double, strip
+from supplyview.operators.blocks import BLOCK_ROWS, attach_facts
 from supplyview.operators.facts import is_acknowledged
+from supplyview.operators.fill import merged_fill, nothing_merged
 from supplyview.operators.headers import named_values
+from supplyview.operators.segments import is_blank_row
 from supplyview.schemas import DELIVERY_STATUSES, SHEET_KEYS, USAGE_STATUS
 
-# Fixed value: rows below the header that the substring search looks at.
-SEARCH_ROWS = 29
+def n_rows(fact: DataFrame, test: Column | None = None) -> Column:
+    """Rows where ``test`` holds. A fact summed by product carries them as ``n_rows``,
+    so the reports read either and need no row-level join."""
+    weight = F.col("n_rows") if "n_rows" in fact.columns else F.lit(1)
+    counted = weight if test is None else F.when(test, weight)
+    return F.coalesce(F.sum(counted), F.lit(0)).cast("bigint")
 
 
 def status_counts(fact: DataFrame) -> DataFrame:
     """Rows per status, most frequent first."""
     return (
         fact.groupBy("status")
-        .agg(F.count(F.lit(1)).alias("n_rows"))
+        .agg(n_rows(fact).alias("n_rows"))
         .orderBy(F.desc("n_rows"), "status")
     )
 
@@ -30,7 +37,7 @@ def category_counts(fact: DataFrame) -> DataFrame:
     label = F.when(is_blank(F.col("category")), "No category").otherwise(F.col("category"))
     return (
         fact.groupBy(label.alias("category"))
-        .agg(F.count(F.lit(1)).alias("n_rows"))
+        .agg(n_rows(fact).alias("n_rows"))
         .orderBy(F.desc("n_rows"), "category")
     )
 
@@ -40,7 +47,7 @@ def na_products(fact: DataFrame) -> DataFrame:
     return (
         fact.filter(is_acknowledged(F.col("category")))
         .groupBy("product")
-        .agg(F.count(F.lit(1)).alias("n_rows"))
+        .agg(n_rows(fact).alias("n_rows"))
         .orderBy("product")
     )
 
@@ -49,9 +56,9 @@ def exclusion_counts(fact: DataFrame) -> DataFrame:
     """Rows in all, left out of the pivot, and kept."""
     out = is_acknowledged(F.col("category"))
     return fact.agg(
-        F.count(F.lit(1)).alias("n_total"),
-        F.count_if(out).alias("n_excluded"),
-        F.count_if(~out).alias("n_kept"),
+        n_rows(fact).alias("n_total"),
+        n_rows(fact, out).alias("n_excluded"),
+        n_rows(fact, ~out).alias("n_kept"),
     )
 
 
@@ -63,7 +70,7 @@ def status_counts_fixed(
     One aggregate row, then one output row per status.
     """
     status = F.upper("status")
-    counts = fact.agg(*[F.count_if(status == s.upper()).alias(s) for s in statuses])
+    counts = fact.agg(*[n_rows(fact, status == s.upper()).alias(s) for s in statuses])
     pairs = F.array(
         *[F.struct(F.lit(s).alias("status"), F.col(f"`{s}`").alias("n_rows")) for s in statuses]
     )
@@ -168,32 +175,33 @@ def product_search(
     text: str,
     product: str,
     keys: Sequence[str] = SHEET_KEYS,
-    scan_rows: int = SEARCH_ROWS,
+    scan_rows: int | None = None,
 ) -> DataFrame:
     """Rows of a promoted table whose product holds ``text``, ignoring case.
 
-    Gives row, supplier (second column), quantity and the first row of the merged
-    range the product lies in (null when it is not merged).
+    Gives row, supplier (second column), quantity, and the first and last row of
+    the merged range the product lies in (null when it is not merged). Products in a
+    merged range are found on each of its rows. ``scan_rows`` limits the search to the
+    rows right below the header.
     """
     position = F.nullif(F.array_position(F.col("header"), product), F.lit(0)) - 1
-    found = (
-        table.filter(F.col("row_idx") < scan_rows)
-        .withColumn("_pos", position)
-        .withColumn("product", F.get("cells", F.col("_pos")))
-        .filter(F.upper("product").contains(text.upper()))
-    )
-    merged = (
-        F.get(F.filter("merged", lambda m: m.col_idx == F.col("_pos")), F.lit(0)).anchor_row
-        if "merged" in table.columns
-        else F.lit(None).cast("int")
+    looked_at = table if scan_rows is None else table.filter(F.col("row_idx") < scan_rows)
+    with_merged = (
+        looked_at if "merged" in table.columns else looked_at.withColumn("merged", nothing_merged())
     )
+    placed = with_merged.withColumn("_pos", position)
+    found = placed.withColumn(
+        "product", merged_fill(F.col("cells"), F.col("merged"), F.col("_pos"))
+    ).filter(F.upper("product").contains(text.upper()))
+    span = F.get(F.filter("merged", lambda m: m.col_idx == F.col("_pos")), F.lit(0))
     return found.select(
         *keys,
         "row_idx",
         strip(F.col("product")).alias("product"),
         F.get("cells", F.lit(1)).alias("supplier"),
         F.get("cells", delivered_kilos_position(F.col("header"))).alias("quantity"),
-        merged.alias("merged_from_row"),
+        span.anchor_row.alias("merged_from_row"),
+        span.last_row.alias("merged_to_row"),
     )
 
 
@@ -208,3 +216,58 @@ def search_counts(found: DataFrame, keys: Sequence[str] = SHEET_KEYS) -> DataFra
 def preview(df: DataFrame, order: Sequence[str], n: int = 10) -> DataFrame:
     """The first rows under a total order (a top-k report)."""
     return df.orderBy(*order).limit(n)
+
+
+def sheet_audit(
+    routed: DataFrame,
+    parts: DataFrame,
+    located: DataFrame,
+    aside: Sequence[str],
+    further: DataFrame | None = None,
+    keys: Sequence[str] = SHEET_KEYS,
+    block_rows: int = BLOCK_ROWS,
+) -> DataFrame:
+    """Where the rows of every sheet went; the parts add up to ``n_read``.
+
+    ``routed``: all rows with their ``table``; ``parts``: the rows that belong to tables,
+    with the table's name; ``located``: the tables' headers and reasons; ``aside``: tables that
+    are not delivered; ``further``: row ranges left out of split sheets. Rows of a
+    split sheet outside its tables are titles and markers.
+    """
+    blank = is_blank_row(F.col("cells"))
+    whole = routed.groupBy(*keys).agg(
+        F.count(F.lit(1)).alias("n_read"),
+        F.count_if(blank).alias("n_blank"),
+        F.bool_or(F.coalesce(F.col("table").isin(*aside), F.lit(True))).alias("_aside"),
+    )
+    by = [*keys, "table"]
+    facts = located.select(*by, "last_row", "header_row", F.col("reason").isNotNull().alias("_bad"))
+    below = F.col("row_idx") > F.coalesce("header_row", F.lit(-2))
+    told = attach_facts(parts.filter(~blank), facts, by, block_rows).groupBy(*keys).agg(
+        F.count(F.lit(1)).alias("_parts"),
+        F.count_if(F.col("_bad")).alias("_rejected"),
+        F.count_if(~F.col("_bad") & below).alias("_table"),
+    )
+    counted = whole.join(told, list(keys), "left")
+    if further is None:
+        counted = counted.withColumn("_further", F.lit(0).cast("bigint"))
+    else:
+        sheets = routed.groupBy(*keys).agg(F.max("row_idx").alias("last_row"))
+        spans = further.join(sheets, list(keys))
+        here = F.col("row_idx").between(F.col("start_row"), F.col("end_row"))
+        left = attach_facts(routed.filter(~blank), spans, keys, block_rows).filter(here)
+        counted = counted.join(
+            left.groupBy(*keys).agg(F.count(F.lit(1)).alias("_further")), list(keys), "left"
+        )
+    zero = F.lit(0).cast("bigint")
+    n = {c: F.coalesce(F.col(c), zero) for c in ("_parts", "_rejected", "_table", "_further")}
+    outside = F.col("n_read") - F.col("n_blank") - n["_parts"]
+    aside_rows = F.when(F.col("_aside"), outside).otherwise(zero)
+    # A stacked sheet without any part was not split.
+    lost = F.when(F.col("_aside"), zero).when(F.col("_parts").isNull(), outside).otherwise(n["_further"])
+    rejected = n["_rejected"] + lost
+    return counted.select(
+        *keys, "n_read", n["_table"].alias("n_table"),
+        (F.col("n_read") - F.col("n_blank") - n["_table"] - rejected - aside_rows).alias("n_header"),
+        "n_blank", rejected.alias("n_rejected"), aside_rows.alias("n_aside"),
+    )

@@ -257,23 +257,23 @@ def table_boundaries(
         block_rows=block_rows,
         source=rows,
     )
-    # Every row also counts for the whole sheet (segment -1): a sheet of separators
-    # only is one table, and one aggregate finds out both.
     row_idx = F.when(~F.col("_sep"), F.col("row_idx"))
-    found = (
-        numbered.withColumn("_segment", F.explode(F.array("_segment", F.lit(-1).cast("bigint"))))
-        .groupBy(*keys, "_segment")
-        .agg(
-            F.min(row_idx).alias("start_row"),
-            F.max(row_idx).alias("end_row"),
-            F.max("row_idx").alias("_last"),
-        )
+    found = numbered.groupBy(*keys, "_segment").agg(
+        F.min(row_idx).alias("start_row"),
+        F.max(row_idx).alias("end_row"),
+        F.max("row_idx").alias("_last"),
     )
-    whole = F.col("_segment") == -1
-    return found.filter(whole == F.col("start_row").isNull()).select(
-        *keys,
-        F.coalesce("start_row", F.lit(0).cast("bigint")).alias("start_row"),
-        F.when(whole, F.col("_last")).otherwise(F.col("end_row")).alias("end_row"),
+    # A sheet of separators only is one table.
+    only = (
+        found.groupBy(*keys)
+        .agg(F.max("start_row").alias("_any"), F.max("_last").alias("end_row"))
+        .filter(F.col("_any").isNull())
+        .select(*keys, F.lit(0).cast("bigint").alias("start_row"), "end_row")
+    )
+    return (
+        found.filter(F.col("start_row").isNotNull())
+        .select(*keys, "start_row", "end_row")
+        .unionByName(only)
     )
 
 

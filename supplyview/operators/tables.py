@@ -7,27 +7,22 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from supplyview.functions import is_header_text_lenient, is_header_text_strict
+from supplyview.functions import is_blank, is_header_text_lenient, is_header_text_strict
 from supplyview.operators import headers as H
-from supplyview.operators.blocks import BLOCK_ROWS, attach_facts
-from supplyview.operators.clean import drop_blank_rows
+from supplyview.operators.blocks import BLOCK_ROWS, attach_facts, with_running
+from supplyview.operators.clean import drop_blank_rows, is_inventory_column
 from supplyview.operators.facts import (
-    INVENTORY_HEADER_ROWS,
-    LOCAL_HEADER_ROWS,
     fill_merged_products,
     nonempty_product,
     project_cells,
 )
-from supplyview.operators.fill import ffill_summary
+from supplyview.operators.fill import ffill_summary, merged_fill, nothing_merged
 from supplyview.operators.routing import locate_columns, rejects, usable
-from supplyview.schemas import INVENTORY_STATUS, SHEET_KEYS, TABLE_COLUMNS
+from supplyview.schemas import INVENTORY_COLUMNS, INVENTORY_STATUS, SHEET_KEYS, TABLE_COLUMNS
 from supplyview.session import stage
 
 LOCAL = "UNSERVED LOCAL"
 
-# Fixed value: the older rules look for summary rows in tables at least this wide.
-LEGACY_LOCAL_COLUMNS = 8
-
 
 def locate(
     rows: DataFrame,
@@ -106,12 +101,14 @@ def delivery_table(
     mapping: Mapping[str, Sequence[str]] = TABLE_COLUMNS,
     lenient: bool = False,
     block_rows: int = BLOCK_ROWS,
+    summary_columns: int = 0,
 ) -> tuple[DataFrame, DataFrame]:
     """G28 (strict rule) and G30/G31 (``lenient``, names counted from 1).
 
     ``rows`` carry a ``table`` and may carry its ``start_row``. Returns (projected
     rows, rejects). Unserved local takes its product from merged cells; the older
-    rules forward fill every product instead, but never a quantity.
+    rules forward fill every product instead, but never a quantity, and look for
+    summary rows in unserved local tables of at least ``summary_columns`` columns.
     """
     keys = [*keys, "table"]
     rule = is_header_text_lenient if lenient else is_header_text_strict
@@ -120,11 +117,11 @@ def delivery_table(
     located = locate(rows, rank, keys, mapping, base=1 if lenient else 0)
     found = project_tables(rows, located, keys, block_rows)
     if lenient:
-        wide_local = (F.col("table") == LOCAL) & (F.col("n_columns") >= LEGACY_LOCAL_COLUMNS)
+        wide_local = (F.col("table") == LOCAL) & (F.col("n_columns") >= summary_columns)
         summary = wide_local & F.col("has_supplier") & F.col("supplier").isNull()
         filled = fill_products(found, keys, summary, block_rows)
     else:
-        filled = fill_merged_products(found, F.col("table") == LOCAL, LOCAL_HEADER_ROWS)
+        filled = fill_merged_products(found, F.col("table") == LOCAL)
     return filled, rejects(located, keys[:-1])
 
 
@@ -144,7 +141,7 @@ def inventory_table(
     projected = project_tables(rows, located, keys, block_rows)
     if fill_merged:
         projected = fill_merged_products(
-            projected.withColumn("has_supplier", F.lit(False)), F.lit(True), INVENTORY_HEADER_ROWS
+            projected.withColumn("has_supplier", F.lit(False)), F.lit(True)
         )
     return projected, rejects(located, keys[:-1])
 
@@ -175,8 +172,15 @@ def split_tables(
     found = project_tables(rows, located, keys, block_rows)
     # Without a supplier column no row is a summary row.
     summary = F.col("has_supplier") & F.coalesce(F.col("supplier") == "", F.lit(True))
-    filled = fill_products(found.filter(table == LOCAL), keys, summary, block_rows)
-    projected = nonempty_product(found.filter(table != LOCAL).unionByName(filled))
+    # One pass: other tables carry nothing forward and keep their products.
+    is_local = table == LOCAL
+    local = found.withColumn("_own", F.col("product")).withColumn(
+        "product", F.when(is_local, F.col("product"))
+    )
+    filled = fill_products(local, keys, summary, block_rows).withColumn(
+        "product", F.when(is_local, F.col("product")).otherwise(F.col("_own"))
+    )
+    projected = nonempty_product(filled.drop("_own"))
     return projected, rejects(located, keys[:-1]), H.captured_aliases(located, "UNSERVED_LOCAL")
 
 
@@ -187,9 +191,9 @@ def promoted_tables(
     base: int = 0,
     block_rows: int = BLOCK_ROWS,
 ) -> DataFrame:
-    """Every table with all its columns: ``(keys, table, row_idx, header, cells)``.
+    """Every table with all its columns: ``(keys, table, row_idx, header, cells, merged)``.
 
-    For saving and profiling whole tables, the unmapped and summary sheets too.
+    The unmapped and summary sheets too; ``finish_tables`` makes them ready for saving.
     Blank rows are dropped (G19); an unnamed sheet gets numbered column names.
     """
     keys = [*keys, "table"]
@@ -213,6 +217,89 @@ def promoted_tables(
         H.header_names(padded, base).alias("header"),
     )
     attached = attach_facts(rows, facts, keys, block_rows)
-    return drop_blank_rows(attached.filter(F.col("row_idx") > F.col("header_row"))).select(
-        *keys, "row_idx", "header", "cells"
+    body = drop_blank_rows(attached.filter(F.col("row_idx") > F.col("header_row")))
+    merged = F.col("merged") if "merged" in rows.columns else nothing_merged()
+    return body.select(*keys, "row_idx", "header", "cells", merged.alias("merged"))
+
+
+def _with_cell(cells: Column, position: Column, value: Column) -> Column:
+    """The cells with another value at ``position``; null or negative: unchanged."""
+    return F.when(
+        position >= 0,
+        F.transform(
+            F.concat(cells, F.array_repeat(F.lit(None).cast("string"), (position + 1 - F.size(cells)).cast("int"))),
+            lambda c, i: F.when(i == position, value).otherwise(c),
+        ),
+    ).otherwise(cells)
+
+
+def _place(name: str) -> Column:
+    """0-based position of a header name, null without it."""
+    return F.nullif(F.array_position(F.col("header"), name), F.lit(0)) - 1
+
+
+def finish_tables(
+    promoted: DataFrame,
+    keys: Sequence[str] = SHEET_KEYS,
+    forward_fill: bool = False,
+    rename: Sequence[str] = (),
+    aliases: Mapping[str, Sequence[str]] | None = None,
+    fill_inventory: bool = False,
+    summary_columns: int = 0,
+    block_rows: int = BLOCK_ROWS,
+) -> DataFrame:
+    """Whole tables as they are saved: ``(keys, table, row_idx, header, cells)``.
+
+    Unserved local takes its products from merged cells (G14), or from above with
+    ``forward_fill`` (G15), and loses them on summary rows. The header names of the
+    ``rename`` tables get their usual spelling (G17). Inventory keeps its description
+    and quantity columns (G24), blanks for nulls (G21) and its visible rows (G22).
+    """
+    by = [*keys, "table"]
+    named = promoted
+    if rename:
+        usual = H.rename_headers(
+            named.withColumn("_header", F.col("header")), aliases=aliases or {}
+        )
+        named = usual.withColumn(
+            "header", F.when(F.col("table").isin(*rename), F.col("header")).otherwise(F.col("_header"))
+        ).drop("_header", "captured")
+    local = F.col("table") == LOCAL
+    stock = F.col("table") == INVENTORY_STATUS
+    placed = named.withColumns({
+        "_product": F.when(local, _place(H.LOCAL_PRODUCT))
+        .when(stock & F.lit(fill_inventory), _place(INVENTORY_COLUMNS[0])),
+        "_supplier": F.when(local, _place("SUPPLIER")),
+    })
+    own = F.get("cells", F.col("_product"))
+    first = F.col("_product") == 0
+    if forward_fill:
+        above = with_running(
+            placed.withColumn("_seen", F.when(local, own)),
+            last={"_filled": F.col("_seen")}, keys=by, block_rows=block_rows,
+        ).drop("_seen")
+    else:
+        above = placed.withColumn("_filled", own)
+    merged = F.when(first, merged_fill(F.col("cells"), F.col("merged"), F.col("_product"))).otherwise(own)
+    filled = F.when(local & F.lit(forward_fill), F.col("_filled")).otherwise(merged)
+    wide_enough = F.size("header") >= summary_columns
+    summary = (
+        local & wide_enough & (F.col("_supplier") >= 0)
+        & (F.coalesce(F.get("cells", F.col("_supplier")), F.lit("")) == "")
+        & (F.lit(forward_fill) | first)
+    )
+    product = F.when(summary, F.lit("")).otherwise(filled)
+    done = above.withColumn("cells", _with_cell(F.col("cells"), F.col("_product"), product))
+    kept = F.filter(
+        F.transform(F.col("header"), lambda h, i: F.when(is_inventory_column(h), i)),
+        lambda i: i.isNotNull(),
     )
+    chosen = stock & (F.size(kept) > 0)
+    narrowed = done.withColumns({
+        "cells": F.when(
+            chosen, F.transform(kept, lambda i: F.coalesce(F.get("cells", i), F.lit("")))
+        ).when(stock, F.transform("cells", lambda c: F.coalesce(c, F.lit("")))).otherwise(F.col("cells")),
+        "header": F.when(chosen, F.transform(kept, lambda i: F.get("header", i))).otherwise(F.col("header")),
+    })
+    visible = ~stock | ~is_blank(F.array_join("cells", ""))
+    return narrowed.filter(visible).select(*by, "row_idx", "header", "cells")

@@ -103,23 +103,49 @@ def ingredient_map_exact(
     )
 
 
-def _parts(df: DataFrame, text: str, lengths: DataFrame) -> DataFrame:
-    """Every substring of ``text`` that has one of the given lengths."""
+# Texts of at least this length are indexed by one of their parts of this length.
+GRAM = 6
+
+
+def _cuts(texts: DataFrame, lengths: Sequence[int]) -> DataFrame:
+    """(text, part): the distinct parts of the given lengths. For each length they are
+    fewer than the text has characters."""
+    sized = texts.select("text", F.explode(F.lit(list(lengths))).alias("_n"))
+    at = F.sequence(F.lit(1), F.length("text") - F.col("_n") + 1)
     return (
-        df.withColumn("_lengths", lengths.scalar())
-        .withColumn("_len", F.explode("_lengths"))
-        .filter(F.col("_len") <= F.length(text))
-        .withColumn(
-            "_at", F.explode(F.sequence(F.lit(1), F.length(F.col(text)) - F.col("_len") + 1))
-        )
-        .withColumn("_part", F.substring(F.col(text), F.col("_at"), F.col("_len")))
-        .drop("_lengths", "_len", "_at")
+        sized.filter(F.length("text") >= F.col("_n"))
+        .select("text", "_n", F.explode(at).alias("_at"))
+        .select("text", F.substring(F.col("text"), F.col("_at"), F.col("_n")).alias("part"))
+        .distinct()
     )
 
 
-def _lengths(df: DataFrame, text: str) -> DataFrame:
-    """One row: the set of text lengths. It holds no more entries than the longest text."""
-    return df.agg(F.array_sort(F.collect_set(F.length(text))))
+def containing(whole: DataFrame, inner: DataFrame) -> DataFrame:
+    """(text, inner): every text of ``whole`` with every text of ``inner`` it contains.
+
+    Both have one column ``text`` of distinct texts. A long inner text is indexed by its
+    rarest part of ``GRAM`` characters, so a whole text of n characters is cut into
+    fewer than n parts, which are looked up and then checked by ``contains``. Inner texts
+    shorter than that (fewer than ``GRAM`` lengths) are looked up as they are.
+    """
+    long = _cuts(inner, [GRAM])
+    rarity = long.groupBy("part").agg(F.count(F.lit(1)).alias("_n"))
+    index = (
+        long.join(rarity, "part").groupBy("text")
+        .agg(F.min_by("part", F.struct("_n", "part")).alias("part"))
+        .withColumnRenamed("text", "inner")
+    )
+    by_gram = (
+        _cuts(whole, [GRAM]).join(index, "part")
+        .filter(F.col("text").contains(F.col("inner")))
+        .select("text", "inner")
+    )
+    short = inner.filter(F.length("text") < GRAM).select(F.col("text").alias("inner"))
+    as_is = (
+        _cuts(whole, range(1, GRAM))
+        .join(short, F.col("part") == F.col("inner")).select("text", "inner")
+    )
+    return by_gram.unionByName(as_is)
 
 
 def ingredient_map_fuzzy(
@@ -128,10 +154,8 @@ def ingredient_map_fuzzy(
     """Exact product, else the first product in file order where either name
     contains the other ignoring case, else the ingredient itself, flagged new.
 
-    Containment is an equality join on substrings: ``a`` contains ``b`` exactly
-    when some substring of ``a`` with ``b``'s length equals ``b``. Only lengths
-    that occur on the other side are cut, and both sides are reduced to one row
-    per text before the join, so no pairs are enumerated.
+    Both sides are reduced to one row per text before ``containing`` finds candidates,
+    whose number grows with the length of the names, not with its square.
     """
     names = _ingredients(usage, keys).withColumn("_name", F.lower("ingredient_name"))
     products = (
@@ -143,30 +167,13 @@ def ingredient_map_fuzzy(
             F.min("file_pos").alias("product_pos"),
         )
     )
-    wanted = names.select("_name").distinct()
-    # The ingredient contains the product.
-    inner = _parts(wanted, "_name", _lengths(products, "_text")).distinct()
-    by_text = products.select(F.col("_text").alias("_part"), "product", "product_pos")
-    found_inside = (
-        lookup_join(inner, by_text, ["_part"])
-        .filter(F.col("product").isNotNull())
-        .select("_name", "product", "product_pos")
-    )
-    # The product contains the ingredient.
-    outer = (
-        _parts(products, "_text", _lengths(wanted, "_name"))
-        .groupBy("_part")
-        .agg(
-            F.min_by("product", "product_pos").alias("product"),
-            F.min("product_pos").alias("product_pos"),
-        )
-    )
-    found_around = wanted.join(outer, F.col("_name") == F.col("_part")).select(
-        "_name", "product", "product_pos"
-    )
+    wanted = names.select(F.col("_name").alias("text")).distinct()
+    known = products.select(F.col("_text").alias("text"))
+    inside = containing(wanted, known).select(F.col("text").alias("_name"), F.col("inner").alias("_text"))
+    around = containing(known, wanted).select(F.col("inner").alias("_name"), F.col("text").alias("_text"))
+    matched = inside.unionByName(around).join(products, "_text")
     partial = (
-        found_inside.unionByName(found_around)
-        .groupBy("_name")
+        matched.groupBy("_name")
         .agg(F.min_by("product", "product_pos").alias("_partial"))
     )
     exact = dim.select(F.col("product").alias("ingredient_name"), F.lit(True).alias("_exact"))

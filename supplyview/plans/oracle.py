@@ -456,7 +456,7 @@ delivered AS (
   FROM routed r JOIN reasoned x USING (workbook, sheet, "table")
   WHERE x.reason IS NULL AND r.row_idx > x.header_row AND NOT {BLANK})"""
 
-INVENTORY = f"""
+INVENTORY_GRID = f"""
 inventory_grid AS (
   SELECT workbook, sheet, unnest(
       CASE WHEN pos = 0 THEN [{{'row_idx': 0, 'cells': ['STOCK LIST', NULL, NULL, NULL]}},
@@ -470,12 +470,26 @@ inventory_grid AS (
                        CAST(p_size AS VARCHAR), NULL, p_brand] END}}], recursive := true)
   FROM (SELECT *, p_partkey // 128 AS sheet_no, p_partkey % 128 AS pos,
                'inventory' || CAST(p_partkey // 1024 AS VARCHAR) AS workbook,
-               'S' || CAST((p_partkey // 128) % 8 AS VARCHAR) AS sheet FROM part)),
+               'S' || CAST((p_partkey // 128) % 8 AS VARCHAR) AS sheet FROM part))"""
+
+# Every fifth group of four rows below the header is a merged product cell.
+MERGED_GRID = INVENTORY_GRID.replace("inventory_grid AS", "unmerged_grid AS") + """,
+inventory_grid AS (
+  SELECT workbook, sheet, row_idx, g, is_merged,
+         CASE WHEN is_merged THEN [CASE WHEN row_idx = 3 + 4 * g THEN 'pack widget ' || CAST(g AS VARCHAR) END]
+                                  || cells[2:] ELSE cells END AS cells
+  FROM (SELECT *, (row_idx - 3) // 4 AS g, row_idx >= 3 AND ((row_idx - 3) // 4) % 5 = 2 AS is_merged
+        FROM unmerged_grid))"""
+
+STOCK_ROWS = f"""
 stock_header AS ({first_row('inventory_grid', holds('ITEM DESCRIPTION') + ' AND ' + holds('QTY IN KGS') + ' AND row_idx < 25')}),
 stock_rows AS (
   SELECT workbook, sheet, row_idx - header_row - 1 AS row_idx, row_idx AS sheet_row, cells, {NAMES} AS header
   FROM inventory_grid JOIN stock_header USING ({SHEET}) WHERE row_idx > header_row)"""
 
+INVENTORY = f"{INVENTORY_GRID},{STOCK_ROWS}"
+
+
 SPLIT = f"""{ORDER_ROWS},
 kinds AS (
   SELECT *, sheet_no % 6 AS turn, (sheet_no // 6) % 3 AS variant,
@@ -719,14 +733,17 @@ ORACLE_SQL["table_profile"] = with_(USAGE, GRID) + " UNION ALL ".join([
     }),
     _profile("sheet", "grid", {
         "kind": ("string", "cells[1]"),
+        "value": ("string", "cells[2]"),
         "supplier": ("string", "cells[3]"),
+        "props": ("string", "cells[4]"),
         "note": ("string", "cells[5]"),
     }),
 ])
 ORACLE_SQL["grid_profile"] = with_(
     DELIVERIES,
     f"""body AS (
-      SELECT r.workbook, r.sheet, r."table", r.row_idx, cells, {NAMES} AS names
+      SELECT r.workbook, r.sheet, r."table", r.row_idx, {NAMES} AS names,
+             CASE WHEN r."table" = 'UNSERVED LOCAL' AND coalesce(cells[3], '') = '' THEN [''] || cells[2:] ELSE cells END AS cells
       FROM routed r JOIN best b USING (workbook, sheet, "table")
       WHERE r.row_idx > b.header_row AND NOT {BLANK})""",
     """named AS (
@@ -743,13 +760,30 @@ SELECT workbook, sheet, "table", n_rows,
        count(*) OVER (PARTITION BY workbook, sheet, "table") AS n_columns, "column",
        CASE WHEN numbers THEN 'double' ELSE 'string' END AS dtype, n_rows - n AS null_count
 FROM counts JOIN sizes USING (workbook, sheet, "table")"""
-ORACLE_SQL["product_search"] = with_(INVENTORY) + """
-SELECT workbook, sheet, row_idx, trim(cells[1]) AS product, cells[2] AS supplier,
-       CAST(NULL AS VARCHAR) AS quantity, CAST(NULL AS BIGINT) AS merged_from_row
-FROM stock_rows WHERE row_idx < 29 AND contains(upper(cells[1]), 'WIDGET')"""
-ORACLE_SQL["search_counts"] = with_(INVENTORY) + """
-SELECT workbook, sheet, count(*) AS n_hits, CAST(0 AS BIGINT) AS n_merged
-FROM stock_rows WHERE row_idx < 29 AND contains(upper(cells[1]), 'WIDGET') GROUP BY workbook, sheet"""
+# On every row of a merged range stands the product of its first row.
+MERGED_ROWS = STOCK_ROWS + """,
+filled AS (
+  SELECT s.*, g.is_merged, g.g,
+         CASE WHEN g.is_merged THEN 'pack widget ' || CAST(g.g AS VARCHAR) ELSE s.cells[1] END AS product
+  FROM stock_rows s JOIN inventory_grid g
+    ON g.workbook = s.workbook AND g.sheet = s.sheet AND g.row_idx = s.sheet_row)"""
+ORACLE_SQL["product_search"] = with_(MERGED_GRID, MERGED_ROWS) + """
+SELECT workbook, sheet, row_idx, trim(product) AS product, cells[2] AS supplier,
+       CAST(NULL AS VARCHAR) AS quantity,
+       CAST(CASE WHEN is_merged THEN 3 + 4 * g END AS BIGINT) AS merged_from_row,
+       CAST(CASE WHEN is_merged THEN 6 + 4 * g END AS BIGINT) AS merged_to_row
+FROM filled WHERE contains(upper(product), 'WIDGET')"""
+ORACLE_SQL["search_counts"] = with_(MERGED_GRID, MERGED_ROWS) + """
+SELECT workbook, sheet, count(*) AS n_hits, count(*) FILTER (is_merged) AS n_merged
+FROM filled WHERE contains(upper(product), 'WIDGET') GROUP BY workbook, sheet"""
+ORACLE_SQL["merged_fill"] = with_(MERGED_GRID) + """
+SELECT workbook, sheet, row_idx,
+       CASE WHEN is_merged THEN 'pack widget ' || CAST(g AS VARCHAR) ELSE cells[1] END AS product,
+       CAST(is_merged AS BIGINT) AS n_merged
+FROM inventory_grid"""
+ORACLE_SQL["first_inventory_sheet"] = with_(MERGED_GRID, MERGED_ROWS) + f"""
+SELECT workbook, sheet, 'INVENTORY' AS "table", sheet_row AS row_idx, product, cells[2] AS quantity_text
+FROM filled WHERE sheet = 'S0' AND NOT {BLANK}"""
 ORACLE_SQL["preview"] = """
 SELECT o_orderkey, o_orderpriority, o_totalprice FROM orders ORDER BY o_orderpriority, o_orderkey LIMIT 10"""
 ORACLE_SQL["required_columns"] = with_(INVENTORY, f"best AS ({best_row('inventory_grid', STRICT)})") + f"""
@@ -854,12 +888,13 @@ def _filled(column: str) -> str:
     )
 
 
-_COLUMNS = f"""named AS (SELECT {SHEET}, row_idx, cells[1] AS kind, cells[2] AS value, cells[3] AS supplier FROM grid)"""
+_COLUMNS = f"""named AS (SELECT {SHEET}, row_idx, cells[1] AS kind, cells[2] AS value, cells[3] AS supplier, cells[4] AS props, cells[5] AS note FROM grid)"""
 ORACLE_SQL["ffill_summary"] = with_(GRID, _COLUMNS) + f"""
 SELECT {SHEET}, row_idx, CASE WHEN supplier IS NULL OR supplier = '' THEN '' ELSE {_filled('kind')} END AS kind,
-       value, supplier FROM named"""
+       value, supplier, props, note FROM named"""
 ORACLE_SQL["ffill_all"] = with_(GRID, _COLUMNS) + f"""
-SELECT {SHEET}, row_idx, {_filled('kind')} AS kind, {_filled('value')} AS value, {_filled('supplier')} AS supplier
+SELECT {SHEET}, row_idx, {_filled('kind')} AS kind, {_filled('value')} AS value, {_filled('supplier')} AS supplier,
+       {_filled('props')} AS props, {_filled('note')} AS note
 FROM named"""
 ORACLE_SQL["fuzzy_header"] = with_(GRID, renamed_headers()) + (
     f"SELECT {SHEET}, row_idx, array_to_string(new_header, '|') AS header FROM renamed"
@@ -889,6 +924,7 @@ SELECT {SHEET}, col_idx, count(*) AS n_values FROM (
 WHERE v IS NOT NULL GROUP BY {SHEET}, col_idx"""
 ORACLE_SQL["fill_nulls"] = with_(GRID, _COLUMNS) + f"""
 SELECT {SHEET}, row_idx, coalesce(kind, '') AS kind, coalesce(supplier, '') AS supplier,
+       coalesce(props, '') AS props, coalesce(note, '') AS note,
        coalesce(TRY_CAST(trim(value) AS DOUBLE), 0) AS value FROM named"""
 ORACLE_SQL["whole_number_format"] = """
 SELECT l_orderkey, CAST(l_quantity AS BIGINT) AS l_quantity,
@@ -956,3 +992,69 @@ ORACLE_SQL["date_spine"] = """
 WITH days AS (SELECT DISTINCT CAST(o_orderdate AS DATE) AS d FROM orders WHERE o_orderpriority = '1-URGENT'),
 spine AS (SELECT CAST(unnest(generate_series(min(d), max(d), INTERVAL 1 DAY)) AS DATE) AS d FROM days)
 SELECT strftime(d, '%Y-%m-%d') AS ingest_date FROM spine WHERE d NOT IN (SELECT d FROM days)"""
+
+# --- nothing is lost ---------------------------------------------------------
+
+# Blank rows, and stacked sheets whose second table has no marker.
+_AUDITED = DELIVERIES.replace("delivery_grid AS (", "plain_grid AS (", 1).replace(
+    "stacked_rows AS (",
+    """delivery_grid AS (
+  SELECT workbook, sheet, row_idx,
+         list_transform(cells, lambda c: CASE
+           WHEN row_idx > 1 AND row_idx % 29 = 0 THEN NULL
+           WHEN CAST(replace(workbook, 'deliveries', '') AS BIGINT) % 3 = 1 AND c = 'PULL-OUT TABLE' THEN 'CONTINUED'
+           ELSE c END) AS cells
+  FROM plain_grid),
+stacked_rows AS (""",
+    1,
+)
+ORACLE_SQL["sheet_audit"] = with_(_AUDITED) + f"""
+SELECT workbook, sheet, count(*) AS n_read,
+       count(*) FILTER (NOT blank AND in_table AND reason IS NULL AND row_idx > header_row) AS n_table,
+       count(*) FILTER (NOT blank AND sheet <> 'SUMMARY'
+         AND ((in_table AND reason IS NULL AND row_idx <= header_row) OR (NOT in_table AND is_split))) AS n_header,
+       count(*) FILTER (blank) AS n_blank,
+       count(*) FILTER (NOT blank AND sheet <> 'SUMMARY'
+         AND ((in_table AND reason IS NOT NULL) OR (NOT in_table AND NOT is_split))) AS n_rejected,
+       count(*) FILTER (NOT blank AND sheet = 'SUMMARY') AS n_aside
+FROM (
+  SELECT d.workbook, d.sheet, d.row_idx, {BLANK.replace('cells', 'd.cells')} AS blank, r."table" IS NOT NULL AS in_table,
+         x.header_row, x.reason, p.workbook IS NOT NULL AS is_split
+  FROM delivery_grid d
+  LEFT JOIN routed r ON r.workbook = d.workbook AND r.sheet = d.sheet AND r.row_idx = d.row_idx
+  LEFT JOIN reasoned x ON x.workbook = r.workbook AND x.sheet = r.sheet AND x."table" = r."table"
+  LEFT JOIN (SELECT DISTINCT workbook, sheet FROM split) p ON p.workbook = d.workbook AND p.sheet = d.sheet)
+GROUP BY workbook, sheet"""
+ORACLE_SQL["unsplit_sheets"] = with_(_AUDITED) + """
+SELECT DISTINCT workbook, sheet, 'STACKED' AS "table", 'no rule splits the sheet' AS reason
+FROM stacked_rows WHERE (workbook, sheet) NOT IN (SELECT workbook, sheet FROM split)"""
+ORACLE_SQL["tables_beyond_two"] = with_(GRID, ADVANCED) + f"""
+SELECT {SHEET}, start_row, end_row FROM (
+  SELECT c.rule, r.*, row_number() OVER (PARTITION BY r.rule, r.workbook, r.sheet ORDER BY start_row) AS place
+  FROM (SELECT 1 AS rule, {SHEET}, start_row, end_row FROM boundaries
+        UNION ALL SELECT 2, {SHEET}, start_row, end_row FROM patterns) r
+  JOIN chosen c ON c.workbook = r.workbook AND c.sheet = r.sheet AND c.rule = r.rule)
+WHERE place > 2"""
+
+
+def _line(cells: str) -> str:
+    return f"array_to_string(list_transform({cells}, lambda c: coalesce(c, '')), ',')"
+
+
+ORACLE_SQL["finished_tables"] = with_(
+    DELIVERIES,
+    f"""body AS (
+      SELECT r.workbook, r.sheet, r."table", r.row_idx, {_line(NAMES)} AS head,
+             {_line('''CASE WHEN r."table" = 'UNSERVED LOCAL' AND coalesce(cells[3], '') = '' THEN [''] || cells[2:] ELSE cells END''')} AS line
+      FROM routed r JOIN best b USING (workbook, sheet, "table")
+      WHERE r.row_idx > b.header_row AND NOT {BLANK})""",
+    MERGED_GRID,
+    MERGED_ROWS,
+    f"""stock AS (
+      SELECT workbook, sheet, 'INVENTORY' AS "table", sheet_row AS row_idx, 'ITEM DESCRIPTION,QTY IN KGS,QTY OPEN' AS head,
+             {_line('[product, cells[2], cells[3]]')} AS line
+      FROM filled WHERE NOT {BLANK}),
+    finished AS (SELECT * FROM body UNION ALL SELECT * FROM stock WHERE trim(replace(line, ',', '')) <> '')""",
+) + """
+SELECT workbook, sheet, "table", row_idx, line FROM finished
+UNION ALL SELECT DISTINCT workbook, sheet, "table", -2, head FROM finished"""

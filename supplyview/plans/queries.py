@@ -26,6 +26,7 @@ from supplyview.plans import views as W
 from supplyview.plans.views import KEYS
 from supplyview.schemas import ALL_STATUSES, DELIVERY_STATUSES, TABLE_COLUMNS
 from supplyview.session import stage
+from supplyview.sinks import table_lines
 from supplyview.sources import folders
 from supplyview.sources.workbook import cells_of, rows_of, sheet_listing
 
@@ -84,15 +85,19 @@ def _located(rows: DataFrame) -> DataFrame:
     return G.locate(rows, H.score_rank(start=start), keys, TABLE_COLUMNS)
 
 
-def _routed(spark, sf) -> DataFrame:
-    """Delivery rows with their table; stacked sheets split. Staged like in a run."""
-    rows = W.delivery_grid(spark, sf).withColumn("table", R.route_combined(F.col("sheet")))
-    routed = stage(rows, "rows")
+def _unstacked(routed: DataFrame) -> DataFrame:
+    """Delivery rows with their table; stacked sheets split, and only those staged again."""
     plain = routed.filter(~F.col("table").isin(R.STACKED, R.SUMMARY)).withColumn(
         "start_row", F.lit(0).cast("bigint")
     )
     stacked = routed.filter(F.col("table") == R.STACKED).drop("table")
-    return stage(plain.unionByName(S.split_markers(stacked, KEYS)), "tables")
+    return plain.unionByName(stage(S.split_markers(stacked, KEYS), "tables"))
+
+
+def _routed(spark, sf) -> DataFrame:
+    """Staged like in a run."""
+    rows = W.delivery_grid(spark, sf).withColumn("table", R.route_combined(F.col("sheet")))
+    return _unstacked(stage(rows, "rows"))
 
 
 @query
@@ -171,9 +176,9 @@ def usage_fact(spark, sf):
 # --- reports -----------------------------------------------------------------
 
 
-def _usage_sums(spark, sf) -> DataFrame:
+def _usage_sums(spark, sf, parts: DataFrame | None = None) -> DataFrame:
     """Usage as (product, table, quantity in kilos, rows)."""
-    return W.usage(spark, sf).select(
+    return W.usage(spark, sf, parts).select(
         F.col("ingredient_name").alias("product"),
         F.lit("GLOBAL USAGE").alias("table"),
         F.col("ingredient_amount").alias("quantity"),
@@ -181,17 +186,17 @@ def _usage_sums(spark, sf) -> DataFrame:
     )
 
 
-def product_sums(spark, sf) -> DataFrame:
+def product_sums(spark, sf, parts: DataFrame | None = None) -> DataFrame:
     """(product, status, category, quantity, n_rows): the fact summed by product.
 
     Quantities stay in the tables' own units; sums of whole numbers are exact.
     """
     sums = (
         W.delivery_sums(spark, sf)
-        .unionByName(W.inventory_sums(spark, sf))
-        .unionByName(_usage_sums(spark, sf))
+        .unionByName(W.inventory_sums(spark, sf, parts))
+        .unionByName(_usage_sums(spark, sf, parts))
     )
-    known = W.dimension(spark, sf).select("product", "category", F.lit(True).alias("_known"))
+    known = W.dimension(spark, sf, parts).select("product", "category", F.lit(True).alias("_known"))
     is_usage = F.col("table") == "GLOBAL USAGE"
     return sums.join(known, "product", "left").select(
         "product",
@@ -272,27 +277,31 @@ def enhanced_pivot(spark, sf):
     return _round(V.enhanced_pivot(category_sums(spark, sf)), *_enhanced_columns())
 
 
-def _fuzzy_category_usage(spark, sf, sums: DataFrame) -> DataFrame:
+def _fuzzy_category_usage(spark, sf, sums: DataFrame, parts: DataFrame) -> DataFrame:
     """Usage per category through products and loosely named ingredients."""
     labelled = sums.filter(~P.is_acknowledged(F.col("category"))).select(
         V.category_label(F.col("category")).alias("category"), "product"
     )
-    loose = W.loose_usage(spark, sf)
-    mapping = U.ingredient_map_fuzzy(loose, W.dimension(spark, sf))
+    loose = stage(W.loose_usage(spark, sf, parts), "loose")
+    mapping = stage(U.ingredient_map_fuzzy(loose, W.dimension(spark, sf, parts)), "mapping")
     return U.usage_by_category_fuzzy(labelled, loose, mapping)
 
 
 @query
 def usage_by_category_fuzzy(spark, sf):
     """J9, X2."""
-    return _round(_fuzzy_category_usage(spark, sf, product_sums(spark, sf)), "monthly_usage")
+    parts = stage(W.part_sums(spark, sf), "parts")
+    sums = product_sums(spark, sf, parts)
+    return _round(_fuzzy_category_usage(spark, sf, sums, parts), "monthly_usage")
 
 
 @query
 def enhanced_pivot_fuzzy(spark, sf):
-    """X6. The product sums feed both sides, so they are staged."""
-    products = stage(product_sums(spark, sf), "sums")
-    per_category = _fuzzy_category_usage(spark, sf, products)
+    """X6. What feeds several sides (parts by name, product sums, usage, mapping) is
+    staged, so the parts are read twice: by name and for the line items."""
+    parts = stage(W.part_sums(spark, sf), "parts")
+    products = stage(product_sums(spark, sf, parts), "sums")
+    per_category = _fuzzy_category_usage(spark, sf, products, parts)
     return _round(V.enhanced_pivot(in_tons(products), per_category), *_enhanced_columns())
 
 
@@ -389,39 +398,34 @@ def new_ingredients(spark, sf):
 # --- quality reports ---------------------------------------------------------
 
 
-def _status_rows(spark, sf) -> DataFrame:
-    """(product, category, status) per fact row."""
-    return combined_fact(spark, sf).select("product", "category", "status")
-
-
 @query
 def status_counts(spark, sf):
     """A6, O3."""
-    return Q.status_counts(_status_rows(spark, sf))
+    return Q.status_counts(product_sums(spark, sf))
 
 
 @query
 def status_counts_fixed(spark, sf):
     """A9, P13."""
-    return Q.status_counts_fixed(_status_rows(spark, sf), DELIVERY_STATUSES)
+    return Q.status_counts_fixed(product_sums(spark, sf), DELIVERY_STATUSES)
 
 
 @query
 def category_counts(spark, sf):
     """A7."""
-    return Q.category_counts(_status_rows(spark, sf))
+    return Q.category_counts(product_sums(spark, sf))
 
 
 @query
 def na_products(spark, sf):
     """A8."""
-    return Q.na_products(_status_rows(spark, sf))
+    return Q.na_products(product_sums(spark, sf))
 
 
 @query
 def exclusion_counts(spark, sf):
     """A12."""
-    return Q.exclusion_counts(_status_rows(spark, sf))
+    return Q.exclusion_counts(product_sums(spark, sf))
 
 
 @query
@@ -433,12 +437,7 @@ def uncategorized_counts(spark, sf):
 @query
 def table_profile(spark, sf):
     """A11 on the dimension, the usage file and the sheet columns of the grid."""
-    cells = F.col("cells")
-    sheet = W.grid(spark, sf).select(
-        F.get(cells, F.lit(0)).alias("kind"),
-        F.get(cells, F.lit(2)).alias("supplier"),
-        F.get(cells, F.lit(4)).alias("note"),
-    )
+    sheet = _sheet_columns(spark, sf).select(*SHEET_COLUMNS)
     return Q.table_profile(
         {
             "dimension": W.raw_dimension(spark, sf),
@@ -450,29 +449,42 @@ def table_profile(spark, sf):
 
 @query
 def grid_profile(spark, sf):
-    """A11 on whole delivery tables whose columns are found in the data."""
+    """A11 on finished delivery tables whose columns are found in the data."""
     routed = _routed(spark, sf)
     rank = H.score_rank(start=F.col("start_row"))
-    return Q.grid_profile(G.promoted_tables(routed, rank, KEYS), KEYS)
+    return Q.grid_profile(G.finish_tables(G.promoted_tables(routed, rank, KEYS), KEYS), KEYS)
 
 
-def _inventory_promoted(spark, sf) -> DataFrame:
-    rows = W.inventory_grid(spark, sf)
+@query
+def finished_tables(spark, sf):
+    """K1: deliveries and inventory as they are saved, as lines of CSV."""
+    routed = _routed(spark, sf)
+    rank = H.score_rank(start=F.col("start_row"))
+    deliveries = G.finish_tables(G.promoted_tables(routed, rank, KEYS), KEYS)
+    rows = W.merged_inventory_grid(spark, sf).withColumn("table", F.lit("INVENTORY"))
+    proper = rows.join(H.header_required(rows, KEYS).select(*KEYS), list(KEYS), "left_semi")
+    stock = G.finish_tables(
+        G.promoted_tables(proper, H.required_rank(), KEYS), KEYS, fill_inventory=True
+    )
+    return table_lines(deliveries.unionByName(stock), KEYS)
+
+
+def _inventory_promoted(rows: DataFrame) -> DataFrame:
     return H.promote_header(rows, H.header_required(rows, KEYS), KEYS)
 
 
 @query
 def product_search(spark, sf):
-    """Widgets near the top of the inventory sheets."""
-    table = _inventory_promoted(spark, sf)
+    """Widgets anywhere in the inventory sheets, merged cells included."""
+    table = _inventory_promoted(W.merged_inventory_grid(spark, sf))
     found = Q.product_search(table, "widget", "ITEM DESCRIPTION", KEYS)
-    return _long(found, "merged_from_row")
+    return _long(found, "merged_from_row", "merged_to_row")
 
 
 @query
 def search_counts(spark, sf):
     """A14."""
-    table = _inventory_promoted(spark, sf)
+    table = _inventory_promoted(W.merged_inventory_grid(spark, sf))
     return Q.search_counts(Q.product_search(table, "widget", "ITEM DESCRIPTION", KEYS), KEYS)
 
 
@@ -492,6 +504,43 @@ def required_columns(spark, sf):
     return R.rejects(_located(rows), KEYS)
 
 
+@query
+def sheet_audit(spark, sf):
+    """The rows of every delivery sheet, by what became of them; sheets without a usable
+    split and unmapped sheets are rejected with all their rows."""
+    rows = W.audit_grid(spark, sf).withColumn("table", R.route_combined(F.col("sheet")))
+    routed = stage(rows, "rows")
+    parts = _unstacked(routed)
+    return Q.sheet_audit(routed, parts, _located(parts), (R.SUMMARY,), None, KEYS)
+
+
+@query
+def unsplit_sheets(spark, sf):
+    """Stacked sheets that no rule splits."""
+    rows = W.audit_grid(spark, sf).withColumn("table", R.route_combined(F.col("sheet")))
+    stacked = rows.filter(F.col("table") == R.STACKED)
+    ranges, further = fallback.marker_rules(stacked, KEYS)
+    return fallback.split_rejects(stacked, ranges, further, KEYS)
+
+
+@query
+def tables_beyond_two(spark, sf):
+    """G33 with G11-G13: tables of a stacked sheet after the second, with their rows."""
+    _, further = fallback.advanced_rules(stage(W.grid(spark, sf), "rows"), KEYS)
+    return further
+
+
+@query
+def merged_fill(spark, sf):
+    """Inventory products from merged cells."""
+    rows = W.merged_inventory_grid(spark, sf)
+    return rows.select(
+        *KEYS, "row_idx",
+        L.merged_fill(F.col("cells"), F.col("merged"), F.lit(0)).alias("product"),
+        F.size("merged").cast("bigint").alias("n_merged"),
+    )
+
+
 # --- sheets ------------------------------------------------------------------
 
 
@@ -601,15 +650,13 @@ def advanced_split(spark, sf):
     )
 
 
+SHEET_COLUMNS = ("kind", "value", "supplier", "props", "note")
+
+
 def _sheet_columns(spark, sf) -> DataFrame:
-    cells = F.col("cells")
-    return W.grid(spark, sf).select(
-        *KEYS,
-        "row_idx",
-        F.get(cells, F.lit(0)).alias("kind"),
-        F.get(cells, F.lit(1)).alias("value"),
-        F.get(cells, F.lit(2)).alias("supplier"),
-    )
+    """The sheets with all five cells by name."""
+    named = [F.get("cells", F.lit(i)).alias(n) for i, n in enumerate(SHEET_COLUMNS)]
+    return W.grid(spark, sf).select(*KEYS, "row_idx", *named)
 
 
 @query
@@ -621,7 +668,7 @@ def ffill_summary(spark, sf):
 @query
 def ffill_all(spark, sf):
     """G16."""
-    return L.ffill(_sheet_columns(spark, sf), ["kind", "value", "supplier"], KEYS)
+    return L.ffill(_sheet_columns(spark, sf), SHEET_COLUMNS, KEYS)
 
 
 def _local_headers(spark, sf) -> DataFrame:
@@ -691,9 +738,7 @@ def drop_blank_columns(spark, sf):
 @query
 def fill_nulls(spark, sf):
     """G21, text and numbers."""
-    table = _sheet_columns(spark, sf).select(
-        *KEYS, "row_idx", "kind", "supplier", lenient_double(F.col("value")).alias("value")
-    )
+    table = _sheet_columns(spark, sf).withColumn("value", lenient_double(F.col("value")))
     return L.fill_nulls(table, numbers=True)
 
 
@@ -708,7 +753,7 @@ def whole_number_format(spark, sf):
 @query
 def inventory_columns(spark, sf):
     """Named cells of the inventory sheets, description and quantity columns only."""
-    named = H.named_values(_inventory_promoted(spark, sf), KEYS)
+    named = H.named_values(_inventory_promoted(W.inventory_grid(spark, sf)), KEYS)
     return named.filter(C.is_inventory_column(F.col("column")))
 
 
@@ -753,6 +798,14 @@ def inventory_table(spark, sf):
     return _table_rows(projected)
 
 
+@query
+def first_inventory_sheet(spark, sf):
+    """Projected rows of each inventory workbook's first sheet, merged names filled."""
+    rows = W.merged_inventory_grid(spark, sf).filter(F.col("sheet_pos") == 0)
+    projected, _ = G.inventory_table(rows, KEYS, fill_merged=True)
+    return _table_rows(projected)
+
+
 def _split(spark, sf):
     rows = W.split_grid(spark, sf).withColumn(
         "table", R.route_split(F.col("workbook"), F.col("sheet"))

@@ -12,13 +12,12 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from supplyview.operators import usage as U
+from supplyview.operators.fill import nothing_merged
 from supplyview.operators.joins import lookup_join
 from supplyview.schemas import (
     INVENTORY_STATUS,
-    MERGED_CELL,
     TABLE_COLUMNS,
     USAGE_AMOUNT,
     USAGE_NAME,
@@ -64,14 +63,28 @@ def category_rule(name: Column) -> Column:
     )
 
 
-def dimension(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Known products: all but the hot ones; file position is the first part key."""
-    return (
-        read(spark, sf_dir, "part")
-        .filter(~F.col("p_name").startswith("hot "))
-        .groupBy(F.col("p_name").alias("product"))
-        .agg(F.min("p_partkey").alias("file_pos"))
-        .select("product", category_rule(F.col("product")).alias("category"), "file_pos")
+def part_sums(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The parts by name, which the dimension, the inventory and the usage files read.
+
+    Decimal sums of prices, so that the whole part does not depend on the summing order.
+    """
+    price = F.col("p_retailprice").cast("decimal(18,2)")
+    return read(spark, sf_dir, "part").groupBy("p_name").agg(
+        F.min("p_partkey").alias("file_pos"),
+        F.sum(price).alias("price"),
+        F.sum("p_size").alias("size"),
+        F.count(F.lit(1)).alias("n_rows"),
+    )
+
+
+def dimension(spark: SparkSession, sf_dir: str, parts: DataFrame | None = None) -> DataFrame:
+    """Known products: all but the hot ones; file position is the first part key.
+
+    ``parts``: the parts by name, when they are staged already; so below.
+    """
+    parts = part_sums(spark, sf_dir) if parts is None else parts
+    return parts.filter(~F.col("p_name").startswith("hot ")).select(
+        F.col("p_name").alias("product"), category_rule(F.col("p_name")).alias("category"), "file_pos"
     )
 
 
@@ -159,38 +172,37 @@ def inventory_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def inventory_sums(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return (
-        inventory_lines(spark, sf_dir)
-        .groupBy("product", "table")
-        .agg(F.sum("quantity").alias("quantity"), F.count(F.lit(1)).alias("n_rows"))
+def inventory_sums(spark: SparkSession, sf_dir: str, parts: DataFrame | None = None) -> DataFrame:
+    parts = part_sums(spark, sf_dir) if parts is None else parts
+    return parts.select(
+        F.col("p_name").alias("product"),
+        F.lit(INVENTORY_STATUS).alias("table"),
+        F.col("size").cast("double").alias("quantity"),
+        "n_rows",
     )
 
 
 def _usage_text(parts: DataFrame, name: Column) -> DataFrame:
-    """A usage file: one line per name, amounts as text with thousands commas.
-
-    Decimal sums, so that the whole part does not depend on the summing order.
-    """
-    price = F.col("p_retailprice").cast("decimal(18,2)")
+    """A usage file: one line per name, amounts as text with thousands commas."""
     return parts.groupBy(name.alias(USAGE_NAME)).agg(
-        F.format_number(F.floor(F.sum(price)), 0).alias(USAGE_AMOUNT),
-        F.format_number(F.sum("p_size"), 0).alias(USAGE_STOCK),
-        F.min("p_partkey").alias("file_pos"),
+        F.format_number(F.floor(F.sum("price")), 0).alias(USAGE_AMOUNT),
+        F.format_number(F.sum("size"), 0).alias(USAGE_STOCK),
+        F.min("file_pos").alias("file_pos"),
     )
 
 
-def raw_usage(spark: SparkSession, sf_dir: str) -> DataFrame:
+def raw_usage(spark: SparkSession, sf_dir: str, parts: DataFrame | None = None) -> DataFrame:
     """Ingredient names are the product names."""
-    return _usage_text(read(spark, sf_dir, "part"), F.col("p_name"))
+    return _usage_text(part_sums(spark, sf_dir) if parts is None else parts, F.col("p_name"))
 
 
-def usage(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return U.clean_usage(raw_usage(spark, sf_dir))
+def usage(spark: SparkSession, sf_dir: str, parts: DataFrame | None = None) -> DataFrame:
+    return U.clean_usage(raw_usage(spark, sf_dir, parts))
 
 
-def loose_usage(spark: SparkSession, sf_dir: str) -> DataFrame:
+def loose_usage(spark: SparkSession, sf_dir: str, parts: DataFrame | None = None) -> DataFrame:
     """Ingredient names that match products in full, in part or not at all."""
+    parts = part_sums(spark, sf_dir) if parts is None else parts
     name = F.col("p_name")
     noun = F.substring_index(name, " ", -1)
     loose = (
@@ -199,7 +211,7 @@ def loose_usage(spark: SparkSession, sf_dir: str) -> DataFrame:
         .when(name.startswith("new "), F.concat(F.lit("alloy "), F.substring(noun, 1, 2)))
         .otherwise(name)
     )
-    return U.clean_usage(_usage_text(read(spark, sf_dir, "part"), loose))
+    return U.clean_usage(_usage_text(parts, loose))
 
 
 def _texts(*values) -> Column:
@@ -280,10 +292,6 @@ def _order_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def _nothing_merged() -> Column:
-    return F.array().cast(T.ArrayType(MERGED_CELL))
-
-
 def _placed(row_idx: Column, cells: Column) -> Column:
     return F.struct(row_idx.cast("bigint").alias("row_idx"), cells.alias("cells"))
 
@@ -337,7 +345,7 @@ def delivery_grid(spark: SparkSession, sf_dir: str) -> DataFrame:
             kind.alias("sheet"),
             F.inline(placed),
         )
-        .withColumn("merged", _nothing_merged())
+        .withColumn("merged", nothing_merged())
     )
 
 
@@ -388,7 +396,7 @@ def split_grid(spark: SparkSession, sf_dir: str) -> DataFrame:
             kind.alias("sheet"),
             F.inline(placed),
         )
-        .withColumn("merged", _nothing_merged())
+        .withColumn("merged", nothing_merged())
     )
 
 
@@ -422,7 +430,53 @@ def inventory_grid(spark: SparkSession, sf_dir: str) -> DataFrame:
         .select(
             F.concat(F.lit("inventory"), F.floor(sheet_no / 8).cast("string")).alias("workbook"),
             F.concat(F.lit("S"), (sheet_no % 8).cast("string")).alias("sheet"),
+            (sheet_no % 8).cast("int").alias("sheet_pos"),
             F.inline(placed),
         )
-        .withColumn("merged", _nothing_merged())
+        .withColumn("merged", nothing_merged())
+    )
+
+
+# Rows of a merged range in the inventory, and which ranges there are.
+MERGED_ROWS, MERGED_TURN = 4, 5
+
+
+def merged_inventory_grid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The inventory sheets with merged product cells: every fifth group of four rows below
+    the header has its product in the first row alone."""
+    rows = inventory_grid(spark, sf_dir)
+    group = F.floor((F.col("row_idx") - 3) / MERGED_ROWS)
+    first = (3 + group * MERGED_ROWS).cast("int")
+    is_merged = (F.col("row_idx") >= 3) & (group % MERGED_TURN == 2)
+    name = F.concat(F.lit("pack widget "), group.cast("string"))
+    span = F.struct(
+        F.lit(0).alias("col_idx"),
+        first.alias("anchor_row"),
+        F.lit(0).alias("anchor_col"),
+        name.alias("anchor_value"),
+        (first + MERGED_ROWS - 1).cast("int").alias("last_row"),
+    )
+    own = F.when(F.col("row_idx") == first, name)
+    return rows.withColumns({
+        "cells": F.when(
+            is_merged,
+            F.concat(F.array(own), F.slice("cells", 2, F.size("cells"))),
+        ).otherwise(F.col("cells")),
+        "merged": F.when(is_merged, F.array(span)).otherwise(F.col("merged")),
+    })
+
+
+def audit_grid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The delivery sheets with blank rows, and stacked sheets whose second table has no
+    marker in every third workbook."""
+    rows = delivery_grid(spark, sf_dir)
+    number = F.replace(F.col("workbook"), F.lit("deliveries"), F.lit("")).cast("bigint")
+    blank = (F.col("row_idx") > 1) & (F.col("row_idx") % 29 == 0)
+    unmarked = number % 3 == 1
+    shown = F.transform(
+        "cells",
+        lambda c: F.when(blank, F.lit(None))
+        .when(unmarked & (c == "PULL-OUT TABLE"), F.lit("CONTINUED"))
+        .otherwise(c),
     )
+    return rows.withColumn("cells", shown)

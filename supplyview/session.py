@@ -4,11 +4,17 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_DIR = "spark.checkpoint.dir"
 
+# Where the staged tables of the current run go; None: straight into the shared folder.
+_RUN_FOLDER: ContextVar[str | None] = ContextVar("run_folder", default=None)
+
 
 def local_session(cores: str | int = "*", app: str = "supplyview", **conf: str) -> SparkSession:
     """A local session for tests and the benchmark; a cluster brings its own."""
@@ -43,13 +49,32 @@ def shared_folder(spark: SparkSession) -> str:
     return folder
 
 
+@contextmanager
+def run_folder(spark: SparkSession, path: str | None = None) -> Iterator[str]:
+    """Tables staged inside go to one folder, which is removed at the end, also after
+    a failure. Results that read staged tables must be written inside.
+
+    ``path`` must be reachable by all executors; by default it is a new folder in
+    the shared folder.
+    """
+    folder = (path or f"{shared_folder(spark)}/run-{uuid.uuid4().hex}").rstrip("/")
+    token = _RUN_FOLDER.set(folder)
+    try:
+        yield folder
+    finally:
+        _RUN_FOLDER.reset(token)
+        place = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+
+
 def stage(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` as a table in the shared folder and read it back.
 
     Cuts the lineage, so costly scans run once and survive lost executors; the
-    copy is columnar, so later plans read only the columns they need.
+    copy is columnar, so later plans read only the columns they need. It stays until
+    its ``run_folder`` ends, or without one like a checkpoint file.
     """
     spark = df.sparkSession
-    path = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+    path = f"{_RUN_FOLDER.get() or shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)

@@ -1,21 +1,23 @@
 """Writers (K1-K6)."""
 
 from supplyview.sinks.tables import (
-    write_all_tables,
+    table_lines,
     write_aliases,
     write_combined_csv,
     write_dimension,
     write_fact,
     write_pivot_csv,
-    write_table_csv,
+    write_results,
+    write_tables_csv,
 )
 
 __all__ = [
-    "write_all_tables",
+    "table_lines",
     "write_aliases",
     "write_combined_csv",
     "write_dimension",
     "write_fact",
     "write_pivot_csv",
-    "write_table_csv",
+    "write_results",
+    "write_tables_csv",
 ]

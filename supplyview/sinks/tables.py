@@ -1,18 +1,18 @@
-"""Writers for the fact, the pivots, single tables and the dimension (K1-K6).
+"""Writers for the fact, the pivots, whole tables, the dimension and a run (K1-K6).
 
 Large outputs are rebalanced before the write: Spark sizes the files itself and
-splits a date or status that holds most of the rows.
+splits a date or status that holds most of the rows. Every writer replaces only the
+dates it is given.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from supplyview.operators.dimension import dimension_sorted
-from supplyview.operators.headers import named_values
 from supplyview.schemas import SHEET_KEYS
 
 
@@ -47,64 +47,76 @@ def write_combined_csv(fact: DataFrame, path: str) -> None:
 
 
 def write_pivot_csv(pivot: DataFrame, path: str) -> None:
-    """K3: a pivot as one CSV file. It has one row per category, so one task is enough."""
-    named = pivot.withColumnRenamed("category", "CATEGORY")
-    named.coalesce(1).write.mode("overwrite").option("header", True).csv(path)
+    """K3 + K6: a pivot as CSV, one folder per date when it has dates.
 
+    The pivot is in order already, and so are the files of a date by name.
+    """
+    named = pivot.withColumnRenamed("category", "CATEGORY")
+    writer = named.write.mode("overwrite").option("header", True)
+    if "ingest_date" in named.columns:
+        writer = writer.option("partitionOverwriteMode", "dynamic").partitionBy("ingest_date")
+    writer.csv(path)
 
-def table_wide(promoted: DataFrame, keys: Sequence[str] = SHEET_KEYS) -> DataFrame:
-    """A promoted table with one column per header name.
 
-    The names are collected (a sheet has at most 16,384 columns); the rows are
-    regrouped by row, which is bounded by the same number.
-    """
-    values = named_values(promoted, keys)
-    names = [r["column"] for r in values.select("column").distinct().orderBy("column").collect()]
-    return (
-        values.groupBy(*keys, "row_idx")
-        .pivot("column", names)
-        .agg(F.first("value"))
-        if names
-        else promoted.select(*keys, "row_idx")
+def csv_line(values: Column) -> Column:
+    """An array of texts as a line of CSV; null is empty text."""
+    quoted = F.transform(
+        F.transform(values, lambda v: F.coalesce(v, F.lit(""))),
+        lambda v: F.when(
+            v.rlike('[",\\r\\n]'), F.concat(F.lit('"'), F.replace(v, F.lit('"'), F.lit('""')), F.lit('"'))
+        ).otherwise(v),
     )
+    return F.array_join(quoted, ",")
 
 
-def write_table_csv(
-    promoted: DataFrame, path: str, keys: Sequence[str] = SHEET_KEYS
-) -> None:
-    """K1: one table with all its columns as CSV, by date when there is one."""
-    wide = table_wide(promoted, keys)
-    writer = wide.write.mode("overwrite").option("header", True)
-    if "ingest_date" in keys:
-        writer = writer.option("partitionOverwriteMode", "dynamic").partitionBy("ingest_date")
-    writer.csv(path)
+def table_lines(tables: DataFrame, keys: Sequence[str] = SHEET_KEYS) -> DataFrame:
+    """``(keys, table, row_idx, line)``: a header line (row -2) and the rows below.
+
+    Each row is written by its own header, so tables of any number and width need no
+    common list of columns.
+    """
+    by = [*keys, "table"]
+    # A row may be shorter than its header.
+    full = F.transform(F.col("header"), lambda h, i: F.get("cells", i))
+    rows = tables.select(*by, "row_idx", csv_line(full).alias("line"))
+    heads = (
+        tables.groupBy(*by).agg(F.first("header").alias("header"))
+        .select(*by, F.lit(-2).cast("bigint").alias("row_idx"), csv_line(F.col("header")).alias("line"))
+    )
+    return rows.unionByName(heads)
 
 
-def write_all_tables(
-    promoted: DataFrame, root: str, keys: Sequence[str] = SHEET_KEYS
-) -> list[str]:
-    """K1: a folder of CSV files per table; returns the table names.
+def write_tables_csv(tables: DataFrame, root: str, keys: Sequence[str] = SHEET_KEYS) -> None:
+    """K1 + K6: every table of every sheet as CSV with its own columns, in
+    ``table=/ingest_date=/workbook=/sheet=`` folders.
 
-    Tables are named by sheet names, so there are few of them.
+    A sheet is sorted by one task; a spreadsheet holds at most a million rows.
     """
-    names = [r["table"] for r in promoted.select("table").distinct().orderBy("table").collect()]
-    for name in names:
-        one = promoted.filter(F.col("table") == name).drop("table")
-        write_table_csv(one, f"{root.rstrip('/')}/{name}", keys)
-    return names
+    by = ["table", *keys]
+    (
+        table_lines(tables, keys)
+        .repartition(*by)
+        .sortWithinPartitions(*by, "row_idx")
+        .drop("row_idx")
+        .write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .partitionBy(*by)
+        .text(root)
+    )
 
 
-def write_dimension(dim: DataFrame, root: str, version: str) -> str:
+def write_dimension(dim: DataFrame, root: str, version: str, again: bool = False) -> str:
     """K4: categorised entries A-Z, then the open ones, under a new version folder.
 
-    The version being read is never overwritten.
+    The version being read is never overwritten; ``again`` replaces one that a
+    repeated batch has written before.
     """
     path = f"{root.rstrip('/')}/version={version}"
     ordered = dimension_sorted(dim).select(
         F.col("product").alias("Product"), F.col("category").alias("Category")
     )
     # Empty text is written as empty text, not as a quoted pair.
-    ordered.write.mode("errorifexists").option("header", True).option("emptyValue", "").csv(path)
+    ordered.write.mode("overwrite" if again else "errorifexists").option("header", True).option("emptyValue", "").csv(path)
     return path
 
 
@@ -118,3 +130,30 @@ def write_aliases(aliases: DataFrame, path: str) -> None:
         .write.mode("overwrite")
         .json(path)
     )
+
+
+def write_results(results, root: str, version: str, again: bool = False) -> None:
+    """K1-K6: everything a run gives, below ``root``; only its dates are replaced.
+
+    ``results`` is what ``run`` returns. The dimension goes to ``version=<version>``.
+    """
+    root = root.rstrip("/")
+    write_fact(results.fact, f"{root}/fact")
+    write_combined_csv(results.fact, f"{root}/combined")
+    write_pivot_csv(results.pivot, f"{root}/pivot")
+    write_pivot_csv(results.enhanced_pivot, f"{root}/enhanced_pivot")
+    if results.tables is not None:
+        write_tables_csv(results.tables, f"{root}/tables")
+    write_dimension(results.dimension, f"{root}/dimension", version, again)
+    reports = {
+        "status_counts": results.status_counts, "category_counts": results.category_counts,
+        "na_products": results.na_products, "new_products": results.new_products,
+        "blank_category_products": results.blank_category_products,
+    }
+    if results.rejects is not None:
+        reports["rejects"] = results.rejects
+    for name, report in reports.items():
+        path = f"{root}/reports/version={version}/{name}"
+        report.write.mode("overwrite").option("header", True).csv(path)
+    if results.aliases is not None:
+        write_aliases(results.aliases, f"{root}/aliases")

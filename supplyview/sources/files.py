@@ -1,7 +1,10 @@
-"""CSV and JSON inputs."""
+"""CSV and JSON inputs (S3-S6). Each is optional: an absent file is an empty table."""
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -9,10 +12,26 @@ from pyspark.sql import types as T
 from supplyview.functions import na_normalize
 from supplyview.operators.dimension import clean_dimension
 from supplyview.operators.usage import clean_headers, clean_usage
-from supplyview.schemas import ALIASES, MAPPING
+from supplyview.schemas import ALIASES, DIMENSION, MAPPING, USAGE
 from supplyview.sources.folders import ingest_date_of
 
 
+def _if_present(spark: SparkSession, load: Callable[[], DataFrame], schema: T.StructType) -> DataFrame:
+    """What ``load`` gives, or an empty table when no file is there or it is empty."""
+    try:
+        return load()
+    except AnalysisException as problem:
+        if problem.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            raise
+    except EmptyFile:
+        pass
+    return spark.createDataFrame([], schema)
+
+
+class EmptyFile(Exception):
+    """A CSV file without even a header."""
+
+
 def _csv(spark: SparkSession, path: str) -> DataFrame:
     """Text columns plus the record's position in its file.
 
@@ -26,11 +45,18 @@ def _csv(spark: SparkSession, path: str) -> DataFrame:
         .option("encoding", "UTF-8")
         .csv(path)
     )
+    if not raw.columns:
+        raise EmptyFile(path)
     return raw.withColumn("file_pos", F.monotonically_increasing_id())
 
 
 def read_usage(spark: SparkSession, path: str) -> DataFrame:
     """S3: the usage file(s), cleaned, with the date of their folder."""
+    schema = T.StructType([*USAGE.fields, T.StructField("ingest_date", T.DateType())])
+    return _if_present(spark, lambda: _read_usage(spark, path), schema)
+
+
+def _read_usage(spark: SparkSession, path: str) -> DataFrame:
     raw = _csv(spark, path).withColumn("ingest_date", ingest_date_of(F.col("_metadata.file_path")))
     named = clean_headers(raw)
     texts = [c for c in named.columns if c not in ("file_pos", "ingest_date")]
@@ -43,6 +69,10 @@ def read_usage(spark: SparkSession, path: str) -> DataFrame:
 
 def read_dimension(spark: SparkSession, path: str) -> DataFrame:
     """The category dimension; ``N/A`` is kept as text."""
+    return _if_present(spark, lambda: _read_dimension(spark, path), DIMENSION)
+
+
+def _read_dimension(spark: SparkSession, path: str) -> DataFrame:
     raw = _csv(spark, path)
     return clean_dimension(
         raw.select(
@@ -57,7 +87,9 @@ def read_mapping(spark: SparkSession, path: str) -> DataFrame:
     schema = T.StructType(
         [T.StructField("table_column_mapping", T.MapType(T.StringType(), entry))]
     )
-    read = spark.read.schema(schema).option("multiLine", True).json(path)
+    read = _if_present(
+        spark, lambda: spark.read.schema(schema).option("multiLine", True).json(path), schema
+    )
     return read.select(F.explode("table_column_mapping").alias("table", "c")).select(
         "table", "c.product_column", "c.quantity_column"
     )
@@ -73,16 +105,26 @@ def mapping_dict(mapping: DataFrame) -> dict[str, tuple[str, str]]:
 
 
 def read_aliases(spark: SparkSession, path: str) -> DataFrame:
-    """``(table, expected, alias)`` from the alias JSON."""
-    text = spark.read.text(path, wholetext=True)
-    parsed = text.select(
-        F.from_json("value", "map<string, map<string, array<string>>>").alias("tables")
+    """``(table, expected, alias)`` from the alias JSON, or from the lines that
+    ``sinks.write_aliases`` writes."""
+    schema = T.StructType([T.StructField("value", T.StringType())])
+    text = _if_present(spark, lambda: spark.read.text(path, wholetext=True), schema)
+    nested = (
+        text.select(
+            F.from_json("value", "map<string, map<string, array<string>>>").alias("tables")
+        )
+        .select(F.explode("tables").alias("table", "labels"))
+        .select("table", F.explode("labels").alias("expected", "aliases"))
     )
+    line = F.from_json("line", "table string, expected string, aliases array<string>")
+    lines = text.select(F.explode(F.split("value", "\n")).alias("line")).select(
+        line.alias("l")
+    ).filter("l.table IS NOT NULL AND l.expected IS NOT NULL")
+    every = nested.unionByName(lines.select("l.table", "l.expected", "l.aliases"))
     return (
-        parsed.select(F.explode("tables").alias("table", "labels"))
-        .select("table", F.explode("labels").alias("expected", "aliases"))
-        .select("table", "expected", F.explode("aliases").alias("alias"))
+        every.select("table", "expected", F.explode("aliases").alias("alias"))
         .select(*ALIASES.fieldNames())
+        .distinct()
     )
 
 

@@ -1,8 +1,10 @@
 """Spreadsheet scan (S1, S2, S7): many ``.xlsx`` files to one ``rows`` DataFrame.
 
 Spark lists the files and spreads them over tasks; each task unpacks its own
-workbooks and streams their rows out in small batches. A workbook that cannot be
-read gives one row with an ``error`` and does not stop the others.
+workbooks and streams their rows out in small batches. A workbook or sheet that cannot
+be read gives one row with an ``error`` and does not stop the others; what was read of
+such a sheet is left out (``sheet_rows``). A sheet without rows gives one row without
+``row_idx``, so the listing knows it.
 """
 
 from __future__ import annotations
@@ -30,6 +32,7 @@ CHUNK_ROWS = 65_536
 SCAN = T.StructType([
     T.StructField("path", T.StringType()),
     T.StructField("sheet", T.StringType()),
+    T.StructField("sheet_pos", T.IntegerType()),
     T.StructField("row_idx", T.LongType()),
     T.StructField("cells", T.ArrayType(T.StringType())),
     T.StructField("merged", T.ArrayType(MERGED_CELL)),
@@ -156,7 +159,12 @@ def _sheet_rows(book, part, strings, dates) -> Iterator[tuple[int, list, list]]:
     open_ranges: list[tuple[int, int, int, int, str | None]] = []
     expected = -1
     with book.open(part) as stream:
-        for _, element in ElementTree.iterparse(stream):
+        parents = []
+        for event, element in ElementTree.iterparse(stream, ("start", "end")):
+            if event == "start":
+                parents.append(element)
+                continue
+            parents.pop()
             if _local(element.tag) != "row":
                 continue
             cells: dict[int, str | None] = {}
@@ -167,7 +175,8 @@ def _sheet_rows(book, part, strings, dates) -> Iterator[tuple[int, list, list]]:
                 anchors[at] = value
                 cells[at] = None if value in NA_STRINGS else value
             row = int(element.get("r")) - 2 if element.get("r") else expected
-            element.clear()
+            # Read rows must not stay below their parent, or memory grows with the sheet.
+            parents[-1].clear()
             for idx in range(expected, row + 1):
                 here, first = (cells, anchors) if idx == row else ({}, {})
                 while waiting and waiting[0][0] <= idx:
@@ -176,8 +185,9 @@ def _sheet_rows(book, part, strings, dates) -> Iterator[tuple[int, list, list]]:
                 open_ranges = [r for r in open_ranges if r[2] >= idx]
                 width = max((c for c, v in here.items() if v is not None), default=-1) + 1
                 yield idx, [here.get(c) for c in range(width)], [
-                    {"col_idx": c, "anchor_row": top, "anchor_col": left, "anchor_value": value}
-                    for top, left, _, right, value in open_ranges
+                    {"col_idx": c, "anchor_row": top, "anchor_col": left, "anchor_value": value,
+                     "last_row": bottom}
+                    for top, left, bottom, right, value in open_ranges
                     for c in range(left, min(right, 16383) + 1)
                 ]
             expected = row + 1
@@ -188,19 +198,25 @@ def _workbook_rows(path: str, content: bytes) -> Iterator[tuple]:
         with zipfile.ZipFile(io.BytesIO(content)) as book:
             strings, dates = _shared_strings(book), _date_styles(book)
             sheets = _sheets(book)
-            for name, part in sheets:
+            for pos, (name, part) in enumerate(sheets):
+                empty = True
                 try:
                     for idx, cells, merged in _sheet_rows(book, part, strings, dates):
-                        yield path, name, idx, cells, merged, None
+                        empty = False
+                        yield path, name, pos, idx, cells, merged, None
+                    if empty:
+                        yield path, name, pos, None, [], [], None
                 except Exception as problem:  # one bad sheet must not stop the rest
-                    yield path, name, None, [], [], f"{type(problem).__name__}: {problem}"
+                    yield path, name, pos, None, [], [], f"{type(problem).__name__}: {problem}"
     except Exception as problem:
-        yield path, None, None, [], [], f"{type(problem).__name__}: {problem}"
+        yield path, None, None, None, [], [], f"{type(problem).__name__}: {problem}"
 
 
 def _scan(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     def frame(rows: list) -> pd.DataFrame:
-        return pd.DataFrame(rows, columns=SCAN.fieldNames()).astype({"row_idx": "Int64"})
+        return pd.DataFrame(rows, columns=SCAN.fieldNames()).astype(
+            {"row_idx": "Int64", "sheet_pos": "Int32"}
+        )
 
     for files in batches:
         for path, content in zip(files["path"], files["content"]):
@@ -221,6 +237,7 @@ def scan_files(files: DataFrame) -> DataFrame:
         ingest_date_of(F.col("path")).alias("ingest_date"),
         F.regexp_extract("path", r"([^/]+)$", 1).alias("workbook"),
         "sheet",
+        "sheet_pos",
         "row_idx",
         "cells",
         "merged",
@@ -241,8 +258,13 @@ def scan_workbooks(spark: SparkSession, path: str, pattern: str = "*.xlsx") -> D
 
 
 def sheet_rows(scanned: DataFrame) -> DataFrame:
-    """Rows without the reading errors."""
-    return scanned.filter(F.col("error").isNull()).drop("error", "path")
+    """Rows of the sheets that were read whole; a half-read sheet is a reject."""
+    failed = scanned.filter(F.col("error").isNotNull()).select("path", "sheet").distinct()
+    return (
+        scanned.filter(F.col("error").isNull() & F.col("row_idx").isNotNull())
+        .join(failed, ["path", "sheet"], "left_anti")
+        .select(*[c for c in scanned.columns if c not in ("error", "path")])
+    )
 
 
 def unreadable(scanned: DataFrame) -> DataFrame:
@@ -257,8 +279,8 @@ def unreadable(scanned: DataFrame) -> DataFrame:
 
 
 def sheet_listing(rows: DataFrame, keys=("ingest_date", "workbook", "sheet")) -> DataFrame:
-    """The sheets there are."""
-    return rows.select(*keys).distinct()
+    """The sheets there are; of a scan those without rows too."""
+    return rows.filter(F.col("sheet").isNotNull()).select(*keys).distinct()
 
 
 def merged_cells(rows: DataFrame) -> DataFrame:

@@ -2,7 +2,8 @@
 
 A file stream notices new files; every micro-batch re-reads the whole folders of
 the dates it touches, because a folder's files may arrive in different batches.
-The outputs replace only those dates, so a repeated batch changes nothing.
+The outputs replace only those dates and the dimension version of the batch, so a
+repeated batch changes nothing.
 """
 
 from __future__ import annotations
@@ -11,8 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from supplyview.plans.runs import Options, run
-from supplyview.sinks import write_combined_csv, write_fact
+from supplyview.plans.runs import Options, report
 from supplyview.sources.folders import REQUIRED_FILES, date_text, list_files, partition_status
 
 # Fixed columns of Spark's binary file source.
@@ -45,19 +45,20 @@ def report_new_dates(
     required = REQUIRED_FILES["split" if options.layout == "split" else "combined"]
 
     def process(batch: DataFrame, batch_id: int) -> None:
+        # Dates touched by one batch: one short text per day. Only their folders are listed.
+        touched = [r["date"] for r in batch.select("date").distinct().orderBy("date").collect()]
+        if not touched:
+            return
         ready = (
-            partition_status(list_files(spark, root), required)
+            partition_status(list_files(spark, f"{root}/{{{','.join(touched)}}}"), required)
             .filter(F.col("status") == "Ready")
-            .select(F.col("folder").alias("date"))
         )
-        # Dates touched by one batch: one short text per day.
-        touched = batch.select("date").distinct().join(ready, "date").orderBy("date")
-        dates = [r["date"] for r in touched.collect()]
-        if not dates:
-            return
-        results = run(spark, root, dimension_path, dates, usage_file, options)
-        write_fact(results.fact, f"{output}/fact")
-        write_combined_csv(results.fact, f"{output}/combined")
+        dates = [r["folder"] for r in ready.collect()]
+        if dates:
+            report(
+                spark, root, dimension_path, output, f"batch-{batch_id}", again=True,
+                dates=dates, usage_file=usage_file, options=options,
+            )
 
     return (
         stream_files(spark, root)

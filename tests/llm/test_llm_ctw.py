@@ -128,7 +128,17 @@ def test_packed_columns():
     assert (ctw.expand_sorted(ctw.squeeze_sorted(keys)) == keys).all()
     assert len(ctw.expand_sorted(ctw.squeeze_sorted(keys[:0]))) == 0
     for some in ([], [b""], [b"", b"a"], [b"b", b""]):
-        assert ctw.expand_words(ctw.squeeze_words(pa.array(some, pa.binary())), len(some)) == some
+        some = [x.decode() for x in some]
+        words = pa.array(some, pa.string())
+        assert ctw.expand_words(ctw.squeeze_words(words), len(some)).to_pylist() == some
+
+
+def test_buckets_follow_the_word_alone():
+    words = ["", "a", "b", "ab", "abcdefgh", "abcdefghi", "xabcdefghi", "abcdefg", "é", ""]
+    one = [int(ctw.word_bucket(pa.array([w]), 97)[0]) for w in words]
+    assert ctw.word_bucket(pa.array(words), 97).tolist() == one
+    assert ctw.word_bucket(pa.array(["x", *words]).slice(1), 97).tolist() == one
+    assert len(set(one)) >= 8
 
 
 def test_no_texts(spark):

@@ -7,12 +7,13 @@ import pytest
 import xlsx
 from pyspark.sql import functions as F
 
-from supplyview import Options, run, tables, whole_tables
+from supplyview import Options, finished_tables, report, run, tables, whole_tables
 from supplyview import sinks as K
 from supplyview.operators import headers as H
 from supplyview.operators import pivot as V
 from supplyview.operators import quality as Q
-from supplyview.sources.workbook import scan_workbooks, sheet_rows
+from supplyview.session import run_folder, shared_folder
+from supplyview.sources.workbook import scan_workbooks, sheet_listing, sheet_rows, unreadable
 from supplyview.streaming import report_new_dates
 
 QTY = "QTY (MT) /BL"
@@ -146,19 +147,48 @@ def test_legacy_units(spark, combined):
     assert fact.filter("status = 'UNSERVED LOCAL'").agg(F.sum("quantity")).first()[0] == 4_000_000.0
 
 
-def test_whole_tables_keep_every_column(spark, combined, tmp_path):
+def test_whole_tables_keep_every_column(spark, combined):
     rows = sheet_rows(scan_workbooks(spark, str(combined / "input" / "20250811")))
-    whole = whole_tables(rows).cache()
-    names = K.write_all_tables(whole, str(tmp_path / "csv"))
-    assert names == ["CHARTS", "INVENTORY", "LANDED", "PULLOUT", "SAILING", "SUMMARY", "UNSERVED IMPORTED", "UNSERVED LOCAL"]
-    landed = spark.read.option("header", True).csv(str(tmp_path / "csv" / "LANDED"))
-    assert {"PRODUCT", QTY, "NOTE"} <= set(landed.columns) and landed.count() == 2
-    profile = {(r["table"], r["column"]): r for r in Q.grid_profile(whole).collect()}
+    profile = {(r["table"], r["column"]): r for r in Q.grid_profile(whole_tables(rows)).collect()}
     assert profile["INVENTORY", "BIN"]["n_columns"] == 3
     assert profile["SAILING", QTY]["dtype"] == "double" and profile["SAILING", "PRODUCT"]["dtype"] == "string"
     assert profile["UNSERVED LOCAL", "SUPPLIER"]["null_count"] == 2
 
 
+def test_finished_tables_are_saved_with_their_own_columns(spark, combined, tmp_path):
+    rows = sheet_rows(scan_workbooks(spark, str(combined / "input" / "20250811")))
+    finished = finished_tables(rows).cache()
+    K.write_tables_csv(finished, str(tmp_path / "csv"))
+
+    def saved(table, sheet):
+        path = tmp_path / "csv" / f"table={table}" / "ingest_date=2025-08-11"
+        (file,) = path.glob(f"workbook=*/sheet={sheet}/part-*")
+        return file.read_text().splitlines()
+
+    assert {p.name for p in (tmp_path / "csv").glob("table=*")} == {
+        f"table={t}" for t in ("CHARTS", "INVENTORY", "LANDED", "PULLOUT", "SAILING", "SUMMARY", "UNSERVED IMPORTED", "UNSERVED LOCAL")
+    }
+    assert saved("LANDED", "LANDED.PULL OUT") == [f"PRODUCT,{QTY},NOTE", "Corn,1,n", "Soya,bad,n"]
+    # Merged products are filled and summary rows lose theirs; row 5 is merged into Corn's range.
+    assert saved("UNSERVED LOCAL", "UNSERVED LOCAL") == [
+        f"RAW MATERIALS,SUPPLIER,{LOCAL_QTY}", "Soya,S1,3000", "Soya,S2,1000", ",,4000", "Corn,S1,", ",,9000",
+    ]
+    # Descriptions and quantities alone, no blank rows; nulls are blanks.
+    assert saved("INVENTORY", "Sheet1") == [
+        "ITEM DESCRIPTION,QTY IN KGS", "Soya,5000", 'Corn,"1,000"', "  ,7", "Rye,2000",
+    ]
+    profile = {(r["table"], r["column"]) for r in Q.grid_profile(finished).collect()}
+    assert ("INVENTORY", "BIN") not in profile and ("LANDED", "NOTE") in profile
+
+
+def test_finished_split_tables_have_the_usual_names(spark, split):
+    rows = sheet_rows(scan_workbooks(spark, str(split / "input")))
+    found = finished_tables(rows, Options(layout="split")).filter("table = 'UNSERVED LOCAL' and sheet = 'UNSERVED LOCAL'")
+    local = found.orderBy("row_idx").collect()
+    assert local[0]["header"] == ["RAW MATERIALS", "SUPPLIER", LOCAL_QTY]
+    assert [r["cells"][0] for r in local] == ["Soya", "Soya", "", "Corn"]
+
+
 @pytest.mark.parametrize("layout", ["split", "sheets"])
 def test_whole_tables_of_the_other_layouts(spark, split, combined, layout):
     folder = (split if layout == "split" else combined) / "input" / "20250811"
@@ -222,14 +252,23 @@ def test_split_fact(split_results):
         ("UNSERVED LOCAL", "Soya", 1.0, "meal"),
         ("UNSERVED LOCAL", "Soya", 2.0, "meal"),
     ]
-    # Every inventory sheet counts.
-    assert sum(r[2] for r in fact_rows(split_results) if r[0] == "INVENTORY" and r[1] == "Soya") == 10.0
+    # The first inventory sheet counts.
+    assert sum(r[2] for r in fact_rows(split_results) if r[0] == "INVENTORY" and r[1] == "Soya") == 5.0
+
+
+def test_all_inventory_sheets_on_request(spark, split):
+    rows = sheet_rows(scan_workbooks(spark, str(split / "input")))
+    found = tables(rows, Options(layout="split", all_inventory_sheets=True))
+    stock = found.projected.filter("table = 'INVENTORY' and product = 'Soya'").collect()
+    assert sorted(r["sheet"] for r in stock) == ["More", "Sheet1"]
+    assert ("Empty", "missing columns: ITEM DESCRIPTION, QTY IN KGS") in {
+        (r["sheet"], r["reason"]) for r in found.rejects.collect()
+    }
 
 
 def test_split_rejects_and_new_aliases(split_results):
     assert {(r["sheet"], r["reason"]) for r in split_results.rejects.collect()} == {
         ("Broken", f"missing columns: {LOCAL_QTY}"),
-        ("Empty", "missing columns: ITEM DESCRIPTION, QTY IN KGS"),
     }
     assert {(r["expected"], r["alias"]) for r in split_results.aliases.collect()} == {
         ("RAW MATERIALS", "Raw Material"), (LOCAL_QTY, "Still to deliver (KG)"),
@@ -281,10 +320,18 @@ def test_fact_and_csv_sinks(spark, combined_results, tmp_path):
     K.write_combined_csv(combined_results.fact, str(tmp_path / "csv"))
     csv = spark.read.option("header", True).csv(str(tmp_path / "csv"))
     assert set(csv.columns) == {"PRODUCT", "QUANTITY", "STATUS", "CATEGORY", "ingest_date"}
-    K.write_pivot_csv(combined_results.pivot, str(tmp_path / "pivot"))
-    (file,) = list((tmp_path / "pivot").glob("*.csv"))
-    lines = file.read_text().splitlines()
-    assert lines[0].startswith("ingest_date,CATEGORY,INVENTORY") and len(lines) == 1 + combined_results.pivot.count()
+
+
+def test_pivot_sink_replaces_only_its_dates(spark, combined_results, tmp_path):
+    pivot, out = combined_results.pivot, str(tmp_path / "pivot")
+    K.write_pivot_csv(pivot, out)
+    K.write_pivot_csv(pivot.filter("ingest_date = '2025-08-12'"), out)
+    for day in (11, 12):
+        files = sorted((tmp_path / "pivot" / f"ingest_date=2025-08-{day}").glob("*.csv"))
+        lines = [line for f in files for line in f.read_text().splitlines()]
+        rows = [line for line in lines if not line.startswith("CATEGORY,INVENTORY")]
+        assert len(rows) == pivot.filter(F.col("ingest_date") == f"2025-08-{day}").count()
+        assert rows[-1].startswith("TOTAL,")
 
 
 def test_dimension_versions_and_aliases(spark, combined_results, split_results, tmp_path):
@@ -305,11 +352,112 @@ def test_dimension_versions_and_aliases(spark, combined_results, split_results,
 
 def test_table_csv_has_a_column_per_header(spark, combined, tmp_path):
     rows = sheet_rows(scan_workbooks(spark, str(combined / "input"))).filter("sheet = 'Sheet1'")
-    promoted = H.promote_header(rows, H.header_required(rows))
-    K.write_table_csv(promoted, str(tmp_path / "inventory"))
+    promoted = H.promote_header(rows, H.header_required(rows)).withColumn("table", F.lit("INVENTORY"))
+    K.write_tables_csv(promoted, str(tmp_path / "inventory"))
     back = spark.read.option("header", True).csv(str(tmp_path / "inventory"))
     assert {"BIN", "ITEM DESCRIPTION", "QTY IN KGS", "ingest_date"} <= set(back.columns)
-    assert back.count() == 8
+    assert back.count() == 10
+
+
+def test_csv_lines_are_quoted(spark):
+    df = spark.createDataFrame([(["a,b", None, 'say "x"', "two\nlines", ""],)], "v array<string>")
+    assert df.select(K.tables.csv_line(F.col("v"))).first()[0] == '"a,b",,"say ""x""","two\nlines",'
+
+
+# --- nothing is lost ---------------------------------------------------------
+
+
+def test_a_half_read_sheet_is_rejected_whole(spark, tmp_path):
+    import zipfile
+
+    path = tmp_path / "20250811" / "deliveries.xlsx"
+    good = [["t", None], ["PRODUCT", QTY], ["Soya", 1.0], ["Corn", 2.0], ["Rye", 3.0]]
+    xlsx.write(path, {"SAILING": good, "LANDED": good, "EMPTY": []})
+    with zipfile.ZipFile(path) as book:
+        parts = {n: book.read(n) for n in book.namelist()}
+    parts["xl/worksheets/sheet1.xml"] = parts["xl/worksheets/sheet1.xml"].replace(b'<row r="5">', b'<row r="5"><broken')
+    with zipfile.ZipFile(path, "w") as book:
+        for n, data in parts.items():
+            book.writestr(n, data)
+    scanned = scan_workbooks(spark, str(tmp_path)).cache()
+    assert scanned.filter("sheet = 'SAILING' and row_idx is not null").count() > 0
+    rows = sheet_rows(scanned)
+    assert {r["table"] for r in tables(rows).projected.collect()} == {"LANDED"}
+    assert [r["sheet"] for r in unreadable(scanned).collect()] == ["SAILING"]
+    assert {r["sheet"] for r in sheet_listing(scanned).collect()} == {"SAILING", "LANDED", "EMPTY"}
+
+
+def test_stacked_sheets_without_a_split_are_rejected(spark, tmp_path):
+    xlsx.write(
+        tmp_path / "20250811" / "deliveries.xlsx",
+        {"LANDED.PULL OUT": [["t", None], ["PRODUCT", QTY], ["Soya", 1.0], ["PRODUCT", QTY], ["Corn", 2.0]]},
+    )
+    found = tables(sheet_rows(scan_workbooks(spark, str(tmp_path))))
+    assert found.projected.count() == 0
+    assert [(r["table"], r["reason"]) for r in found.rejects.collect()] == [("STACKED", "no rule splits the sheet")]
+
+
+def test_third_tables_are_rejected(spark, tmp_path):
+    table = [["PRODUCT", QTY], ["Soya", 1.0], [None, None]]
+    xlsx.write(tmp_path / "20250811" / "book.xlsx", {"LANDED.PULL OUT": [["label", "x"], *table, *table, *table]})
+    found = tables(sheet_rows(scan_workbooks(spark, str(tmp_path))), Options(layout="sheets_advanced"))
+    assert sorted(r["table"] for r in found.projected.collect()) == ["LANDED", "PULLOUT"]
+    assert [r["reason"] for r in found.rejects.collect()] == ["table beyond the second: rows 6 to 7"]
+
+
+def test_audit_adds_up(spark):
+    from pathlib import Path
+
+    from supplyview.plans.queries import QUERIES
+
+    sf = "/root/testdata/sf0.001"
+    if not Path(sf).exists():
+        pytest.skip("driver tables not present")
+    rows = QUERIES["sheet_audit"](spark, sf).collect()
+    for r in rows:
+        assert r["n_read"] == r["n_table"] + r["n_header"] + r["n_blank"] + r["n_rejected"] + r["n_aside"]
+    assert any(r["n_rejected"] for r in rows) and any(r["n_table"] for r in rows)
+
+
+def test_optional_inputs_may_be_absent(spark, tmp_path):
+    xlsx.write(tmp_path / "20250811" / "deliveries.xlsx", {"SAILING": [["t", None], ["PRODUCT", QTY], ["Soya", 1.0]]})
+    (tmp_path / "empty.csv").write_text("")
+    for dim in (None, str(tmp_path / "none.csv"), str(tmp_path / "empty.csv")):
+        results = run(
+            spark, str(tmp_path), dim, mapping_path=str(tmp_path / "m.json"), alias_path=str(tmp_path / "a.json")
+        )
+        assert [(r["product"], r["status"]) for r in results.fact.collect()] == [("Soya", "SAILING")]
+        assert results.pivot.count() == 2 and results.dimension.count() == 1
+
+
+def test_one_call_writes_everything_and_leaves_nothing_behind(spark, combined, tmp_path):
+    from pathlib import Path
+
+    shared = Path(shared_folder(spark).removeprefix("file:"))
+    before = set(shared.iterdir())
+    out = tmp_path / "out"
+    report(spark, str(combined / "input"), write_dimension(combined), str(out), "1", dates=["20250811"])
+    assert set(shared.iterdir()) == before
+    assert {p.name for p in out.iterdir()} == {
+        "fact", "combined", "pivot", "enhanced_pivot", "tables", "dimension", "reports", "aliases",
+    }
+    assert spark.read.parquet(str(out / "fact")).count() == 15
+    with pytest.raises(ZeroDivisionError):
+        with run_folder(spark):
+            run(spark, str(combined / "input"), None, dates=["20250811"])
+            1 / 0
+    assert set(shared.iterdir()) == before
+
+
+def test_stored_aliases_come_back(spark, split, tmp_path):
+    results = run(spark, str(split / "input"), None, usage_file=None, options=Options(layout="split"))
+    K.write_aliases(results.aliases, str(tmp_path / "aliases"))
+    again = run(
+        spark, str(split / "input"), None, usage_file=None, options=Options(layout="split"),
+        alias_path=str(tmp_path / "aliases"),
+    )
+    stored = {(r["expected"], r["alias"]) for r in results.aliases.collect()}
+    assert stored and {(r["expected"], r["alias"]) for r in again.aliases.collect()} == stored
 
 
 # --- stream ------------------------------------------------------------------
@@ -334,6 +482,7 @@ def test_new_folders_are_reported_once(spark, combined, tmp_path):
     arrive("20250812", "deliveries.xlsx")
     first = go()
     assert set(first) == {11}
+    assert {p.name for p in (tmp_path / "out").iterdir()} >= {"fact", "pivot", "tables", "dimension", "reports"}
     arrive("20250812", "inventory.xlsx")
     second = go()
     assert set(second) == {11, 12} and second[11] == first[11]
@@ -356,9 +505,9 @@ def products(found):
 def test_merged_products_of_unserved_local(spark, tmp_path):
     header = ["RAW MATERIALS", "SUPPLIER", LOCAL_QTY]
     assert products(tables(merged_rows(spark, tmp_path / "a", "d.xlsx", "UNSERVED LOCAL", header))) == ["Soya", "Soya", ""]
-    # Only under a header among the first ten spreadsheet rows.
-    low = merged_rows(spark, tmp_path / "b", "d.xlsx", "UNSERVED LOCAL", header, top=10)
-    assert products(tables(low)) == ["Soya", None, None]
+    # Wherever the header is found.
+    low = merged_rows(spark, tmp_path / "b", "d.xlsx", "UNSERVED LOCAL", header, top=9)
+    assert products(tables(low)) == ["Soya", "Soya", ""]
     # Other tables keep their gaps.
     other = merged_rows(spark, tmp_path / "c", "d.xlsx", "SAILING", ["PRODUCT", "SUPPLIER", QTY])
     assert products(tables(other)) == ["Soya", None, None]

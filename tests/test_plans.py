@@ -41,6 +41,40 @@ def test_scans_read_only_what_they_need(spark):
     assert "EqualTo(o_orderpriority,1-URGENT)" in plan(urgent.select("o_orderdate"))
 
 
+@pytest.mark.parametrize(
+    "name", ["status_counts", "status_counts_fixed", "category_counts", "na_products", "exclusion_counts"]
+)
+def test_counts_read_sums(few_broadcasts, name):
+    text = plan(QUERIES[name](few_broadcasts, str(SF_DIR)))
+    # The line items are summed by part before any join.
+    line_scan = text.index("lineitem.parquet")
+    before = text[:line_scan].splitlines()
+    assert any("HashAggregate(keys=[p_partkey" in line for line in before[-12:])
+
+
+def test_fuzzy_pivot_reads_the_parts_a_few_times(spark, monkeypatch):
+    from supplyview import session
+
+    read = []
+    from supplyview.plans import queries
+
+    def watched(df, name):
+        read.append(plan(df).count("part.parquet"))
+        return session.stage(df, name)
+
+    monkeypatch.setattr(queries, "stage", watched)
+    last = plan(QUERIES["enhanced_pivot_fuzzy"](spark, str(SF_DIR))).count("part.parquet")
+    assert sum(read) + last <= 4
+
+
+def test_blocks_are_joined_by_key_without_a_hint(spark):
+    rows = grid(spark, {f"s{i}": [["a"]] * 4 for i in range(5)})
+    logical = S.table_boundaries(rows, KEYS, block_rows=3)._jdf.queryExecution().logical().toString()
+    assert "ResolvedHint" not in logical and "UnresolvedHint" not in logical
+    found = S.table_boundaries(rows, KEYS, block_rows=3).count()
+    assert found == 5
+
+
 def test_windows_run_inside_blocks(spark):
     rows = grid(spark, {"s": [["a"], ["a"], [None]]})
     text = plan(S.table_boundaries(rows, KEYS))

@@ -174,6 +174,31 @@ def test_fuzzy_map_against_a_loop_on_random_names(spark):
     assert got == loop_mapping(products, names)
 
 
+def test_fuzzy_map_against_a_loop_on_long_names(spark):
+    rng = random.Random(5)
+
+    def words(n):
+        return " ".join(rng.choice(["material", "soya", "meal", "raw", "oil", "x"]) for _ in range(n))
+
+    products = list(dict.fromkeys(words(rng.randint(1, 4)) for _ in range(80)))
+    names = list(dict.fromkeys(words(rng.randint(1, 7)).upper() for _ in range(80)))
+    got = by(U.ingredient_map_fuzzy(usage(spark, *[(n, 1) for n in names]), dim(spark, *[(p, "c") for p in products])),
+             "ingredient_name", "mapped_product", "is_new")
+    assert got == loop_mapping(products, names)
+
+
+@pytest.mark.parametrize("length", [2_000, 20_000])
+def test_candidates_grow_with_the_length_of_a_name(spark, length):
+    rng = random.Random(length)
+    name = "".join(rng.choice("abcdefgh") for _ in range(length))
+    whole = spark.createDataFrame([(name,)], "text string")
+    assert U._cuts(whole, [U.GRAM]).count() <= length
+    assert U._cuts(whole, range(1, U.GRAM)).count() <= (U.GRAM - 1) * length
+    inner = [(name[i : i + n],) for i, n in ((0, 3), (5, 6), (100, 1500), (length - 7, 7))] + [("zz",), ("z" * 50,)]
+    found = U.containing(whole, spark.createDataFrame(inner, "text string")).select("inner").collect()
+    assert {r["inner"] for r in found} == {t for (t,) in inner if t in name}
+
+
 def test_new_ingredients_and_exact_map(spark):
     known = dim(spark, ("Soya", "meal"))
     lines = usage(spark, ("Soya", 1), ("Soya Oil", 1), ("Zinc", 1))
@@ -311,14 +336,16 @@ def test_profile(spark):
 def test_product_search_reports_merged_rows(spark):
     table = spark.createDataFrame(
         [("s", i, ["RAW MATERIALS", "SUPPLIER", "DELIVERED KILOS"], [name, f"sup{i}", str(i)],
-          [{"col_idx": 0, "anchor_row": 1, "anchor_col": 0, "anchor_value": "US SOYA"}] if i == 1 else [])
+          [{"col_idx": 0, "anchor_row": 1, "anchor_col": 0, "anchor_value": "US SOYA", "last_row": 2}] if i == 1 else [])
          for i, name in enumerate(["corn", "US soya", "soya us"] + ["US SOYA"] * 40)],
         "sheet string, row_idx bigint, header array<string>, cells array<string>,"
-        "merged array<struct<col_idx:int,anchor_row:int,anchor_col:int,anchor_value:string>>",
+        "merged array<struct<col_idx:int,anchor_row:int,anchor_col:int,anchor_value:string,last_row:int>>",
     )
     found = Q.product_search(table, "us soya", "RAW MATERIALS", ["sheet"])
     rows = {r["row_idx"]: r for r in found.collect()}
-    assert sorted(rows) == [1, *range(3, 29)]
-    assert rows[1]["merged_from_row"] == 1 and rows[3]["merged_from_row"] is None
+    assert sorted(rows) == [1, *range(3, 43)]
+    assert sorted(r["row_idx"] for r in Q.product_search(table, "us soya", "RAW MATERIALS", ["sheet"], 29).collect()) == [1, *range(3, 29)]
+    assert (rows[1]["merged_from_row"], rows[1]["merged_to_row"]) == (1, 2)
+    assert rows[3]["merged_from_row"] is None and rows[3]["merged_to_row"] is None
     assert (rows[5]["supplier"], rows[5]["quantity"]) == ("sup5", "5")
-    assert tuple(Q.search_counts(found, ["sheet"]).first()) == ("s", 27, 1)
+    assert tuple(Q.search_counts(found, ["sheet"]).first()) == ("s", 41, 1)

@@ -104,6 +104,17 @@ def test_names_blanks_and_duplicates(spark, base):
     assert raw[0] == " PRODUCT "
 
 
+@pytest.mark.parametrize("names", [
+    ["QTY", "QTY_2", "QTY"], ["QTY", "QTY", "QTY_2"], ["A", "A_3", "A", "A", "A_3"], ["A", "A_2", "A", "A_2_2"],
+])
+def test_numbered_names_meet_no_other_name(spark, names):
+    rows = spark.createDataFrame([(names,)], "c array<string>")
+    got = rows.select(H.header_names(F.col("c"))).first()[0]
+    assert len(set(got)) == len(got)
+    assert all(a.startswith(b) for a, b in zip(got, names))
+    assert got[: len(set(names))][0] == names[0]
+
+
 def test_fuzzy_rename_prefers_exact_then_alias_then_rule(spark):
     headers = spark.createDataFrame(
         [
