@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from supplyview.llm import langid, mixing, packing, quality, simhash
-from supplyview.llm.common import free_name, held_out, importable, table
+from supplyview.llm.common import free_name, held_out, prepared, table
 from supplyview.llm.queries import GOOD_QUALITY
 from supplyview.session import stage
 
@@ -30,7 +30,7 @@ LEAST_SHARE = 0.5
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    importable(spark)
+    prepared(spark)
     names = tuple(free_name(docs, n) for n in ("lang_pred", "lang_score", "spans"))
     labelled = langid.language_of(docs, ~held_out(F.col("doc_id")), docs.columns, names=names)
     good = (F.col(names[0]) != langid.UND) & (F.col(names[1]) >= LEAST_SHARE)
@@ -38,7 +38,7 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    importable(spark)
+    prepared(spark)
     name = free_name(docs, "quality_score")
     labels = table(spark, sf_dir, "labels")
     model = quality.fit(docs, labels, "quality", ~held_out(F.col("doc_id")))
@@ -46,7 +46,7 @@ def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    importable(spark)
+    prepared(spark)
     named = docs.filter(F.col("doc_id").isNotNull())
     first = (
         simhash.near_duplicates(named, shingle=3, radius=3)
@@ -57,13 +57,13 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    importable(spark)
+    prepared(spark)
     names = (free_name(docs, "slot"), free_name(docs, "position"))
     return mixing.in_order(mixing.mix(docs, names=names), names)
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    importable(spark)
+    prepared(spark)
     return packing.pack(docs)
 
 

@@ -19,11 +19,19 @@ WORD_PATTERN = r"[^\x20\x09-\x0D]+"
 PACKAGE_ROOT = str(Path(__file__).resolve().parents[2])
 
 
-def importable(spark: SparkSession) -> None:
-    """Let Python workers import this package from where the driver has it.
+# Rows of an Arrow batch. Texts are wide, and a worker holds a batch several times over.
+BATCH_ROWS = 1000
+BATCH_CONF = "spark.sql.execution.arrow.maxRecordsPerBatch"
 
-    A cluster has the package installed or shipped; then this path adds nothing.
+
+def prepared(spark: SparkSession) -> None:
+    """Let Python workers import this package from where the driver has it, and keep
+    Arrow batches small unless the session says otherwise.
+
+    A cluster has the package installed or shipped; then the path adds nothing.
     """
+    if spark.conf.get(BATCH_CONF) == "10000":
+        spark.conf.set(BATCH_CONF, str(BATCH_ROWS))
     environment = spark.sparkContext.environment
     known = environment.get("PYTHONPATH", "")
     if PACKAGE_ROOT not in known.split(os.pathsep):
@@ -31,7 +39,7 @@ def importable(spark: SparkSession) -> None:
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    importable(spark)
+    prepared(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 

@@ -29,7 +29,7 @@ BUCKETS = 1 << 16
 SWITCH = 12.0
 SCRIPT_SHARE = 0.01
 UND = "und"
-STEP_CHARS = 2_000_000
+STEP_CHARS = 1_000_000
 
 # First code points of script ranges in Unicode; a range ends where the next begins.
 SCRIPTS = [

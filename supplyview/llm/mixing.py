@@ -21,19 +21,15 @@ from __future__ import annotations
 
 import heapq
 import math
-from collections.abc import Iterator
 
-import pyarrow as pa
-from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from supplyview.session import stage
-from supplyview.llm.common import parts, schema_of
+from supplyview.llm.common import parts
 
 BLOCK = 32
 PERIOD = 10_000
-ROWS_PER_TASK = 200_000
 
 
 def rounded(weights: dict[str, float], period: int) -> dict[str, int]:
@@ -92,25 +88,6 @@ def phases(blocks: dict[str, int], weights: dict[str, float], period: int = PERI
     return out
 
 
-def _ranked(columns: list[str]):
-    def ranked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        part = TaskContext.get().partitionId()
-        last, seen = None, 0
-        for batch in batches:
-            ranks = []
-            for source in batch.column("_source").to_pylist():
-                if source != last:
-                    last, seen = source, 0
-                ranks.append(seen)
-                seen += 1
-            yield pa.RecordBatch.from_arrays(
-                [*batch.columns, pa.array([part] * len(ranks), pa.int32()), pa.array(ranks, pa.int64())],
-                [*columns, "_part", "_rank"],
-            )
-
-    return ranked
-
-
 def mix(
     docs: DataFrame,
     weights: dict[str | None, float] | None = None,
@@ -136,28 +113,27 @@ def mix(
         goal = {s: (n / total) ** temper for s, n in sizes.items()}
     else:
         goal = {"" if s is None else f"={s}": w for s, w in weights.items()}
-    # A source's rows may span partitions: ranks within each, shifted by the earlier ones.
-    spread = keyed.repartitionByRange(
-        parts(total, ROWS_PER_TASK, spark.sparkContext.defaultParallelism), "_source", "_order"
-    ).sortWithinPartitions("_source", "_order", "_key").drop("_order", "_key")
-    ranked = stage(
-        spread.mapInArrow(_ranked(spread.columns), f"{schema_of(spread)}, _part int, _rank long"), "mix-ranked"
-    )
+    # Sorted rows are numbered within their partition. A source's rows may span partitions:
+    # its first number in each, and the rows in earlier ones, give the place in the source.
+    spread = keyed.repartitionByRange("_source", "_order").sortWithinPartitions("_source", "_order", "_key")
+    numbered = stage(
+        spread.select("_row", "_source", F.monotonically_increasing_id().alias("_number")), "mix-numbered"
+    ).withColumn("_part", F.shiftright("_number", 33))
     earlier = Window.partitionBy("_source").orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     shifts = (
-        ranked.groupBy("_source", "_part").agg(F.count(F.lit(1)).alias("_n"))
-        .select("_source", "_part", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_before"))
+        numbered.groupBy("_source", "_part")
+        .agg(F.count(F.lit(1)).alias("_n"), F.min("_number").alias("_first"))
+        .select("_source", "_part", (F.coalesce(F.sum("_n").over(earlier), F.lit(0)) - F.col("_first")).alias("_shift"))
     )
     plan = phases({s: parts(n, block) for s, n in sizes.items()}, goal, period)
     # Bounded by the weights: at most a row per pair of sources, and a period of slots per phase.
     table = spark.createDataFrame(
         plan, "_source string, _b0 long, _b1 long, _slot0 long, _length int, _share int, _slots array<int>"
     )
-    at = F.col("_before") + F.col("_rank")
     local = F.col("_block") - F.col("_b0")
     placed = (
-        ranked.join(shifts, ["_source", "_part"])
-        .withColumn("_index", at)
+        numbered.join(shifts, ["_source", "_part"])
+        .withColumn("_index", F.col("_number") + F.col("_shift"))
         .withColumn("_block", F.floor(F.col("_index") / block))
         .join(F.broadcast(table), ["_source"])
         .filter((F.col("_block") >= F.col("_b0")) & (F.col("_block") < F.col("_b1")))

@@ -34,7 +34,7 @@ KINDS = ((0, SHAPES, 1.0), (SHAPES, SHAPES + GRAMS, 0.3), (SHAPES + GRAMS, FEATU
 RANK = 64
 NEIGHBOURS = 15
 SHARPNESS = 8
-BLOCK_ROWS = 512
+BLOCK_ROWS = 128
 
 
 def byte_classes() -> np.ndarray:

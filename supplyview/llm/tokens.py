@@ -18,7 +18,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 # Words kept in each of two generations; the older one goes when the newer is full.
-MEMO_WORDS = 400_000
+MEMO_WORDS = 250_000
 # Any white space beside the space and the line feed, or a run of those two.
 MIXED_SPACE = (
     r"[\t\x0b\x0c\r\x1c-\x1f\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}"
@@ -122,7 +122,7 @@ def narrowest(vocabulary: int) -> np.dtype:
     return np.dtype("<u2") if vocabulary <= 1 << 16 else np.dtype("<u4")
 
 
-def slices(texts: pa.Array, most_bytes: int = 8_000_000):
+def slices(texts: pa.Array, most_bytes: int = 4_000_000):
     """Consecutive (start, length) of a batch with about ``most_bytes`` of text each."""
     sizes = pc.fill_null(pc.binary_length(texts), 0).to_numpy().astype(np.int64)
     number = np.cumsum(sizes) // most_bytes
