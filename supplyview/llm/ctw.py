@@ -11,12 +11,13 @@ weights that context-tree weighting gives after the training texts:
 so beta(s) = Pe(s) / product, and a decision's probability is
 (beta KT + deeper) / (beta + 1). The model is fixed once trained; scoring learns nothing.
 
-As Spark jobs: documents are dealt into blocks of bounded size. A block asks for the
+As Spark jobs: documents are dealt into blocks of bounded size; a task compresses what it
+has for a block before it is shuffled. A block asks for the
 distinct (context, byte) grams and words it holds, with its training counts, by bucket
 (the two latest context bytes of a gram, a hash of a word). Buckets merge the counts in
 rounds of ``FAN`` blocks and weigh all contexts of two and more bytes; the rest of the tree
 has at most 65,792 nodes whatever the input and is summed by an ordinary aggregate.
-The answers go back to the blocks, which sum them by document. Every gram and word of
+The answers (in 1/4096 bit) go back to the blocks, which sum them by document. Every gram and word of
 every text is counted; nothing is pruned or capped.
 
 Null and empty texts are the end alone. Rows without a doc_id train the model and are
@@ -40,6 +41,7 @@ from supplyview.llm.common import fold, parts, text_bytes
 DEPTH = 6
 BLOCK_BYTES = 16_000_000
 BUCKET_BYTES = 4_000_000
+PACK_BYTES = 16_000_000
 STEP_BYTES = 500_000
 STEP_ROWS = 255
 # Distinct grams that may wait for the next merge within a block.
@@ -50,6 +52,9 @@ REQUEST = "block int, bucket int, grams binary, counts binary, words binary, wor
 MERGED = REQUEST.replace("block int", "salt int")
 TREE = "bucket int, grams binary, deep binary, words binary, word_counts binary, top binary, n_train long, n_words long"
 ANSWER = "block int, grams binary, log2p binary, words binary, word_counts binary"
+PACKED = "block int, doc_ids array<long>, trains array<boolean>, sizes array<int>, data binary"
+# Steps of a bit in which answers are rounded.
+GRAIN = 4096
 
 
 # Packed columns of numbers and words.
@@ -92,6 +97,58 @@ def expand_words(data: bytes, n: int) -> pa.Array:
     return pc.split_pattern(one_text(zstandard.decompress(data)), "\n").flatten()
 
 
+# Documents by block.
+
+def _packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows (block, doc_id, train, text) as one compressed row per block, now and then."""
+    held: list[pa.RecordBatch] = []
+    size = 0
+    for batch in batches:
+        held.append(batch)
+        size += batch.nbytes
+        if size >= PACK_BYTES:
+            yield from _packs(held)
+            held, size = [], 0
+    yield from _packs(held)
+
+
+def _packs(held: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    held = [b for b in held if b.num_rows]
+    if not held:
+        return
+    rows = pa.Table.from_batches(held)
+    block = rows.column("block").to_numpy()
+    order = np.argsort(block, kind="stable")
+    block, rows = block[order], rows.take(pa.array(order))
+    texts = one_array(pc.fill_null(rows.column("text"), ""))
+    ends = np.frombuffer(texts.buffers()[1], np.int32)[texts.offset : texts.offset + len(texts) + 1]
+    data = memoryview(texts.buffers()[2] or b"")
+    starts = np.flatnonzero(np.concatenate([[True], block[1:] != block[:-1]]))
+    edges = np.append(starts, len(block))
+    by_block = pa.array(edges, pa.int32())
+    compress = zstandard.ZstdCompressor(level=1).compress
+    yield pa.RecordBatch.from_arrays(
+        [
+            pa.array(block[starts], pa.int32()),
+            pa.ListArray.from_arrays(by_block, one_array(rows.column("doc_id"))),
+            pa.ListArray.from_arrays(by_block, one_array(rows.column("train"))),
+            pa.ListArray.from_arrays(by_block, pa.array(np.diff(ends), pa.int32())),
+            pa.array([compress(data[ends[a] : ends[b]]) for a, b in zip(edges, edges[1:])], pa.binary()),
+        ],
+        names=[x.split()[0] for x in PACKED.split(", ")],
+    )
+
+
+def unpacked(packs: pa.Table) -> tuple[pa.Array, np.ndarray, pa.Array]:
+    """doc_ids, trains and texts of a block."""
+    sizes = one_array(packs.column("sizes")).flatten().to_numpy()
+    ends = np.concatenate([[0], np.cumsum(sizes, dtype=np.int64)]).astype(np.int32)
+    data = b"".join(zstandard.decompress(x) for x in packs.column("data").to_pylist())
+    texts = pa.StringArray.from_buffers(len(sizes), pa.py_buffer(ends), pa.py_buffer(data))
+    trains = one_array(packs.column("trains")).flatten().to_numpy(zero_copy_only=False)
+    return one_array(packs.column("doc_ids")).flatten(), trains, texts
+
+
 # Texts to words and grams.
 
 def one_array(column: pa.ChunkedArray) -> pa.Array:
@@ -189,7 +246,7 @@ def _requests(buckets: int):
     def requests(key: tuple, rows: pa.Table) -> pa.Table:
         keys, counts = np.zeros(0, np.uint64), np.zeros(0, np.int64)
         waiting: list[tuple[np.ndarray, np.ndarray]] = []
-        texts, trains = one_array(rows.column("text")), rows.column("train").to_numpy()
+        _, trains, texts = unpacked(rows)
         listed = tokens(texts)
         flat = listed.flatten().dictionary_encode()
         # Sums in double precision are exact up to 2^53.
@@ -424,7 +481,8 @@ def _answers(top):
             return _rows([], names)
         tree = trees.to_pylist()[0]
         keys = expand_sorted(tree["grams"])
-        log2p = top.value.log2p(keys, expand(tree["deep"], "<f4").reshape(-1, 8)).astype("<f4")
+        log2p = top.value.log2p(keys, expand(tree["deep"], "<f4").reshape(-1, 8))
+        rounded = np.round(log2p * GRAIN).astype("<i4")
         totals = expand(tree["word_counts"], "<i8")
         words = expand_words(tree["words"], len(totals))
         out = []
@@ -433,7 +491,7 @@ def _answers(top):
             own = expand_words(r["words"], n)
             at = pc.index_in(own, value_set=words).to_numpy(zero_copy_only=False) if n else np.zeros(0, int)
             out.append((
-                r["block"], r["grams"], squeeze(log2p[np.searchsorted(keys, expand_sorted(r["grams"]))]),
+                r["block"], r["grams"], squeeze(rounded[np.searchsorted(keys, expand_sorted(r["grams"]))]),
                 r["words"], squeeze(totals[at.astype(np.int64)]),
             ))
         return _rows(out, names)
@@ -456,7 +514,7 @@ def _scored(n_train: int, n_words: int):
         count_of: dict[str, int] = {}
         for r in answers.to_pylist():
             keys.append(expand_sorted(r["grams"]))
-            logs.append(expand(r["log2p"], "<f4"))
+            logs.append(expand(r["log2p"], "<i4"))
             totals = expand(r["word_counts"], "<i8")
             count_of.update(zip(expand_words(r["words"], len(totals)).to_pylist(), totals.tolist()))
         key, log = np.concatenate(keys), np.concatenate(logs)
@@ -464,7 +522,7 @@ def _scored(n_train: int, n_words: int):
         order = np.argsort(key)
         key, log = key[order], log[order]
         del order
-        texts = one_array(docs.column("text"))
+        doc_ids, _, texts = unpacked(docs)
         listed = tokens(texts)
         flat = listed.flatten().dictionary_encode()
         c = np.fromiter(map(count_of.__getitem__, flat.dictionary.to_pylist()), np.int64, len(flat.dictionary))
@@ -479,12 +537,12 @@ def _scored(n_train: int, n_words: int):
             pair, times = counted(number << np.uint64(8) | np.repeat(np.arange(n, dtype=np.uint64), size))
             gram, texts_of = counted(pair >> np.uint64(8))
             gain = np.repeat(log[np.searchsorted(key, gram)], texts_of) * times
-            bits.append(np.bincount((pair & np.uint64(255)).astype(np.int64), gain, n))
+            bits.append(np.bincount((pair & np.uint64(255)).astype(np.int64), gain, n) / GRAIN)
             sizes.append(size)
         bits, sizes = np.concatenate(bits), np.concatenate(sizes)
         columns = [pc.list_value_length(listed).to_numpy(), n_known, base, bits * np.log10(2), -bits / sizes]
         return pa.table(
-            [docs.column("doc_id").cast(pa.int64()), *(pa.array(c, k) for c, k in zip(columns, kinds[1:]))], names=names
+            [doc_ids, *(pa.array(c, k) for c, k in zip(columns, kinds[1:]))], names=names
         )
 
     return scored
@@ -506,7 +564,8 @@ def score(docs: DataFrame, remainder: int = 1, block_bytes: int = BLOCK_BYTES, f
         F.pmod(F.xxhash64("doc_id", "text"), F.lit(n_blocks)).cast("int").alias("block"),
     )
     salted = F.floor(F.col("block") / fan).cast("int")
-    requests = stage(rows.groupBy("block").applyInArrow(_requests(buckets), REQUEST), "ctw-requests")
+    packed = rows.select("block", "doc_id", "train", "text").mapInArrow(_packed, PACKED)
+    requests = stage(packed.groupBy("block").applyInArrow(_requests(buckets), REQUEST), "ctw-requests")
     merged = requests.withColumn("salt", salted)
     salts = parts(n_blocks, fan)
     while True:
@@ -534,7 +593,7 @@ def score(docs: DataFrame, remainder: int = 1, block_bytes: int = BLOCK_BYTES, f
         .applyInArrow(_answers(shared), ANSWER)
     )
     scored = (
-        rows.select("doc_id", "text", "block").groupBy("block")
+        packed.groupBy("block")
         .cogroup(answers.groupBy("block"))
         .applyInArrow(_scored(n_train, n_words), SCORED)
     )
