@@ -21,7 +21,8 @@ HEADLINE = (
     "combined_fact", "category_counts", "new_products", "projection_risk",
     "header_strict", "promote_header", "split_markers", "table_boundaries",
     "null_pattern_segments", "ffill_all", "delivery_fact", "split_tables",
-    "inventory_table", "partition_status",
+    "inventory_table", "partition_status", "advanced_split", "grid_profile",
+    "table_boundaries_legacy",
 )
 
 

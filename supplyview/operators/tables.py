@@ -38,7 +38,8 @@ def locate(
 
     ``keys`` end with ``table``: one header per sheet and table. A table without
     any header is kept, with a reason. ``aliases`` turns the fuzzy names on, for
-    unserved local only. Label rows and ``raw_tables`` keep their names unstripped.
+    sailing and unserved local; new aliases are captured from the latter. Label rows
+    and ``raw_tables`` keep their names unstripped.
     """
     found = H.pick_header(rows, rank, keys)
     is_raw = (F.col("header_row") == -1) | F.col("table").isin(*raw_tables)
@@ -55,7 +56,8 @@ def locate(
         renamed = H.rename_headers(named.withColumn("_names", F.col("header")), aliases=aliases)
         named = renamed.withColumns(
             {
-                "header": F.when(is_local, F.col("header")).otherwise(F.col("_names")),
+                "header": F.when(is_local | (F.col("table") == "SAILING"), F.col("header"))
+                .otherwise(F.col("_names")),
                 "captured": F.when(is_local, F.col("captured")),
             }
         ).drop("_names")
