@@ -29,7 +29,9 @@ BUCKETS = 1 << 16
 SWITCH = 12.0
 SCRIPT_SHARE = 0.01
 UND = "und"
-STEP_CHARS = 1_000_000
+# Characters whose trigrams are looked up at a time, and texts that share a Viterbi pass.
+STEP_CHARS = 400_000
+PASS_CHARS = 6_000_000
 
 # First code points of script ranges in Unicode; a range ends where the next begins.
 SCRIPTS = [
@@ -109,28 +111,29 @@ class Model:
         out[unused] = 0
         return out
 
-    def viterbi(self, words: Words, switch: float) -> np.ndarray:
-        """Label of each word; all texts advance together, word by word."""
-        emission = self.emissions(words)
-        n_texts, n = len(words.count), len(self.languages)
-        order = np.argsort(-words.count, kind="stable")
-        count = words.count[order]
-        first = (np.cumsum(words.count) - words.count)[order]
+    def viterbi(self, emission: np.ndarray, counts: np.ndarray, switch: float) -> np.ndarray:
+        """Label of each word; ``counts`` are the texts' numbers of words.
+
+        All texts advance together, word by word.
+        """
+        n_texts, n = len(counts), len(self.languages)
+        order = np.argsort(-counts, kind="stable")
+        count = counts[order]
+        first = (np.cumsum(counts) - counts)[order]
         value = np.zeros((n_texts, n))
         moved = np.zeros((len(emission), n), bool)
-        source = np.zeros(len(emission), np.int32)
+        source = np.zeros(len(emission), np.int16)
         longest = int(count[0]) if n_texts else 0
         # Texts with more than t words are the first active[t].
-        active = np.searchsorted(-count, -np.arange(longest), "left")
+        active = np.searchsorted(-count, -np.arange(longest), "left").tolist()
         for t in range(longest):
             a = active[t]
             now, at = value[:a], first[:a] + t
-            best = now.max(axis=1)
-            come = (best - switch)[:, None]
+            come = (now.max(axis=1) - switch)[:, None]
             moved[at] = come > now
             source[at] = now.argmax(axis=1)
             value[:a] = np.maximum(now, come) + emission[at]
-        label = np.zeros(len(emission), np.int32)
+        label = np.zeros(len(emission), np.int16)
         state = value.argmax(axis=1)
         for t in range(longest - 1, -1, -1):
             a = active[t]
@@ -140,13 +143,47 @@ class Model:
         return label
 
 
+def _cut(text: str) -> Iterator[tuple[int, str]]:
+    """A long text in pieces that end at a blank, with their places."""
+    at = 0
+    while len(text) - at > STEP_CHARS:
+        blank = text.rfind(" ", at, at + STEP_CHARS)
+        end = blank + 1 if blank > at else at + STEP_CHARS
+        yield at, text[at:end]
+        at = end
+    yield at, text[at:]
+
+
+def words_of(texts: list[str | None]) -> Iterator[tuple[Words, np.ndarray, np.ndarray]]:
+    """Words of bounded pieces of the texts, with the text's number and the piece's place."""
+    held: list[tuple[int, int, str]] = []
+    size = 0
+    for i, text in enumerate(texts):
+        for at, piece in _cut(text or ""):
+            held.append((i, at, piece))
+            size += len(piece)
+            if size >= STEP_CHARS:
+                yield _words(held)
+                held, size = [], 0
+    if held:
+        yield _words(held)
+
+
+def _words(held: list[tuple[int, int, str]]) -> tuple[Words, np.ndarray, np.ndarray]:
+    return (
+        Words([piece for *_, piece in held]),
+        np.array([i for i, *_ in held]),
+        np.array([at for _, at, _ in held]),
+    )
+
+
 def _steps(texts: list[str | None]) -> Iterator[list[str | None]]:
     held: list[str | None] = []
     size = 0
     for text in texts:
         held.append(text)
         size += len(text or "")
-        if size >= STEP_CHARS:
+        if size >= PASS_CHARS:
             yield held
             held, size = [], 0
     if held:
@@ -165,8 +202,7 @@ def learn(rows: DataFrame) -> Model | None:
             for lang in dict.fromkeys(langs.tolist()):
                 own = [texts[i] for i in np.flatnonzero(langs == lang).tolist()]
                 total = sums.setdefault(lang, np.zeros(BUCKETS + len(SCRIPT_NAMES), np.int64))
-                for some in _steps(own):
-                    words = Words(some)
+                for words, *_ in words_of(own):
                     total[:BUCKETS] += np.bincount(words.buckets, minlength=BUCKETS)
                     total[BUCKETS:] += np.bincount(words.script, weights=words.sizes, minlength=len(SCRIPT_NAMES)).astype(np.int64)
         for lang, total in sums.items():
@@ -223,23 +259,31 @@ def identify(
 
 
 def _labels(model: Model | None, texts: list[str | None], switch: float, spans: bool):
-    words = Words(texts)
-    if model is None or not len(words.starts):
+    emissions, numbers, sizes, begins = [], [], [], []
+    for words, text, at in words_of(texts) if model is not None else ():
+        if len(words.starts):
+            emissions.append(model.emissions(words))
+            numbers.append(text[words.text])
+            sizes.append(words.sizes)
+            begins.append(words.begin + at[words.text])
+    if not emissions:
         return [(UND, 0.0, [])] * len(texts)
-    label = model.viterbi(words, switch)
+    number, size, begin = (np.concatenate(x) for x in (numbers, sizes, begins))
+    counts = np.bincount(number, minlength=len(texts))
+    label = model.viterbi(np.concatenate(emissions), counts, switch)
     n = len(model.languages)
-    letters = np.bincount(words.text * n + label, weights=words.sizes, minlength=len(texts) * n).reshape(-1, n)
+    letters = np.bincount(number * n + label, weights=size, minlength=len(texts) * n).reshape(-1, n)
     total = letters.sum(axis=1)
     best = letters.argmax(axis=1)
     share = letters.max(axis=1) / np.maximum(total, 1)
     found: list[list[dict]] = [[] for _ in texts]
     if spans:
-        change = np.concatenate([[True], (label[1:] != label[:-1]) | (words.text[1:] != words.text[:-1])])
+        change = np.concatenate([[True], (label[1:] != label[:-1]) | (number[1:] != number[:-1])])
         opens = np.flatnonzero(change)
         closes = np.append(opens[1:], len(label)) - 1
         for i, j in zip(opens.tolist(), closes.tolist()):
-            found[words.text[i]].append({
-                "start": int(words.begin[i]), "end": int(words.begin[j] + words.sizes[j]),
+            found[number[i]].append({
+                "start": int(begin[i]), "end": int(begin[j] + size[j]),
                 "lang": model.languages[label[i]],
             })
     return [

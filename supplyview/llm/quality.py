@@ -35,6 +35,8 @@ RANK = 64
 NEIGHBOURS = 15
 SHARPNESS = 8
 BLOCK_ROWS = 128
+# Bytes of a text that are counted at a time.
+SLICE = 1 << 18
 
 
 def byte_classes() -> np.ndarray:
@@ -59,11 +61,14 @@ def raw_counts(text: str | None) -> np.ndarray:
         return out
     data = np.frombuffer(text.encode("utf-8", "surrogatepass"), np.uint8)
     if len(data) > 2:
-        for values, at, size in ((CLASSES[data], 0, SHAPES), (data.astype(np.uint32), SHAPES, GRAMS)):
-            mixed = values[:-2] * np.uint32(0x9E3779B1) + values[1:-1] * np.uint32(0x85EBCA77) + values[2:] * np.uint32(0xC2B2AE3D)
-            mixed = (mixed ^ (mixed >> np.uint32(15))) * np.uint32(0x2C1B3C6D)
-            share = np.bincount(mixed >> np.uint32(22), minlength=size) / (len(data) - 2)
-            out[at : at + size] = share
+        counts = np.zeros((2, SHAPES), np.int64)
+        for start in range(0, len(data) - 2, SLICE):
+            some = data[start : start + SLICE + 2]
+            for row, values in enumerate((CLASSES[some], some.astype(np.uint32))):
+                mixed = values[:-2] * np.uint32(0x9E3779B1) + values[1:-1] * np.uint32(0x85EBCA77) + values[2:] * np.uint32(0xC2B2AE3D)
+                mixed = (mixed ^ (mixed >> np.uint32(15))) * np.uint32(0x2C1B3C6D)
+                counts[row] += np.bincount(mixed >> np.uint32(22), minlength=SHAPES)
+        out[: SHAPES + GRAMS] = counts.ravel() / (len(data) - 2)
     words = text.split()
     if words:
         lines = text.split("\n")

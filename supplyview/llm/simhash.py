@@ -33,6 +33,8 @@ from supplyview.llm.common import components, group_chunks
 
 LOWER = bytes.maketrans(bytes(range(65, 91)), bytes(range(97, 123)))
 SEED = 42
+# Shingles of a text that are hashed at a time.
+SLICE = 20_000
 ALL = np.uint64(0xFFFFFFFFFFFFFFFF)
 
 
@@ -46,13 +48,15 @@ def fingerprint(text: str | None, shingle: int = 3) -> int:
     w = words(text)
     if not w:
         return 0
-    runs = zip(*(w[i:] for i in range(shingle))) if len(w) >= shingle else [w]
     digest, join = xxhash.xxh64_digest, b" ".join
-    hashes = b"".join([digest(join(x), SEED) for x in runs])
-    n = len(hashes) // 8
-    bits = np.unpackbits(np.frombuffer(hashes, np.uint8).reshape(n, 8), axis=1)
-    most = bits.sum(axis=0, dtype=np.int64) * 2 > n
-    return int.from_bytes(np.packbits(most).tobytes(), "big", signed=True)
+    n = max(1, len(w) - shingle + 1)
+    counts = np.zeros(64, np.int64)
+    for at in range(0, n, SLICE):
+        some = w[at : at + SLICE + shingle - 1]
+        runs = zip(*(some[i:] for i in range(shingle))) if len(w) >= shingle else [w]
+        hashes = np.frombuffer(b"".join([digest(join(x), SEED) for x in runs]), np.uint8)
+        counts += np.unpackbits(hashes.reshape(-1, 8), axis=1).sum(axis=0, dtype=np.int64)
+    return int.from_bytes(np.packbits(counts * 2 > n).tobytes(), "big", signed=True)
 
 
 def fingerprints(docs: DataFrame, shingle: int = 3) -> DataFrame:

@@ -44,7 +44,8 @@ def test_viterbi_against_all_paths(spark):
     m = model(spark)
     texts = ["the maison et dog", "chien", "with собака cette the дом", "", "que they le"]
     words = langid.Words(texts)
-    emission, label = m.emissions(words), m.viterbi(words, 3.0)
+    emission = m.emissions(words)
+    label = m.viterbi(emission, words.count, 3.0)
     for t in range(len(texts)):
         own = np.flatnonzero(words.text == t)
         if not len(own):
@@ -57,6 +58,15 @@ def test_viterbi_against_all_paths(spark):
         assert abs(value(label[own].tolist()) - best) < 1e-6
 
 
+def test_long_texts_are_cut_at_blanks(spark, monkeypatch):
+    m = model(spark)
+    text = f"{EN}. {RU}! 42 {FR} " * 4
+    whole = langid._labels(m, [text, None, EN], 6.0, True)
+    monkeypatch.setattr(langid, "STEP_CHARS", 37)
+    assert langid._labels(m, [text, None, EN], 6.0, True) == whole
+    assert [a for a, _ in langid._cut("a" * 100)] == [0, 37, 74]
+
+
 def test_languages_of_awkward_rows(spark):
     docs = awkward(spark)
     found = langid.language_of(docs, ~held_out(F.col("doc_id")), ["doc_id", "text"], spans=True).collect()
@@ -93,6 +103,13 @@ def votes_by_hand(m, shares, k):
     return np.array(out)
 
 
+def test_counts_of_long_texts(monkeypatch):
+    text = "Some words, repeated; " * 50
+    whole = quality.raw_counts(text)
+    monkeypatch.setattr(quality, "SLICE", 7)
+    assert (quality.raw_counts(text) == whole).all()
+
+
 def test_votes_against_a_loop():
     random = np.random.default_rng(0)
     texts = [" ".join(random.choice(["good", "text", "here", "and"], 30)) + "." for _ in range(40)]
