@@ -24,15 +24,24 @@ BATCH_ROWS = 1000
 BATCH_CONF = "spark.sql.execution.arrow.maxRecordsPerBatch"
 
 
+WORKER_MEMORY = {
+    "MALLOC_MMAP_THRESHOLD_": "2000000", "MALLOC_TRIM_THRESHOLD_": "8000000",
+    "ARROW_DEFAULT_MEMORY_POOL": "system",
+}
+
+
 def prepared(spark: SparkSession) -> None:
-    """Let Python workers import this package from where the driver has it, and keep
-    Arrow batches small unless the session says otherwise.
+    """Let Python workers import this package from where the driver has it, give memory
+    back, and get small Arrow batches unless the session says otherwise.
 
     A cluster has the package installed or shipped; then the path adds nothing.
     """
     if spark.conf.get(BATCH_CONF) == "10000":
         spark.conf.set(BATCH_CONF, str(BATCH_ROWS))
     environment = spark.sparkContext.environment
+    # Large arrays go back to the system when freed, not into a worker's heap.
+    for name, value in WORKER_MEMORY.items():
+        environment.setdefault(name, value)
     known = environment.get("PYTHONPATH", "")
     if PACKAGE_ROOT not in known.split(os.pathsep):
         environment["PYTHONPATH"] = os.pathsep.join(x for x in (known, PACKAGE_ROOT) if x)

@@ -42,10 +42,11 @@ DEPTH = 6
 BLOCK_BYTES = 16_000_000
 BUCKET_BYTES = 4_000_000
 PACK_BYTES = 16_000_000
+JOIN_BYTES = 4_000_000
 STEP_BYTES = 500_000
 STEP_ROWS = 255
 # Distinct grams that may wait for the next merge within a block.
-WAITING = 1_500_000
+WAITING = 500_000
 FAN = 64
 
 REQUEST = "block int, bucket int, grams binary, counts binary, words binary, word_counts binary"
@@ -177,21 +178,43 @@ def streams(listed: pa.ListArray) -> list[bytes]:
     return [(x[:-1] if x else x) + b"\n" for x in joined]
 
 
-def grams(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+def grams(texts: list[bytes], before: list[bytes] | None = None) -> tuple[np.ndarray, np.ndarray]:
     """Every byte with its context as a number, and the bytes per text.
 
-    The latest context byte leads, the byte itself is last; texts start after line feeds.
+    The latest context byte leads, the byte itself is last. ``before`` holds the
+    DEPTH + 1 bytes in front of each text; by default line feeds.
     """
-    pad = b"\n" * (DEPTH + 1)
+    width = DEPTH + 1
     sizes = np.array([len(x) for x in texts], np.int64)
-    data = pad.join([b"", *texts])
+    fronts = [b"\n" * width] * len(texts) if before is None else before
+    data = b"".join(x for pair in zip(fronts, texts) for x in pair)
     n = len(data) - 7
     window = np.ndarray((max(n, 0),), "<u8", data, strides=(1,))
-    at = np.repeat(np.arange(1, len(texts) + 1) * len(pad) - 7, sizes) + np.arange(sizes.sum())
+    at = np.repeat(np.arange(1, len(texts) + 1) * width - 7, sizes) + np.arange(sizes.sum())
     got = window[at]
     return (got & np.uint64(0x00FFFFFFFFFFFF00)) | (got >> np.uint64(56)), sizes
 
 
+def pieces(lines: list[bytes]) -> Iterator[tuple[list[bytes], list[bytes], np.ndarray]]:
+    """Bounded runs of (texts, what stands before them, number of the line); long lines are cut."""
+    front = b"\n" * (DEPTH + 1)
+    texts: list[bytes] = []
+    before: list[bytes] = []
+    numbers: list[int] = []
+    size = 0
+    for i, line in enumerate(lines):
+        for at in range(0, max(len(line), 1), STEP_BYTES):
+            if texts and (size + len(line) - at > STEP_BYTES or len(texts) >= STEP_ROWS):
+                yield texts, before, np.array(numbers)
+                texts, before, numbers, size = [], [], [], 0
+            texts.append(line[at : at + STEP_BYTES])
+            before.append(line[at - DEPTH - 1 : at] if at else front)
+            numbers.append(i)
+            size += len(texts[-1])
+    if texts:
+        yield texts, before, np.array(numbers)
+
+
 def counted(keys: np.ndarray, weights: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
     """Distinct sorted keys with their number, or with the sum of their weights."""
     if weights is None:
@@ -207,22 +230,18 @@ def counted(keys: np.ndarray, weights: np.ndarray | None = None) -> tuple[np.nda
 
 
 def steps(texts: pa.Array) -> Iterator[tuple[int, int]]:
-    """(start, rows) of bounded runs of texts."""
+    """(start, rows) of runs of texts with about ``JOIN_BYTES`` each."""
     sizes = pc.fill_null(pc.binary_length(texts), 0).to_numpy().astype(np.int64)
-    start = held = 0
-    for i, size in enumerate(sizes.tolist()):
-        if i > start and (held + size > STEP_BYTES or i - start >= STEP_ROWS):
-            yield start, i - start
-            start, held = i, 0
-        held += size
-    if len(sizes) > start:
-        yield start, len(sizes) - start
+    number = np.cumsum(sizes) // JOIN_BYTES
+    starts = [0, *(np.flatnonzero(np.diff(number)) + 1).tolist(), len(sizes)] if len(sizes) else []
+    for a, b in zip(starts, starts[1:]):
+        yield a, b - a
 
 
 def gram_bucket(keys: np.ndarray, buckets: int) -> np.ndarray:
     """Bucket of the two latest context bytes, so deeper contexts stay together."""
     two = keys >> np.uint64(8 * (DEPTH - 1))
-    return ((two * np.uint64(2654435761) & np.uint64(0xFFFFFFFF)) * np.uint64(buckets) >> np.uint64(32)).astype(np.int32)
+    return ((two * np.uint64(2654435761) & np.uint64(0xFFFFFFFF)) * np.uint64(buckets) >> np.uint64(32)).astype(np.uint16)
 
 
 def word_bucket(words: pa.Array, buckets: int) -> np.ndarray:
@@ -247,28 +266,31 @@ def _requests(buckets: int):
         keys, counts = np.zeros(0, np.uint64), np.zeros(0, np.int64)
         waiting: list[tuple[np.ndarray, np.ndarray]] = []
         _, trains, texts = unpacked(rows)
-        listed = tokens(texts)
-        flat = listed.flatten().dictionary_encode()
-        # Sums in double precision are exact up to 2^53.
-        all_words, totals = flat.dictionary, np.bincount(
-            flat.indices.to_numpy(), np.repeat(trains, pc.list_value_length(listed).to_numpy()), len(flat.dictionary)
-        ).astype(np.int64)
-        del flat
+        all_words, totals = pa.array([], pa.string()), np.zeros(0, np.int64)
         for at, n in steps(texts):
-            lines = streams(listed.slice(at, n))
+            listed, train = tokens(texts.slice(at, n)), trains[at : at + n]
+            flat = listed.flatten().dictionary_encode()
+            per_word = np.repeat(train, pc.list_value_length(listed).to_numpy())
+            # Sums in double precision are exact up to 2^53.
+            seen = np.bincount(flat.indices.to_numpy(), per_word, len(flat.dictionary))
+            all_words, totals = _merged_words([all_words, flat.dictionary], [totals, seen])
+            del flat, per_word
+            lines = streams(listed)
             for learn in (True, False):
-                some = [x for x, t in zip(lines, trains[at : at + n].tolist()) if t == learn]
-                if some:
-                    k, c = counted(grams(some)[0])
+                some = [x for x, t in zip(lines, train.tolist()) if t == learn]
+                for run, before, _ in pieces(some):
+                    k, c = counted(grams(run, before)[0])
                     waiting.append((k, c if learn else np.zeros(len(c), np.int64)))
-            if sum(len(k) for k, _ in waiting) > WAITING:
-                keys, counts = _merged([(keys, counts), *waiting])
-                waiting = []
-        keys, counts = _merged([(keys, counts), *waiting])
+                    if sum(len(k) for k, _ in waiting) > WAITING:
+                        keys, counts = _added(keys, counts, *_merged(waiting))
+                        waiting = []
+        if waiting:
+            keys, counts = _added(keys, counts, *_merged(waiting))
+        del texts, waiting
         own = gram_bucket(keys, buckets)
         order = np.argsort(own, kind="stable")
-        own = own[order]
-        keys, counts = keys[order], counts[order]
+        own, keys, counts = own[order], keys[order], counts[order]
+        del order
         edges = np.searchsorted(own, np.arange(buckets + 1))
         wb = word_bucket(all_words, buckets)
         word_order = np.argsort(wb, kind="stable")
@@ -291,6 +313,19 @@ def _merged(lists: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.
     return counted(np.concatenate([k for k, _ in lists]), np.concatenate([c for _, c in lists]))
 
 
+def _added(
+    keys: np.ndarray, counts: np.ndarray, more: np.ndarray, times: np.ndarray
+) -> tuple[np.ndarray, np.ndarray]:
+    """Sorted distinct keys with their counts, and others added to them."""
+    at = np.searchsorted(keys, more)
+    known = np.zeros(len(more), bool)
+    inside = at < len(keys)
+    known[inside] = keys[at[inside]] == more[inside]
+    counts[at[known]] += times[known]
+    new = ~known
+    return np.insert(keys, at[new], more[new]), np.insert(counts, at[new], times[new])
+
+
 def _merged_words(words: list[pa.Array], counts: list[np.ndarray]) -> tuple[pa.Array, np.ndarray]:
     if not words:
         return pa.array([], pa.string()), np.zeros(0, np.int64)
@@ -510,37 +545,42 @@ def _scored(n_train: int, n_words: int):
     def scored(docs: pa.Table, answers: pa.Table) -> pa.Table:
         if not docs.num_rows:
             return pa.table([pa.array([], k) for k in kinds], names=names)
-        keys, logs = [], []
-        count_of: dict[str, int] = {}
+        keys, logs, known, totals = [], [], [], []
         for r in answers.to_pylist():
             keys.append(expand_sorted(r["grams"]))
             logs.append(expand(r["log2p"], "<i4"))
-            totals = expand(r["word_counts"], "<i8")
-            count_of.update(zip(expand_words(r["words"], len(totals)).to_pylist(), totals.tolist()))
+            totals.append(expand(r["word_counts"], "<i8"))
+            known.append(expand_words(r["words"], len(totals[-1])))
         key, log = np.concatenate(keys), np.concatenate(logs)
         del keys, logs
         order = np.argsort(key)
         key, log = key[order], log[order]
         del order
+        word, total = pa.concat_arrays(known), np.concatenate(totals)
+        del known, totals
         doc_ids, _, texts = unpacked(docs)
-        listed = tokens(texts)
-        flat = listed.flatten().dictionary_encode()
-        c = np.fromiter(map(count_of.__getitem__, flat.dictionary.to_pylist()), np.int64, len(flat.dictionary))
-        starts, at_word = listed.offsets.to_numpy()[:-1], flat.indices.to_numpy()
-        base = np.add.reduceat((np.log10(c + 0.5) - whole)[at_word], starts)
-        n_known = np.add.reduceat((c > 0).astype(np.int64)[at_word], starts)
-        del count_of, flat, at_word
-        bits, sizes = [], []
+        n_tokens, n_known = (np.zeros(len(texts), np.int64) for _ in range(2))
+        base = np.zeros(len(texts))
+        bits, sizes = np.zeros(len(texts)), np.zeros(len(texts), np.int64)
         for at, n in steps(texts):
-            number, size = grams(streams(listed.slice(at, n)))
-            # Distinct (gram, text) with their number: the text is the last byte.
-            pair, times = counted(number << np.uint64(8) | np.repeat(np.arange(n, dtype=np.uint64), size))
-            gram, texts_of = counted(pair >> np.uint64(8))
-            gain = np.repeat(log[np.searchsorted(key, gram)], texts_of) * times
-            bits.append(np.bincount((pair & np.uint64(255)).astype(np.int64), gain, n) / GRAIN)
-            sizes.append(size)
-        bits, sizes = np.concatenate(bits), np.concatenate(sizes)
-        columns = [pc.list_value_length(listed).to_numpy(), n_known, base, bits * np.log10(2), -bits / sizes]
+            listed = tokens(texts.slice(at, n))
+            flat = listed.flatten().dictionary_encode()
+            c = total[pc.index_in(flat.dictionary, value_set=word).to_numpy()]
+            starts, at_word, here = listed.offsets.to_numpy()[:-1], flat.indices.to_numpy(), slice(at, at + n)
+            n_tokens[here] = pc.list_value_length(listed).to_numpy()
+            base[here] = np.add.reduceat((np.log10(c + 0.5) - whole)[at_word], starts)
+            n_known[here] = np.add.reduceat((c > 0).astype(np.int64)[at_word], starts)
+            del flat, at_word
+            for run, before, number_of in pieces(streams(listed)):
+                number, size = grams(run, before)
+                # Distinct (gram, piece) with their number: the piece is the last byte.
+                pair, times = counted(number << np.uint64(8) | np.repeat(np.arange(len(run), dtype=np.uint64), size))
+                gram, of_pieces = counted(pair >> np.uint64(8))
+                gain = np.repeat(log[np.searchsorted(key, gram)], of_pieces) * times
+                own = np.bincount((pair & np.uint64(255)).astype(np.int64), gain, len(run)) / GRAIN
+                np.add.at(bits, at + number_of, own)
+                np.add.at(sizes, at + number_of, size)
+        columns = [n_tokens, n_known, base, bits * np.log10(2), -bits / sizes]
         return pa.table(
             [doc_ids, *(pa.array(c, k) for c, k in zip(columns, kinds[1:]))], names=names
         )

@@ -123,6 +123,22 @@ def test_probabilities_add_up_to_one():
     assert abs((2.0**log2p).sum() - 1) < 1e-9
 
 
+def test_long_lines_are_cut_with_their_context(monkeypatch):
+    lines = [b"some words here\n", b"\n", b"another line of text that is long\n"] * 3
+    whole = [ctw.counted(ctw.grams([x])[0]) for x in lines]
+    monkeypatch.setattr(ctw, "STEP_BYTES", 10)
+    monkeypatch.setattr(ctw, "STEP_ROWS", 3)
+    found = [[] for _ in lines]
+    for run, before, numbers in ctw.pieces(lines):
+        assert len(run) <= 3
+        keys, sizes = ctw.grams(run, before)
+        for n, part in zip(numbers, np.split(keys, np.cumsum(sizes)[:-1])):
+            found[n].append(part)
+    for (keys, counts), parts in zip(whole, found):
+        again = ctw.counted(np.concatenate(parts))
+        assert (again[0] == keys).all() and (again[1] == counts).all()
+
+
 def test_packed_columns():
     keys = np.unique(np.random.default_rng(0).integers(0, 2**56, 1000).astype(np.uint64))
     assert (ctw.expand_sorted(ctw.squeeze_sorted(keys)) == keys).all()
