@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from supplyview.session import stage
+
 # A dimension up to this size is broadcast; beyond it the keys are shuffled.
 BROADCAST_BYTES = 64 * 1024 * 1024
 
@@ -46,15 +48,19 @@ def lookup_join(
 def hot_keys(facts: DataFrame, on: Sequence[str], share: int = HOT_SHARE) -> DataFrame:
     """Keys owning more than ``1/share`` of the rows; fewer than ``share`` of them."""
     counts = facts.groupBy(*on).agg(F.count(F.lit(1)).alias("_n"))
-    total = facts.agg(F.count(F.lit(1)).alias("_total"))
+    total = counts.agg(F.sum("_n").alias("_total"))
     return counts.filter(F.col("_n") * share > total.scalar()).select(*on)
 
 
 def split_hot_join(
     facts: DataFrame, dim: DataFrame, on: Sequence[str], share: int = HOT_SHARE
 ) -> DataFrame:
-    """The join for a dimension too large to broadcast."""
+    """The join for a dimension too large to broadcast.
+
+    The facts are staged first: counting, marking and both joins read them.
+    """
     on = list(on)
+    facts = stage(facts, "facts")
     hot = hot_keys(facts, on, share).withColumn("_hot", F.lit(True))
     hot_dim = F.broadcast(dim.join(F.broadcast(hot), on, "inner"))
     # Null keys match nothing; they stay with the hot rows, which are not shuffled.
