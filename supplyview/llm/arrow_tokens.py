@@ -43,6 +43,16 @@ def file_system(uri: str):
     return fs.FileSystem.from_uri(uri) if ":/" in uri else (fs.LocalFileSystem(), uri)
 
 
+def publish(files, written: str, name: str) -> None:
+    """Give a complete file its name, unless another attempt has done so: both are equal."""
+    from pyarrow import fs
+
+    if files.get_file_info(name).type == fs.FileType.NotFound:
+        files.move(written, name)
+    else:
+        files.delete_file(written)
+
+
 def sequence_schema(length: int, kind: np.dtype) -> pa.Schema:
     kinds = [("ids", pa.from_numpy_dtype(kind)), ("mask", pa.bool_()), ("last", pa.bool_())]
     return pa.schema([(name, pa.list_(x, length)) for name, x in kinds])
@@ -148,7 +158,7 @@ def write(
             index.close()
             stream.close()
             for name in names:
-                files.move(f"{name}.{attempt}", name)
+                publish(files, f"{name}.{attempt}", name)
             base = folder.rstrip("/")
             yield pa.RecordBatch.from_pydict({
                 "shard": pa.array([number], pa.int32()),

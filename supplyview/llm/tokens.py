@@ -18,7 +18,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 # Words kept in each of two generations; the older one goes when the newer is full.
-MEMO_WORDS = 250_000
+MEMO_WORDS = 600_000
 # Any white space beside the space and the line feed, or a run of those two.
 MIXED_SPACE = (
     r"[\t\x0b\x0c\r\x1c-\x1f\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}"
@@ -60,6 +60,7 @@ class Encoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.model = self.tokenizer.model
         self.letters = byte_letters()
+        self.blank = self.letters[ord(" ")]
         self.memo, self.old = _Memo(self._piece), {}
         self.tails = _Memo(self._whole)
 
@@ -80,11 +81,15 @@ class Encoder:
         if not space + text:
             return b""
         word = text.rstrip(TAIL)
-        if not word.isalpha() or max(word) >= SETTLED:
+        plain = word.isascii()
+        if not word.isalpha() or not (plain or max(word) < SETTLED):
             return self._whole(space + text)
         if len(word) < len(text):
             return self.memo[piece[: len(piece) - len(text) + len(word)]] + self.tails[text[len(word) :]]
-        shown = (space + word).encode().decode("latin-1").translate(self.letters)
+        if plain:  # ASCII letters stand for themselves
+            shown = self.blank + word if space else word
+        else:
+            shown = (space + word).encode().decode("latin-1").translate(self.letters)
         return array.array("I", [t.id for t in self.model.tokenize(shown)]).tobytes()
 
     def encode(self, texts: pa.Array) -> list[np.ndarray]:
