@@ -8,20 +8,29 @@ units outside all templates' bounds are dropped while the text is at hand, and a
 meets only templates whose bounds hold it. Dice is 2 |common| / (n + m), where a
 bigram counts as often as it occurs in both.
 
-Result: one row per (doc_id, licence) with the best Dice and the number of units that reach the
-threshold. Null, empty and one-word texts match nothing. Rows with the same doc_id add
+Outside the units that match a licence, word windows of any place and size within the bounds are
+compared as well, across lines and paragraphs, so a notice inside a line or of several
+paragraphs is found. The best window begins and ends at bigrams of the template and has at
+least m t / (2 - t) of them; only places so dense are tried, each start with all ends. Of
+windows that overlap, the best counts. Texts without any of the words that every match
+must have (``anchors``) are dropped first.
+
+Result: one row per (doc_id, licence) with the best Dice and the number of units and windows
+that reach the threshold. Null, empty and one-word texts match nothing. Rows with the same doc_id add
 up; a null doc_id is a key like any other. Templates may be replaced; extra columns
 are not read.
 """
 
 from __future__ import annotations
 
+import math
 from collections import Counter
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 THRESHOLD = 0.8
+WINDOWS = "array<struct<common:int,start:int,end:int,dice:double>>"
 
 # The wording of licences and of their usual notices.
 TEMPLATES = {
@@ -100,6 +109,28 @@ def bounds(m: int, threshold: float) -> tuple[float, float]:
     return m * threshold / (2 - threshold), m * (2 - threshold) / threshold
 
 
+def anchors(templates: dict[str, str], threshold: float) -> list[str]:
+    """Words of which every match has at least one: without their bigrams too few are left.
+
+    Long words first, as they are the rarer ones.
+    """
+    out: set[str] = set()
+    for text in templates.values():
+        w = words_of(text)
+        pairs = list(zip(w, w[1:]))
+        most = needed(len(pairs), threshold) - 1
+        for word in sorted(set(w), key=lambda x: (x not in out, -len(x), x)):
+            if sum(not out & set(p) for p in pairs) <= most:
+                break
+            out.add(word)
+    return sorted(out)
+
+
+def needed(m: int, threshold: float) -> int:
+    """Bigrams in common with a template of ``m`` without which no unit reaches the threshold."""
+    return max(1, math.ceil(bounds(m, threshold)[0] - 1e-9))
+
+
 def _tidy(text: Column) -> Column:
     """Single spaces, none at the ends of lines or of the text."""
     plain = F.regexp_replace(F.lower(text), r"[^a-z0-9\n]+", " ")
@@ -122,17 +153,86 @@ def _flat(unit: Column) -> Column:
     return F.trim(F.regexp_replace(unit, "\n+", " "))
 
 
+def _starts(text: Column, feeds: str) -> Column:
+    """Numbers of the words that begin the text or follow the line feeds."""
+    marked = F.regexp_replace(F.trim(text, F.lit("\n")), feeds, " \u0001")
+    words = F.split(F.regexp_replace(marked, "\n", " "), " ")
+    return F.array_compact(F.transform(words, lambda w, i: F.when((i == 0) | w.startswith("\u0001"), i)))
+
+
 def units(text: Column, least: float, most: float) -> Column:
-    """The units of a tidy text whose size is between the bounds."""
-    def fits(unit: Column) -> Column:
-        return _n_bigrams(unit).between(least, most)
+    """(number of the first word, unit) of the units of a tidy text whose size is between the bounds."""
+    def placed(found: Column, starts: Column) -> Column:
+        return F.zip_with(found, starts, lambda u, i: F.struct(i.alias("start"), u.alias("unit")))
+
+    def fits(x: Column) -> Column:
+        return _n_bigrams(x["unit"]).between(least, most)
+
+    lines = F.filter(F.split(text, "\n"), lambda x: x != "")
+    # Those without a word begin nowhere.
+    paragraphs = placed(F.filter(F.split(text, "\n\n+"), lambda x: _flat(x) != ""), _starts(text, "\n\n+"))
+    long_enough = F.transform(
+        F.filter(paragraphs, lambda x: x["unit"].contains("\n")),
+        lambda x: F.struct(x["start"].alias("start"), _flat(x["unit"]).alias("unit")),
+    )
+    whole = placed(F.array(F.when(text.contains("\n\n"), _flat(text))), F.array(F.lit(0)))
+    return F.filter(F.concat(placed(lines, _starts(text, "\n+")), long_enough, whole), fits)
+
+
+def outside(hits: Column, spans: Column) -> Column:
+    """The hits that no span holds, in order."""
+    def within(h: Column) -> Column:
+        return F.exists(spans, lambda s: (s["start"] <= h["pos"]) & (h["pos"] <= s["start"] + s["n"] - 1))
+
+    return F.sort_array(F.filter(hits, lambda h: ~within(h)))
 
-    paragraphs = F.split(text, "\n\n+")
-    long_enough = F.filter(
-        F.transform(F.filter(paragraphs, lambda x: x.contains("\n")), _flat), fits
+
+def windows(hits: Column, m: Column, needed: Column, most: Column, threshold: float) -> Column:
+    """(start, end, dice) of the windows that reach the threshold, by start.
+
+    ``hits`` are the places of the template's bigrams, each with the place after which a window
+    must begin to count it: that of the same bigram as many before as the template has.
+    Columns that occur in functions of elements are to be columns of the table, not expressions.
+    """
+    def best(hits: Column, i: Column) -> Column:
+        """The best window from hit i on."""
+        start = F.get(hits, i)["pos"]
+        none = F.struct(
+            F.lit(0).alias("common"), start.alias("start"), start.alias("end"), F.lit(0.0).alias("dice")
+        )
+
+        def step(acc: Column, h: Column) -> Column:
+            common = acc["common"] + F.when(h["before"] < start, 1).otherwise(0)
+            dice = 2 * common / (h["pos"] - start + 1 + m)
+            better = dice > acc["dice"]
+            return F.struct(
+                common.alias("common"), start.alias("start"),
+                F.when(better, h["pos"]).otherwise(acc["end"]).alias("end"),
+                F.when(better, dice).otherwise(acc["dice"]).alias("dice"),
+            )
+
+        return F.aggregate(F.slice(hits, i + 1, most), none, step)
+
+    # A window needs so many hits within its largest size; few places have them.
+    dense = F.filter(
+        F.sequence(F.lit(0), F.size(hits) - needed),
+        lambda i: F.get(hits, i + needed - 1)["pos"] - F.get(hits, i)["pos"] < most,
     )
-    whole = F.filter(F.array(F.when(text.contains("\n\n"), _flat(text))), fits)
-    return F.concat(F.filter(F.split(text, "\n"), fits), long_enough, whole)
+    found = F.filter(F.transform(dense, lambda i: best(hits, i)), lambda w: w["dice"] >= threshold)
+    return F.when(F.size(hits) >= needed, found).otherwise(F.array().cast(WINDOWS))
+
+
+def apart(found: Column) -> Column:
+    """Of windows that overlap, the best."""
+    def keep(acc: Column, w: Column) -> Column:
+        last = F.get(acc, F.size(acc) - 1)
+        return (
+            F.when((F.size(acc) == 0) | (last["end"] < w["start"]), F.concat(acc, F.array(w)))
+            .when(w["dice"] > last["dice"], F.concat(F.slice(acc, F.lit(1), F.size(acc) - 1), F.array(w)))
+            .otherwise(acc)
+        )
+
+    return F.aggregate(found, F.array().cast(WINDOWS), keep)
 
 
 def scan(
@@ -140,32 +240,62 @@ def scan(
 ) -> DataFrame:
     """(doc_id, licence, dice, n_units) of all matches."""
     spark: SparkSession = docs.sparkSession
-    known = template_bigrams(templates or TEMPLATES)
+    templates = templates or TEMPLATES
+    known = template_bigrams(templates)
     low, high = bounds(1, threshold)
     least, most = low * min(m for *_, m in known), high * max(m for *_, m in known)
-    tidy = docs.select("doc_id", _tidy(F.col("text")).alias("text"))
-    cut = tidy.select("doc_id", F.explode(units(F.col("text"), least, most)).alias("unit")).select(
-        "doc_id", _n_bigrams(F.col("unit")).alias("n"), _bigrams(F.col("unit")).alias("pairs"),
-        F.monotonically_increasing_id().alias("unit_id"),
+    words = F.split(_flat(F.col("text")), " ")
+    some = F.array(*[F.lit(w) for w in anchors(templates, threshold)])
+    tidy = docs.select(
+        "doc_id", _tidy(F.col("text")).alias("text"), F.monotonically_increasing_id().alias("row_id")
     )
-    table = spark.createDataFrame(known, "licence string, bigram string, times int, m int")
+    numbered = tidy.filter(F.arrays_overlap(words, some))
+    # The text itself, number 0, is where windows are looked for.
+    text = F.array(F.struct(F.lit(0).alias("start"), _flat(F.col("text")).alias("unit")))
+    cut = numbered.select(
+        "doc_id", "row_id", F.posexplode(F.concat(text, units(F.col("text"), least, most))).alias("unit_no", "unit")
+    ).select(
+        "doc_id", "row_id", "unit_no", F.col("unit.start").alias("start"),
+        _n_bigrams(F.col("unit.unit")).alias("n"), _bigrams(F.col("unit.unit")).alias("pairs"),
+    )
+    rows = [(*k, needed(k[3], threshold), math.floor(bounds(k[3], threshold)[1] + 1e-9)) for k in known]
+    table = spark.createDataFrame(rows, "licence string, bigram string, times int, m int, needed int, most int")
+    in_text = F.col("unit_no") == 0
     met = (
-        cut.select("doc_id", "unit_id", "n", F.explode("pairs").alias("bigram"))
+        cut.select("doc_id", "row_id", "unit_no", "start", "n", F.posexplode("pairs").alias("pos", "bigram"))
         .join(F.broadcast(table), "bigram")  # the templates: given, a few hundred rows
-        .filter((F.col("n") >= F.col("m") * low) & (F.col("n") <= F.col("m") * high))
+        .filter(in_text | ((F.col("n") >= F.col("m") * low) & (F.col("n") <= F.col("m") * high)))
     )
     # Only bigrams that a fitting template has are shuffled.
-    common = met.groupBy("unit_id", "licence", "bigram").agg(
-        F.first("doc_id").alias("doc_id"), F.first("n").alias("n"), F.first("m").alias("m"),
-        F.least(F.count(F.lit(1)), F.first("times")).alias("common"),
+    common = met.groupBy("row_id", "licence", "unit_no", "bigram").agg(
+        *[F.first(c).alias(c) for c in ("doc_id", "start", "n", "m", "needed", "most", "times")],
+        F.count(F.lit(1)).alias("count"),
+        F.sort_array(F.collect_list(F.when(in_text, F.col("pos")))).alias("places"),
     )
-    found = (
-        common.groupBy("unit_id", "licence")
+    before = F.transform("places", lambda p, i: F.struct(
+        p.alias("pos"), F.coalesce(F.get("places", i - F.col("times")), F.lit(-1)).alias("before")
+    ))
+    by_unit = (
+        common.groupBy("row_id", "licence", "unit_no")
         .agg(
-            F.first("doc_id").alias("doc_id"),
-            (2 * F.sum("common") / (F.first("n") + F.first("m"))).alias("dice"),
+            *[F.first(c).alias(c) for c in ("doc_id", "start", "n", "m", "needed", "most")],
+            (2 * F.sum(F.least("count", "times")) / (F.first("n") + F.first("m"))).alias("dice"),
+            F.flatten(F.collect_list(F.when(in_text, before))).alias("hits"),
         )
-        .filter(F.col("dice") >= threshold)
+        .filter(F.when(in_text, F.size("hits") >= F.col("needed")).otherwise(F.col("dice") >= threshold))
+    )
+    span = F.struct("start", "n", "dice")
+    by_row = by_unit.groupBy("row_id", "licence").agg(
+        *[F.first(c).alias(c) for c in ("doc_id", "m", "needed", "most")],
+        F.collect_list(F.when(~in_text, span)).alias("spans"),
+        F.flatten(F.collect_list(F.when(in_text, F.col("hits")))).alias("hits"),
+    )
+    # One column after the other: an expression inside a function of elements runs for each.
+    found = (
+        by_row.withColumn("hits", outside(F.col("hits"), F.col("spans")))
+        .withColumn("windows", windows(*[F.col(c) for c in ("hits", "m", "needed", "most")], threshold))
+        .withColumn("windows", apart(F.col("windows")))
+        .select("doc_id", "licence", F.explode(F.concat("spans.dice", "windows.dice")).alias("dice"))
     )
     return found.groupBy("doc_id", "licence").agg(
         F.max("dice").alias("dice"), F.count(F.lit(1)).alias("n_units")

@@ -185,6 +185,74 @@ def test_scan_against_a_loop(spark):
     assert licences.scan(nothing(spark)).count() == 0
 
 
+def best_windows(text, templates, threshold):
+    """Licences of which any window of words reaches the threshold, with the best Dice: all are tried."""
+    from collections import Counter
+
+    w = licences.words_of(text)
+    pairs = list(zip(w, w[1:]))
+    out = {}
+    for name, t in templates.items():
+        t = licences.words_of(t)
+        known, m = Counter(zip(t, t[1:])), len(t) - 1
+        for a in range(len(pairs)):
+            seen, common = Counter(), 0
+            for b in range(a, min(len(pairs), a + int(m * (2 - threshold) / threshold) + 1)):
+                seen[pairs[b]] += 1
+                common += seen[pairs[b]] <= known[pairs[b]]
+                dice = 2 * common / (b - a + 1 + m)
+                if dice >= threshold:
+                    out[name] = max(dice, out.get(name, 0))
+    return out
+
+
+APACHE_HEADER = """Licensed under the Apache License, Version 2.0 (the "License");
+you may not use this file except in compliance with the License.
+You may obtain a copy of the License at
+
+    http://www.apache.org/licenses/LICENSE-2.0
+
+Unless required by applicable law or agreed to in writing, software
+distributed under the License is distributed on an "AS IS" BASIS,
+WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied.
+See the License for the specific language governing permissions and
+limitations under the License."""
+
+
+def test_scan_finds_notices_of_several_paragraphs_and_inside_lines(spark):
+    code = "\n\nimport os\n\ndef f(x):\n    return the(x) + 1\n" * 40
+    mit = licences.TEMPLATES["MIT"].replace(": The above", ":\n\nThe above").replace(". THE SOFT", ".\n\nTHE SOFT")
+    gpl = licences.TEMPLATES["GPL-3.0 notice"].replace(". This program is", ".\n\nThis program is").replace(
+        "details. You", "details.\n\nYou")
+    rows = [
+        (1, APACHE_HEADER + code), (2, "\n".join(f"# {x}" for x in APACHE_HEADER.split("\n")) + code),
+        (3, "Copyright (c) 2020 Some One\n\n" + mit + code), (4, code + gpl + code),
+        (5, "Great article, read on. Released under the MIT License. And now the news of the day in the north."),
+        (6, "Released under the MIT License.\nSee also: released under the MIT License, as said above and below."),
+        (7, "the license of the software under the law " * 30), (8, mit + code + mit),
+    ]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    found = {(r["doc_id"], r["licence"]): (r["dice"], r["n_units"]) for r in licences.scan(docs).collect()}
+    want = {(k, name): d for k, text in rows for name, d in best_windows(text, licences.TEMPLATES, licences.THRESHOLD).items()}
+    assert set(found) == set(want)
+    assert {(1, "Apache-2.0 notice"), (2, "Apache-2.0 notice"), (3, "MIT"), (4, "GPL-3.0 notice"), (5, "MIT line")} <= set(found)
+    # A line or paragraph that matches keeps its own Dice, words around the notice included.
+    whole = {(k, name) for k, name in found if k in (1, 2) and name == "Apache-2.0 line"}
+    assert all(abs(found[k][0] - want[k]) < 1e-12 for k in set(found) - whole)
+    assert found[6, "MIT line"][1] == found[8, "MIT"][1] == 2 and found[5, "MIT line"] == (1.0, 1)
+
+
+def test_scan_of_random_texts_finds_all_windows(spark):
+    random = np.random.default_rng(3)
+    templates = {"one": "a b c a b d", "two": "b c d", "three": "c a c a c a b e f a b"}
+    texts = [" ".join(random.choice(list("abcdef"), n)) for n in random.integers(1, 40, 150)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id int, text string")
+    for threshold in (0.8, 0.55):
+        found = {(r["doc_id"], r["licence"]) for r in licences.scan(docs, templates, threshold).collect()}
+        want = {(k, name) for k, text in enumerate(texts) for name in best_windows(text, templates, threshold)}
+        assert found == want and want
+
+
 def test_scan_is_native(spark):
     plan = licences.scan(awkward(spark))._jdf.queryExecution().executedPlan().toString()
     assert not any(x in plan for x in ("Python", "Pandas", "Arrow", "NestedLoop", "Cartesian"))
