@@ -43,6 +43,34 @@ def test_rounded_weights_add_up():
         assert sum(shares.values()) == max(20, len(weights)) and min(shares.values()) >= 1
 
 
+def tempered(blocks):
+    return {s: (n / sum(blocks.values())) ** 0.7 for s, n in blocks.items()}
+
+
+@pytest.mark.parametrize("blocks, weights", [
+    ({"a": 60_000, "b": 30_000, "c": 10_000}, None),
+    ({"a": 60_000, "b": 30_000, "c": 10_000}, {"a": 0.123456, "b": 0.376544, "c": 0.5000001}),
+    ({f"s{i}": 4 for i in range(12_000)} | {"hot": 18_750}, None),
+    ({"a": 25_000, "b": 12_500, "c": 12_500}, {"a": 0.5, "b": 0.25, "c": 0.25}),
+])
+def test_less_than_a_block_off_the_given_weights(blocks, weights):
+    weights = weights or tempered(blocks)
+    plan = mixing.phases(blocks, weights)
+    assert sum(b1 - b0 for _, b0, b1, *_ in plan) == sum(blocks.values())
+    phase = [p for p in plan if p[3] == 0]
+    end = sum(b1 - b0 for _, b0, b1, *_ in phase)
+    assert end > mixing.PERIOD
+    total = sum(weights.values())
+    for source, b0, b1, _, length, n, slots in phase:
+        i = np.arange(b0, b1)
+        at = i // n * length + np.array(slots)[i % n]
+        share = weights[source] / total
+        # Just after and just before each block, and at the end.
+        assert (i + 1 - share * (at + 1)).max() < 1 + 1e-5 and (share * at - i).max() < 1 + 1e-5
+        assert abs(b1 - share * end) < 1 + 1e-5
+    assert {p[0] for p in phase} == set(blocks)
+
+
 def test_mix_places_every_row_once(spark):
     rows = [(i, "hot" if i % 3 else None if i % 2 else "b", i) for i in range(900)] + [(5, "hot", 1), (None, "c", 2)]
     docs = spark.createDataFrame(rows, "doc_id long, source string, Slot int")
