@@ -242,6 +242,13 @@ def test_scan_finds_notices_of_several_paragraphs_and_inside_lines(spark):
     assert found[6, "MIT line"][1] == found[8, "MIT"][1] == 2 and found[5, "MIT line"] == (1.0, 1)
 
 
+def test_scan_finds_customary_wordings(spark):
+    rows = [(1, "Licensed under the MIT License"), (2, "This project is released under the MIT License."),
+            (3, "The MIT License is short.")]
+    found = licences.scan(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {(r["doc_id"], r["licence"]) for r in found} == {(1, "MIT line"), (2, "MIT line")}
+
+
 def test_scan_of_random_texts_finds_all_windows(spark):
     random = np.random.default_rng(3)
     templates = {"one": "a b c a b d", "two": "b c d", "three": "c a c a c a b e f a b"}
