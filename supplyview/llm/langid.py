@@ -8,7 +8,8 @@ the words of a text finds the best labels when each change of language costs
 
 Counts come from all training rows (text and lang not null) in one aggregate over
 (language, trigram bucket), of a fixed number of buckets. A text's language is the one with
-the most letters; its score is their share. Null texts and texts without letters are
+the most letters; its score is their share of all letters, so a text wholly in scripts that no
+language uses has the language first in order with score 0. Null texts and texts without letters are
 ``und`` with score 0 and no spans; so is every text if there is no training row. Ties go
 to the language first in order. Repeated rows are labelled each; extra columns are not read.
 """
@@ -270,10 +271,13 @@ def _labels(model: Model | None, texts: list[str | None], switch: float, spans:
         return [(UND, 0.0, [])] * len(texts)
     number, size, begin = (np.concatenate(x) for x in (numbers, sizes, begins))
     counts = np.bincount(number, minlength=len(texts))
-    label = model.viterbi(np.concatenate(emissions), counts, switch)
+    emission = np.concatenate(emissions)
+    label = model.viterbi(emission, counts, switch)
     n = len(model.languages)
-    letters = np.bincount(number * n + label, weights=size, minlength=len(texts) * n).reshape(-1, n)
-    total = letters.sum(axis=1)
+    # Log likelihoods are below 0: a word with 0 for all has a script that no language uses.
+    known = np.where(emission.any(axis=1), size, 0)
+    letters = np.bincount(number * n + label, weights=known, minlength=len(texts) * n).reshape(-1, n)
+    total = np.bincount(number, weights=size, minlength=len(texts))
     best = letters.argmax(axis=1)
     share = letters.max(axis=1) / np.maximum(total, 1)
     found: list[list[dict]] = [[] for _ in texts]

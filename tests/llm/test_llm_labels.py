@@ -38,6 +38,16 @@ def test_script_narrows_and_unknown_scripts_say_nothing(spark):
     assert np.isinf(emission[1, ru]) and (emission[2] == 0).all()
 
 
+def test_letters_of_unknown_scripts_count_for_no_language(spark):
+    m = model(spark)
+    size = lambda x: sum(c.isalpha() for c in x)
+    thai, han = "\u0e20\u0e32\u0e29\u0e32", "\u6c49\u5b57 \u5199\u6210\u7684 \u6587\u672c"
+    mixed = f"{EN} {GR} {GR}"
+    found = [(lang, score) for lang, score, _ in langid._labels(m, [GR, thai, han, mixed, EN, "42"], 6.0, True)]
+    assert found[:3] == [(m.languages[0], 0.0)] * 3 and found[4:] == [("en", 1.0), ("und", 0.0)]
+    assert found[3][0] == "en" and abs(found[3][1] - size(EN) / size(mixed)) < 1e-12
+
+
 def test_viterbi_against_all_paths(spark):
     from itertools import product
 

@@ -141,6 +141,13 @@ def test_stages_on_awkward_rows(spark, pipeline, labelled):
     assert keys(packed.select("doc_id").distinct()) == keys(unique)
 
 
+def test_language_stage_rejects_unknown_scripts(spark, pipeline, labelled):
+    english, greek = "the house and the dog with this that they were going", "το σπίτι και ο σκύλος με αυτό"
+    rows = [(i, english, "en") for i in range(1, 20)] + [(30, greek, None), (31, f"{greek} the {greek}", None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    assert {r["doc_id"] for r in pipeline.language(spark, docs, labelled).collect()} == set(range(1, 20))
+
+
 def test_stages_on_nothing(spark, pipeline, labelled):
     out = run_stages(pipeline, spark, nothing(spark), labelled)
     assert [df.count() for df in out] == [0] * 6 and out[4].columns == out[0].columns
