@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from supplyview.llm import (
-    ann, arrow_tokens, ctw, embedding_dedup, langid, licences, mixing, packing, quality, simhash,
+    ann, arrow_tokens, best_fit, ctw, embedding_dedup, langid, licences, mixing, packing, quality, simhash,
 )
 from supplyview.llm.common import held_out, table
 
@@ -64,12 +64,16 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op11_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return best_fit.pack(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         op1_embedding_dedup, op2_quality_votes, op3_licence_scan, op4_harmonic_packing,
         op5_pfair_mixing, op6_one_bit_search, op7_context_tree_scores, op8_language_id,
-        op9_arrow_tokens, op10_simhash,
+        op9_arrow_tokens, op10_simhash, op11_best_fit_packing,
     )
 }
 
