@@ -67,6 +67,11 @@ def run_folder(spark: SparkSession, path: str | None = None) -> Iterator[str]:
         place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
 
 
+def current_folder(spark: SparkSession) -> str:
+    """Where tables staged now go: the folder of the run, or else the shared folder."""
+    return _RUN_FOLDER.get() or shared_folder(spark)
+
+
 def stage(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` as a table in the shared folder and read it back.
 
@@ -75,6 +80,6 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     its ``run_folder`` ends, or without one like a checkpoint file.
     """
     spark = df.sparkSession
-    path = f"{_RUN_FOLDER.get() or shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+    path = f"{current_folder(spark)}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
