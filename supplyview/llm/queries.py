@@ -6,7 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from supplyview.llm import (
-    ann, arrow_tokens, best_fit, ctw, embedding_dedup, langid, licences, mixing, packing, quality, simhash,
+    ann, arrow_tokens, best_fit, centroids, ctw, embedding_dedup, langid, licences, mixing, packing,
+    quality, simhash,
 )
 from supplyview.llm.common import held_out, table
 
@@ -68,13 +69,20 @@ def op11_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return best_fit.pack(table(spark, sf_dir, "documents"))
 
 
+def op12_centroid_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return centroids.cluster(table(spark, sf_dir, "embeddings"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         op1_embedding_dedup, op2_quality_votes, op3_licence_scan, op4_harmonic_packing,
         op5_pfair_mixing, op6_one_bit_search, op7_context_tree_scores, op8_language_id,
         op9_arrow_tokens, op10_simhash, op11_best_fit_packing,
+        op12_centroid_clusters,
     )
 }
 
-ORACLE_SQL: dict[str, str] = {"op3_licence_scan": licences.scan_sql()}
+ORACLE_SQL: dict[str, str] = {
+    "op3_licence_scan": licences.scan_sql(), "op12_centroid_clusters": centroids.cluster_sql(),
+}
