@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from supplyview.llm import (
     ann, arrow_tokens, best_fit, centroids, ctw, embedding_dedup, langid, licences, mixing, packing,
-    quality, simhash,
+    phrases, quality, simhash,
 )
 from supplyview.llm.common import held_out, table
 
@@ -73,16 +73,21 @@ def op12_centroid_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return centroids.cluster(table(spark, sf_dir, "embeddings"))
 
 
+def op13_phrase_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.mine(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         op1_embedding_dedup, op2_quality_votes, op3_licence_scan, op4_harmonic_packing,
         op5_pfair_mixing, op6_one_bit_search, op7_context_tree_scores, op8_language_id,
         op9_arrow_tokens, op10_simhash, op11_best_fit_packing,
-        op12_centroid_clusters,
+        op12_centroid_clusters, op13_phrase_collocations,
     )
 }
 
 ORACLE_SQL: dict[str, str] = {
     "op3_licence_scan": licences.scan_sql(), "op12_centroid_clusters": centroids.cluster_sql(),
+    "op13_phrase_collocations": phrases.mine_sql(),
 }
