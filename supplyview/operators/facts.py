@@ -3,14 +3,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Iterable, Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from supplyview.functions import is_blank, lenient_double, strip
-from supplyview.operators.fill import merged_fill
+from supplyview.operators.fill import with_span
 from supplyview.operators.joins import BROADCAST_BYTES, lookup_join
 from supplyview.operators.routing import status_of
 from supplyview.schemas import ACKNOWLEDGED, FACT, INVENTORY_STATUS, USAGE_STATUS
@@ -45,18 +45,22 @@ def project_cells(attached: DataFrame) -> DataFrame:
     )
 
 
-def fill_merged_products(projected: DataFrame, where: Column) -> DataFrame:
+def fill_merged_products(
+    projected: DataFrame, ranges: DataFrame, where: Column, keys: Sequence[str]
+) -> DataFrame:
     """G14 on the rows ``where`` holds: the product of a merged cell is its range's
     top-left value. Rows without a supplier are summary rows and lose theirs.
 
-    Only for products in the first column, wherever the header stands.
+    Only for products in the first column, wherever the header stands; other rows
+    are not joined. ``ranges`` are those of the whole sheets (``merged_ranges``).
     """
-    where = where & (F.col("product_pos") == 0)
+    where = F.coalesce(where & (F.col("product_pos") == 0), F.lit(False))
     is_summary = F.col("has_supplier") & F.coalesce(F.col("supplier") == "", F.lit(True))
-    filled = F.when(is_summary, F.lit("")).otherwise(
-        merged_fill(F.col("cells"), F.col("merged"), F.col("product_pos"))
-    )
-    return projected.withColumn("product", F.when(where, filled).otherwise(F.col("product")))
+    slim = projected.drop("cells", "merged")
+    found = with_span(slim.filter(where), ranges, 0, keys, "_span")
+    own = F.when(F.col("_span").isNotNull(), F.col("_span.value")).otherwise(F.col("product"))
+    filled = found.withColumn("product", F.when(is_summary, F.lit("")).otherwise(own)).drop("_span")
+    return filled.unionByName(slim.filter(~where))
 
 
 def nonempty_product(df: DataFrame, column: str = "product") -> DataFrame:

@@ -212,10 +212,12 @@ def promote_header(
     base: int = 0,
     raw: bool = False,
     block_rows: int = BLOCK_ROWS,
+    sheet_row: bool = False,
 ) -> DataFrame:
     """Rows below the header with the header's names.
 
-    ``(keys, row_idx, header array, cells)``; ``row_idx`` counts from 0 again.
+    ``(keys, row_idx, header array, cells)``; ``row_idx`` counts from 0 again, and on
+    request ``sheet_row`` keeps the row's place in the sheet.
     """
     facts = (
         headers.select(
@@ -223,10 +225,11 @@ def promote_header(
         )
         .join(last_rows(rows, keys), list(keys))
     )
+    body = attach_facts(rows, facts, keys, block_rows).filter(F.col("row_idx") > F.col("header_row"))
+    if sheet_row:
+        body = body.withColumn("sheet_row", F.col("row_idx"))
     return (
-        attach_facts(rows, facts, keys, block_rows)
-        .filter(F.col("row_idx") > F.col("header_row"))
-        .withColumn("row_idx", F.col("row_idx") - F.col("header_row") - 1)
+        body.withColumn("row_idx", F.col("row_idx") - F.col("header_row") - 1)
         .drop("header_row")
     )
 

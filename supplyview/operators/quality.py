@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from supplyview.functions import is_blank, lenient_double, strip
 from supplyview.operators.blocks import BLOCK_ROWS, attach_facts
 from supplyview.operators.facts import is_acknowledged
-from supplyview.operators.fill import merged_fill, nothing_merged
+from supplyview.operators.fill import merged_fill, no_span, with_span
 from supplyview.operators.headers import named_values
 from supplyview.operators.segments import is_blank_row
 from supplyview.schemas import DELIVERY_STATUSES, SHEET_KEYS, USAGE_STATUS
@@ -176,32 +176,34 @@ def product_search(
     product: str,
     keys: Sequence[str] = SHEET_KEYS,
     scan_rows: int | None = None,
+    ranges: DataFrame | None = None,
 ) -> DataFrame:
     """Rows of a promoted table whose product holds ``text``, ignoring case.
 
     Gives row, supplier (second column), quantity, and the first and last row of
     the merged range the product lies in (null when it is not merged). Products in a
-    merged range are found on each of its rows. ``scan_rows`` limits the search to the
-    rows right below the header.
+    merged range (of ``ranges``, by the rows' ``sheet_row`` if they have one) are found on
+    each of its rows. ``scan_rows`` limits the search to the rows right below the header.
     """
     position = F.nullif(F.array_position(F.col("header"), product), F.lit(0)) - 1
     looked_at = table if scan_rows is None else table.filter(F.col("row_idx") < scan_rows)
-    with_merged = (
-        looked_at if "merged" in table.columns else looked_at.withColumn("merged", nothing_merged())
-    )
-    placed = with_merged.withColumn("_pos", position)
+    place = position.cast("int")
+    if ranges is None:
+        placed = looked_at.withColumn("span", no_span())
+    else:
+        row = "sheet_row" if "sheet_row" in table.columns else "row_idx"
+        placed = with_span(looked_at, ranges, place, keys, row=row)
     found = placed.withColumn(
-        "product", merged_fill(F.col("cells"), F.col("merged"), F.col("_pos"))
+        "product", merged_fill(F.col("cells"), F.col("span"), place)
     ).filter(F.upper("product").contains(text.upper()))
-    span = F.get(F.filter("merged", lambda m: m.col_idx == F.col("_pos")), F.lit(0))
     return found.select(
         *keys,
         "row_idx",
         strip(F.col("product")).alias("product"),
         F.get("cells", F.lit(1)).alias("supplier"),
         F.get("cells", delivered_kilos_position(F.col("header"))).alias("quantity"),
-        span.anchor_row.alias("merged_from_row"),
-        span.last_row.alias("merged_to_row"),
+        F.col("span.top").alias("merged_from_row"),
+        F.col("span.last_row").alias("merged_to_row"),
     )
 
 

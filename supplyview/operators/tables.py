@@ -16,7 +16,14 @@ from supplyview.operators.facts import (
     nonempty_product,
     project_cells,
 )
-from supplyview.operators.fill import ffill_summary, merged_fill, nothing_merged
+from supplyview.operators.fill import (
+    ffill_summary,
+    merged_fill,
+    merged_ranges,
+    no_span,
+    nothing_merged,
+    with_span,
+)
 from supplyview.operators.routing import locate_columns, rejects, usable
 from supplyview.schemas import INVENTORY_COLUMNS, INVENTORY_STATUS, SHEET_KEYS, TABLE_COLUMNS
 from supplyview.session import stage
@@ -97,6 +104,12 @@ def fill_products(
     ).drop("_supplier")
 
 
+def _with_merged(projected: DataFrame, rows: DataFrame, where: Column, keys: Sequence[str]) -> DataFrame:
+    if "merged" not in rows.columns:
+        rows = rows.withColumn("merged", nothing_merged())
+    return fill_merged_products(projected, merged_ranges(rows, keys), where, keys)
+
+
 def delivery_table(
     rows: DataFrame,
     keys: Sequence[str] = SHEET_KEYS,
@@ -123,7 +136,7 @@ def delivery_table(
         summary = wide_local & F.col("has_supplier") & F.col("supplier").isNull()
         filled = fill_products(found, keys, summary, block_rows)
     else:
-        filled = fill_merged_products(found, F.col("table") == LOCAL)
+        filled = _with_merged(found, rows, F.col("table") == LOCAL, keys[:-1])
     return filled, rejects(located, keys[:-1])
 
 
@@ -142,8 +155,8 @@ def inventory_table(
     located = locate(rows, H.required_rank(), keys, TABLE_COLUMNS)
     projected = project_tables(rows, located, keys, block_rows)
     if fill_merged:
-        projected = fill_merged_products(
-            projected.withColumn("has_supplier", F.lit(False)), F.lit(True)
+        projected = _with_merged(
+            projected.withColumn("has_supplier", F.lit(False)), rows, F.lit(True), keys[:-1]
         )
     return projected, rejects(located, keys[:-1])
 
@@ -193,7 +206,10 @@ def promoted_tables(
     base: int = 0,
     block_rows: int = BLOCK_ROWS,
 ) -> DataFrame:
-    """Every table with all its columns: ``(keys, table, row_idx, header, cells, merged)``.
+    """Every table with all its columns: ``(keys, table, row_idx, header, cells, span)``.
+
+    ``span`` is the merged range a row of unserved local or inventory has in its first
+    column, the only one that is filled from ranges.
 
     The unmapped and summary sheets too; ``finish_tables`` makes them ready for saving.
     Blank rows are dropped (G19); an unnamed sheet gets numbered column names.
@@ -220,8 +236,12 @@ def promoted_tables(
     )
     attached = attach_facts(rows, facts, keys, block_rows)
     body = drop_blank_rows(attached.filter(F.col("row_idx") > F.col("header_row")))
-    merged = F.col("merged") if "merged" in rows.columns else nothing_merged()
-    return body.select(*keys, "row_idx", "header", "cells", merged.alias("merged"))
+    body = body.select(*keys, "row_idx", "header", "cells")
+    if "merged" not in rows.columns:
+        return body.withColumn("span", no_span())
+    fillable = F.col("table").isin(LOCAL, INVENTORY_STATUS)
+    spanned = with_span(body.filter(fillable), merged_ranges(rows, keys[:-1]), 0, keys[:-1])
+    return spanned.unionByName(body.filter(~fillable).withColumn("span", no_span()))
 
 
 def _with_cell(cells: Column, position: Column, value: Column) -> Column:
@@ -282,7 +302,7 @@ def finish_tables(
         ).drop("_seen")
     else:
         above = placed.withColumn("_filled", own)
-    merged = F.when(first, merged_fill(F.col("cells"), F.col("merged"), F.col("_product"))).otherwise(own)
+    merged = F.when(first, merged_fill(F.col("cells"), F.col("span"), F.col("_product"))).otherwise(own)
     filled = F.when(local & F.lit(forward_fill), F.col("_filled")).otherwise(merged)
     wide_enough = F.size("header") >= summary_columns
     summary = (

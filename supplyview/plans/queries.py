@@ -470,22 +470,26 @@ def finished_tables(spark, sf):
 
 
 def _inventory_promoted(rows: DataFrame) -> DataFrame:
-    return H.promote_header(rows, H.header_required(rows, KEYS), KEYS)
+    return H.promote_header(rows, H.header_required(rows, KEYS), KEYS, sheet_row=True)
+
+
+def _widgets(spark, sf) -> DataFrame:
+    rows = W.merged_inventory_grid(spark, sf)
+    ranges = L.merged_ranges(rows, KEYS)
+    return Q.product_search(_inventory_promoted(rows), "widget", "ITEM DESCRIPTION", KEYS, ranges=ranges)
 
 
 @query
 def product_search(spark, sf):
     """Widgets anywhere in the inventory sheets, merged cells included."""
-    table = _inventory_promoted(W.merged_inventory_grid(spark, sf))
-    found = Q.product_search(table, "widget", "ITEM DESCRIPTION", KEYS)
+    found = _widgets(spark, sf)
     return _long(found, "merged_from_row", "merged_to_row")
 
 
 @query
 def search_counts(spark, sf):
     """A14."""
-    table = _inventory_promoted(W.merged_inventory_grid(spark, sf))
-    return Q.search_counts(Q.product_search(table, "widget", "ITEM DESCRIPTION", KEYS), KEYS)
+    return Q.search_counts(_widgets(spark, sf), KEYS)
 
 
 @query
@@ -534,10 +538,10 @@ def tables_beyond_two(spark, sf):
 def merged_fill(spark, sf):
     """Inventory products from merged cells."""
     rows = W.merged_inventory_grid(spark, sf)
-    return rows.select(
+    return L.with_span(rows, L.merged_ranges(rows, KEYS), 0, KEYS).select(
         *KEYS, "row_idx",
-        L.merged_fill(F.col("cells"), F.col("merged"), F.lit(0)).alias("product"),
-        F.size("merged").cast("bigint").alias("n_merged"),
+        L.merged_fill(F.col("cells"), F.col("span"), F.lit(0)).alias("product"),
+        F.col("span").isNotNull().cast("bigint").alias("n_merged"),
     )
 
 

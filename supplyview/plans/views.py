@@ -446,23 +446,21 @@ def merged_inventory_grid(spark: SparkSession, sf_dir: str) -> DataFrame:
     the header has its product in the first row alone."""
     rows = inventory_grid(spark, sf_dir)
     group = F.floor((F.col("row_idx") - 3) / MERGED_ROWS)
-    first = (3 + group * MERGED_ROWS).cast("int")
+    first = 3 + group * MERGED_ROWS
     is_merged = (F.col("row_idx") >= 3) & (group % MERGED_TURN == 2)
     name = F.concat(F.lit("pack widget "), group.cast("string"))
     span = F.struct(
-        F.lit(0).alias("col_idx"),
-        first.alias("anchor_row"),
-        F.lit(0).alias("anchor_col"),
-        name.alias("anchor_value"),
-        (first + MERGED_ROWS - 1).cast("int").alias("last_row"),
+        F.lit(0).alias("left"), F.lit(0).alias("right"),
+        (first + MERGED_ROWS - 1).alias("last_row"), name.alias("value"),
     )
+    starts = is_merged & (F.col("row_idx") == first)
     own = F.when(F.col("row_idx") == first, name)
     return rows.withColumns({
         "cells": F.when(
             is_merged,
             F.concat(F.array(own), F.slice("cells", 2, F.size("cells"))),
         ).otherwise(F.col("cells")),
-        "merged": F.when(is_merged, F.array(span)).otherwise(F.col("merged")),
+        "merged": F.when(starts, F.array(span)).otherwise(F.col("merged")),
     })
 
 

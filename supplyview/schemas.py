@@ -37,18 +37,16 @@ ACKNOWLEDGED = "N/A"
 TOTAL = "TOTAL"
 PROJECTION_MONTHS = (1, 2, 3, 4, 5, 6)
 
-# One cell inside a merged range, with the value of the range's top-left cell and the
-# range's last row.
-MERGED_CELL = T.StructType([
-    T.StructField("col_idx", T.IntegerType()),
-    T.StructField("anchor_row", T.IntegerType()),
-    T.StructField("anchor_col", T.IntegerType()),
-    T.StructField("anchor_value", T.StringType()),
-    T.StructField("last_row", T.IntegerType()),
+# A merged range, on its first row: columns, last row, and the value of its top-left cell.
+MERGED_RANGE = T.StructType([
+    T.StructField("left", T.IntegerType()),
+    T.StructField("right", T.IntegerType()),
+    T.StructField("last_row", T.LongType()),
+    T.StructField("value", T.StringType()),
 ])
 
 # One spreadsheet row. row_idx -1 is spreadsheet row 1 (the label row); sheet_pos is the
-# sheet's place in its workbook, from 0.
+# sheet's place in its workbook, from 0; merged holds the ranges that start on this row.
 ROWS = T.StructType([
     T.StructField("ingest_date", T.DateType()),
     T.StructField("workbook", T.StringType()),
@@ -56,7 +54,7 @@ ROWS = T.StructType([
     T.StructField("sheet_pos", T.IntegerType()),
     T.StructField("row_idx", T.LongType()),
     T.StructField("cells", T.ArrayType(T.StringType())),
-    T.StructField("merged", T.ArrayType(MERGED_CELL)),
+    T.StructField("merged", T.ArrayType(MERGED_RANGE)),
 ])
 
 FACT = T.StructType([

@@ -335,17 +335,21 @@ def test_profile(spark):
 
 def test_product_search_reports_merged_rows(spark):
     table = spark.createDataFrame(
-        [("s", i, ["RAW MATERIALS", "SUPPLIER", "DELIVERED KILOS"], [name, f"sup{i}", str(i)],
-          [{"col_idx": 0, "anchor_row": 1, "anchor_col": 0, "anchor_value": "US SOYA", "last_row": 2}] if i == 1 else [])
+        [("s", i, ["RAW MATERIALS", "SUPPLIER", "DELIVERED KILOS"], [name, f"sup{i}", str(i)])
          for i, name in enumerate(["corn", "US soya", "soya us"] + ["US SOYA"] * 40)],
-        "sheet string, row_idx bigint, header array<string>, cells array<string>,"
-        "merged array<struct<col_idx:int,anchor_row:int,anchor_col:int,anchor_value:string,last_row:int>>",
+        "sheet string, row_idx bigint, header array<string>, cells array<string>",
     )
-    found = Q.product_search(table, "us soya", "RAW MATERIALS", ["sheet"])
+    ranges = spark.createDataFrame(
+        [("s", 1, 0, 0, 2, "US SOYA"), ("s", 5, 1, 2, 9, "other columns")],
+        "sheet string, top bigint, left int, right int, last_row bigint, value string",
+    )
+    found = Q.product_search(table, "us soya", "RAW MATERIALS", ["sheet"], ranges=ranges)
     rows = {r["row_idx"]: r for r in found.collect()}
-    assert sorted(rows) == [1, *range(3, 43)]
-    assert sorted(r["row_idx"] for r in Q.product_search(table, "us soya", "RAW MATERIALS", ["sheet"], 29).collect()) == [1, *range(3, 29)]
+    assert sorted(rows) == [1, *range(2, 43)]
+    plain = Q.product_search(table, "us soya", "RAW MATERIALS", ["sheet"], 29)
+    assert sorted(r["row_idx"] for r in plain.collect()) == [1, *range(3, 29)]
     assert (rows[1]["merged_from_row"], rows[1]["merged_to_row"]) == (1, 2)
+    assert (rows[2]["product"], rows[2]["merged_from_row"]) == ("US SOYA", 1)
     assert rows[3]["merged_from_row"] is None and rows[3]["merged_to_row"] is None
     assert (rows[5]["supplier"], rows[5]["quantity"]) == ("sup5", "5")
-    assert tuple(Q.search_counts(found, ["sheet"]).first()) == ("s", 41, 1)
+    assert tuple(Q.search_counts(found, ["sheet"]).first()) == ("s", 42, 2)
