@@ -46,17 +46,21 @@ def project_cells(attached: DataFrame) -> DataFrame:
 
 
 def fill_merged_products(
-    projected: DataFrame, ranges: DataFrame, where: Column, keys: Sequence[str]
+    projected: DataFrame, ranges: DataFrame | None, where: Column, keys: Sequence[str]
 ) -> DataFrame:
     """G14 on the rows ``where`` holds: the product of a merged cell is its range's
     top-left value. Rows without a supplier are summary rows and lose theirs.
 
     Only for products in the first column, wherever the header stands; other rows
-    are not joined. ``ranges`` are those of the whole sheets (``merged_ranges``).
+    are not joined. ``ranges`` are those of the whole sheets (``merged_ranges``); None: there
+    are none.
     """
     where = F.coalesce(where & (F.col("product_pos") == 0), F.lit(False))
     is_summary = F.col("has_supplier") & F.coalesce(F.col("supplier") == "", F.lit(True))
     slim = projected.drop("cells", "merged")
+    if ranges is None:
+        emptied = F.when(where & is_summary, F.lit("")).otherwise(F.col("product"))
+        return slim.withColumn("product", emptied)
     found = with_span(slim.filter(where), ranges, 0, keys, "_span")
     own = F.when(F.col("_span").isNotNull(), F.col("_span.value")).otherwise(F.col("product"))
     filled = found.withColumn("product", F.when(is_summary, F.lit("")).otherwise(own)).drop("_span")

@@ -37,6 +37,12 @@ def merged_ranges(rows: DataFrame, keys: Sequence[str] = SHEET_KEYS) -> DataFram
     )
 
 
+def any_merged(rows: DataFrame) -> bool:
+    """Whether some sheet has a merged range: a job that reads one column and stops at the
+    first one. Most workbooks have none, and their rows are then joined with nothing."""
+    return "merged" in rows.columns and not rows.filter(F.size("merged") > 0).select("merged").isEmpty()
+
+
 def with_span(
     rows: DataFrame,
     ranges: DataFrame,

@@ -11,7 +11,6 @@ from supplyview.functions import is_blank, lenient_double, strip
 from supplyview.operators.blocks import BLOCK_ROWS, attach_facts
 from supplyview.operators.facts import is_acknowledged
 from supplyview.operators.fill import merged_fill, no_span, with_span
-from supplyview.operators.headers import named_values
 from supplyview.operators.segments import is_blank_row
 from supplyview.schemas import DELIVERY_STATUSES, SHEET_KEYS, USAGE_STATUS
 
@@ -126,27 +125,43 @@ def grid_profile(promoted: DataFrame, keys: Sequence[str] = SHEET_KEYS) -> DataF
     without any value are dropped like in the saved tables (G20).
     """
     by = [*keys, "table"]
-    columns = (
-        named_values(promoted, by)
-        .groupBy(*by, "column")
-        .agg(
-            F.count(F.lit(1)).alias("_values"),
-            F.every(lenient_double(F.col("value")).isNotNull()).alias("_numbers"),
+    # One pass: a row tells its values by column, and under no name that it is there.
+    told = F.explode(
+        F.concat(
+            F.array(F.struct(F.lit(None).cast("string").alias("_header"), F.lit(None).cast("string").alias("_value"))),
+            F.filter(
+                F.transform(
+                    F.col("header"),
+                    lambda h, i: F.struct(h.alias("_header"), F.get("cells", i).alias("_value")),
+                ),
+                lambda x: x["_header"].isNotNull() & x["_value"].isNotNull(),
+            ),
         )
     )
-    rows = promoted.groupBy(*by).agg(F.count(F.lit(1)).alias("n_rows"))
-    counted = columns.groupBy(*by).agg(F.count(F.lit(1)).alias("n_columns"))
-    # Both sides hold one row per table or column, not per data row.
-    return (
-        columns.join(rows.join(counted, by), by)
-        .select(
-            *by,
-            "n_rows",
-            "n_columns",
-            "column",
-            F.when(F.col("_numbers"), "double").otherwise("string").alias("dtype"),
-            (F.col("n_rows") - F.col("_values")).alias("null_count"),
+    counted = (
+        promoted.select(*by, told.alias("_x")).select(*by, "_x.*")
+        .groupBy(*by, "_header")
+        .agg(
+            F.count(F.lit(1)).alias("_n"),
+            F.every(lenient_double(F.col("_value")).isNotNull()).alias("_numbers"),
         )
+        .groupBy(*by)
+        .agg(
+            F.max(F.when(F.col("_header").isNull(), F.col("_n"))).alias("n_rows"),
+            F.count("_header").alias("n_columns"),
+            # At most as many as a sheet has columns.
+            F.collect_list(
+                F.when(F.col("_header").isNotNull(), F.struct("_header", "_n", "_numbers"))
+            ).alias("_columns"),
+        )
+    )
+    return counted.select(*by, "n_rows", "n_columns", F.explode("_columns").alias("_c")).select(
+        *by,
+        "n_rows",
+        "n_columns",
+        F.col("_c._header").alias("column"),
+        F.when(F.col("_c._numbers"), "double").otherwise("string").alias("dtype"),
+        (F.col("n_rows") - F.col("_c._n")).alias("null_count"),
     )
 
 

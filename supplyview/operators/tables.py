@@ -17,11 +17,11 @@ from supplyview.operators.facts import (
     project_cells,
 )
 from supplyview.operators.fill import (
+    any_merged,
     ffill_summary,
     merged_fill,
     merged_ranges,
     no_span,
-    nothing_merged,
     with_span,
 )
 from supplyview.operators.routing import locate_columns, rejects, usable
@@ -105,9 +105,8 @@ def fill_products(
 
 
 def _with_merged(projected: DataFrame, rows: DataFrame, where: Column, keys: Sequence[str]) -> DataFrame:
-    if "merged" not in rows.columns:
-        rows = rows.withColumn("merged", nothing_merged())
-    return fill_merged_products(projected, merged_ranges(rows, keys), where, keys)
+    ranges = merged_ranges(rows, keys) if any_merged(rows) else None
+    return fill_merged_products(projected, ranges, where, keys)
 
 
 def delivery_table(
@@ -237,7 +236,7 @@ def promoted_tables(
     attached = attach_facts(rows, facts, keys, block_rows)
     body = drop_blank_rows(attached.filter(F.col("row_idx") > F.col("header_row")))
     body = body.select(*keys, "row_idx", "header", "cells")
-    if "merged" not in rows.columns:
+    if not any_merged(rows):
         return body.withColumn("span", no_span())
     fillable = F.col("table").isin(LOCAL, INVENTORY_STATUS)
     spanned = with_span(body.filter(fillable), merged_ranges(rows, keys[:-1]), 0, keys[:-1])
