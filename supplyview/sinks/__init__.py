@@ -1,6 +1,7 @@
 """Writers (K1-K6)."""
 
 from supplyview.sinks.tables import (
+    table_files,
     table_lines,
     write_aliases,
     write_combined_csv,
@@ -12,6 +13,7 @@ from supplyview.sinks.tables import (
 )
 
 __all__ = [
+    "table_files",
     "table_lines",
     "write_aliases",
     "write_combined_csv",

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from supplyview.operators.dimension import dimension_sorted
@@ -86,23 +86,76 @@ def table_lines(tables: DataFrame, keys: Sequence[str] = SHEET_KEYS) -> DataFram
     return rows.unionByName(heads)
 
 
-def write_tables_csv(tables: DataFrame, root: str, keys: Sequence[str] = SHEET_KEYS) -> None:
+# A table is cut between tasks only after so many rows.
+PART_ROWS = 262_144
+
+
+def write_tables_csv(
+    tables: DataFrame, root: str, keys: Sequence[str] = SHEET_KEYS, part_rows: int = PART_ROWS
+) -> None:
     """K1 + K6: every table of every sheet as CSV with its own columns, in
     ``table=/ingest_date=/workbook=/sheet=`` folders.
 
-    A sheet is sorted by one task; a spreadsheet holds at most a million rows.
+    Rows are dealt to tasks by ranges of (table, sheet, ``part_rows`` rows), so a table of
+    any size is written by as many tasks as it takes; its files are in the order of their names,
+    and each begins with the header. ``_manifest`` in ``root`` lists them (``table_files``).
     """
     by = ["table", *keys]
-    (
-        table_lines(tables, keys)
-        .repartition(*by)
+    spark = tables.sparkSession
+    full = F.transform(F.col("header"), lambda h, i: F.get("cells", i))
+    rows = tables.select(*by, "row_idx", "header", csv_line(full).alias("line"))
+    heads = (
+        tables.groupBy(*by).agg(F.first("header").alias("header"))
+        .select(*by, F.lit(-2).cast("bigint").alias("row_idx"), "header", csv_line(F.col("header")).alias("line"))
+    )
+    dealt = (
+        rows.unionByName(heads)
+        .withColumn("_part", F.greatest(F.floor(F.col("row_idx") / part_rows), F.lit(0)))
+        .repartitionByRange(*by, "_part")
         .sortWithinPartitions(*by, "row_idx")
-        .drop("row_idx")
+    )
+    # The first row of a task goes on with a table whose header another task has.
+    goes_on = (F.shiftleft(F.monotonically_increasing_id(), 31) == 0) & (F.col("row_idx") != -2)
+    headed = F.when(goes_on, F.concat(csv_line(F.col("header")), F.lit("\n"), F.col("line")))
+    (
+        dealt.select(*by, headed.otherwise(F.col("line")).alias("line"))
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(*by)
         .text(root)
     )
+    days = [k for k in keys if k == "ingest_date"]
+    found = _written(spark, root, by)
+    if days:
+        found = found.join(tables.select(*days).distinct(), days, "left_semi")
+    (
+        found.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        .partitionBy(*days).json(f"{root.rstrip('/')}/_manifest")
+    )
+
+
+def _written(spark: SparkSession, root: str, by: Sequence[str]) -> DataFrame:
+    """(by, part, n_parts, file, bytes) of the files there are; contents are not read."""
+    types = ", ".join(f"{c} {'date' if c == 'ingest_date' else 'string'}" for c in by)
+    files = (
+        spark.read.schema(f"value string, {types}").text(root)
+        .select(*by, F.col("_metadata.file_name").alias("file"), F.col("_metadata.file_size").alias("bytes"))
+        .distinct()
+    )
+    # As many rows as a table has files.
+    own = Window.partitionBy(*by)
+    return files.select(
+        *by,
+        (F.row_number().over(own.orderBy("file")) - 1).alias("part"),
+        F.count(F.lit(1)).over(own).alias("n_parts"),
+        "file",
+        "bytes",
+    )
+
+
+def table_files(spark: SparkSession, root: str) -> DataFrame:
+    """The manifest of ``write_tables_csv``: a table's files by ``part``; ``n_parts`` of them make it."""
+    return spark.read.json(f"{root.rstrip('/')}/_manifest")
 
 
 def write_dimension(dim: DataFrame, root: str, version: str, again: bool = False) -> str:

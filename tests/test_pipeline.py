@@ -359,6 +359,37 @@ def test_table_csv_has_a_column_per_header(spark, combined, tmp_path):
     assert back.count() == 10
 
 
+def test_a_large_table_is_written_by_several_tasks_in_order(spark, tmp_path):
+    n = 5000
+    table = spark.range(n).select(
+        F.lit("LANDED").alias("table"), F.lit("s").alias("sheet"), F.col("id").alias("row_idx"),
+        F.array(F.lit("PRODUCT"), F.lit("a,b")).alias("header"),
+        F.array(F.col("id").cast("string"), F.lit("x")).alias("cells"),
+    )
+    small = table.filter("row_idx < 3").withColumn("table", F.lit("SAILING"))
+    out = tmp_path / "csv"
+    before = spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        K.write_tables_csv(table.unionByName(small).repartition(5), str(out), ["sheet"], part_rows=500)
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", before)
+    files = sorted((out / "table=LANDED" / "sheet=s").glob("part-*"))
+    assert len(files) > 3
+    lines = []
+    for file in files:
+        head, *rest = file.read_text().splitlines()
+        assert head == 'PRODUCT,"a,b"' and rest
+        lines += rest
+    assert lines == [f"{i},x" for i in range(n)]
+    (whole,) = (out / "table=SAILING" / "sheet=s").glob("part-*")
+    assert whole.read_text().splitlines() == ['PRODUCT,"a,b"', "0,x", "1,x", "2,x"]
+    listed = K.table_files(spark, str(out)).filter("table = 'LANDED'").orderBy("part").collect()
+    assert [r["file"] for r in listed] == [f.name for f in files] and listed[0]["n_parts"] == len(files)
+    # Readers of the folder do not see the manifest.
+    assert spark.read.text(str(out)).count() == n + 3 + len(files) + 1
+
+
 def test_csv_lines_are_quoted(spark):
     df = spark.createDataFrame([(["a,b", None, 'say "x"', "two\nlines", ""],)], "v array<string>")
     assert df.select(K.tables.csv_line(F.col("v"))).first()[0] == '"a,b",,"say ""x""","two\nlines",'
