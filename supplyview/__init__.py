@@ -9,6 +9,7 @@ from supplyview.plans.runs import (
     Results,
     combine,
     finished_tables,
+    publish,
     report,
     reports,
     route,
@@ -18,6 +19,6 @@ from supplyview.plans.runs import (
 )
 
 __all__ = [
-    "Options", "Results", "combine", "finished_tables", "report", "reports", "route", "run",
+    "Options", "Results", "combine", "finished_tables", "publish", "report", "reports", "route", "run",
     "tables", "whole_tables",
 ]

@@ -42,6 +42,7 @@ from supplyview.schemas import (
 )
 from supplyview.session import run_folder, stage
 from supplyview.sinks import write_results
+from supplyview.sinks.store import Store, Version
 from supplyview.sources.files import (
     alias_dict,
     mapping_dict,
@@ -374,3 +375,25 @@ def report(
     what was staged on the way."""
     with run_folder(spark):
         write_results(run(spark, root, dimension_path, **options), output, version, again)
+
+
+def publish(
+    spark: SparkSession,
+    root: str,
+    store_path: str,
+    dimension_path: str | None = None,
+    **options,
+) -> Version:
+    """Run (the arguments of ``run``) and publish everything as the next version of a store.
+
+    The dimension and the aliases are the store's; ``dimension_path`` counts until it has a
+    dimension of its own. Readers see all of the run or nothing.
+    """
+    store = Store(spark, store_path)
+    base = store.latest()
+    if base.dimension is not None:
+        dimension_path = f"{store.root}/{base.dimension}"
+    if base.aliases is not None:
+        options["alias_path"] = f"{store.root}/{base.aliases}"
+    with run_folder(spark):
+        return store.publish(run(spark, root, dimension_path, **options), base)

@@ -1,5 +1,6 @@
 """Writers (K1-K6)."""
 
+from supplyview.sinks.store import Store, Version
 from supplyview.sinks.tables import (
     table_files,
     table_lines,
@@ -13,6 +14,8 @@ from supplyview.sinks.tables import (
 )
 
 __all__ = [
+    "Store",
+    "Version",
     "table_files",
     "table_lines",
     "write_aliases",

@@ -185,13 +185,15 @@ def write_aliases(aliases: DataFrame, path: str) -> None:
     )
 
 
-def write_results(results, root: str, version: str, again: bool = False) -> None:
+def write_results(
+    results, root: str, version: str, again: bool = False, fact_by: Sequence[str] = ("ingest_date", "status")
+) -> None:
     """K1-K6: everything a run gives, below ``root``; only its dates are replaced.
 
     ``results`` is what ``run`` returns. The dimension goes to ``version=<version>``.
     """
     root = root.rstrip("/")
-    write_fact(results.fact, f"{root}/fact")
+    write_fact(results.fact, f"{root}/fact", fact_by)
     write_combined_csv(results.fact, f"{root}/combined")
     write_pivot_csv(results.pivot, f"{root}/pivot")
     write_pivot_csv(results.enhanced_pivot, f"{root}/enhanced_pivot")
