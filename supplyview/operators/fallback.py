@@ -22,7 +22,7 @@ from supplyview.session import stage
 
 def first_two(
     found: DataFrame,
-    rows: DataFrame,
+    lasts: DataFrame,
     keys: Sequence[str] = SHEET_KEYS,
     block_rows: int = BLOCK_ROWS,
     one_is_enough: bool = False,
@@ -49,7 +49,7 @@ def first_two(
     )
     how = "left" if one_is_enough else "inner"
     both = first.drop("last_row").join(second, list(keys), how)
-    return both.join(last_rows(rows.filter("row_idx >= 0"), keys), list(keys)).select(
+    return both.join(lasts, list(keys)).select(
         *keys, "last_row", *S.RANGE
     )
 
@@ -97,24 +97,33 @@ def advanced_rules(
     """Ranges by markers (G9), else table boundaries (G11), else null patterns (G12), else
     the midpoint (G13), and the tables beyond the second.
 
-    Each rule's few ranges are staged, because the next rule and the cut read them;
-    the shuffling rules run on the sheets that are left only.
+    The grid is read once: every row leaves a few bits (``segments.evidence``), staged, and
+    each rule is an aggregate of them. Rules drop the sheets of the rules before by their
+    ranges, not by their rows.
     """
-    marked = stage(S.first_column_ranges(rows, keys, block_rows), "marked")
-    rest = without(rows, marked, keys, block_rows)
-    bounded = stage(S.table_boundaries(rest, keys, False, block_rows), "boundaries")
-    by_bounds = stage(first_two(bounded, rest, keys, block_rows), "bounded")
-    rest = without(rest, by_bounds, keys, block_rows)
-    patterned = stage(S.null_pattern_segments(rest, keys, block_rows), "patterns")
-    by_pattern = stage(first_two(patterned, rest, keys, block_rows, one_is_enough=True), "patterned")
-    rest = without(rest, by_pattern, keys, block_rows)
+    seen = stage(S.evidence(rows, keys, block_rows), "evidence")
+    # One row per sheet: its end and its marks.
+    sheets = stage(S.mark_starts(seen, keys), "sheets")
+    lasts = sheets.select(*keys, "last_row")
+    marked = S.mark_ranges(sheets, keys)
+
+    def left(found: DataFrame, *chosen: DataFrame) -> DataFrame:
+        at = found.withColumn("row_idx", F.col("start_row"))
+        for ranges in chosen:
+            at = without(at, ranges, keys, block_rows)
+        return at.select(*found.columns)
+
+    bounded = stage(left(S.boundary_ranges(seen, keys, "_table"), marked), "boundaries")
+    by_bounds = first_two(bounded, lasts, keys, block_rows)
+    patterned = stage(left(S.pattern_ranges(seen, keys, "_run"), marked, by_bounds), "patterns")
+    by_pattern = first_two(patterned, lasts, keys, block_rows, one_is_enough=True)
     further = beyond_two(bounded, by_bounds, keys, block_rows).unionByName(
         beyond_two(patterned, by_pattern, keys, block_rows)
     )
-    chosen = reduce(
-        DataFrame.unionByName, [marked, by_bounds, by_pattern, S.midpoint_ranges(rest, keys)]
-    )
-    return chosen, further
+    done = [marked, by_bounds, by_pattern]
+    split = reduce(DataFrame.unionByName, [x.select(*keys) for x in done])
+    open_sheets = lasts.join(split, list(keys), "left_anti")
+    return reduce(DataFrame.unionByName, [*done, S.halves(seen, open_sheets, keys)]), further
 
 
 def marker_rules(

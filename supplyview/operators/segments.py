@@ -161,22 +161,39 @@ def first_column_ranges(
 ) -> DataFrame:
     """G9 as ranges: tables start below the first marker of their kind that stands in
     the first column above valid headers (G7), in either order."""
-    text = F.upper(F.get("cells", F.lit(0)))
+    landed, pullout = first_column_marks(F.col("cells"))
     narrow = _body(rows).select(
         *keys,
         "row_idx",
-        F.coalesce(text.contains("LANDED"), F.lit(False)).alias("_landed"),
-        F.coalesce(text.contains("FOR PULL-OUT"), F.lit(False)).alias("_pullout"),
+        landed.alias("_landed"),
+        pullout.alias("_pullout"),
         valid_header_cells(F.col("cells")).alias("_valid"),
     )
     hits = with_neighbours(
         narrow, following={"_next_valid": "_valid"}, keys=keys, block_rows=block_rows
     ).filter(F.col("_next_valid") & (F.col("_landed") | F.col("_pullout")))
-    starts = hits.groupBy(*keys).agg(
+    return mark_ranges(mark_starts(hits, keys).drop("last_row").join(last_rows(_body(rows), keys), list(keys)), keys)
+
+
+def first_column_marks(cells: Column) -> tuple[Column, Column]:
+    """Whether the first cell names the landed and the pull-out table."""
+    text = F.upper(F.get(cells, F.lit(0)))
+    return tuple(F.coalesce(text.contains(word), F.lit(False)) for word in ("LANDED", "FOR PULL-OUT"))
+
+
+def mark_starts(rows: DataFrame, keys: Sequence[str] = SHEET_KEYS) -> DataFrame:
+    """(keys, last_row, landed, pullout): the first rows below marks (``_landed``,
+    ``_pullout``) of each kind, null without."""
+    return rows.groupBy(*keys).agg(
+        F.max("row_idx").alias("last_row"),
         (F.min(F.when(F.col("_landed"), F.col("row_idx"))) + 1).alias("landed"),
         (F.min(F.when(F.col("_pullout"), F.col("row_idx"))) + 1).alias("pullout"),
     )
-    facts = starts.join(last_rows(_body(rows), keys), list(keys))
+
+
+def mark_ranges(starts: DataFrame, keys: Sequence[str] = SHEET_KEYS) -> DataFrame:
+    """G9 from ``mark_starts``; sheets without any mark are absent."""
+    facts = starts.filter(F.col("landed").isNotNull() | F.col("pullout").isNotNull())
     landed, pullout, last = F.col("landed"), F.col("pullout"), F.col("last_row")
     # A table ends above the other table's marker row when that one comes later.
     landed_end = F.when(landed < pullout, pullout - 2).otherwise(last)
@@ -257,8 +274,13 @@ def table_boundaries(
         block_rows=block_rows,
         source=rows,
     )
+    return boundary_ranges(numbered, keys)
+
+
+def boundary_ranges(numbered: DataFrame, keys: Sequence[str] = SHEET_KEYS, segment: str = "_segment") -> DataFrame:
+    """G11 from rows with ``_sep`` and the number of separators so far."""
     row_idx = F.when(~F.col("_sep"), F.col("row_idx"))
-    found = numbered.groupBy(*keys, "_segment").agg(
+    found = numbered.groupBy(*keys, segment).agg(
         F.min(row_idx).alias("start_row"),
         F.max(row_idx).alias("end_row"),
         F.max("row_idx").alias("_last"),
@@ -277,6 +299,11 @@ def table_boundaries(
     )
 
 
+def null_pattern(trimmed: Column) -> Column:
+    """Which cells of a trimmed row are null, as text; '' for a blank row."""
+    return F.array_join(F.transform(trimmed, lambda c: F.when(c.isNull(), "-").otherwise("x")), "")
+
+
 def null_pattern_segments(
     rows: DataFrame, keys: Sequence[str] = SHEET_KEYS, block_rows: int = BLOCK_ROWS
 ) -> DataFrame:
@@ -284,16 +311,7 @@ def null_pattern_segments(
 
     ``(keys, start_row, end_row)``; sheets without any change give nothing (G13).
     """
-    body = _body(rows).select(
-        *keys,
-        "row_idx",
-        F.array_join(
-            F.transform(
-                trim_row(F.col("cells")), lambda c: F.when(c.isNull(), "-").otherwise("x")
-            ),
-            "",
-        ).alias("_pattern"),
-    )
+    body = _body(rows).select(*keys, "row_idx", null_pattern(trim_row(F.col("cells"))).alias("_pattern"))
     flagged = with_neighbours(
         body, previous={"_previous": "_pattern"}, keys=keys, block_rows=block_rows, keep_block=True
     ).select(
@@ -310,12 +328,17 @@ def null_pattern_segments(
         block_rows=block_rows,
         source=rows,
     )
+    return pattern_ranges(numbered, keys)
+
+
+def pattern_ranges(numbered: DataFrame, keys: Sequence[str] = SHEET_KEYS, segment: str = "_segment") -> DataFrame:
+    """G12 from rows with ``_change``, ``_blank`` and the number of changes so far."""
     # The first changed row also tells segment 0 that it is not the whole sheet.
-    tells = F.when(F.col("_change") & (F.col("_segment") == 1), F.lit(0).cast("bigint"))
-    told = numbered.withColumn("_to", F.explode(F.array("_segment", tells))).filter(
+    tells = F.when(F.col("_change") & (F.col(segment) == 1), F.lit(0).cast("bigint"))
+    told = numbered.withColumn("_to", F.explode(F.array(segment, tells))).filter(
         F.col("_to").isNotNull()
     )
-    own = F.col("_to") == F.col("_segment")
+    own = F.col("_to") == F.col(segment)
     runs = told.groupBy(*keys, "_to").agg(
         F.min(F.when(own, F.col("row_idx"))).alias("start_row"),
         F.max(F.when(own, F.col("row_idx"))).alias("end_row"),
@@ -327,24 +350,78 @@ def null_pattern_segments(
     )
 
 
+def text_kinds(cells: Column) -> Column:
+    """A letter per cell: t for text, . for numbers and nulls."""
+    is_text = lambda c: c.isNotNull() & lenient_double(c).isNull()
+    return F.array_join(F.transform(cells, lambda c: F.when(is_text(c), "t").otherwise(".")), "")
+
+
 def midpoint_ranges(rows: DataFrame, keys: Sequence[str] = SHEET_KEYS) -> DataFrame:
     """G13 as ranges: halves of the sheets with a number column and a text column."""
     body = _body(rows)
-    is_text = F.col("value").isNotNull() & lenient_double(F.col("value")).isNull()
+    kinds = body.select(*keys, text_kinds(F.col("cells")).alias("_kinds"))
+    return halves(kinds, last_rows(body, keys), keys)
+
+
+def halves(kinds: DataFrame, lasts: DataFrame, keys: Sequence[str] = SHEET_KEYS) -> DataFrame:
+    """G13 from the kinds of the rows' cells (``_kinds``) and the sheets' last rows."""
+    # Rows of the same kinds say the same; there are few of them in a sheet.
     columns = (
-        body.select(*keys, "row_idx", F.posexplode("cells").alias("col_idx", "value"))
+        kinds.select(*keys, "_kinds").distinct()
+        .select(*keys, F.posexplode(F.split("_kinds", "")).alias("col_idx", "_kind"))
+        .filter("_kind <> ''")
         .groupBy(*keys, "col_idx")
-        .agg(F.max(is_text.cast("int")).alias("_text"))
+        .agg(F.max((F.col("_kind") == "t").cast("int")).alias("_text"))
         .groupBy(*keys)
         .agg(F.max("_text").alias("_has_text"), F.min("_text").alias("_all_text"))
         .filter("_has_text = 1 and _all_text = 0")
         .select(*keys)
     )
-    facts = last_rows(body, keys).join(columns, list(keys), "left_semi")
+    facts = lasts.join(columns, list(keys), "left_semi")
     half, last = F.floor((F.col("last_row") + 1) / 2), F.col("last_row")
     return _ranges(facts, keys, (F.lit(0), half - 1), (half, last))
 
 
+def evidence(
+    rows: DataFrame, keys: Sequence[str] = SHEET_KEYS, block_rows: int = BLOCK_ROWS
+) -> DataFrame:
+    """What rules G9 and G11 to G13 need of every row, in one pass and one shuffle of the rows.
+
+    ``(keys, row_idx, _sep, _change, _blank, _landed, _pullout, _kinds, _table, _run)``: a few
+    bits per row, with the numbers of separators and of pattern changes so far; the marks are
+    null but for rows above a valid header. Every rule is an aggregate of these by sheet.
+    """
+    own = with_neighbours(
+        _body(rows).select(*keys, "row_idx", "cells"),
+        previous={"_before": "cells"}, following={"_next": "cells"},
+        keys=keys, block_rows=block_rows, keep_block=True,
+    )
+    here, before, below = (trim_row(F.col(c)) for c in ("cells", "_before", "_next"))
+    landed, pullout = first_column_marks(F.col("cells"))
+    marks = F.coalesce(valid_header_cells(F.col("_next")), F.lit(False)) & (landed | pullout)
+    flagged = own.select(
+        *keys,
+        BLOCK,
+        "row_idx",
+        (
+            is_blank_row(F.col("cells"))
+            | F.coalesce(~is_blank_row(F.col("_next")) & (here == below), F.lit(False))
+        ).alias("_sep"),
+        F.coalesce(null_pattern(here) != null_pattern(before), F.lit(False)).alias("_change"),
+        is_blank_row(F.col("cells")).alias("_blank"),
+        F.when(marks, landed).alias("_landed"),
+        F.when(marks, pullout).alias("_pullout"),
+        text_kinds(F.col("cells")).alias("_kinds"),
+    )
+    return with_running(
+        flagged,
+        total={"_table": F.col("_sep").cast("bigint"), "_run": F.col("_change").cast("bigint")},
+        keys=keys,
+        block_rows=block_rows,
+        source=rows,
+    )
+
+
 def midpoint_split(
     rows: DataFrame, keys: Sequence[str] = SHEET_KEYS, block_rows: int = BLOCK_ROWS
 ) -> DataFrame:

@@ -1,6 +1,7 @@
 """Sheet operators on small grids, and on random grids cut into tiny blocks."""
 
 from collections import defaultdict
+from itertools import zip_longest
 
 import pytest
 from grids import (
@@ -14,6 +15,7 @@ from supplyview.operators import fallback, fill
 from supplyview.operators import headers as H
 from supplyview.operators import segments as S
 from supplyview.operators.blocks import attach_facts, with_neighbours, with_running
+from supplyview.session import stage
 
 BLOCKS = [3, 1000]
 
@@ -228,6 +230,59 @@ def test_random_sheets_against_plain_loops(spark, block_rows):
         assert got == {s: w for s, w in want.items() if w}, rule.__name__
 
 
+def advanced(rows):
+    """The tables by the first rule that works, row by row."""
+    marked = first_column_tables(rows)
+    if marked:
+        return marked
+    found = boundaries(rows)
+    if len(found) < 2:
+        found = patterns(rows)
+    if not found:
+        columns = list(zip_longest(*rows))
+        text = [any(is_text(c) for c in column) for column in columns]
+        if not any(text) or all(text):
+            return {}
+        half = len(rows) // 2
+        found = [(0, half - 1), (half, len(rows) - 1)]
+    return {i: name for (a, b), name in zip(sorted(found), ("LANDED", "PULLOUT")) for i in range(a, b + 1)}
+
+
+def is_text(cell):
+    try:
+        return cell is not None and float(cell) is None
+    except ValueError:
+        return True
+
+
+@pytest.mark.parametrize("block_rows", BLOCKS)
+@pytest.mark.parametrize("seed", [11, 12])
+def test_advanced_rules_against_a_loop(spark, block_rows, seed):
+    marked = random_sheets(seed=seed)
+    words = ["1", "2", None, "x"]
+    sheets = marked | {f"n{s}": r for s, r in random_sheets(seed + 100, 80, 6, 2, words).items()}
+    sheets |= {f"h{i}": [["a", str(i)]] * (2 + i) + [["b", "7"]] for i in range(4)}
+    rows = grid(spark, sheets)
+    got = tables(fallback.advanced_split(rows, KEYS, block_rows))
+    want = {s: advanced(r) for s, r in sheets.items()}
+    assert got == {s: w for s, w in want.items() if w}
+
+
+def test_advanced_rules_read_the_grid_twice(spark, monkeypatch):
+    read = []
+
+    def watched(df, name):
+        read.append(df._jdf.queryExecution().executedPlan().toString().count("Scan ExistingRDD"))
+        return stage(df, name)
+
+    rows = grid(spark, random_sheets(seed=3))
+    monkeypatch.setattr(fallback, "stage", watched)
+    last = fallback.advanced_split(rows, KEYS)._jdf.queryExecution().executedPlan().toString()
+    # The second read of the evidence is for sheets of several blocks: a filter of one column.
+    assert sum(read) <= 3 and last.count("Scan ExistingRDD") == 1
+    assert read[1:] == [0] * (len(read) - 1)
+
+
 @pytest.mark.parametrize("block_rows", BLOCKS)
 def test_running_and_neighbour_columns(spark, block_rows):
     sheets = random_sheets(seed=7, n=60, words=[None, None, "a", "b", "c"])
