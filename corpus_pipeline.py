@@ -9,22 +9,25 @@ never changed. An empty table passes through all stages.
   of which no language has half the letters.
 * ``quality`` drops documents scored below 0.3 by the labelled documents' votes; without
   labels nothing is dropped.
-* ``near_duplicates`` keeps the document with the smallest doc_id of each group linked by SimHash
-  (three words, three bits). Rows with the same doc_id are one document, of which one
-  row stays. Rows without a doc_id belong to no group and stay.
+* ``near_duplicates`` keeps the row with the smallest doc_id of each group linked by SimHash
+  (three words, three bits); of equal ids the one whose text has the smaller hash, then the one
+  read first. Rows of one doc_id whose texts are not linked all stay. Rows without a doc_id
+  belong to no group and stay.
 * ``mix`` writes the documents in the order of the mix, by their sources' tempered shares.
 * ``pack`` returns the pieces of sequences of 1024 tokens.
 """
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from supplyview.llm import langid, mixing, packing, quality, simhash
 from supplyview.llm.common import free_name, held_out, prepared, table
 from supplyview.llm.queries import GOOD_QUALITY
-from supplyview.session import stage
+from supplyview.session import current_folder, run_folder, stage
 
 LEAST_SHARE = 0.5
 
@@ -47,13 +50,21 @@ def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     prepared(spark)
-    named = docs.filter(F.col("doc_id").isNotNull())
-    first = (
-        simhash.near_duplicates(named, shingle=3, radius=3)
-        .filter("doc_id = component_id").select("doc_id").distinct()
+    row, first = free_name(docs, "row_number"), free_name(docs, "first_row")
+    # Rows get numbers of their own: a doc_id may have several texts, and they are not linked by it.
+    rows = stage(docs.withColumn(row, F.monotonically_increasing_id()), "pipeline-rows")
+    named = rows.filter(F.col("doc_id").isNotNull())
+    linked = simhash.near_duplicates(
+        named.select(F.col(row).alias("doc_id"), "text"), shingle=3, radius=3
+    ).select(F.col("doc_id").alias(row), "component_id")
+    order = F.struct("doc_id", F.xxhash64("text").alias("_hash"), row)
+    kept = (
+        named.select(row, order.alias(first)).join(linked, row)
+        .groupBy("component_id").agg(F.min(first)[row].alias(row))
+        .select(row)
     )
-    kept = named.join(first, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return kept.unionByName(docs.filter(F.col("doc_id").isNull())).select(*docs.columns)
+    unnamed = rows.filter(F.col("doc_id").isNull())
+    return named.join(kept, row, "left_semi").unionByName(unnamed).select(*docs.columns)
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -77,7 +88,14 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The last stage's rows. What the stages staged on the way is removed; the rows
+    themselves lie in the current folder, as a checkpoint would."""
     docs = table(spark, sf_dir, "documents")
-    for name, step in STAGES[:-1]:
-        docs = stage(step(spark, docs, sf_dir), f"pipeline-{name}")
-    return STAGES[-1][1](spark, docs, sf_dir)
+    place = current_folder(spark)
+    final = f"{place}/pipeline-{uuid.uuid4().hex}"
+    with run_folder(spark, f"{place}/pipeline-run-{uuid.uuid4().hex}"):
+        for name, step in STAGES[:-1]:
+            docs = stage(step(spark, docs, sf_dir), f"pipeline-{name}")
+        last = STAGES[-1][1](spark, docs, sf_dir)
+        last.write.parquet(final)
+    return spark.read.schema(last.schema).parquet(final)
