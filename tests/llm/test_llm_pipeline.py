@@ -177,7 +177,37 @@ def test_every_operator_is_registered():
     import __spark_entry__ as contract
 
     names = list(contract.queries())
-    for n in range(1, 11):
+    for n in range(1, 14):
         assert sum(name.startswith(f"op{n}_") for name in names) == 1
     assert "pipeline" in names
     assert set(contract.oracle_sql()) <= set(names)
+
+
+def test_one_id_with_several_texts_keeps_them(spark):
+    import corpus_pipeline as pipeline
+
+    a = " ".join(f"one{i}" for i in range(40))
+    b = " ".join(f"other{i}" for i in range(40))
+    rows = [(5, a), (5, b), (5, b), (3, a), (9, None), (None, a), (None, a), (9, "")]
+    docs = spark.createDataFrame(
+        [(k, t, "en", "s", i) for i, (k, t) in enumerate(rows)], "doc_id long, text string, lang string, source string, row_number int"
+    )
+    kept = [pipeline.near_duplicates(spark, docs.repartition(n), "").collect() for n in (1, 4)]
+    for found in kept:
+        assert sorted((r["doc_id"] or 0, r["text"] or "") for r in found) == sorted(
+            [(3, a), (5, b), (9, ""), (0, a), (0, a)]
+        )
+        assert found[0].__fields__ == docs.columns
+
+
+@needs_tables
+def test_run_leaves_its_rows_alone_behind(spark):
+    from pathlib import Path
+
+    import corpus_pipeline as pipeline
+    from supplyview.session import run_folder
+
+    with run_folder(spark) as folder:
+        n = pipeline.run(spark, SF_DIR).count()
+        left = [p.name for p in Path(folder.removeprefix("file:")).iterdir()]
+    assert n > 0 and len(left) == 1 and left[0].startswith("pipeline-")
