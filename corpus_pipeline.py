@@ -52,7 +52,10 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     prepared(spark)
     row, first = free_name(docs, "row_number"), free_name(docs, "first_row")
     # Rows get numbers of their own: a doc_id may have several texts, and they are not linked by it.
-    rows = stage(docs.withColumn(row, F.monotonically_increasing_id()), "pipeline-rows")
+    # A scan gives every row the same place each time; what a shuffle gives is written first.
+    if "Exchange" in docs._jdf.queryExecution().executedPlan().toString():
+        docs = stage(docs, "pipeline-rows")
+    rows = docs.withColumn(row, F.monotonically_increasing_id())
     named = rows.filter(F.col("doc_id").isNotNull())
     linked = simhash.near_duplicates(
         named.select(F.col(row).alias("doc_id"), "text"), shingle=3, radius=3
