@@ -519,6 +519,45 @@ def test_new_folders_are_reported_once(spark, combined, tmp_path):
     assert set(second) == {11, 12} and second[11] == first[11]
 
 
+def test_files_of_a_date_over_three_batches_give_one_report(spark, combined, tmp_path, monkeypatch):
+    from supplyview.streaming import arrivals
+
+    root, reported = tmp_path / "input", []
+    monkeypatch.setattr(arrivals, "report", lambda *a, dates, **k: reported.append(dates))
+
+    def arrive(day, name):
+        (root / day).mkdir(parents=True, exist_ok=True)
+        (root / day / name).write_bytes(b"x")
+
+    def go(wait_ms=arrivals.DAY_MS):
+        query = report_new_dates(
+            spark, str(root), "", str(tmp_path / "out"), str(tmp_path / "cp"), wait_ms=wait_ms,
+            required=("deliveries.xlsx", "inventory.xlsx", "global_usage.csv"),
+        )
+        query.awaitTermination(300)
+        assert query.exception() is None
+        done, reported[:] = list(reported), []
+        return done
+
+    arrive("20250811", "deliveries.xlsx")
+    arrive("20250813", "deliveries.xlsx")
+    arrive("notes", "inventory.xlsx")
+    assert go(wait_ms=1) == []
+    arrive("20250811", "inventory.xlsx")
+    arrive("20250811", "notes.txt")
+    assert go() == []
+    arrive("20250811", "global_usage.csv")
+    assert go() == [["20250811"]]
+    # A restart from the checkpoint repeats nothing; a further file of the date is a new report.
+    assert go() == []
+    arrive("20250811", "more.xlsx")
+    arrive("20250812", "inventory.xlsx")
+    assert go() == [["20250811"]]
+    # Both dates had waited too long when the second batch ran.
+    late = spark.read.option("header", True).csv(str(tmp_path / "out" / "late")).collect()
+    assert ("20250813", "inventory.xlsx, global_usage.csv") in {(r["date"], r["missing"]) for r in late}
+
+
 # --- merged cells and raw names ----------------------------------------------
 
 
