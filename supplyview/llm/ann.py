@@ -15,7 +15,7 @@ queries. Each pair of blocks returns at most k rows per query; a window keeps th
 Vectors that are null, zero, without an id, or hold null or non-finite components take
 no part, nor do those of another length than most. Rows that share a vec_id are all
 candidates, except for the query of that id; such a query is asked once, with its
-smallest vector. Extra columns are not read; an empty table gives no rows.
+smallest vector. Equal distances go to the smaller vec_id. Extra columns are not read; an empty table gives no rows.
 """
 
 from __future__ import annotations

@@ -9,7 +9,7 @@ with (doc_id, start, n_tokens) for each document, start counted in the shard.
 
 Shards follow each other in ascending doc_id order, nulls first, ties by text.
 Null and empty texts are documents of the end id alone. An empty table gives no
-shard. Extra columns are not read. A long text may span any number of sequences.
+shard. Rows equal in id and text are documents one after the other. Extra columns are not read. A long text may span any number of sequences.
 """
 
 from __future__ import annotations

@@ -21,7 +21,7 @@ The answers (in 1/4096 bit) go back to the blocks, which sum them by document. E
 every text is counted; nothing is pruned or capped.
 
 Null and empty texts are the end alone. Rows without a doc_id train the model and are
-scored. Repeated rows count each. An empty table gives no rows. Extra columns are not read.
+scored. Repeated rows count each. Very long texts are scored whole. An empty table gives no rows. Extra columns are not read.
 """
 
 from __future__ import annotations

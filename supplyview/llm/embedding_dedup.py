@@ -15,7 +15,8 @@ both vectors' keys tell. Results are counts and stars, never lists of pairs.
 
 Vectors that are null, zero, without an id, or hold null or non-finite components link
 with nothing. Vectors of different lengths do not link. Repeated rows are vectors of
-their own (rows with the same vec_id share its component). Extra columns are not read.
+their own (rows with the same vec_id share its component). An empty table gives no rows. Extra
+columns are not read.
 """
 
 from __future__ import annotations

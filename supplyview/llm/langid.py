@@ -11,7 +11,8 @@ Counts come from all training rows (text and lang not null) in one aggregate ove
 the most letters; its score is their share of all letters, so a text wholly in scripts that no
 language uses has the language first in order with score 0. Null texts and texts without letters are
 ``und`` with score 0 and no spans; so is every text if there is no training row. Ties go
-to the language first in order. Repeated rows are labelled each; extra columns are not read.
+to the language first in order. Repeated rows are labelled each, very long texts whole; an empty table gives no
+rows; extra columns are not read.
 """
 
 from __future__ import annotations

@@ -17,8 +17,8 @@ must have (``anchors``) are dropped first.
 
 Result: one row per (doc_id, licence) with the best Dice and the number of units and windows
 that reach the threshold. Null, empty and one-word texts match nothing. Rows with the same doc_id add
-up; a null doc_id is a key like any other. Templates may be replaced; extra columns
-are not read.
+up; a null doc_id is a key like any other. Very long texts are compared whole; an empty
+table gives no rows. Templates may be replaced; extra columns are not read.
 """
 
 from __future__ import annotations

@@ -11,8 +11,9 @@ weights that grow with similarity.
 The fit is on at most ``SAMPLE`` labelled training rows, picked by a hash of their id, so what is
 broadcast has a fixed size. Labels that are null do not count; an id labelled twice
 counts with its higher label. Null and empty texts, and texts with no positive cosine,
-get the sample's mean label; without any labelled row the score is 0.5. Ties between neighbours
-go to the one earlier in the sample. Repeated rows are scored each; extra columns are kept out.
+get the sample's mean label; without any labelled row the score is 0.5. Of neighbours
+tied for the last vote any may vote. Very long texts are scored whole. Repeated rows are scored
+each; an empty table gives no rows; extra columns are kept out.
 """
 
 from __future__ import annotations

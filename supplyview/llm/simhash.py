@@ -14,7 +14,8 @@ Equal fingerprints are one node from the start. Buckets beyond ``chunk`` are dea
 pairs of chunks. Linked fingerprints of a bucket are output as stars, never as pairs.
 
 Rows with the same doc_id share it in the result; rows without one get their group's
-component (null if no row of the group has an id). Extra columns are not read.
+component (null if no row of the group has an id). Very long texts are fingerprinted whole, one at a
+time. An empty table gives no rows. Extra columns are not read.
 """
 
 from __future__ import annotations
