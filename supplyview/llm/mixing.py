@@ -1,15 +1,20 @@
 """Mixing sources to target weights by Pfair scheduling.
 
-Each source's documents, in an order shuffled by a hash, form blocks of ``block`` documents.
+Each source's documents, in an order shuffled by a hash, form blocks of ``block`` documents:
+by default a ``BLOCKS``-th of all documents, so a mix is equally fine at every size and the plan
+is bounded. Sources of fewer documents than a block are pooled: they mix as one source with the sum
+of their weights. As their documents and their share both stay below a block, so does what
+they are off.
 A source of weight w releases its block i at slot floor(i / w) and must have it placed by
 slot ceil((i + 1) / w); the earliest deadline goes first, ties to the source first in
 order. So at any slot a source has had less than one block more or less than its share.
 
-Weights that are multiples of 1 / ``period`` give a schedule that repeats, of which one period is
+Weights in the ratio of whole numbers that add up to ``period`` or less give a schedule that repeats, of which one period is
 worked out. Others are rounded so finely that over all blocks and sources the
 error stays below ``SLACK`` blocks, and the schedule is worked out slot by slot: the driver
-takes a step, and broadcasts a number, per block. When a source runs out, a new phase begins
-with the weights of the rest. All documents are placed once, none is repeated.
+takes a step, and broadcasts a number, per block. Both are bounded by ``BLOCKS`` and one
+partly filled block per source that is not pooled, of which there are at most ``BLOCKS``. When a source
+runs out, a new phase begins with the weights of the rest. All documents are placed once, none is repeated.
 
 Weights default to shares of documents to the power ``temper``. Sources without a weight, or
 with one that is not positive, follow when the others have run out, by their sizes.
@@ -32,8 +37,11 @@ from pyspark.sql import functions as F
 from supplyview.session import stage
 from supplyview.llm.common import parts
 
-BLOCK = 32
+# Blocks of a mix, and so the most the driver plans.
+BLOCKS = 1 << 18
 PERIOD = 10_000
+# Named apart from all sources, whose names begin with "=" or are empty.
+POOL, REST = "pool", "rest"
 # The most that rounded weights may be off over a whole phase, in blocks.
 SLACK = 1e-6
 
@@ -66,7 +74,11 @@ def rounded(weights: dict[str, float], period: int) -> dict[str, int]:
 
 def shares_of(weights: dict[str, int], n_blocks: int, period: int) -> dict[str, int]:
     """Whole weights as numbers that add up to a period, less than ``SLACK`` blocks off in so many blocks."""
+    common = math.gcd(*weights.values())
+    weights = {s: n // common for s, n in weights.items()}
     total = sum(weights.values())
+    if total <= period:
+        return weights
     shares = rounded(weights, period)
     length = sum(shares.values())
     off = max(abs(n * total - weights[s] * length) for s, n in shares.items())
@@ -129,7 +141,7 @@ def mix(
     weights: dict[str | None, float] | None = None,
     source: str = "source",
     key: str = "doc_id",
-    block: int = BLOCK,
+    block: int | None = None,
     period: int = PERIOD,
     temper: float = 0.7,
     seed: int = 1,
@@ -139,16 +151,45 @@ def mix(
     spark = docs.sparkSession
     named = F.coalesce(F.concat(F.lit("="), F.col(source).cast("string")), F.lit(""))
     # The row's columns stay together, so their names meet none of those added here.
-    keyed = docs.select(
+    every = docs.select(
         F.struct(*docs.columns).alias("_row"), named.alias("_source"),
         F.xxhash64(F.lit(seed), F.col(key)).alias("_order"), F.col(key).alias("_key"),
     )
-    sizes = {r["_source"]: r["n"] for r in keyed.groupBy("_source").agg(F.count(F.lit(1)).alias("n")).collect()}
-    total = sum(sizes.values())
+    counted = stage(every.groupBy("_source").agg(F.count(F.lit(1)).alias("_n")), "mix-sizes")
+    total = counted.agg(F.sum("_n")).first()[0] or 0
+    block = block or parts(total, BLOCKS)
     if weights is None:
-        goal = {s: (n / total) ** temper for s, n in sizes.items()}
+        weighed = counted.withColumn("_w", F.pow(F.col("_n") / float(max(total, 1)), F.lit(temper)))
     else:
-        goal = {"" if s is None else f"={s}": w for s, w in weights.items()}
+        given = [("" if x is None else f"={x}", float(w)) for x, w in weights.items() if w > 0]
+        listed = F.broadcast(spark.createDataFrame(given, "_source string, _w double"))
+        weighed = counted.join(listed, "_source", "left")
+    # At most as many sources as blocks have a block of their own; the others are pooled,
+    # those with a weight apart from those without.
+    large = weighed.filter(F.col("_n") >= block)
+    # Shares of the largest weight add up in any order; one that is too small still counts.
+    most = weighed.agg(F.max("_w")).first()[0] or 1.0
+    share = F.greatest((F.col("_w") / most).cast("decimal(38,18)"), F.lit("1e-18").cast("decimal(38,18)"))
+    pooled = (
+        weighed.filter(F.col("_n") < block).groupBy(F.col("_w").isNotNull().alias("_weighed"))
+        .agg(F.sum("_n").alias("_n"), (F.sum(share).cast("double") * most).alias("_w"))
+        .select(
+            F.when(F.col("_weighed"), F.lit(POOL)).otherwise(F.lit(REST)).alias("_source"), "_n",
+            F.when(F.col("_weighed"), F.col("_w")).alias("_w"),
+        )
+    )
+    planned = large.select("_source", "_n", "_w").union(pooled).collect()
+    sizes = {r["_source"]: r["_n"] for r in planned}
+    goal = {r["_source"]: r["_w"] for r in planned if r["_w"] is not None}
+    own = F.broadcast(large.select("_source", F.lit(True).alias("_large")))
+    keyed = every.join(own, "_source", "left")
+    pool = F.lit(POOL)
+    if weights is not None:
+        keyed = keyed.join(listed, "_source", "left")
+        pool = F.when(F.col("_w").isNotNull(), pool).otherwise(F.lit(REST))
+    keyed = keyed.withColumn("_source", F.when(F.col("_large"), F.col("_source")).otherwise(pool)).select(
+        "_row", "_source", "_order", "_key"
+    )
     # Sorted rows are numbered within their partition. A source's rows may span partitions:
     # its first number in each, and the rows in earlier ones, give the place in the source.
     spread = keyed.repartitionByRange("_source", "_order").sortWithinPartitions("_source", "_order", "_key")
@@ -162,7 +203,7 @@ def mix(
         .select("_source", "_part", (F.coalesce(F.sum("_n").over(earlier), F.lit(0)) - F.col("_first")).alias("_shift"))
     )
     plan = phases({s: parts(n, block) for s, n in sizes.items()}, goal, period)
-    # At most a row and a number per block, and a row per pair of sources.
+    # Every row of the plan has a block, and every block a number.
     table = spark.createDataFrame(
         plan, "_source string, _b0 long, _b1 long, _slot0 long, _length long, _share long, _slots array<int>"
     )

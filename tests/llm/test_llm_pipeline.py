@@ -211,3 +211,63 @@ def test_run_leaves_its_rows_alone_behind(spark):
         n = pipeline.run(spark, SF_DIR).count()
         left = [p.name for p in Path(folder.removeprefix("file:")).iterdir()]
     assert n > 0 and len(left) == 1 and left[0].startswith("pipeline-")
+
+
+def test_small_sources_mix_as_one(spark):
+    rows = [(i, "hot" if i < 3000 else f"s{i % 1500}") for i in range(9000)]
+    docs = spark.createDataFrame(rows, "doc_id long, source string")
+    found = sorted(mixing.mix(docs, block=64).collect(), key=lambda r: r["position"])
+    assert sorted(r["doc_id"] for r in found) == list(range(9000))
+    # One source of its own, and a pool whose documents come in the order of a hash.
+    blocks = defaultdict(set)
+    for r in found:
+        blocks[r["slot"]].add(r["source"] == "hot")
+    assert all(len(b) == 1 for b in blocks.values()) and sorted(blocks) == list(range(len(blocks)))
+    hot, pool = (3000 / 9000) ** 0.7, 1500 * (4 / 9000) ** 0.7
+    taken, end = 0, min(3000 / 64 * (hot + pool) / hot, 6000 / 64 * (hot + pool) / pool)
+    for slot in range(int(end) - 1):
+        taken += True in blocks[slot]
+        assert abs(taken - hot / (hot + pool) * (slot + 1)) < 1
+    # No source is ever a block ahead of or behind its share.
+    assert max(sum(r["source"] == f"s{i}" for r in found) for i in range(0, 1500, 100)) < 64
+
+
+def test_the_plan_does_not_grow_with_the_documents(spark, monkeypatch):
+    monkeypatch.setattr(mixing, "BLOCKS", 100)
+    planned = []
+    plain = mixing.phases
+    monkeypatch.setattr(mixing, "phases", lambda blocks, *rest: planned.append(blocks) or plain(blocks, *rest))
+    for n in (2000, 20_000):
+        docs = spark.range(n).selectExpr("id AS doc_id", "if(id % 3 = 0, 'hot', concat('s', id % 1000)) AS source")
+        found = mixing.mix(docs).agg({"position": "count"}).first()[0]
+        assert found == n
+    assert all(sum(b.values()) <= 102 for b in planned) and planned[0].keys() == planned[1].keys() == {"=hot", "pool"}
+
+
+def plain_schedule(blocks, weights):
+    """Earliest deadline first, slot by slot in fractions: the source of each slot."""
+    from fractions import Fraction
+
+    left, done, out, start = dict(blocks), dict.fromkeys(blocks, 0), [], 0
+    share = {s: Fraction(w) / sum(map(Fraction, weights.values())) for s, w in weights.items()}
+    while all(left.values()):
+        at = len(out) - start
+        ready = [s for s in left if done[s] / share[s] < at + 1 and int(done[s] / share[s]) <= at]
+        first = min(ready, key=lambda s: (-(-(done[s] + 1) // share[s]), s))
+        out.append(first)
+        done[first] += 1
+        left[first] -= 1
+    return out
+
+
+@pytest.mark.parametrize("weights", [
+    {"a": 0.5, "b": 0.25, "c": 0.25}, {"a": 7, "b": 2, "c": 1}, {f"s{i}": 1 + i % 3 for i in range(9)},
+])
+def test_slots_of_a_plain_schedule(weights):
+    blocks = {s: 40 + 7 * i for i, s in enumerate(weights)}
+    want = plain_schedule(blocks, weights)
+    found = {}
+    for source, b0, b1, slot0, length, n, slots in mixing.phases(blocks, weights):
+        if slot0 == 0:
+            found |= {(b - b0) // n * length + slots[(b - b0) % n]: source for b in range(b0, b1)}
+    assert [found.get(i) for i in range(len(want))] == want
