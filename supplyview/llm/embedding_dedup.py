@@ -9,6 +9,10 @@ are compared by their exact cosine in double precision.
 others at any number of rows, and the number of tables so that a pair just at the threshold is
 found with probability ``recall``; closer pairs are found almost surely.
 
+Tables hold no vectors but codes: components in a byte each, with the vector's scale and how far the
+code is from it. They give an upper bound of a cosine, and only vectors that some other one in
+their bucket may link to are fetched, once per bucket, for the exact cosines.
+
 Equal vectors are one class from the start. Buckets beyond ``chunk`` are compared by
 pairs of chunks. A pair that meets in several tables counts in the first alone, which
 both vectors' keys tell. Results are counts and stars, never lists of pairs.
@@ -35,6 +39,9 @@ from supplyview.llm.common import components, group_chunks, valid_vectors
 from supplyview.llm.simhash import smallest_reachable
 
 WIDTH = 2.0
+# What names a list of vectors to compare: table, length, key, and the two chunks of its bucket.
+LIST = ("tab", "dim", "key", "part_i", "part_j")
+LIST_TYPES = (pa.int32(), pa.int32(), pa.int64(), pa.int32(), pa.int32())
 
 
 def collision(distance: float, width: float = WIDTH) -> float:
@@ -78,6 +85,26 @@ def _matrix(column: pa.Array) -> np.ndarray:
     return x / np.sqrt((x * x).sum(axis=1, keepdims=True))
 
 
+def codes_of(unit: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Unit vectors as (n, length) bytes, the step of each, and the length of what they leave out."""
+    step = np.abs(unit).max(axis=1) / 127
+    code = np.rint(unit / step[:, None]).astype(np.int8)
+    rest = unit - code * step[:, None]
+    return code, step, np.sqrt((rest * rest).sum(axis=1)) + 1e-7 * (10 + unit.shape[1])
+
+
+def may_link(code: np.ndarray, step: np.ndarray, rest: np.ndarray, threshold: float) -> np.ndarray:
+    """Whether each two vectors' cosine can reach the threshold, by their codes.
+
+    With u = u' + e and v = v' + f, u . v = u' . v' + u' . f + e . v is at most
+    u' . v' + (1 + |e|) |f| + |e|.
+    """
+    # In single precision: its error is below what every rest has on top.
+    x = code.astype(np.float32) * step.astype(np.float32)[:, None]
+    most = rest[:, None] + rest[None, :] + rest[:, None] * rest[None, :]
+    return x @ x.T >= threshold - most
+
+
 def _keyed(k: int, tables: int):
     def keyed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -85,28 +112,61 @@ def _keyed(k: int, tables: int):
             lengths = vectors.value_lengths().to_numpy()
             for length in np.unique(lengths):
                 rows = batch.filter(pa.array(lengths == length))
-                keys = keys_of(_matrix(rows.column("embedding")), k, tables)
+                unit = _matrix(rows.column("embedding"))
+                keys = keys_of(unit, k, tables)
+                code, step, rest = codes_of(unit)
                 lists = pa.ListArray.from_arrays(
                     pa.array(np.arange(0, keys.size + 1, tables, dtype=np.int32)), pa.array(keys.ravel())
                 )
-                yield pa.RecordBatch.from_arrays([*rows.columns, lists], [*rows.schema.names, "keys"])
+                yield pa.RecordBatch.from_arrays(
+                    [rows.column("node"), pa.array([x.tobytes() for x in code], pa.binary()),
+                     pa.array(step), pa.array(rest), lists],
+                    ["node", "code", "step", "rest", "keys"],
+                )
 
     return keyed
 
 
+def _sides(members: pa.StructArray, part_i: int, part_j: int) -> np.ndarray | bool:
+    """Which pairs of members meet here: those of different sides, or all in a chunk of its own."""
+    if part_i == part_j:
+        return True
+    side = members.field("side").to_numpy()
+    return side[:, None] != side[None, :]
+
+
+def _sifted(threshold: float):
+    """The members of each list that another one may link to, by their codes."""
+    def sifted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for g in range(batch.num_rows):
+                at = [batch.column(c)[g].as_py() for c in LIST]
+                members = batch.column("members").slice(g, 1).flatten()
+                code = np.frombuffer(b"".join(members.field("code").to_pylist()), np.int8).reshape(len(members), -1)
+                near = may_link(code, members.field("step").to_numpy(), members.field("rest").to_numpy(), threshold)
+                np.fill_diagonal(near, False)
+                near &= _sides(members, at[3], at[4])
+                some = pa.array(near.any(axis=1))
+                node, side = members.field("node").filter(some), members.field("side").filter(some)
+                if len(node):
+                    yield pa.RecordBatch.from_arrays(
+                        [*(pa.array([x] * len(node), t) for x, t in zip(at, LIST_TYPES)), node, side],
+                        [*LIST, "node", "side"],
+                    )
+
+    return sifted
+
+
 def _compared(threshold: float, k: int, tables: int):
     def compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for g in range(batch.num_rows):
-                tab = batch.column("tab")[g].as_py()
+                tab, _, _, part_i, part_j = (batch.column(c)[g].as_py() for c in LIST)
                 members = batch.column("members").slice(g, 1).flatten()
                 unit = _matrix(members.field("embedding"))
                 node = members.field("node").to_numpy()
                 size = members.field("n").to_numpy()
-                close = np.triu(unit @ unit.T >= threshold, 1)
-                if batch.column("part_i")[g].as_py() != batch.column("part_j")[g].as_py():
-                    side = members.field("side").to_numpy()
-                    close &= side[:, None] != side[None, :]
+                close = np.triu(unit @ unit.T >= threshold, 1) & _sides(members, part_i, part_j)
                 i, j = np.nonzero(close)
                 if not len(i):
                     continue
@@ -141,19 +201,22 @@ def near_duplicates(
         "vector-classes",
     )
     k, tables = shape(classes.count(), threshold, recall)
-    kind = classes.schema["embedding"].dataType.simpleString()
-    hashed = classes.select("node", "n", "embedding").mapInArrow(
-        _keyed(k, tables), f"node long, n long, embedding {kind}, keys array<long>"
+    hashed = classes.select("node", "embedding").mapInArrow(
+        _keyed(k, tables), "node long, code binary, step double, rest double, keys array<long>"
+    )
+    met = hashed.select(
+        F.octet_length("code").alias("dim"), "node", "code", "step", "rest", F.posexplode("keys").alias("tab", "key")
+    )
+    groups = group_chunks(met, ["tab", "dim", "key"], "node", chunk)
+    some = groups.select(*LIST, "members").mapInArrow(
+        _sifted(threshold), "tab int, dim int, key long, part_i int, part_j int, node long, side int"
     )
-    met = hashed.select("node", "n", "embedding", F.posexplode("keys").alias("tab", "key"))
-    groups = group_chunks(
-        met.withColumn("dim", F.size("embedding")), ["tab", "dim", "key"], "node", chunk
+    # At most two chunks of vectors per list, and only vectors that may have a link there.
+    fetched = some.join(classes, "node").groupBy(*LIST).agg(
+        F.collect_list(F.struct("side", "node", "n", "embedding")).alias("members")
     )
     found = stage(
-        groups.select("tab", "part_i", "part_j", "members").mapInArrow(
-            _compared(threshold, k, tables), "node long, links long, root long"
-        ),
-        "vector-links",
+        fetched.mapInArrow(_compared(threshold, k, tables), "node long, links long, root long"), "vector-links"
     )
     linked = components(found.select(F.col("node").alias("a"), F.col("root").alias("b")), "vector-round")
     counts = found.groupBy("node").agg(F.sum("links").alias("links"))

@@ -76,6 +76,36 @@ def test_recall_is_planned_for_the_threshold():
     assert abs((keys[0] == keys[1]).mean() - want) < 0.02
 
 
+def test_codes_lose_no_link():
+    random = np.random.default_rng(3)
+    for length in (2, 16, 64, 700):
+        x = random.standard_normal((300, length)) * np.exp(random.standard_normal((300, length)))
+        x[150:] = x[:150] + random.standard_normal((150, length)) * x.std() * random.uniform(0, 1, (150, 1))
+        x /= np.linalg.norm(x, axis=1, keepdims=True)
+        near = embedding_dedup.may_link(*embedding_dedup.codes_of(x), 0.9)
+        exact = x @ x.T
+        assert near[exact >= 0.9].all() and not near[exact < 0.8].any()
+
+
+def test_planted_pairs_are_found_as_planned(spark):
+    """Pairs at cosine 0.90 to 0.93, half of the rest around one centre, default recall."""
+    random = np.random.default_rng(4)
+    x = random.standard_normal((6000, 64))
+    x[::2] = 0.8 * random.standard_normal(64) + x[::2]
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    for i in range(0, 3000, 2):
+        t = random.uniform(0.9005, 0.93)
+        other = x[i + 1] - (x[i + 1] @ x[i]) * x[i]
+        x[i + 1] = t * x[i] + np.sqrt(1 - t * t) * other / np.linalg.norm(other)
+    x = x.astype(np.float32)
+    rows = [(i, v.tolist()) for i, v in enumerate(x)]
+    found = {r["vec_id"]: r["n_links"] for r in embedding_dedup.near_duplicates(frame(spark, rows)).collect()}
+    unit = x.astype(float) / np.linalg.norm(x.astype(float), axis=1, keepdims=True)
+    want = (unit @ unit.T >= 0.9).sum(axis=1) - 1
+    got = np.array([found[i] for i in range(len(x))])
+    assert (got <= want).all() and want.sum() >= 3000 and got.sum() >= 0.96 * want.sum()
+
+
 def plain_nearest(rows, queries, k):
     out = {}
     for q, v in queries:
