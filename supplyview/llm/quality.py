@@ -12,7 +12,8 @@ The fit is on at most ``SAMPLE`` labelled training rows, picked by a hash of the
 broadcast has a fixed size. Labels that are null do not count; an id labelled twice
 counts with its higher label. Null and empty texts, and texts with no positive cosine,
 get the sample's mean label; without any labelled row the score is 0.5. Of neighbours
-tied for the last vote any may vote. Very long texts are scored whole. Repeated rows are scored
+tied for the last vote those with the smaller doc_id vote. Of several texts of one labelled doc_id the one
+with the least counts stands for it. Very long texts are scored whole. Repeated rows are scored
 each; an empty table gives no rows; extra columns are kept out.
 """
 
@@ -83,6 +84,19 @@ def raw_counts(text: str | None) -> np.ndarray:
     return out
 
 
+def closest(cosine: np.ndarray, k: int) -> np.ndarray:
+    """(n, k) places of the k largest of each row; of equal ones the first places."""
+    near = np.argpartition(-cosine, k - 1, axis=1)[:, :k]
+    least = np.take_along_axis(cosine, near, axis=1).min(axis=1, keepdims=True)
+    more = np.flatnonzero((cosine >= least).sum(axis=1) > k)
+    if len(more):
+        above = cosine[more] > least[more]
+        tied = cosine[more] == least[more]
+        chosen = above | (tied & (np.cumsum(tied, axis=1) <= k - above.sum(axis=1, keepdims=True)))
+        near[more] = np.nonzero(chosen)[1].reshape(len(more), k)
+    return near
+
+
 class Model:
     """Projection, neighbours and their labels: of fixed size."""
 
@@ -120,7 +134,7 @@ class Model:
         latent = self._unit(self._weighted(shares) @ self.axes)
         cosine = latent @ self.neighbours.T
         k = min(neighbours, cosine.shape[1])
-        near = np.argpartition(-cosine, k - 1, axis=1)[:, :k]
+        near = closest(cosine, k)
         weight = np.maximum(np.take_along_axis(cosine, near, axis=1), 0).astype(float) ** SHARPNESS
         total = weight.sum(axis=1)
         empty = (shares.sum(axis=1) == 0) | (total <= 0)
@@ -152,7 +166,8 @@ def fit(docs: DataFrame, labels: DataFrame, label: str, train: Column, sample: i
         docs.select("doc_id", F.col("text").cast("string").alias("_text"))
         .join(F.broadcast(picked), "doc_id")
         .mapInArrow(shares, "doc_id long, label double, shares binary")
-        .dropDuplicates(["doc_id"]).toPandas()
+        .groupBy("doc_id").agg(F.min(F.struct("shares", "label")).alias("least"))
+        .select("doc_id", "least.*").toPandas()
         .sort_values("doc_id")
     )
     matrix = np.array([np.frombuffer(x, np.float32) for x in rows["shares"]]).reshape(-1, FEATURES)

@@ -113,6 +113,25 @@ def votes_by_hand(m, shares, k):
     return np.array(out)
 
 
+def test_tied_neighbours_vote_in_order():
+    random = np.random.default_rng(1)
+    cosine = random.integers(0, 4, (50, 60)) / 4
+    for k in (1, 15, 60):
+        want = [sorted(np.lexsort((np.arange(60), -row))[:k].tolist()) for row in cosine]
+        assert [sorted(row) for row in quality.closest(cosine, k).tolist()] == want
+    shares = np.tile(quality.raw_counts("some text that is always the same"), (60, 1))
+    m = quality.Model(shares, np.repeat([1.0, 0.0], [15, 45]))
+    assert abs(m.score(shares[:1])[0] - 1) < 1e-6
+
+
+def test_one_text_of_a_repeated_id_is_fitted(spark):
+    docs = [(i, f"text {i} of many", "x") for i in range(30)] + [(3, "another text", "x"), (3, "a third one!", "x")]
+    docs = spark.createDataFrame(docs, "doc_id long, text string, lang string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(30)], "doc_id long, quality int")
+    models = [quality.fit(docs.repartition(n), labels, "quality", F.lit(True)) for n in (1, 5)]
+    assert len(models[0].labels) == 30 and (models[0].neighbours == models[1].neighbours).all()
+
+
 def test_counts_of_long_texts(monkeypatch):
     text = "Some words, repeated; " * 50
     whole = quality.raw_counts(text)
