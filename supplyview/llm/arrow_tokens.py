@@ -1,8 +1,8 @@
 """Token ids in Arrow files of fixed-size lists: equal-length sequences and masks.
 
 A shard is one Arrow file (the random-access format, uncompressed). Its columns are
-fixed_size_list[n] of ``ids`` (uint16 if the vocabulary fits, else uint32), of ``mask`` (bool:
-a token, not padding) and of ``last`` (bool: ends a document), so row i sits at a
+fixed_size_list[n] of ``ids`` (uint16 if the vocabulary fits, else uint32), of ``mask`` (uint8: 1 for
+a token, 0 for padding) and of ``last`` (bool: ends a document), so row i sits at a
 fixed place in its batch and is read without copying. The ids of a shard's documents
 follow each other without gaps; the last sequence is padded. Next to it lies a file
 with (doc_id, start, n_tokens) for each document, start counted in the shard.
@@ -54,7 +54,7 @@ def publish(files, written: str, name: str) -> None:
 
 
 def sequence_schema(length: int, kind: np.dtype) -> pa.Schema:
-    kinds = [("ids", pa.from_numpy_dtype(kind)), ("mask", pa.bool_()), ("last", pa.bool_())]
+    kinds = [("ids", pa.from_numpy_dtype(kind)), ("mask", pa.uint8()), ("last", pa.bool_())]
     return pa.schema([(name, pa.list_(x, length)) for name, x in kinds])
 
 
@@ -87,7 +87,7 @@ class _ShardWriter:
         ends[stops] = True
         if self.rest:
             ends[: self.rest] = self.rest_ends
-        mask = np.ones(len(ids), bool)
+        mask = np.ones(len(ids), np.uint8)
         batch = BATCH_SEQUENCES * self.length
         stop = len(ids) // batch * batch
         if last:
@@ -189,11 +189,11 @@ def open_shard(path: str) -> pa.ipc.RecordBatchFileReader:
 
 
 def sequence(reader: pa.ipc.RecordBatchFileReader, i: int) -> tuple[np.ndarray, np.ndarray]:
-    """Ids and mask of sequence ``i`` of a shard; ids of a mapped file are not copied."""
+    """Ids and mask of sequence ``i`` of a shard; of a mapped file neither is copied."""
     batch = reader.get_batch(i // BATCH_SEQUENCES)
     row = i % BATCH_SEQUENCES
     ids = batch.column(0)[row].values.to_numpy(zero_copy_only=True)
-    return ids, batch.column(1)[row].values.to_numpy(zero_copy_only=False)
+    return ids, batch.column(1)[row].values.to_numpy(zero_copy_only=True)
 
 
 def read(shards: DataFrame) -> DataFrame:
@@ -213,9 +213,9 @@ def read(shards: DataFrame) -> DataFrame:
                 for b in range(reader.num_record_batches):
                     got = reader.get_batch(b)
                     ids = got.column(0).flatten().to_numpy(zero_copy_only=True).astype("<u4", copy=False)
-                    mask, last = (
-                        got.column(c).flatten().to_numpy(zero_copy_only=False) for c in (1, 2)
-                    )
+                    mask = got.column(1).flatten().to_numpy(zero_copy_only=True)
+                    # One bit per id: where documents end.
+                    last = got.column(2).flatten().to_numpy(zero_copy_only=False)
                     used = int(np.count_nonzero(mask))
                     view = memoryview(ids).cast("B")
                     out, begin = [], 0

@@ -84,6 +84,9 @@ def test_any_sequence_is_read_by_itself(spark, tmp_path):
             want = stream[at + 64 * i : min(at + 64 * (i + 1), at + shard["n_tokens"])]
             assert got[: len(want)].tolist() == want and mask.sum() == len(want)
             assert not got[len(want) :].any()
+            assert mask.dtype == np.uint8 and mask.tolist() == [1] * len(want) + [0] * (64 - len(want))
+            # Views of the mapped file: no one owns or may change them.
+            assert not any(x.flags.owndata or x.flags.writeable for x in (got, mask))
         at += shard["n_tokens"]
 
 
