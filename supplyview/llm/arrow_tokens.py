@@ -3,7 +3,8 @@
 A shard is one Arrow file (the random-access format, uncompressed). Its columns are
 fixed_size_list[n] of ``ids`` (uint16 if the vocabulary fits, else uint32), of ``mask`` (uint8: 1 for
 a token, 0 for padding) and of ``last`` (bool: ends a document), so row i sits at a
-fixed place in its batch and is read without copying. The ids of a shard's documents
+fixed place in its batch and is read without copying. Masks are dictionary-coded: a shard stores the
+full one and that of its last sequence once, and rows point to them. The ids of a shard's documents
 follow each other without gaps; the last sequence is padded. Next to it lies a file
 with (doc_id, start, n_tokens) for each document, start counted in the shard.
 
@@ -54,8 +55,10 @@ def publish(files, written: str, name: str) -> None:
 
 
 def sequence_schema(length: int, kind: np.dtype) -> pa.Schema:
-    kinds = [("ids", pa.from_numpy_dtype(kind)), ("mask", pa.uint8()), ("last", pa.bool_())]
-    return pa.schema([(name, pa.list_(x, length)) for name, x in kinds])
+    masks = pa.dictionary(pa.int8(), pa.list_(pa.uint8(), length))
+    return pa.schema([
+        ("ids", pa.list_(pa.from_numpy_dtype(kind), length)), ("mask", masks), ("last", pa.list_(pa.bool_(), length)),
+    ])
 
 
 class _ShardWriter:
@@ -65,7 +68,11 @@ class _ShardWriter:
         self.length, self.kind = length, kind
         self.schema = sequence_schema(length, kind)
         self.out = files.open_output_stream(path)
-        self.writer = pa.ipc.new_file(self.out, self.schema)
+        # The last sequence's mask joins the full one when it is known.
+        self.writer = pa.ipc.new_file(
+            self.out, self.schema, options=pa.ipc.IpcWriteOptions(emit_dictionary_deltas=True)
+        )
+        self.masks = np.ones(length, np.uint8)
         self.ids: list[np.ndarray] = []
         self.sizes: list[int] = []
         self.held = self.total = self.rest = 0
@@ -79,6 +86,9 @@ class _ShardWriter:
             self._flush(False)
         return len(ids)
 
+    def _lists(self, flat: np.ndarray) -> pa.FixedSizeListArray:
+        return pa.FixedSizeListArray.from_arrays(pa.array(flat), self.length)
+
     def _flush(self, last: bool) -> None:
         ids = np.concatenate(self.ids) if self.ids else np.zeros(0, self.kind)
         # ``rest`` ids were held over from before the documents in ``sizes``.
@@ -87,19 +97,24 @@ class _ShardWriter:
         ends[stops] = True
         if self.rest:
             ends[: self.rest] = self.rest_ends
-        mask = np.ones(len(ids), np.uint8)
         batch = BATCH_SEQUENCES * self.length
         stop = len(ids) // batch * batch
+        short = -len(ids) % self.length if last else 0
         if last:
-            short = -len(ids) % self.length
-            ids, mask, ends = (np.pad(x, (0, short)) for x in (ids, mask, ends))
+            ids, ends = (np.pad(x, (0, short)) for x in (ids, ends))
             stop = len(ids)
         for at in range(0, stop, batch):
-            columns = [
-                pa.FixedSizeListArray.from_arrays(pa.array(x[at : min(at + batch, stop)]), self.length)
-                for x in (ids, mask, ends)
-            ]
-            self.writer.write_batch(pa.record_batch(columns, schema=self.schema))
+            to = min(at + batch, stop)
+            kinds = np.zeros((to - at) // self.length, np.int8)
+            if short and to == stop:
+                kinds[-1] = 1
+                partly = np.arange(self.length) < self.length - short
+                self.masks = np.concatenate([self.masks, partly.astype(np.uint8)])
+            self.writer.write_batch(pa.record_batch([
+                self._lists(ids[at:to]),
+                pa.DictionaryArray.from_arrays(pa.array(kinds), self._lists(self.masks)),
+                self._lists(ends[at:to]),
+            ], schema=self.schema))
         self.ids, self.sizes = [ids[stop:].copy()], []
         self.held = self.rest = len(ids) - stop
         self.rest_ends = ends[stop:].copy()
@@ -193,7 +208,9 @@ def sequence(reader: pa.ipc.RecordBatchFileReader, i: int) -> tuple[np.ndarray,
     batch = reader.get_batch(i // BATCH_SEQUENCES)
     row = i % BATCH_SEQUENCES
     ids = batch.column(0)[row].values.to_numpy(zero_copy_only=True)
-    return ids, batch.column(1)[row].values.to_numpy(zero_copy_only=True)
+    masks = batch.column(1)
+    mask = masks.dictionary[masks.indices[row].as_py()].values
+    return ids, mask.to_numpy(zero_copy_only=True)
 
 
 def read(shards: DataFrame) -> DataFrame:
@@ -213,10 +230,12 @@ def read(shards: DataFrame) -> DataFrame:
                 for b in range(reader.num_record_batches):
                     got = reader.get_batch(b)
                     ids = got.column(0).flatten().to_numpy(zero_copy_only=True).astype("<u4", copy=False)
-                    mask = got.column(1).flatten().to_numpy(zero_copy_only=True)
+                    masks = got.column(1)
+                    each = masks.dictionary.flatten().to_numpy(zero_copy_only=True)
+                    each = each.reshape(len(masks.dictionary), -1).sum(axis=1, dtype=np.int64)
                     # One bit per id: where documents end.
                     last = got.column(2).flatten().to_numpy(zero_copy_only=False)
-                    used = int(np.count_nonzero(mask))
+                    used = int(each[masks.indices.to_numpy()].sum())
                     view = memoryview(ids).cast("B")
                     out, begin = [], 0
                     for stop in (np.flatnonzero(last) + 1).tolist():
