@@ -594,6 +594,18 @@ ORACLE_SQL["pivot_totals"] = with_(SUMS, WIDE) + (
     + ", ".join(f'round("{s}", 6) AS "{s}"' for s in STATUSES)
     + ', round(total, 6) AS "TOTAL" FROM totalled'
 )
+# The same report after products were forgotten and others moved: everything anew.
+CHANGED = """,
+changed AS (
+  SELECT product, CASE WHEN file_pos % 20 = 1 THEN 'Moved' ELSE category END AS category
+  FROM dim WHERE file_pos % 20 <> 0)"""
+ORACLE_SQL["pivot_after_changes"] = with_(
+    SUMS.replace(DIM, DIM + CHANGED).replace("LEFT JOIN dim d", "LEFT JOIN changed d"), WIDE
+) + (
+    "SELECT category, "
+    + ", ".join(f'round("{s}", 6) AS "{s}"' for s in STATUSES)
+    + ', round(total, 6) AS "TOTAL" FROM totalled'
+)
 ORACLE_SQL["pivot_shape"] = with_(SUMS) + (
     "SELECT count(DISTINCT category) AS n_categories,"
     " count(DISTINCT status) FILTER (status <> 'GLOBAL USAGE') AS n_statuses FROM sums"

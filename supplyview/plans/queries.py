@@ -16,6 +16,7 @@ from supplyview.operators import facts as P
 from supplyview.operators import fallback
 from supplyview.operators import fill as L
 from supplyview.operators import headers as H
+from supplyview.operators import increments as N
 from supplyview.operators import pivot as V
 from supplyview.operators import quality as Q
 from supplyview.operators import routing as R
@@ -232,6 +233,21 @@ def pivot_totals(spark, sf):
     return _round(V.pivot_with_totals(category_sums(spark, sf)), *ALL_STATUSES, "TOTAL")
 
 
+@query
+def pivot_after_changes(spark, sf):
+    """The pivot after some products left the dimension and others changed their
+    category, from the sums before and the changed products' partial sums."""
+    parts = W.part_sums(spark, sf)
+    before = W.dimension(spark, sf, parts)
+    kind = F.col("file_pos") % 20
+    after = before.filter(kind != 0).withColumn("category", F.when(kind == 1, "Moved").otherwise(F.col("category")))
+    partials = stage(N.partial_sums(product_sums(spark, sf, parts), keys=()), "partials")
+    changes = stage(N.changed_categories(before, after), "changes")
+    sums = N.refreshed(N.category_sums(partials, before, keys=()), N.moved(partials, changes, keys=()), keys=())
+    refreshed = sums.withColumn("quantity", F.col("quantity").cast("double"))
+    return _round(V.pivot_with_totals(in_tons(refreshed)), *ALL_STATUSES, "TOTAL")
+
+
 @query
 def pivot_shape(spark, sf):
     """A13."""
